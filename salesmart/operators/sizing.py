@@ -1,0 +1,19 @@
+"""Size checks that guard every broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, bound: int) -> bool:
+    """True when ``df`` has at most ``bound`` rows; stops counting past the bound."""
+    return df.limit(bound + 1).count() <= bound
+
+
+def broadcast_if_small(df: DataFrame, bound: int) -> DataFrame:
+    """Broadcast hint only behind a checked row bound; otherwise leave the join to
+    Catalyst and AQE (sort-merge, or a runtime broadcast if the stage turns out small)."""
+    if row_count_at_most(df, bound):
+        return F.broadcast(df)
+    return df
