@@ -8,6 +8,8 @@ pre-registered views of the test parquet files.
 
 from __future__ import annotations
 
+from ..config import MONTH_NAMES, TAX_ID_WEIGHTS_1, TAX_ID_WEIGHTS_2
+
 MONEY = "DECIMAL(14,2)"
 LOAD_TS = "TIMESTAMP '2001-08-02 06:00:00'"
 
@@ -87,6 +89,39 @@ CTES: dict[str, tuple[list[str], str]] = {
                lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS sig_uf, trim(c_mktsegment) AS des_municipio,
                '' AS cod_vendedor, c_acctbal < 0 AS flg_bloqueado
         FROM customer"""),
+    "silver_customers": ([], """
+        SELECT '01' AS cod_empresa, CAST(c_custkey AS BIGINT) AS num_recno FROM customer"""),
+    "silver_sellers": ([], """
+        SELECT '01' AS cod_empresa, CAST(s_suppkey AS BIGINT) AS num_recno FROM supplier"""),
+    "silver_products": ([], """
+        SELECT '01' AS cod_empresa, CAST(p_partkey AS BIGINT) AS num_recno FROM part"""),
+    "ev": ([], """
+        SELECT event_id, user_id, ts, event_type, value, props, event_type AS _empresa,
+               strftime(ts, '%Y%m%d') AS _lote
+        FROM events"""),
+    "prev_control": ([], """
+        SELECT tabela, empresa, 'INCREMENTAL' AS tipo_carga, true AS ativo,
+               TIMESTAMP '2024-01-20 00:00:00' AS ultimo_watermark, 'SUCESSO' AS status_ultima_carga,
+               TIMESTAMP '2024-01-20 00:00:00' AS data_ultima_execucao, CAST(NULL AS BIGINT) AS qtd_ultima_carga
+        FROM (SELECT DISTINCT 'events' AS tabela, event_type AS empresa FROM events)"""),
+    "synced_control": (["prev_control"], """
+        SELECT coalesce(p.tabela, i.tabela) AS tabela, coalesce(p.empresa, i.empresa) AS empresa,
+               CASE WHEN i.tabela IS NOT NULL THEN i.tipo_carga ELSE p.tipo_carga END AS tipo_carga,
+               CASE WHEN i.tabela IS NOT NULL THEN i.ativo ELSE false END AS ativo,
+               p.ultimo_watermark, p.status_ultima_carga, p.data_ultima_execucao, p.qtd_ultima_carga
+        FROM (
+            SELECT tabela, trim(empresa) AS empresa, tipo_carga, ativo, ultimo_watermark, status_ultima_carga,
+                   data_ultima_execucao, qtd_ultima_carga FROM prev_control
+            UNION ALL
+            SELECT 'lineitem', trim(l_returnflag || ' '), 'INCREMENTAL', true, max(l_shipdate), 'SUCESSO',
+                   TIMESTAMP '2024-01-31 09:00:00', count(*)
+            FROM lineitem GROUP BY l_returnflag) p
+        FULL OUTER JOIN (
+            SELECT DISTINCT 'events' AS tabela, event_type AS empresa, 'INCREMENTAL' AS tipo_carga, true AS ativo
+            FROM events
+            UNION ALL
+            SELECT DISTINCT 'orders', o_orderpriority, 'FULL', true FROM orders) i
+          ON p.tabela = i.tabela AND p.empresa = i.empresa"""),
     "sales_dataset": (["fact", "units", "dim_product", "dim_seller", "dim_customer"], """
         SELECT f.dat_emissao, f.des_status, f.vlr_total, f.vlr_saldo, f.qtd_vendida, u.des_unidade,
                p.des_produto, v.des_nome AS des_vendedor, c.des_nome AS des_cliente
@@ -120,12 +155,150 @@ def with_ctes(uses: list[str], final: str) -> str:
     return f"WITH {body}\n{final}" if names else final
 
 
+MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in MONTH_NAMES) + "]"
+TOTAL = "DECIMAL(38,2)"
+
+
+def _key_gate(name: str, cte: str) -> str:
+    grouped = f"(SELECT cod_empresa, num_recno, count(*) AS n FROM {cte} GROUP BY cod_empresa, num_recno)"
+    return f"""
+        SELECT 'chave_nula' AS gate, '{name}' AS objeto,
+               CAST(coalesce(sum(n) FILTER (WHERE cod_empresa IS NULL OR num_recno IS NULL), 0) AS BIGINT)
+                   AS qtd_falhas, 'registros com chave nula' AS detalhe
+        FROM {grouped}
+        UNION ALL
+        SELECT 'chave_duplicada', '{name}', CAST(count(*) FILTER (WHERE n > 1) AS BIGINT), 'chaves duplicadas'
+        FROM {grouped}"""
+
+
+def _orphans(dim: str, cte: str, keys: list[str]) -> str:
+    cond = " AND ".join(f"d.{k} = f.{k}" for k in keys)
+    return f"""
+        SELECT 'integridade' AS gate, 'fato_pedido_venda->{dim}' AS objeto, CAST(count(*) AS BIGINT) AS qtd_falhas,
+               'combinações sem correspondência' AS detalhe
+        FROM (SELECT DISTINCT {", ".join(keys)} FROM fact) f
+        WHERE NOT EXISTS (SELECT 1 FROM {cte} d WHERE {cond})"""
+
+
+def _negatives(col: str) -> str:
+    return f"""
+        SELECT 'valor_negativo' AS gate, 'fato_pedido_venda.{col}' AS objeto,
+               CAST(count(*) FILTER (WHERE {col} < 0) AS BIGINT) AS qtd_falhas,
+               'registros com valor negativo' AS detalhe
+        FROM fact"""
+
+
+def _weighted(doc: str, weights: list[int]) -> str:
+    return " + ".join(f"CAST(substring({doc}, {i + 1}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights))
+
+
+def _tax_id_valid(doc: str) -> str:
+    r1 = f"(({_weighted(doc, TAX_ID_WEIGHTS_1)}) % 11)"
+    d1 = f"(CASE WHEN {r1} < 2 THEN 0 ELSE 11 - {r1} END)"
+    r2 = f"(({_weighted(doc, TAX_ID_WEIGHTS_2[:12])} + {d1} * {TAX_ID_WEIGHTS_2[12]}) % 11)"
+    d2 = f"(CASE WHEN {r2} < 2 THEN 0 ELSE 11 - {r2} END)"
+    return (f"(regexp_full_match({doc}, '[0-9]{{14}}') AND CAST(substring({doc}, 13, 1) AS INTEGER) = {d1} "
+            f"AND CAST(substring({doc}, 14, 1) AS INTEGER) = {d2})")
+
+
+_GATE_REPORT = " UNION ALL ".join(
+    [_key_gate("silver.orders", "silver_orders"), _key_gate("silver.lines", "silver_lines"),
+     _key_gate("silver.customers", "silver_customers"), _key_gate("silver.sellers", "silver_sellers"),
+     _key_gate("silver.products", "silver_products"),
+     _orphans("dim_cliente", "dim_customer", ["cod_empresa", "cod_cliente", "cod_loja"]),
+     _orphans("dim_vendedor", "dim_seller", ["cod_empresa", "cod_vendedor"]),
+     _orphans("dim_produto", "dim_product", ["cod_empresa", "cod_produto"]),
+     _orphans("dim_unidade", "units", ["cod_empresa", "cod_filial"])]
+    + [_negatives(c) for c in ["qtd_vendida", "vlr_unitario", "vlr_total"]])
+
+_DOC = "(lpad(CAST(c_custkey AS VARCHAR), 12, '0') || lpad(CAST(c_nationkey AS VARCHAR), 2, '0'))"
+
 ORACLE: dict[str, str] = {
     "standardise_orders": with_ctes(["silver_orders"], "SELECT * FROM silver_orders"),
     "latest_line_version": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),
+    "latest_event_snapshot": with_ctes(["ev"], """
+        SELECT * EXCLUDE (_mx) FROM (SELECT *, max(_lote) OVER (PARTITION BY _empresa) AS _mx FROM ev)
+        WHERE _lote = _mx"""),
+    # the upsert of the later versions into the earlier ones equals the latest version overall
+    "upsert_lines": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),
+    "incremental_events": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-19 23:50:00'",
+    "next_watermark": with_ctes(["prev_control"], """
+        SELECT c.tabela, c.empresa, c.tipo_carga, c.ativo,
+               CASE WHEN a.mx IS NULL OR a.mx < c.ultimo_watermark THEN c.ultimo_watermark
+                    ELSE CAST(a.mx AS TIMESTAMP) END AS ultimo_watermark,
+               'SUCESSO' AS status_ultima_carga, TIMESTAMP '2024-01-31 09:00:00' AS data_ultima_execucao,
+               CAST(coalesce(a.n, 0) AS BIGINT) AS qtd_ultima_carga
+        FROM prev_control c
+        LEFT JOIN (SELECT 'events' AS tabela, event_type AS empresa, max(ts) AS mx, count(*) AS n
+                   FROM events WHERE ts > TIMESTAMP '2024-01-19 23:50:00' GROUP BY event_type) a
+          ON c.tabela = a.tabela AND c.empresa = a.empresa"""),
+    "control_sync": with_ctes(["synced_control"], "SELECT * FROM synced_control"),
+    "control_active": with_ctes(["synced_control"], """
+        SELECT tabela, trim(empresa) AS empresa, tipo_carga, ultimo_watermark FROM synced_control WHERE ativo"""),
     "order_fact": with_ctes(["fact"], "SELECT * FROM fact"),
-    "sales_by_month": with_ctes(["sales_dataset"], """
-        SELECT CAST(date_trunc('month', dat_emissao) AS DATE) AS mes,
-               CAST(SUM(vlr_total) AS DECIMAL(38,2)) AS vlr_vendido
+    "dim_customer": with_ctes(["dim_customer"], "SELECT * FROM dim_customer"),
+    "dim_seller": with_ctes(["dim_seller"], "SELECT * FROM dim_seller"),
+    "dim_product": with_ctes(["dim_product"], "SELECT * FROM dim_product"),
+    "dim_unit": with_ctes(["units"], "SELECT * FROM units"),
+    "calendar": with_ctes(["fact"], f"""
+        , b AS (SELECT coalesce(min(dat_emissao), DATE '2001-08-01') AS s FROM fact)
+        , d AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP),
+                    CAST(make_date(greatest(2001, CAST(year(s) AS INTEGER)), 12, 31) AS TIMESTAMP),
+                    INTERVAL 1 DAY)) AS DATE) AS dat_data FROM b)
+        SELECT dat_data, CAST(year(dat_data) AS INTEGER) AS num_ano, CAST(month(dat_data) AS INTEGER) AS num_mes,
+               ({MONTHS_SQL})[month(dat_data)] AS des_mes, CAST(quarter(dat_data) AS INTEGER) AS num_trimestre,
+               strftime(dat_data, '%Y-%m') AS des_ano_mes, CAST(dayofweek(dat_data) + 1 AS INTEGER) AS num_dia_semana
+        FROM d"""),
+    "sales_dataset": with_ctes(["sales_dataset"], "SELECT * FROM sales_dataset"),
+    "last_refresh": with_ctes(["fact"], """
+        SELECT strftime(max(dat_atualizacao), '%d/%m/%Y %H:%M') AS des_ultima_carga FROM fact"""),
+    "value_sold": with_ctes(["sales_dataset"], f"""
+        SELECT CAST(SUM(vlr_total) AS {TOTAL}) AS vlr_vendido FROM sales_dataset"""),
+    "open_value": with_ctes(["sales_dataset"], f"""
+        SELECT CAST(SUM(vlr_saldo) AS {TOTAL}) AS vlr_carteira FROM sales_dataset"""),
+    "sales_by_month": with_ctes(["sales_dataset"], f"""
+        SELECT CAST(date_trunc('month', dat_emissao) AS DATE) AS mes, CAST(SUM(vlr_total) AS {TOTAL}) AS vlr_vendido
         FROM sales_dataset GROUP BY 1"""),
+    "sales_by_unit": with_ctes(["sales_dataset"], f"""
+        SELECT des_unidade, CAST(SUM(vlr_total) AS {TOTAL}) AS vlr_vendido FROM sales_dataset GROUP BY 1"""),
+    "open_by_seller": with_ctes(["sales_dataset"], f"""
+        SELECT des_vendedor, CAST(SUM(vlr_saldo) AS {TOTAL}) AS vlr_carteira FROM sales_dataset GROUP BY 1"""),
+    "gate_duplicates": with_ctes(["std_lines"], """
+        SELECT count(*) AS qtd_duplicadas FROM (
+            SELECT 1 FROM std_lines GROUP BY cod_empresa, num_recno HAVING count(*) > 1)"""),
+    "gate_nulls": with_ctes(["sales_dataset"], """
+        SELECT count(*) FILTER (WHERE des_produto IS NULL OR des_vendedor IS NULL OR des_cliente IS NULL)
+               AS qtd_nulos
+        FROM sales_dataset"""),
+    "gate_orphans": with_ctes(["fact", "dim_seller"], """
+        SELECT count(*) AS qtd_orfaos FROM (SELECT DISTINCT cod_empresa, cod_vendedor FROM fact) f
+        WHERE NOT EXISTS (SELECT 1 FROM dim_seller s
+                          WHERE s.cod_empresa = f.cod_empresa AND s.cod_vendedor = f.cod_vendedor)"""),
+    "gate_negatives": """
+        SELECT count(*) FILTER (WHERE c_acctbal < 0) AS c_acctbal,
+               count(*) FILTER (WHERE c_nationkey < 0) AS c_nationkey
+        FROM customer""",
+    "gate_reconcile": with_ctes(["ev"], """
+        , declared AS (SELECT _lote AS lote, 'events' AS tabela, _empresa AS empresa, count(*) AS registros
+                       FROM ev GROUP BY 1, 3)
+        , landed AS (SELECT _lote AS lote, 'events' AS tabela, _empresa AS empresa, count(*) AS qtd_bronze
+                     FROM ev WHERE NOT (_empresa = 'error' AND _lote = (SELECT max(_lote) FROM ev))
+                     GROUP BY 1, 3)
+        SELECT d.lote, d.tabela, d.empresa, d.registros, coalesce(l.qtd_bronze, 0) AS qtd_bronze
+        FROM declared d LEFT JOIN landed l ON d.lote = l.lote AND d.tabela = l.tabela AND d.empresa = l.empresa
+        WHERE d.registros > 0 AND coalesce(l.qtd_bronze, 0) <> d.registros"""),
+    "gate_report": with_ctes(["fact", "silver_orders", "silver_lines", "silver_customers", "silver_sellers",
+                              "silver_products", "dim_customer", "dim_seller", "dim_product", "units"],
+                             _GATE_REPORT),
+    "item_value_audit": with_ctes(["silver_lines"], f"""
+        SELECT count(*) AS qtd_itens,
+               count(*) FILTER (WHERE vlr_total <> round(qtd_vendida * vlr_unitario, 2)) AS qtd_divergentes,
+               CAST(coalesce(sum(vlr_total - round(qtd_vendida * vlr_unitario, 2))
+                    FILTER (WHERE vlr_total <> round(qtd_vendida * vlr_unitario, 2)), 0) AS {TOTAL}) AS vlr_diferenca
+        FROM silver_lines"""),
+    "tax_id_audit": f"""
+        SELECT count({_DOC}) AS qtd_documentos,
+               count(*) FILTER (WHERE regexp_full_match({_DOC}, '[0-9]{{14}}')) AS qtd_formato_ok,
+               count(*) FILTER (WHERE {_tax_id_valid(_DOC)}) AS qtd_validos
+        FROM customer""",
 }

@@ -6,18 +6,27 @@ whole tables.  The role mapping is in ``sources.testdata``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import audits, control, quality, watermark
 from ..operators import dimensions as dims
 from ..operators import fact as fact_ops
+from ..operators.sizing import broadcast_if_small
 from ..operators.standardise import standardise
-from ..operators.versions import latest_version
+from ..operators.upsert import upsert
+from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
 from .marts import SalesStar
 
+# Fixed parameters of the test queries.
+UPSERT_SPLIT = "1999-01-01"                         # target = versions shipped before, source = the rest
+EVENT_WATERMARK = _dt.datetime(2024, 1, 20)         # previous high-water mark of the event stream
+RUN_AT = _dt.datetime(2024, 1, 31, 9, 0)            # "now" of a simulated extraction run
+SMALL_ROWS = 100_000                                # size bound of the per-item control frames
 # A fixed load timestamp keeps results reproducible (G6 takes it as a parameter).
 LOAD_TS = "2001-08-02 06:00:00"
 # "Today" for the calendar bounds (G12), fixed for the same reason.
@@ -70,17 +79,242 @@ def q_latest_line_version(spark, d):
     return silver_lines(spark, d)
 
 
+def q_latest_event_snapshot(spark, d):
+    """Events of the newest day of each event type."""
+    return latest_snapshot(td.events_stream(spark, d), company="_empresa", batch="_lote")
+
+
+def q_upsert_lines(spark, d):
+    """S6 + S8 + S9: target = latest versions shipped before the split; the source is
+    every batch newer than the target's newest batch, deduplicated, then upserted."""
+    std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
+    target = latest_version(std.filter(F.col("dat_stamp") < F.lit(UPSERT_SPLIT).cast("timestamp")),
+                            order=td.LINE_VERSION_ORDER)
+    last = newest_batch(target)
+    source = latest_version(batches_after(std, last), order=td.LINE_VERSION_ORDER)
+    return upsert(target, source)
+
+
+def _event_items(spark, d):
+    ev = td.events_stream(spark, d)
+    return ev.select("*", F.lit("events").alias("tabela"), F.col("event_type").alias("empresa"))
+
+
+def _previous_event_control(spark, d):
+    """Control rows of the event stream as a previous run left them (watermark = EVENT_WATERMARK)."""
+    ev = _event_items(spark, d)
+    return (ev.select("tabela", "empresa").distinct()
+            .select("tabela", "empresa", F.lit("INCREMENTAL").alias("tipo_carga"), F.lit(True).alias("ativo"),
+                    F.lit(EVENT_WATERMARK).cast("timestamp").alias("ultimo_watermark"),
+                    F.lit("SUCESSO").alias("status_ultima_carga"),
+                    F.lit(EVENT_WATERMARK).cast("timestamp").alias("data_ultima_execucao"),
+                    F.lit(None).cast("long").alias("qtd_ultima_carga")))
+
+
+def q_incremental_events(spark, d):
+    """Rows stamped after the watermark minus the 10-minute overlap."""
+    return watermark.extract(td.read(spark, d, "events"), watermark.INCREMENTAL, EVENT_WATERMARK, stamp="ts")
+
+
+def q_next_watermark(spark, d):
+    """X2 + X5 + X13 for every (table, company) item at once."""
+    ev = _event_items(spark, d)
+    ctl = _previous_event_control(spark, d)
+    marks = broadcast_if_small(ctl.select("tabela", "empresa", "ultimo_watermark"), SMALL_ROWS)
+    extracted = watermark.incremental_by_column(ev.join(marks, ["tabela", "empresa"]), F.col("ultimo_watermark"),
+                                                stamp="ts").drop("ultimo_watermark")
+    advanced = watermark.next_watermark(ctl, extracted, stamp="ts")
+    counts = extracted.groupBy("tabela", "empresa").agg(F.count(F.lit(1)).alias("qtd"))
+    results = advanced.join(counts, ["tabela", "empresa"], "left").select(
+        "tabela", "empresa", F.lit(control.SUCCESS).alias("status"),
+        F.col("ultimo_watermark").alias("novo_watermark"), F.coalesce("qtd", F.lit(0)).cast("long").alias("qtd"))
+    return control.record_results(ctl, results, now=RUN_AT)
+
+
+def _sync_inputs(spark, d):
+    """Configuration: the event stream by type and the orders by priority; the previous
+    control table also holds the line items by return flag, which the config dropped."""
+    ev_items = _event_items(spark, d).select("tabela", "empresa").distinct()
+    orders = td.read(spark, d, "orders").select(F.lit("orders").alias("tabela"),
+                                                F.col("o_orderpriority").alias("empresa")).distinct()
+    items = (ev_items.select("*", F.lit("INCREMENTAL").alias("tipo_carga"), F.lit(True).alias("ativo"))
+             .unionByName(orders.select("*", F.lit("FULL").alias("tipo_carga"), F.lit(True).alias("ativo"))))
+    li = (td.read(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("empresa"))
+          .agg(F.max("l_shipdate").cast("timestamp").alias("ultimo_watermark"),
+               F.count(F.lit(1)).alias("qtd_ultima_carga"))
+          .select(F.lit("lineitem").alias("tabela"), F.concat(F.col("empresa"), F.lit(" ")).alias("empresa"),
+                  F.lit("INCREMENTAL").alias("tipo_carga"), F.lit(True).alias("ativo"), "ultimo_watermark",
+                  F.lit("SUCESSO").alias("status_ultima_carga"),
+                  F.lit(RUN_AT).cast("timestamp").alias("data_ultima_execucao"), "qtd_ultima_carga"))
+    previous = _previous_event_control(spark, d).unionByName(li)
+    return previous, items
+
+
+def q_control_sync(spark, d):
+    """X11: configured items upserted, watermarks kept, unconfigured rows deactivated."""
+    previous, items = _sync_inputs(spark, d)
+    return control.sync(previous, items)
+
+
+def q_control_active(spark, d):
+    """Active items in extraction order."""
+    previous, items = _sync_inputs(spark, d)
+    return control.active_items(control.sync(previous, items))
+
+
 def q_order_fact(spark, d):
     return gold_fact(spark, d)
 
 
+def q_dim_customer(spark, d):
+    return dims.dim_customer(silver_customers(spark, d))
+
+
+def q_dim_seller(spark, d):
+    return dims.dim_seller(silver_sellers(spark, d))
+
+
+def q_dim_product(spark, d):
+    return dims.dim_product(silver_products(spark, d))
+
+
+def q_dim_unit(spark, d):
+    return td.units(spark, d)
+
+
+def q_calendar(spark, d):
+    return dims.calendar_for_fact(gold_fact(spark, d), today=TODAY)
+
+
+def q_sales_dataset(spark, d):
+    return star(spark, d).dataset()
+
+
+def q_last_refresh(spark, d):
+    return star(spark, d).last_refresh()
+
+
+def q_value_sold(spark, d):
+    return star(spark, d).value_sold()
+
+
+def q_open_value(spark, d):
+    return star(spark, d).open_value()
+
+
 def q_sales_by_month(spark, d):
     return star(spark, d).sales_by_month()
 
 
+def q_sales_by_unit(spark, d):
+    return star(spark, d).sales_by_unit()
+
+
+def q_open_by_seller(spark, d):
+    return star(spark, d).open_by_seller()
+
+
+def q_gate_duplicates(spark, d):
+    """Q1 on the raw line versions: repeated (company, record) keys."""
+    return quality.duplicate_keys_df(standardise(td.bronze_lines(spark, d), td.LINE_MAP), ["cod_empresa", "num_recno"])
+
+
+def q_gate_nulls(spark, d):
+    """Q2 on the dashboard dataset: rows missing a product, seller or customer description."""
+    return quality.null_rows_df(star(spark, d).dataset(), ["des_produto", "des_vendedor", "des_cliente"])
+
+
+def q_gate_orphans(spark, d):
+    """Q3: seller keys of the fact missing from the seller dimension (deleted sellers)."""
+    s = star(spark, d)
+    return quality.orphans_df(s.fact, s.seller, ["cod_empresa", "cod_vendedor"])
+
+
+def q_gate_negatives(spark, d):
+    """Q4 over customer balances and nation keys in one scan."""
+    return quality.negatives_df(td.read(spark, d, "customer"), ["c_acctbal", "c_nationkey"])
+
+
+def q_gate_reconcile(spark, d):
+    """Q5 + Q8: per-(day, type) counts declared for the event stream against the counts
+    that landed; the landing lost the 'error' file of the last day."""
+    ev = td.events_stream(spark, d)
+    declared = ev.groupBy(F.col("_lote").alias("lote"), F.col("_empresa").alias("empresa")).agg(
+        F.count(F.lit(1)).alias("registros")).withColumn("tabela", F.lit("events"))
+    last_day = newest_batch(ev)
+    landed = ev.filter(~((F.col("_empresa") == "error") & (F.col("_lote") == F.lit(last_day))))
+    counts = quality.batch_counts(landed, "events")
+    return quality.reconcile(declared, counts)
+
+
+def gate_report_df(spark, d) -> DataFrame:
+    s = star(spark, d)
+    silver = {
+        "silver.orders": silver_orders(spark, d),
+        "silver.lines": silver_lines(spark, d),
+        "silver.customers": silver_customers(spark, d),
+        "silver.sellers": silver_sellers(spark, d),
+        "silver.products": silver_products(spark, d),
+    }
+    parts = [quality.key_gate(df, name, ["cod_empresa", "num_recno"]) for name, df in silver.items()]
+    dims_by_name = {"dim_cliente": s.customer, "dim_vendedor": s.seller, "dim_produto": s.product,
+                    "dim_unidade": s.unit}
+    parts.append(quality.integrity_gate(s.fact, dims_by_name, {
+        "dim_cliente": ["cod_empresa", "cod_cliente", "cod_loja"],
+        "dim_vendedor": ["cod_empresa", "cod_vendedor"],
+        "dim_produto": ["cod_empresa", "cod_produto"],
+        "dim_unidade": ["cod_empresa", "cod_filial"],
+    }))
+    parts.append(quality.value_gate(s.fact, ["qtd_vendida", "vlr_unitario", "vlr_total"]))
+    return quality.gate_report(parts)
+
+
+def q_gate_report(spark, d):
+    """Q9 + Q10 + Q12 + Q13: every gate as (gate, object, failures, detail)."""
+    return gate_report_df(spark, d)
+
+
+def q_item_value_audit(spark, d):
+    """R1 over the latest line versions."""
+    return audits.item_value_audit(silver_lines(spark, d))
+
+
+def q_tax_id_audit(spark, d):
+    """R2: 14-digit ids built from customer and nation keys, checked in one scan."""
+    c = td.read(spark, d, "customer")
+    docs = c.select(F.concat(F.lpad(F.col("c_custkey").cast("string"), 12, "0"),
+                             F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("documento"))
+    return audits.tax_id_audit(docs, "documento")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standardise_orders": q_standardise_orders,
     "latest_line_version": q_latest_line_version,
+    "latest_event_snapshot": q_latest_event_snapshot,
+    "upsert_lines": q_upsert_lines,
+    "incremental_events": q_incremental_events,
+    "next_watermark": q_next_watermark,
+    "control_sync": q_control_sync,
+    "control_active": q_control_active,
     "order_fact": q_order_fact,
+    "dim_customer": q_dim_customer,
+    "dim_seller": q_dim_seller,
+    "dim_product": q_dim_product,
+    "dim_unit": q_dim_unit,
+    "calendar": q_calendar,
+    "sales_dataset": q_sales_dataset,
+    "last_refresh": q_last_refresh,
+    "value_sold": q_value_sold,
+    "open_value": q_open_value,
     "sales_by_month": q_sales_by_month,
+    "sales_by_unit": q_sales_by_unit,
+    "open_by_seller": q_open_by_seller,
+    "gate_duplicates": q_gate_duplicates,
+    "gate_nulls": q_gate_nulls,
+    "gate_orphans": q_gate_orphans,
+    "gate_negatives": q_gate_negatives,
+    "gate_reconcile": q_gate_reconcile,
+    "gate_report": q_gate_report,
+    "item_value_audit": q_item_value_audit,
+    "tax_id_audit": q_tax_id_audit,
 }
