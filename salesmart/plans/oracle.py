@@ -213,6 +213,10 @@ _GATE_REPORT = " UNION ALL ".join(
 
 _DOC = "(lpad(CAST(c_custkey AS VARCHAR), 12, '0') || lpad(CAST(c_nationkey AS VARCHAR), 2, '0'))"
 
+# the first extraction's watermark per event type
+_FEED = """WITH wm AS (SELECT event_type, max(ts) AS w FROM events
+                     WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type)"""
+
 ORACLE: dict[str, str] = {
     "standardise_orders": with_ctes(["silver_orders"], "SELECT * FROM silver_orders"),
     "latest_line_version": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),
@@ -290,6 +294,23 @@ ORACLE: dict[str, str] = {
     "gate_report": with_ctes(["fact", "silver_orders", "silver_lines", "silver_customers", "silver_sellers",
                               "silver_products", "dim_customer", "dim_seller", "dim_product", "units"],
                              _GATE_REPORT),
+    "bronze_load_once": _FEED + """
+        SELECT e.event_id, e.ts AS s_t_a_m_p_, e.user_id, e.event_type, e.value, e.props,
+               CASE WHEN w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE THEN '20240131T090000Z'
+                    ELSE '20240115T000000Z' END AS _lote,
+               e.event_type AS _empresa
+        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type""",
+    "manifest_items": _FEED + """
+        SELECT '20240115T000000Z' AS lote, 'events' AS tabela, event_type AS empresa, count(*) AS registros
+        FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type
+        UNION ALL
+        SELECT '20240131T090000Z', 'events', e.event_type, count(*)
+        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
+        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type""",
+    "bronze_reconcile": """
+        SELECT CAST(NULL AS VARCHAR) AS lote, CAST(NULL AS VARCHAR) AS tabela, CAST(NULL AS VARCHAR) AS empresa,
+               CAST(NULL AS BIGINT) AS registros, CAST(NULL AS BIGINT) AS qtd_bronze
+        WHERE false""",
     "item_value_audit": with_ctes(["silver_lines"], f"""
         SELECT count(*) AS qtd_itens,
                count(*) FILTER (WHERE vlr_total <> round(qtd_vendida * vlr_unitario, 2)) AS qtd_divergentes,
