@@ -201,15 +201,20 @@ def _tax_id_valid(doc: str) -> str:
             f"AND CAST(substring({doc}, 14, 1) AS INTEGER) = {d2})")
 
 
-_GATE_REPORT = " UNION ALL ".join(
-    [_key_gate("silver.orders", "silver_orders"), _key_gate("silver.lines", "silver_lines"),
-     _key_gate("silver.customers", "silver_customers"), _key_gate("silver.sellers", "silver_sellers"),
-     _key_gate("silver.products", "silver_products"),
-     _orphans("dim_cliente", "dim_customer", ["cod_empresa", "cod_cliente", "cod_loja"]),
-     _orphans("dim_vendedor", "dim_seller", ["cod_empresa", "cod_vendedor"]),
-     _orphans("dim_produto", "dim_product", ["cod_empresa", "cod_produto"]),
-     _orphans("dim_unidade", "units", ["cod_empresa", "cod_filial"])]
-    + [_negatives(c) for c in ["qtd_vendida", "vlr_unitario", "vlr_total"]])
+def _gate_report(names: list[str]) -> str:
+    return " UNION ALL ".join(
+        [_key_gate(n, c) for n, c in zip(names, ["silver_orders", "silver_lines", "silver_customers",
+                                                 "silver_sellers", "silver_products"], strict=True)] + _REST)
+
+
+_REST = [
+    _orphans("dim_cliente", "dim_customer", ["cod_empresa", "cod_cliente", "cod_loja"]),
+    _orphans("dim_vendedor", "dim_seller", ["cod_empresa", "cod_vendedor"]),
+    _orphans("dim_produto", "dim_product", ["cod_empresa", "cod_produto"]),
+    _orphans("dim_unidade", "units", ["cod_empresa", "cod_filial"]),
+] + [_negatives(c) for c in ["qtd_vendida", "vlr_unitario", "vlr_total"]]
+_GATE_CTES = ["fact", "silver_orders", "silver_lines", "silver_customers", "silver_sellers", "silver_products",
+              "dim_customer", "dim_seller", "dim_product", "units"]
 
 _DOC = "(lpad(CAST(c_custkey AS VARCHAR), 12, '0') || lpad(CAST(c_nationkey AS VARCHAR), 2, '0'))"
 
@@ -291,9 +296,10 @@ ORACLE: dict[str, str] = {
         SELECT d.lote, d.tabela, d.empresa, d.registros, coalesce(l.qtd_bronze, 0) AS qtd_bronze
         FROM declared d LEFT JOIN landed l ON d.lote = l.lote AND d.tabela = l.tabela AND d.empresa = l.empresa
         WHERE d.registros > 0 AND coalesce(l.qtd_bronze, 0) <> d.registros"""),
-    "gate_report": with_ctes(["fact", "silver_orders", "silver_lines", "silver_customers", "silver_sellers",
-                              "silver_products", "dim_customer", "dim_seller", "dim_product", "units"],
-                             _GATE_REPORT),
+    "gate_report": with_ctes(_GATE_CTES, _gate_report(
+        ["silver.orders", "silver.lines", "silver.customers", "silver.sellers", "silver.products"])),
+    "daily_load": with_ctes(_GATE_CTES, _gate_report(
+        ["silver.orders", "silver.lineitem", "silver.customer", "silver.supplier", "silver.part"])),
     "bronze_load_once": _FEED + """
         SELECT e.event_id, e.ts AS s_t_a_m_p_, e.user_id, e.event_type, e.value, e.props,
                CASE WHEN w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE THEN '20240131T090000Z'

@@ -7,6 +7,7 @@ whole tables.  The role mapping is in ``sources.testdata``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,11 @@ from ..operators.standardise import standardise
 from ..operators.upsert import upsert
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
+from ..session import scratch_path, shared_dir
 from . import event_feed
 from .marts import SalesStar
+from .pipeline import Domain, SourceTable, daily_load
+from .tables import VersionedCatalog
 
 # Fixed parameters of the test queries.
 UPSERT_SPLIT = "1999-01-01"                         # target = versions shipped before, source = the rest
@@ -250,6 +254,9 @@ def q_gate_reconcile(spark, d):
 
 def gate_report_df(spark, d) -> DataFrame:
     s = star(spark, d)
+    # five gates read the fact: materialise it once in the shared checkpoint folder
+    shared_dir(spark)
+    s.fact = s.fact.checkpoint(eager=True)
     silver = {
         "silver.orders": silver_orders(spark, d),
         "silver.lines": silver_lines(spark, d),
@@ -307,6 +314,54 @@ def q_bronze_reconcile(spark, d):
     return quality.reconcile(feed.manifests, quality.batch_counts(feed.bronze, "events"))
 
 
+def tpch_domain(d: str) -> Domain:
+    """The test tables as a pipeline domain (roles as in ``sources.testdata``)."""
+    return Domain(
+        tables={
+            "orders": SourceTable("orders", td.ORDER_MAP, "INCREMENTAL"),
+            "lineitem": SourceTable("lineitem", td.LINE_MAP, "INCREMENTAL", order=td.LINE_VERSION_ORDER),
+            "customer": SourceTable("customer", td.CUSTOMER_MAP, "FULL"),
+            "supplier": SourceTable("supplier", td.SELLER_MAP, "FULL"),
+            "part": SourceTable("part", td.PRODUCT_MAP, "FULL"),
+        },
+        header="orders", item="lineitem", customer="customer", seller="supplier", product="part",
+        units=lambda spark: td.units(spark, d), fact_keys=td.FACT_KEYS, fact_header_columns=td.FACT_HEADER_COLUMNS)
+
+
+def tpch_bronze(spark, d) -> dict[str, DataFrame]:
+    return {"orders": td.bronze_orders(spark, d), "lineitem": td.bronze_lines(spark, d),
+            "customer": td.bronze_customers(spark, d), "supplier": td.bronze_sellers(spark, d),
+            "part": td.bronze_products(spark, d)}
+
+
+def q_daily_load(spark, d):
+    """C7 end to end on the test tables: Silver and Gold versions, then the gate report.
+    Deleted sellers leave orphan fact rows, so the new Gold is not published."""
+    report = daily_load(spark, tpch_domain(d), tpch_bronze(spark, d), scratch_path(spark, "lake"),
+                        env=f"t{uuid.uuid4().hex[:8]}", today=TODAY, loaded_at=LOAD_TS, raise_on_failure=False)
+    rows = [(g["gate"], g["objeto"], g["qtd_falhas"], g["detalhe"]) for g in report.gates]
+    return spark.createDataFrame(rows, quality.GATE_SCHEMA)
+
+
+def q_comment_coverage(spark, d):
+    """G13 + G14 + Q11: publish the Gold tables as versions with their descriptions and
+    report, from the catalog, which tables and columns are described."""
+    cat = VersionedCatalog(spark, scratch_path(spark, "gold"), f"gold_{uuid.uuid4().hex[:8]}")
+    s = star(spark, d)
+    fact = s.fact
+    tables = {"fato_pedido_venda": fact, "dim_cliente": s.customer, "dim_vendedor": s.seller,
+              "dim_produto": s.product, "dim_unidade": s.unit,
+              "dim_calendario": dims.calendar_for_fact(fact, today=TODAY)}
+    published = {name: cat.publish(df, name)["rows"] for name, df in tables.items()}
+    rows = []
+    for t in spark.catalog.listTables(cat.database):
+        desc, cols = cat.describe(t.name)
+        rows.append((t.name, bool(desc and desc.strip()), len(cols), sum(1 for v in cols.values() if v),
+                     published.get(t.name)))
+    return spark.createDataFrame(
+        rows, "tabela string, com_descricao boolean, colunas int, colunas_descritas int, registros long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standardise_orders": q_standardise_orders,
     "latest_line_version": q_latest_line_version,
@@ -338,6 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_load_once": q_bronze_load_once,
     "manifest_items": q_manifest_items,
     "bronze_reconcile": q_bronze_reconcile,
+    "daily_load": q_daily_load,
+    "comment_coverage": q_comment_coverage,
     "item_value_audit": q_item_value_audit,
     "tax_id_audit": q_tax_id_audit,
 }
