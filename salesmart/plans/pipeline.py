@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import (ERP_MAPPINGS, FACT_HEADER_COLUMNS, FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS,
+from ..config import (DEFAULT_OVERLAP_MINUTES, ERP_MAPPINGS, FACT_HEADER_COLUMNS, FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS,
                       GOLD_COMMENTS, LOAD_TYPES, SILVER_KEYS, VERSION_ORDER)
 from ..operators import dimensions as dims
 from ..operators import quality
@@ -143,10 +143,12 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame, co
                      sources: dict[str, DataFrame], landing_root: str, lake_root: str,
                      schemas: dict[str, str], env: str = "dev", company_col: str = "empresa",
                      batch: str | None = None, now: _dt.datetime | None = None,
-                     company_pattern: str | None = None, **load_kwargs) -> tuple[DataFrame, LoadReport]:
+                     company_pattern: str | None = None, overlap_minutes: int = DEFAULT_OVERLAP_MINUTES,
+                     **load_kwargs) -> tuple[DataFrame, LoadReport]:
     """Sync config -> extract -> load Bronze once -> daily load. Returns (control, report)."""
     synced = sync(control, config_items)
-    run = run_extraction(spark, synced, sources, landing_root, company_col=company_col, batch=batch, now=now)
+    run = run_extraction(spark, synced, sources, landing_root, company_col=company_col,
+                         overlap_minutes=overlap_minutes, batch=batch, now=now)
     bronze = {}
     extra = {"company_pattern": company_pattern} if company_pattern else {}
     counts = []
