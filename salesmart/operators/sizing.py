@@ -1,19 +1,53 @@
-"""Size checks that guard every broadcast."""
+"""Size checks that guard every broadcast.
+
+A side is broadcast only behind a proven bound: a row count that stops at the
+bound (``limit(bound + 1).count()``; each task reads at most bound + 1 rows).
+Catalyst's plan estimate is used only to skip the count when the side is
+clearly too large.  Beyond the bound no hint is given: Catalyst plans a
+sort-merge join, and AQE may still broadcast at runtime from the measured size
+of the finished shuffle stage.  Results are memoised per input plan (a plan over
+an immutable, versioned directory always has the same size).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import BROADCAST_MAX_ROWS
+
+# estimate above which counting is pointless (plan statistics, compressed sizes)
+_SKIP_COUNT_BYTES = 1 << 30
+_MEMO: dict = {}
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan, or None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect, no JVM handle
+        return None
+
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
     """True when ``df`` has at most ``bound`` rows; stops counting past the bound."""
     return df.limit(bound + 1).count() <= bound
 
 
-def broadcast_if_small(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave the join to
-    Catalyst and AQE (sort-merge, or a runtime broadcast if the stage turns out small)."""
-    if row_count_at_most(df, bound):
-        return F.broadcast(df)
-    return df
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    try:
+        key = (df.semanticHash(), max_rows)
+    except Exception:  # noqa: BLE001
+        key = None
+    if key is not None and key in _MEMO:
+        return _MEMO[key]
+    est = estimated_bytes(df)
+    small = False if est is not None and est > _SKIP_COUNT_BYTES else row_count_at_most(df, max_rows)
+    if key is not None:
+        _MEMO[key] = small
+    return small
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a counted row bound; otherwise no hint."""
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -30,6 +30,7 @@ _LEFT_DIMS = {
     "seller": (["cod_empresa", "cod_vendedor"], {"des_vendedor": "des_nome"}),
     "customer": (["cod_empresa", "cod_cliente", "cod_loja"], {"des_cliente": "des_nome"}),
 }
+_UNIQUE_CACHE: dict = {}
 DATASET_COLUMNS = ["dat_emissao", "des_status", "vlr_total", "vlr_saldo", "qtd_vendida", "des_unidade",
                    "des_produto", "des_vendedor", "des_cliente"]
 
@@ -50,7 +51,12 @@ class SalesStar:
     def _key_unique(self, name: str) -> bool:
         if name not in self._unique:
             keys = _LEFT_DIMS[name][0]
-            self._unique[name] = not has_duplicate_keys(self._dim(name), keys)
+            dim = self._dim(name).select(*keys)
+            # memoised per input plan: a plan over a versioned directory never changes
+            sig = (dim.semanticHash(), tuple(keys))
+            if sig not in _UNIQUE_CACHE:
+                _UNIQUE_CACHE[sig] = not has_duplicate_keys(dim, keys)
+            self._unique[name] = _UNIQUE_CACHE[sig]
         return self._unique[name]
 
     def dataset(self, columns: list[str] | None = None) -> DataFrame:

@@ -24,6 +24,11 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # No broadcast from a static guess (compressed file size): explicit hints are
+    # given only behind a counted bound, and AQE broadcasts at runtime from the
+    # measured size of a finished shuffle stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 

@@ -31,8 +31,32 @@ SNAPSHOT_BATCH = "20010801T000000Z"     # the one FULL extract of the master tab
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+# Inputs smaller than this are never spread (plan estimate, compressed bytes).
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Spread a scan that Spark can only split into fewer tasks than the session's
+    parallelism (one Parquet row group is one task) and that is not tiny.
+
+    A table stored as many files or row groups is returned unchanged, so on a
+    cluster reading thousands of splits this adds nothing; for a single-row-group
+    file it lets the conversions and the map side of the first shuffle run on
+    every core instead of one.
+    """
+    from ..operators.sizing import estimated_bytes
+
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    est = estimated_bytes(df)
+    if est is None or est < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(parallelism)
 
 
 def two_digits(col: str) -> Column:
