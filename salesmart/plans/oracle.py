@@ -230,6 +230,7 @@ ORACLE: dict[str, str] = {
         WHERE _lote = _mx"""),
     # the upsert of the later versions into the earlier ones equals the latest version overall
     "upsert_lines": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),
+    "upsert_lines_bucketed": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),
     "incremental_events": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-19 23:50:00'",
     "next_watermark": with_ctes(["prev_control"], """
         SELECT c.tabela, c.empresa, c.tipo_carga, c.ativo,
