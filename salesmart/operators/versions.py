@@ -40,13 +40,17 @@ def latest_snapshot(df: DataFrame, company: str = "cod_empresa", batch: str = "_
                     max_groups: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows whose batch is the newest batch of their company.
 
-    The per-company maximum is a small aggregate; it is joined back with a
+    The per-company maximum comes from the distinct (company, batch) pairs,
+    a small aggregate; it is joined back with a
     null-safe key (a NULL company is its own group), broadcast only after its
     row count is checked against ``max_groups`` and shuffled otherwise.  The
     whole table is never shuffled onto one task per company.
     """
-    newest = (df.groupBy(F.col(company).alias("_c"))
-              .agg(F.max(batch).alias("_b")))
+    # Distinct (company, batch) pairs first: a hash aggregate with map-side
+    # combine.  ``max`` of a string would plan a sort of every row, and Catalyst
+    # drops a distinct under a ``max``; ``max_by`` keeps it and only sorts the pairs.
+    pairs = df.select(F.col(company).alias("_c"), F.col(batch).alias("_b")).distinct()
+    newest = pairs.groupBy("_c").agg(F.max_by("_b", "_b").alias("_b"))
     newest = broadcast_if_small(newest, max_rows=max_groups)
     joined = df.join(newest, F.col(company).eqNullSafe(F.col("_c")) & (F.col(batch) == F.col("_b")), "left_semi")
     return joined
