@@ -55,8 +55,13 @@ def key_bucket(keys: Sequence[str], buckets: int):
 
 
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets: int = 64) -> None:
-    """Store a Silver table partitioned by key bucket (the layout the upsert below expects)."""
-    df.withColumn(BUCKET, key_bucket(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
+
+    Rows are clustered by bucket before the write, so each bucket directory is
+    written by one task (one file per bucket, not one per task and bucket).
+    """
+    bucketed = df.withColumn(BUCKET, key_bucket(keys, buckets)).repartition(BUCKET)
+    bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: str,
@@ -72,13 +77,22 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     """
     spark = source.sparkSession
     keys = list(keys)
-    src = source.withColumn(BUCKET, key_bucket(keys, buckets))
+    # the changes (the small side at scale) are staged once: they give the
+    # touched buckets and feed the merge without being computed twice
+    changes_path = f"{staging_path.rstrip('/')}/changes"
+    source.withColumn(BUCKET, key_bucket(keys, buckets)).write.mode("errorifexists").parquet(changes_path)
+    src = spark.read.parquet(changes_path)
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
     if not touched:
         return []
     target = spark.read.parquet(target_path).filter(F.col(BUCKET).isin(touched))
-    merged = upsert(target, src.select(*target.columns), keys, stamp)
-    merged.write.mode("errorifexists").partitionBy(BUCKET).parquet(staging_path)
-    (spark.read.parquet(staging_path).write.mode("overwrite")
+    # The bucket is a function of the keys, so joining on (bucket, keys) is the same
+    # join; with both sides clustered by bucket it needs no further exchange and
+    # every bucket is merged and written by a single task.
+    merged = upsert(target.repartition(BUCKET), src.select(*target.columns).repartition(BUCKET),
+                    [BUCKET, *keys], stamp)
+    merged_path = f"{staging_path.rstrip('/')}/merged"
+    merged.write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
+    (spark.read.parquet(merged_path).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
     return touched

@@ -66,3 +66,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "salesmart", *parts, uuid.uuid4().hex)
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as Parquet under the shared folder and reading it back.
+
+    One columnar write (Spark's committer makes it safe under task retries and
+    lost executors) instead of an RDD checkpoint, which computes the plan twice
+    and stores serialised rows.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -56,7 +56,9 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     est = estimated_bytes(df)
     if est is None or est < SPREAD_MIN_BYTES:
         return df
-    return df.repartition(parallelism)
+    # hash on the leading column: deterministic under task retries without the
+    # full local sort Spark adds before a round-robin repartition
+    return df.repartition(parallelism, df.columns[0])
 
 
 def two_digits(col: str) -> Column:
