@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import (DEFAULT_OVERLAP_MINUTES, ERP_MAPPINGS, FACT_HEADER_COLUMNS, FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS,
+from ..config import (DEFAULT_OVERLAP_MINUTES, DEFAULT_RECONCILE_DAYS, ERP_MAPPINGS, FACT_HEADER_COLUMNS, FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS,
                       GOLD_COMMENTS, LOAD_TYPES, SILVER_KEYS, VERSION_ORDER)
 from ..operators import dimensions as dims
 from ..operators import quality
@@ -27,7 +27,7 @@ from ..operators.versions import batches_after, latest_snapshot, latest_version,
 from ..operators.control import sync
 from ..operators.watermark import FULL
 from ..sources.extract import run_extraction
-from ..sources.landing import path_exists, read_manifests
+from ..sources.landing import cutoff, path_exists, read_manifests
 from ..streaming.bronze import load_once, read_bronze
 from .tables import VersionedCatalog
 
@@ -144,13 +144,14 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame, co
                      schemas: dict[str, str], env: str = "dev", company_col: str = "empresa",
                      batch: str | None = None, now: _dt.datetime | None = None,
                      company_pattern: str | None = None, overlap_minutes: int = DEFAULT_OVERLAP_MINUTES,
-                     **load_kwargs) -> tuple[DataFrame, LoadReport]:
+                     reconcile_days: int = DEFAULT_RECONCILE_DAYS, **load_kwargs) -> tuple[DataFrame, LoadReport]:
     """Sync config -> extract -> load Bronze once -> daily load. Returns (control, report)."""
     synced = sync(control, config_items)
     run = run_extraction(spark, synced, sources, landing_root, company_col=company_col,
                          overlap_minutes=overlap_minutes, batch=batch, now=now)
     bronze = {}
     extra = {"company_pattern": company_pattern} if company_pattern else {}
+    since = cutoff(reconcile_days, now)          # Q7: reconcile the last N days only
     counts = []
     for name in domain.tables:
         landing = f"{landing_root.rstrip('/')}/{name}"
@@ -160,8 +161,8 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame, co
         load_once(spark, landing, bronze_dir, f"{lake_root.rstrip('/')}/_checkpoints/{env}/{name}",
                   schemas[name], **extra)
         bronze[name] = read_bronze(spark, bronze_dir)
-        counts.append(quality.batch_counts(bronze[name], name))
-    manifests = read_manifests(spark, landing_root)
+        counts.append(quality.batch_counts(bronze[name], name, since=since))
+    manifests = read_manifests(spark, landing_root, since=since)
     bronze_counts = None
     if counts:
         bronze_counts = counts[0]

@@ -81,3 +81,8 @@ def test_register_bronze_with_comment(spark, tmp_root):
     register_bronze(spark, "t_bronze.sc5", bronze, "Bronze: espelho da tabela sc5")
     assert spark.catalog.getTable("t_bronze.sc5").description == "Bronze: espelho da tabela sc5"
     assert spark.table("t_bronze.sc5").count() == 1
+
+
+def test_cutoff():
+    from salesmart.sources.landing import cutoff
+    assert cutoff(7, dt.datetime(2026, 10, 13, 9, 0, 0)) == "20261006T090000Z"
