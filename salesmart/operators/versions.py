@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BROADCAST_MAX_ROWS, SILVER_KEYS, VERSION_ORDER
-from .sizing import broadcast_if_small
 
 
 def latest_version(df: DataFrame, keys: Sequence[str] = SILVER_KEYS, order: Sequence[str] = VERSION_ORDER,
@@ -36,24 +35,41 @@ def latest_version(df: DataFrame, keys: Sequence[str] = SILVER_KEYS, order: Sequ
     return packed.select(*[F.col(f"_latest.{c}").alias(c) for c in df.columns])
 
 
+def newest_batches(df: DataFrame, company: str = "cod_empresa", batch: str = "_lote") -> DataFrame:
+    """(``_c``, ``_b``): the newest batch of every company.
+
+    Distinct (company, batch) pairs first, a hash aggregate combined map-side.
+    ``max`` of a string would plan a sort of every row, and Catalyst drops a
+    distinct under a ``max``; ``max_by`` keeps the distinct and sorts only the pairs.
+    """
+    pairs = df.select(F.col(company).alias("_c"), F.col(batch).alias("_b")).distinct()
+    return pairs.groupBy("_c").agg(F.max_by("_b", "_b").alias("_b"))
+
+
 def latest_snapshot(df: DataFrame, company: str = "cod_empresa", batch: str = "_lote",
                     max_groups: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows whose batch is the newest batch of their company.
 
-    The per-company maximum comes from the distinct (company, batch) pairs,
-    a small aggregate; it is joined back with a
-    null-safe key (a NULL company is its own group), broadcast only after its
-    row count is checked against ``max_groups`` and shuffled otherwise.  The
-    whole table is never shuffled onto one task per company.
+    The per-company maximum comes from the distinct (company, batch) pairs
+    (a hash aggregate with map-side combine).  When the number of companies is
+    within ``max_groups`` (counted), the maxima are brought back once and used
+    twice: as a literal ``batch IN (...)`` filter that reaches the Parquet scan
+    (older batches' row groups are skipped by their statistics), and as a small
+    broadcast side of a null-safe semi join (a NULL company is its own group).
+    Beyond the bound the maxima stay distributed and are joined without a hint.
+    The whole table is never shuffled onto one task per company.
     """
-    # Distinct (company, batch) pairs first: a hash aggregate with map-side
-    # combine.  ``max`` of a string would plan a sort of every row, and Catalyst
-    # drops a distinct under a ``max``; ``max_by`` keeps it and only sorts the pairs.
-    pairs = df.select(F.col(company).alias("_c"), F.col(batch).alias("_b")).distinct()
-    newest = pairs.groupBy("_c").agg(F.max_by("_b", "_b").alias("_b"))
-    newest = broadcast_if_small(newest, max_rows=max_groups)
-    joined = df.join(newest, F.col(company).eqNullSafe(F.col("_c")) & (F.col(batch) == F.col("_b")), "left_semi")
-    return joined
+    newest = newest_batches(df, company, batch)
+    cond = F.col(company).eqNullSafe(F.col("_c")) & (F.col(batch) == F.col("_b"))
+    rows = newest.limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        return df.join(newest, cond, "left_semi")
+    if not rows:
+        return df.limit(0)
+    schema = newest.schema
+    small = df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    wanted = sorted({r["_b"] for r in rows if r["_b"] is not None})
+    return df.filter(F.col(batch).isin(wanted)).join(F.broadcast(small), cond, "left_semi")
 
 
 def newest_batch(target: DataFrame, batch: str = "_lote"):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from salesmart.operators.quality import orphan_keys
-from salesmart.operators.versions import latest_snapshot, latest_version
+from salesmart.operators.versions import latest_snapshot, latest_version, newest_batches
 
 SF = "/root/testdata/sf0.001"
 # queries whose builders write (landing, versions): their final plans read written data
@@ -44,11 +44,15 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
 
 
 def test_snapshot_combines_map_side(spark):
-    df = latest_snapshot(_hot(spark).withColumn("cod_empresa", F.lit("01")).repartition(4))
-    text = df._jdf.queryExecution().sparkPlan().toString()
-    leaf_side = text.split("Exchange hashpartitioning")[-1]
+    df = _hot(spark).withColumn("cod_empresa", F.lit("01")).repartition(4)
+    maxima = newest_batches(df)
+    leaf_side = maxima._jdf.queryExecution().sparkPlan().toString().split("Exchange hashpartitioning")[-1]
     assert "HashAggregate" in leaf_side and "Sort [" not in leaf_side
-    assert df.count() == 1
+    snap = latest_snapshot(df)
+    text = snap._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    assert "_lote#" in text and "L00999" in text          # the newest batch is a literal filter
+    assert snap.count() == 1
 
 
 def test_orphans_reduce_fact_keys_before_the_join(spark):
