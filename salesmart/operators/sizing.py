@@ -24,9 +24,10 @@ _MEMO: dict = {}
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan, or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # noqa: BLE001 - e.g. Spark Connect, no JVM handle
         return None
+    return int(str(size))      # py4j hands back an int or a BigInt proxy
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import BATCH_FORMAT, DELETED_MARKER
 from ..functions.conversions import MONEY
+from ..operators.sizing import broadcast_if_small, estimated_bytes
 
 COMPANY = "01"
 SNAPSHOT_BATCH = "20010801T000000Z"     # the one FULL extract of the master tables
@@ -48,8 +49,6 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     file it lets the conversions and the map side of the first shuffle run on
     every core instead of one.
     """
-    from ..operators.sizing import estimated_bytes
-
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= parallelism:
         return df
@@ -126,7 +125,7 @@ LINE_VERSION_ORDER = ("dat_stamp", "_lote", "cod_produto", "cod_vendedor")
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders")
-    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = broadcast_if_small(read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey, "left")
     return joined.select(
         "o_orderkey", "o_orderpriority", "o_custkey", "o_orderdate",
@@ -212,7 +211,7 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Business units: one per nation, named after the nation and its region."""
     n = read(spark, sf_dir, "nation")
-    r = read(spark, sf_dir, "region")
+    r = broadcast_if_small(read(spark, sf_dir, "region"))
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.lit(COMPANY).alias("cod_empresa"),
         two_digits("n_nationkey").alias("cod_filial"),
