@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 
 from salesmart.config import EXTRACTION_CONFIG
 from salesmart.operators import control as ctl
+import dataclasses
+
+import pytest
+
 from salesmart.plans.pipeline import ERP_DOMAIN, extract_and_load, landing_schema
 
 COMPANIES = ["01", "05", "08", "13"]
@@ -70,7 +74,12 @@ def frames(spark, data):
     return {k: spark.createDataFrame([tuple(r) for r in v], SCHEMAS[k]) for k, v in data.items()}
 
 
-def test_extract_and_load_end_to_end(spark, tmp_root):
+BUCKETED = dataclasses.replace(ERP_DOMAIN, tables={
+    n: (dataclasses.replace(t, buckets=8) if t.load_type == "INCREMENTAL" else t) for n, t in ERP_DOMAIN.tables.items()})
+
+
+@pytest.mark.parametrize("domain", [ERP_DOMAIN, BUCKETED], ids=["versioned", "bucketed"])
+def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     data = make_erp()
     landing, lake = f"{tmp_root}/landing", f"{tmp_root}/lake"
     cfg = spark.createDataFrame([(x["tabela"], x["tipo_carga"], x["empresas"]) for x in EXTRACTION_CONFIG["tabelas"]],
@@ -78,25 +87,26 @@ def test_extract_and_load_end_to_end(spark, tmp_root):
     items = ctl.config_items(cfg)
     src = frames(spark, data)
     schemas = {k: landing_schema(v) for k, v in src.items()}
-    kw = dict(landing_root=landing, lake_root=lake, schemas=schemas, today="2026-10-13", overlap_minutes=0,
+    env = "dev" if domain is ERP_DOMAIN else "bkt"
+    kw = dict(landing_root=landing, lake_root=lake, schemas=schemas, today="2026-10-13", overlap_minutes=0, env=env,
               loaded_at="2026-10-13 09:00:00")
 
     # run 1: first load = every source row
-    control, rep1 = extract_and_load(spark, ERP_DOMAIN, ctl.empty_control(spark), items, src,
+    control, rep1 = extract_and_load(spark, domain, ctl.empty_control(spark), items, src,
                                      batch="20261013T060000Z", now=dt.datetime(2026, 10, 13, 6), **kw)
     assert rep1.published
-    bronze6 = spark.read.parquet(f"{lake}/dev_bronze/sc6")
+    bronze6 = spark.read.parquet(f"{lake}/{env}_bronze/sc6")
     assert bronze6.count() == len(data["sc6"])
-    fact = spark.table("dev_gold.fato_pedido_venda")
+    fact = spark.table(f"{env}_gold.fato_pedido_venda")
     assert fact.count() == len(data["sc6"])
-    assert spark.catalog.getTable("dev_gold.fato_pedido_venda").description
+    assert spark.catalog.getTable(f"{env}_gold.fato_pedido_venda").description
 
     # run 2: nothing changed -> incremental tables land 0 rows, FULL tables land again
-    control, rep2 = extract_and_load(spark, ERP_DOMAIN, control, items, src,
+    control, rep2 = extract_and_load(spark, domain, control, items, src,
                                      batch="20261013T070000Z", now=dt.datetime(2026, 10, 13, 7), **kw)
-    b2 = spark.read.parquet(f"{lake}/dev_bronze/sc5").filter(F.col("_lote") == "20261013T070000Z").count()
+    b2 = spark.read.parquet(f"{lake}/{env}_bronze/sc5").filter(F.col("_lote") == "20261013T070000Z").count()
     assert b2 == 0
-    assert spark.read.parquet(f"{lake}/dev_bronze/sa1").filter(F.col("_lote") == "20261013T070000Z").count() > 0
+    assert spark.read.parquet(f"{lake}/{env}_bronze/sa1").filter(F.col("_lote") == "20261013T070000Z").count() > 0
 
     # run 3: one header changed, one item deleted, one new item
     later = dt.datetime(2026, 10, 14, 5)
@@ -107,19 +117,22 @@ def test_extract_and_load_end_to_end(spark, tmp_root):
     new_item = list(sc6[1])
     new_item[3], new_item[11], new_item[12] = "99", 10_000, later
     sc6.append(new_item)
-    control, rep3 = extract_and_load(spark, ERP_DOMAIN, control, items, frames(spark, data),
+    control, rep3 = extract_and_load(spark, domain, control, items, frames(spark, data),
                                      batch="20261014T060000Z", now=dt.datetime(2026, 10, 14, 6), **kw)
     assert rep3.published
-    b3 = spark.read.parquet(f"{lake}/dev_bronze/sc6").filter(F.col("_lote") == "20261014T060000Z")
+    b3 = spark.read.parquet(f"{lake}/{env}_bronze/sc6").filter(F.col("_lote") == "20261014T060000Z")
     assert b3.count() == 2
-    silver6 = spark.table("dev_silver.sc6")
+    silver6 = (spark.table("dev_silver.sc6") if domain is ERP_DOMAIN
+               else spark.read.parquet(f"{lake}/bkt_silver/sc6/bucketed").drop("key_bucket"))
     assert silver6.count() == len(sc6)
     assert silver6.groupBy("cod_empresa", "num_recno").count().filter("count > 1").count() == 0
-    fact = spark.table("dev_gold.fato_pedido_venda")
+    fact = spark.table(f"{env}_gold.fato_pedido_venda")
     assert fact.count() == len(sc6) - 1
     assert fact.filter((F.col("cod_pedido") == sc5[0][2]) & (F.col("cod_empresa") == sc5[0][0])) \
         .select("cod_cliente").distinct().first()[0] == "000005"
-    assert "a1_cgc" not in spark.table("dev_silver.sa1").columns
+    assert "a1_cgc" not in spark.table(f"{env}_silver.sa1").columns
+    if domain is BUCKETED:
+        assert 0 < rep3.silver["sc6"]["buckets_rewritten"] <= 2
     ctl_rows = {(r.tabela, r.empresa): r for r in control.collect()}
     assert ctl_rows[("sc6", "01")].ultimo_watermark == later
     assert ctl_rows[("sa1", "01")].status_ultima_carga == "SUCESSO"
