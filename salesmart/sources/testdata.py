@@ -49,8 +49,11 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     file it lets the conversions and the map side of the first shuffle run on
     every core instead of one.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= parallelism:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as is
         return df
     est = estimated_bytes(df)
     if est is None or est < SPREAD_MIN_BYTES:
