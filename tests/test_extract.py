@@ -87,3 +87,24 @@ def test_read_config(spark, tmp_root):
     items = ctl.read_config(spark, p)
     assert items.count() == 20
     assert items.filter("ativo").count() == 16
+
+
+def test_physical_names():
+    from salesmart.sources.erp import physical_name
+    assert physical_name("sc5", "08") == "sc5080"
+    for alias, company in [("sc5;drop", "08"), ("SC5", "08"), ("sc5", "8"), ("sc5", "08 or 1=1")]:
+        with pytest.raises(ValueError):
+            physical_name(alias, company)
+
+
+def test_company_tables_prune_by_company(spark, tmp_root):
+    from salesmart.sources.erp import company_tables, parquet_reader
+    for company, n in (("01", 3), ("05", 2)):
+        spark.range(n).selectExpr("id AS r_e_c_n_o_", "current_timestamp() AS s_t_a_m_p_") \
+            .write.parquet(f"{tmp_root}/sc5{company}0")
+    src = company_tables(spark, parquet_reader(tmp_root), "sc5", ["01", "05"])
+    assert src.count() == 5
+    one = src.filter(F.col("empresa") == "05")
+    assert one.count() == 2
+    text = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "sc5010" not in text          # the other company's relation is pruned away
