@@ -32,12 +32,26 @@ _DEFAULTS = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job): many
+# initial shuffle partitions that AQE coalesces to ~256 MB each by measured size,
+# larger scan splits, and skew handling for partitions far above the median.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "salesmart", extra: dict | None = None) -> SparkSession:
+              app: str = "salesmart", extra: dict | None = None, cluster: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in _DEFAULTS.items():
+    for key, value in {**_DEFAULTS, **(CLUSTER_DEFAULTS if cluster else {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
