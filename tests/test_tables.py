@@ -40,3 +40,25 @@ def test_schema_change_recreates_table(spark, tmp_root):
     cat.publish(spark.createDataFrame([(1,)], "a int"), "x")
     cat.publish(spark.createDataFrame([(1, "b")], "a int, b string"), "x")
     assert cat.table("x").columns == ["a", "b"]
+
+
+def test_documentation_gate_flags_undescribed_tables(spark, tmp_root):
+    from salesmart.operators.quality import documentation_gate
+    cat = VersionedCatalog(spark, tmp_root, "t_doc")
+    cat.publish(spark.createDataFrame([("01", "01", "x")], "cod_empresa string, cod_filial string, "
+                                      "des_unidade string"), "dim_unidade")      # described by the dictionary
+    cat.publish(spark.createDataFrame([(1,)], "a int"), "sem_descricao")           # not in the dictionary
+    rows = documentation_gate(spark, "t_doc").collect()
+    assert [r.objeto for r in rows] == ["t_doc.sem_descricao"]
+
+
+def test_failing_gates_keep_gold_unpublished(spark, tmp_root):
+    import pytest
+    from salesmart.operators.quality import GateFailure
+    from salesmart.plans.pipeline import daily_load
+    from salesmart.plans.queries import tpch_bronze, tpch_domain
+    d = "/root/testdata/sf0.01"        # six suppliers are deleted there, so facts are orphaned
+    with pytest.raises(GateFailure, match="dim_vendedor"):
+        daily_load(spark, tpch_domain(d), tpch_bronze(spark, d), tmp_root, env="gated", today="2001-08-01")
+    assert not spark.catalog.tableExists("gated_gold.fato_pedido_venda")
+    assert spark.catalog.tableExists("gated_silver.lineitem")
