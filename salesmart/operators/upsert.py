@@ -17,8 +17,9 @@ a per-column ``CASE``; Catalyst plans a sort-merge (or shuffled-hash) join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SILVER_KEYS
@@ -49,12 +50,37 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KE
 BUCKET = "key_bucket"
 
 
-def key_bucket(keys: Sequence[str], buckets: int):
-    """Stable bucket of a key: ``pmod(xxhash64(keys), buckets)`` (NULL keys hash too)."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+@dataclass(frozen=True)
+class Bucketing:
+    """How a key maps to a storage bucket.
+
+    ``hash``: ``pmod(xxhash64(keys), buckets)``, even bucket sizes for any keys.
+    ``range``: ``floor(range_col / width)`` on a sequential record id, so new rows
+    go to the newest bucket and updates of recent rows touch few buckets.  Either
+    way the bucket is a function of the keys (NULL ids go to bucket -1).
+    """
+
+    buckets: int = 64
+    range_col: str | None = None
+    width: int | None = None
+
+    def column(self, keys: Sequence[str]) -> Column:
+        if self.range_col:
+            b = F.floor(F.col(self.range_col) / F.lit(self.width or 1)).cast("long")
+            return F.coalesce(b, F.lit(-1).cast("long"))
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(self.buckets)).cast("long")
+
+
+def _bucketing(spec) -> Bucketing:
+    return spec if isinstance(spec, Bucketing) else Bucketing(buckets=int(spec))
+
+
+def key_bucket(keys: Sequence[str], buckets) -> Column:
+    """Stable bucket of a key (``buckets``: a count for hash buckets, or a ``Bucketing``)."""
+    return _bucketing(buckets).column(keys)
 
 
-def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets: int = 64) -> None:
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets=64) -> None:
     """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
 
     Rows are clustered by bucket before the write, so each bucket directory is
@@ -66,14 +92,14 @@ def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS,
 
 def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: str,
                            keys: Sequence[str] = SILVER_KEYS, stamp: str = "dat_stamp",
-                           buckets: int = 64) -> list[int]:
+                           buckets=64) -> list[int]:
     """S9 at scale: only buckets that receive changes are read, merged and rewritten.
 
-    The touched bucket ids (at most ``buckets`` integers) select target
-    partitions by partition pruning; the merged buckets are staged under
-    ``staging_path`` (the target cannot be overwritten while it is read) and then
-    replace exactly those partitions with a dynamic partition overwrite.  Every
-    other bucket is left untouched on storage.  Returns the rewritten bucket ids.
+    The touched bucket ids select target partitions by partition pruning; the
+    merged buckets are staged under ``staging_path`` (the target cannot be
+    overwritten while it is read) and then replace exactly those partitions with
+    a dynamic partition overwrite.  Every other bucket is left untouched on
+    storage.  Returns the rewritten bucket ids.
     """
     spark = source.sparkSession
     keys = list(keys)
@@ -82,6 +108,7 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     changes_path = f"{staging_path.rstrip('/')}/changes"
     source.withColumn(BUCKET, key_bucket(keys, buckets)).write.mode("errorifexists").parquet(changes_path)
     src = spark.read.parquet(changes_path)
+    # at most one id per bucket (hash) or per id range touched by the changes
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
     if not touched:
         return []

@@ -22,7 +22,7 @@ from ..operators import dimensions as dims
 from ..operators import quality
 from ..operators.fact import order_fact
 from ..operators.standardise import standardise
-from ..operators.upsert import BUCKET, upsert, upsert_touched_buckets, write_bucketed
+from ..operators.upsert import BUCKET, Bucketing, upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.control import sync
 from ..operators.watermark import FULL
@@ -35,17 +35,18 @@ from .tables import VersionedCatalog
 
 @dataclass(frozen=True)
 class SourceTable:
-    """One source table.  ``buckets`` (incremental tables only) keeps the Silver
-    table in the key-bucket layout and upserts only the buckets the day's
-    changes touch, instead of writing a whole new version every run; such a
-    table is read by path and has no version history."""
+    """One source table.  ``buckets`` (incremental tables only; a hash bucket
+    count or a ``Bucketing``, e.g. record-id ranges) keeps the Silver table in
+    the key-bucket layout and upserts only the buckets the day's changes touch,
+    instead of writing a whole new version every run; such a table is read by
+    path and has no version history."""
 
     name: str
     mapping: dict
     load_type: str
     order: tuple = VERSION_ORDER
     keys: tuple = SILVER_KEYS
-    buckets: int | None = None
+    buckets: int | Bucketing | None = None
 
 
 @dataclass(frozen=True)
@@ -102,7 +103,7 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
                                              spec.keys, buckets=spec.buckets)
             return {"table": spec.name, "path": path, "buckets_rewritten": len(touched)}
         write_bucketed(latest_version(std, spec.keys, spec.order), path, spec.keys, spec.buckets)
-        return {"table": spec.name, "path": path, "buckets_rewritten": spec.buckets}
+        return {"table": spec.name, "path": path, "buckets_rewritten": None}      # first load: all
     if spec.load_type == FULL:
         return silver.publish(latest_snapshot(std), spec.name)                       # S7 + S11
     if silver.exists(spec.name) and not reprocess:

@@ -12,6 +12,7 @@ import dataclasses
 
 import pytest
 
+from salesmart.operators.upsert import Bucketing
 from salesmart.plans.pipeline import ERP_DOMAIN, extract_and_load, landing_schema
 
 COMPANIES = ["01", "05", "08", "13"]
@@ -75,7 +76,10 @@ def frames(spark, data):
 
 
 BUCKETED = dataclasses.replace(ERP_DOMAIN, tables={
-    n: (dataclasses.replace(t, buckets=8) if t.load_type == "INCREMENTAL" else t) for n, t in ERP_DOMAIN.tables.items()})
+    **ERP_DOMAIN.tables,
+    "sc5": dataclasses.replace(ERP_DOMAIN.tables["sc5"], buckets=8),
+    "sc6": dataclasses.replace(ERP_DOMAIN.tables["sc6"], buckets=Bucketing(range_col="num_recno", width=50)),
+})
 
 
 @pytest.mark.parametrize("domain", [ERP_DOMAIN, BUCKETED], ids=["versioned", "bucketed"])
@@ -133,6 +137,7 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     assert "a1_cgc" not in spark.table(f"{env}_silver.sa1").columns
     if domain is BUCKETED:
         assert 0 < rep3.silver["sc6"]["buckets_rewritten"] <= 2
+        assert 0 < rep3.silver["sc5"]["buckets_rewritten"] <= 1
     ctl_rows = {(r.tabela, r.empresa): r for r in control.collect()}
     assert ctl_rows[("sc6", "01")].ultimo_watermark == later
     assert ctl_rows[("sa1", "01")].status_ultima_carga == "SUCESSO"
