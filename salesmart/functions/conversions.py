@@ -29,8 +29,7 @@ def source_date(col: Column, dtype: T.DataType | None = None, lenient: bool = Fa
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
     trimmed = F.trim(col.cast("string"))
-    parser = F.try_to_date if lenient else F.to_date
-    parsed = parser(trimmed, F.lit(SOURCE_DATE_FORMAT)) if lenient else parser(trimmed, SOURCE_DATE_FORMAT)
+    parsed = (F.try_to_date if lenient else F.to_date)(trimmed, SOURCE_DATE_FORMAT)
     return F.when(trimmed == "", F.lit(None).cast("date")).otherwise(parsed)
 
 

@@ -42,3 +42,25 @@ def standardise(df: DataFrame, mapping: dict[str, tuple[str, str]], control: Con
         F.col(control.batch).alias("_lote"),
     ]
     return df.select(*columns)
+
+
+def conversion_rejects(df: DataFrame, mapping: dict[str, tuple[str, str]]) -> DataFrame:
+    """Counted rejects of a lenient standardisation (hazard H3), one scan.
+
+    For every date or decimal column of ``mapping``: rows whose source value is
+    present and non-blank but converts to NULL (unparseable date, decimal
+    overflow).  Use it as a gate next to ``standardise(..., lenient=True)``;
+    the default strict mode fails the job on the first bad value instead.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    checks = []
+    for source, (target, kind) in mapping.items():
+        if kind not in ("data", "decimal"):
+            continue
+        raw = F.col(source)
+        present = raw.isNotNull() & (F.trim(raw.cast("string")) != "")
+        converted = convert(raw, kind, types.get(source), lenient=True)
+        checks.append(F.count(F.when(present & converted.isNull(), 1)).alias(target))
+    if not checks:
+        return df.sparkSession.range(1).select(F.lit(0).alias("_none")).limit(0)
+    return df.agg(*checks)

@@ -21,7 +21,7 @@ from ..config import (DEFAULT_OVERLAP_MINUTES, DEFAULT_RECONCILE_DAYS, ERP_MAPPI
 from ..operators import dimensions as dims
 from ..operators import quality
 from ..operators.fact import order_fact
-from ..operators.standardise import standardise
+from ..operators.standardise import conversion_rejects, standardise
 from ..operators.upsert import BUCKET, Bucketing, upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.control import sync
@@ -47,6 +47,7 @@ class SourceTable:
     order: tuple = VERSION_ORDER
     keys: tuple = SILVER_KEYS
     buckets: int | Bucketing | None = None
+    lenient: bool = False       # bad dates/decimals become NULL and are counted by a gate
 
 
 @dataclass(frozen=True)
@@ -93,7 +94,7 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
                  reprocess: bool = False) -> dict:
     """S1 + S6..S11 for one table; publishes a new Silver version (or, for a
     bucketed incremental table, rewrites the touched buckets in place)."""
-    std = standardise(bronze, spec.mapping)
+    std = standardise(bronze, spec.mapping, lenient=spec.lenient)
     if spec.buckets and spec.load_type != FULL:
         path = bucketed_path(silver, spec.name)
         if path_exists(spark, path) and not reprocess:
@@ -150,6 +151,9 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
     parts.append(quality.value_gate(new["fato_pedido_venda"], FACT_NON_NEGATIVE))
     if manifests is not None and bronze_counts is not None:
         parts.append(quality.reconcile_gate(quality.reconcile(manifests, bronze_counts)))
+    for n, spec in domain.tables.items():
+        if spec.lenient and n in bronze:
+            parts.append(quality.rejects_gate(conversion_rejects(bronze[n], spec.mapping), f"bronze.{n}"))
     report.gates = [r.asDict() for r in quality.gate_report(parts).collect()]   # a few dozen gate rows
     failing = [g for g in report.gates if g["qtd_falhas"] > 0]
     if failing:
