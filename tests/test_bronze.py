@@ -86,3 +86,24 @@ def test_register_bronze_with_comment(spark, tmp_root):
 def test_cutoff():
     from salesmart.sources.landing import cutoff
     assert cutoff(7, dt.datetime(2026, 10, 13, 9, 0, 0)) == "20261006T090000Z"
+
+
+def test_extraction_isolates_failing_items(spark, tmp_root):
+    import pytest
+    from salesmart.operators import control as ctl
+    from salesmart.sources.extract import ExtractionFailed, run_extraction
+    t = dt.datetime(2026, 10, 13, 9)
+    src = spark.createDataFrame([(1, t, "01"), (2, t, "05")], "r_e_c_n_o_ long, s_t_a_m_p_ timestamp, empresa string")
+    items = spark.createDataFrame([("sc5", "01", "INCREMENTAL", True), ("sc5", "05", "INCREMENTAL", True),
+                                   ("sc6", "01", "INCREMENTAL", True)], ctl.CONFIG_SCHEMA)
+    control = ctl.sync(ctl.empty_control(spark), items)
+    with pytest.raises(ExtractionFailed) as err:
+        run_extraction(spark, control, {"sc5": src}, tmp_root, batch="20261013T090000Z")   # no sc6 source
+    summary = err.value.summary
+    assert [(f["tabela"], f["empresa"]) for f in summary.failures] == [("sc6", "01")]
+    assert sorted((i["empresa"], i["registros"]) for i in summary.items) == [("01", 1), ("05", 1)]
+    rows = {(r.tabela, r.empresa): r for r in summary.control.collect()}
+    assert rows[("sc6", "01")].status_ultima_carga == "FALHA" and rows[("sc6", "01")].ultimo_watermark is None
+    assert rows[("sc5", "01")].status_ultima_carga == "SUCESSO" and rows[("sc5", "01")].ultimo_watermark == t
+    got = sorted((r.tabela, r.empresa, r.registros) for r in read_manifests(spark, tmp_root).collect())
+    assert got == [("sc5", "01", 1), ("sc5", "05", 1)]          # manifest written despite the failure
