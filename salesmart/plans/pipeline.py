@@ -72,6 +72,39 @@ ERP_DOMAIN = Domain(
 )
 
 
+class RunInProgress(RuntimeError):
+    pass
+
+
+class RunLock:
+    """One daily load per environment at a time.
+
+    The lock is a file created with Hadoop's atomic ``createNewFile`` in the
+    shared lake folder, so it holds across drivers.  A lock older than ``ttl``
+    (a crashed run) may be taken over.
+    """
+
+    def __init__(self, spark: SparkSession, lake_root: str, env: str, ttl: _dt.timedelta = _dt.timedelta(hours=6)):
+        jvm = spark.sparkContext._jvm
+        self.path = jvm.org.apache.hadoop.fs.Path(f"{lake_root.rstrip('/')}/_locks/{env}.lock")
+        self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.ttl = ttl
+
+    def __enter__(self):
+        if not self.fs.createNewFile(self.path):
+            age_ms = int(_dt.datetime.now(_dt.UTC).timestamp() * 1000) - self.fs.getFileStatus(self.path).getModificationTime()
+            if age_ms < self.ttl.total_seconds() * 1000:
+                raise RunInProgress(f"another load holds {self.path.toString()}")
+            self.fs.delete(self.path, False)
+            if not self.fs.createNewFile(self.path):
+                raise RunInProgress(f"another load took over {self.path.toString()}")
+        return self
+
+    def __exit__(self, *exc):
+        self.fs.delete(self.path, False)
+        return False
+
+
 @dataclass
 class LoadReport:
     silver: dict = field(default_factory=dict)
@@ -119,7 +152,14 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
                env: str = "dev", reprocess: bool = False, today: _dt.date | str | None = None,
                loaded_at=None, manifests: DataFrame | None = None, bronze_counts: DataFrame | None = None,
                parallelism: int = 5, raise_on_failure: bool = True) -> LoadReport:
-    """Silver -> Gold versions -> gates -> publish."""
+    """Silver -> Gold versions -> gates -> publish (one run per environment at a time)."""
+    with RunLock(spark, lake_root, env):
+        return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
+                           bronze_counts, parallelism, raise_on_failure)
+
+
+def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests, bronze_counts,
+                parallelism, raise_on_failure) -> LoadReport:
     report = LoadReport()
     silver = VersionedCatalog(spark, lake_root, f"{env}_silver")
     gold = VersionedCatalog(spark, lake_root, f"{env}_gold")
