@@ -178,9 +178,10 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
         "fato_pedido_venda": order_fact(s[domain.header], s[domain.item], domain.fact_keys,
                                         domain.fact_header_columns, loaded_at),
     }
-    paths = {}
-    for name, df in staged.items():
-        paths[name], _ = gold.write_version(df, name)
+    # independent writes: submitted together so the small dimension jobs overlap the fact job
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        written = {name: pool.submit(gold.write_version, df, name) for name, df in staged.items()}
+        paths = {name: f.result()[0] for name, f in written.items()}
     fact = spark.read.parquet(paths["fato_pedido_venda"])
     paths["dim_calendario"], _ = gold.write_version(dims.calendar_for_fact(fact, today), "dim_calendario")
     new = {n: spark.read.parquet(p) for n, p in paths.items()}

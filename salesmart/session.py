@@ -43,6 +43,7 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.scheduler.mode": "FAIR",          # concurrent Silver/Gold jobs share the cluster
 }
 
 
