@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -368,7 +369,13 @@ def q_comment_coverage(spark, d):
     s = star(spark, d)
     tables = {"fato_pedido_venda": s.fact, "dim_cliente": s.customer, "dim_vendedor": s.seller,
               "dim_produto": s.product, "dim_unidade": s.unit}
-    published = {name: cat.publish(df, name)["rows"] for name, df in tables.items()}
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:      # independent writes run together
+        written = {name: pool.submit(cat.write_version, df, name) for name, df in tables.items()}
+        written = {name: f.result() for name, f in written.items()}
+    published = {}
+    for name, (path, rows) in written.items():                      # catalog changes one at a time
+        cat.point_to(name, path)
+        published[name] = rows
     # the calendar reads the fact version just published instead of recomputing it
     calendar = dims.calendar_for_fact(cat.table("fato_pedido_venda"), today=TODAY)
     published["dim_calendario"] = cat.publish(calendar, "dim_calendario")["rows"]
