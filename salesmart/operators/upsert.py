@@ -113,13 +113,11 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     if not touched:
         return []
     target = spark.read.parquet(target_path).filter(F.col(BUCKET).isin(touched))
-    # The bucket is a function of the keys, so joining on (bucket, keys) is the same
-    # join; with both sides clustered by bucket it needs no further exchange and
-    # every bucket is merged and written by a single task.
-    merged = upsert(target.repartition(BUCKET), src.select(*target.columns).repartition(BUCKET),
-                    [BUCKET, *keys], stamp)
+    merged = upsert(target, src.select(*target.columns), keys, stamp)
+    # cluster the merged rows (touched buckets only) by bucket: one writer and one
+    # file per bucket instead of one file per task and bucket
     merged_path = f"{staging_path.rstrip('/')}/merged"
-    merged.write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
+    merged.repartition(BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
     (spark.read.parquet(merged_path).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
     return touched
