@@ -80,3 +80,23 @@ def test_run_lock(spark, tmp_root):
     stale.fs.createNewFile(stale.path)
     with stale:                                      # a lock past its TTL is taken over
         pass
+
+
+def test_build_silver_first_load_upsert_and_reprocess(spark, tmp_root):
+    import datetime as dt
+    from salesmart.plans.pipeline import SourceTable, build_silver
+    schema = ("c5_num string, d_e_l_e_t_ string, r_e_c_n_o_ long, s_t_a_m_p_ timestamp, _empresa string, "
+              "_lote string")
+    t1, t2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
+    spec = SourceTable("sc5", {"c5_num": ("cod_pedido", "texto")}, "INCREMENTAL")
+    cat = VersionedCatalog(spark, tmp_root, "t_silver_s10")
+    b1 = spark.createDataFrame([("A", " ", 1, t1, "01", "L1"), ("B", " ", 2, t1, "01", "L1")], schema)
+    build_silver(spark, spec, b1, cat)                                   # S10 first load
+    assert sorted(r.cod_pedido for r in cat.table("sc5").collect()) == ["A", "B"]
+    b2 = b1.union(spark.createDataFrame([("A2", " ", 1, t2, "01", "L2"), ("old", " ", 2, t1, "01", "L0")],
+                                        schema))
+    build_silver(spark, spec, b2, cat)                                   # S8: only batches after L1
+    assert sorted(r.cod_pedido for r in cat.table("sc5").collect()) == ["A2", "B"]
+    build_silver(spark, spec, b2, cat, reprocess=True)                   # S10: everything again
+    assert sorted((r.num_recno, r.cod_pedido) for r in cat.table("sc5").collect()) == [(1, "A2"), (2, "B")]
+    assert len(cat.versions("sc5")) == 3
