@@ -5,12 +5,14 @@ bound (``limit(bound + 1).count()``; each task reads at most bound + 1 rows).
 Catalyst's plan estimate is used only to skip the count when the side is
 clearly too large.  Beyond the bound no hint is given: Catalyst plans a
 sort-merge join, and AQE may still broadcast at runtime from the measured size
-of the finished shuffle stage.  Results are memoised per input plan (a plan over
-an immutable, versioned directory always has the same size).
+of the finished shuffle stage.  Results are memoised per input plan for a few
+minutes, so queries built together share one count.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ from ..config import BROADCAST_MAX_ROWS
 # estimate above which counting is pointless (plan statistics, compressed sizes)
 _SKIP_COUNT_BYTES = 1 << 30
 _MEMO: dict = {}
+# A plan over a path does not change its hash when files are appended in place,
+# so a verdict is reused only briefly (versioned directories never change).
+_MEMO_SECONDS = 600
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -40,12 +45,13 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
         key = (df.semanticHash(), max_rows)
     except Exception:  # noqa: BLE001
         key = None
-    if key is not None and key in _MEMO:
-        return _MEMO[key]
+    now = time.monotonic()
+    if key is not None and key in _MEMO and now - _MEMO[key][1] < _MEMO_SECONDS:
+        return _MEMO[key][0]
     est = estimated_bytes(df)
     small = False if est is not None and est > _SKIP_COUNT_BYTES else row_count_at_most(df, max_rows)
     if key is not None:
-        _MEMO[key] = small
+        _MEMO[key] = (small, now)
     return small
 
 

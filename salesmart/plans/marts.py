@@ -13,6 +13,7 @@ and AQE choose the join.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -31,6 +32,7 @@ _LEFT_DIMS = {
     "customer": (["cod_empresa", "cod_cliente", "cod_loja"], {"des_cliente": "des_nome"}),
 }
 _UNIQUE_CACHE: dict = {}
+_UNIQUE_SECONDS = 600        # verdicts are reused briefly (see operators/sizing.py)
 DATASET_COLUMNS = ["dat_emissao", "des_status", "vlr_total", "vlr_saldo", "qtd_vendida", "des_unidade",
                    "des_produto", "des_vendedor", "des_cliente"]
 
@@ -52,11 +54,12 @@ class SalesStar:
         if name not in self._unique:
             keys = _LEFT_DIMS[name][0]
             dim = self._dim(name).select(*keys)
-            # memoised per input plan: a plan over a versioned directory never changes
+            # memoised per input plan for a few minutes
             sig = (dim.semanticHash(), tuple(keys))
-            if sig not in _UNIQUE_CACHE:
-                _UNIQUE_CACHE[sig] = not has_duplicate_keys(dim, keys)
-            self._unique[name] = _UNIQUE_CACHE[sig]
+            now = time.monotonic()
+            if sig not in _UNIQUE_CACHE or now - _UNIQUE_CACHE[sig][1] > _UNIQUE_SECONDS:
+                _UNIQUE_CACHE[sig] = (not has_duplicate_keys(dim, keys), now)
+            self._unique[name] = _UNIQUE_CACHE[sig][0]
         return self._unique[name]
 
     def dataset(self, columns: list[str] | None = None) -> DataFrame:
