@@ -151,15 +151,21 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
 def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame], lake_root: str,
                env: str = "dev", reprocess: bool = False, today: _dt.date | str | None = None,
                loaded_at=None, manifests: DataFrame | None = None, bronze_counts: DataFrame | None = None,
-               parallelism: int = 5, raise_on_failure: bool = True) -> LoadReport:
-    """Silver -> Gold versions -> gates -> publish (one run per environment at a time)."""
+               parallelism: int = 5, raise_on_failure: bool = True, check_fact_grain: bool = False,
+               check_calendar: bool = False) -> LoadReport:
+    """Silver -> Gold versions -> gates -> publish (one run per environment at a time).
+
+    ``check_fact_grain`` adds a uniqueness gate on the fact grain (duplicate live
+    headers would fan the fact out); ``check_calendar`` adds the fact -> calendar
+    relation to the integrity gate.  Both are off by default, like the reference.
+    """
     with RunLock(spark, lake_root, env):
         return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
-                           bronze_counts, parallelism, raise_on_failure)
+                           bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar)
 
 
 def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests, bronze_counts,
-                parallelism, raise_on_failure) -> LoadReport:
+                parallelism, raise_on_failure, check_fact_grain=False, check_calendar=False) -> LoadReport:
     report = LoadReport()
     silver = VersionedCatalog(spark, lake_root, f"{env}_silver")
     gold = VersionedCatalog(spark, lake_root, f"{env}_gold")
@@ -188,7 +194,16 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     report.gold = paths
 
     parts = [quality.key_gate(df, f"silver.{n}", list(domain.tables[n].keys)) for n, df in s.items()]
-    parts.append(quality.integrity_gate(new["fato_pedido_venda"], new, FACT_RELATIONS))
+    relations = dict(FACT_RELATIONS)
+    if check_calendar:
+        relations["dim_calendario"] = ["dat_data"]
+    fact_new = new["fato_pedido_venda"]
+    if check_calendar:
+        fact_new = fact_new.withColumn("dat_data", fact_new["dat_emissao"])
+    parts.append(quality.integrity_gate(fact_new, new, relations))
+    if check_fact_grain:
+        parts.append(quality.key_gate(new["fato_pedido_venda"], "gold.fato_pedido_venda",
+                                      ["cod_empresa", "cod_filial", "cod_pedido", "cod_item"]))
     parts.append(quality.value_gate(new["fato_pedido_venda"], FACT_NON_NEGATIVE))
     if manifests is not None and bronze_counts is not None:
         parts.append(quality.reconcile_gate(quality.reconcile(manifests, bronze_counts)))

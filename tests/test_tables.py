@@ -100,3 +100,15 @@ def test_build_silver_first_load_upsert_and_reprocess(spark, tmp_root):
     build_silver(spark, spec, b2, cat, reprocess=True)                   # S10: everything again
     assert sorted((r.num_recno, r.cod_pedido) for r in cat.table("sc5").collect()) == [(1, "A2"), (2, "B")]
     assert len(cat.versions("sc5")) == 3
+
+
+def test_optional_fact_grain_and_calendar_gates(spark, tmp_root):
+    from salesmart.plans.pipeline import daily_load
+    from salesmart.plans.queries import tpch_bronze, tpch_domain
+    d = "/root/testdata/sf0.001"
+    rep = daily_load(spark, tpch_domain(d), tpch_bronze(spark, d), tmp_root, env="opt", today="2001-08-01",
+                     check_fact_grain=True, check_calendar=True)
+    gates = {(g["gate"], g["objeto"]): g["qtd_falhas"] for g in rep.gates}
+    assert gates[("integridade", "fato_pedido_venda->dim_calendario")] == 0
+    assert gates[("chave_duplicada", "gold.fato_pedido_venda")] == 0
+    assert rep.published
