@@ -195,10 +195,9 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
 
     parts = [quality.key_gate(df, f"silver.{n}", list(domain.tables[n].keys)) for n, df in s.items()]
     relations = dict(FACT_RELATIONS)
-    if check_calendar:
-        relations["dim_calendario"] = ["dat_data"]
     fact_new = new["fato_pedido_venda"]
-    if check_calendar:
+    if check_calendar:                      # the emission date must exist in the calendar
+        relations["dim_calendario"] = ["dat_data"]
         fact_new = fact_new.withColumn("dat_data", fact_new["dat_emissao"])
     parts.append(quality.integrity_gate(fact_new, new, relations))
     if check_fact_grain:
