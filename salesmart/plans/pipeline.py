@@ -152,20 +152,23 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
                env: str = "dev", reprocess: bool = False, today: _dt.date | str | None = None,
                loaded_at=None, manifests: DataFrame | None = None, bronze_counts: DataFrame | None = None,
                parallelism: int = 5, raise_on_failure: bool = True, check_fact_grain: bool = False,
-               check_calendar: bool = False) -> LoadReport:
+               check_calendar: bool = False, keep_versions: int | None = None) -> LoadReport:
     """Silver -> Gold versions -> gates -> publish (one run per environment at a time).
 
     ``check_fact_grain`` adds a uniqueness gate on the fact grain (duplicate live
     headers would fan the fact out); ``check_calendar`` adds the fact -> calendar
     relation to the integrity gate.  Both are off by default, like the reference.
+    ``keep_versions`` deletes older Gold and Silver versions after a publish.
     """
     with RunLock(spark, lake_root, env):
         return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
-                           bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar)
+                           bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar,
+                           keep_versions)
 
 
 def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests, bronze_counts,
-                parallelism, raise_on_failure, check_fact_grain=False, check_calendar=False) -> LoadReport:
+                parallelism, raise_on_failure, check_fact_grain=False, check_calendar=False,
+                keep_versions=None) -> LoadReport:
     report = LoadReport()
     silver = VersionedCatalog(spark, lake_root, f"{env}_silver")
     gold = VersionedCatalog(spark, lake_root, f"{env}_gold")
@@ -220,6 +223,12 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     for name, path in paths.items():
         gold.point_to(name, path)
     report.published = True
+    if keep_versions:
+        for name in paths:
+            gold.prune_versions(name, keep_versions)
+        for name in report.silver:
+            if silver.exists(name):
+                silver.prune_versions(name, keep_versions)
     missing = [t for t in paths if t not in GOLD_COMMENTS]
     doc = quality.documentation_gate(spark, gold.database).collect()
     if (missing or doc) and raise_on_failure:

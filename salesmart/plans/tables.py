@@ -112,6 +112,23 @@ class VersionedCatalog:
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
         return sorted(n[2:] for n in names if n.startswith("v="))
 
+    def prune_versions(self, table: str, keep: int = 7) -> list[str]:
+        """Delete all but the newest ``keep`` version directories of ``table``; the
+        version the table currently reads is always kept.  Returns deleted versions."""
+        current = (self.current_location(table) or "").rstrip("/")
+        versions = self.versions(table)
+        doomed = versions[:-keep] if keep > 0 else list(versions)
+        deleted = []
+        jvm = self.spark.sparkContext._jvm
+        for v in doomed:
+            path = self.version_path(table, v)
+            if current.endswith(path.rstrip("/")) or current.endswith(f"/v={v}"):
+                continue
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            deleted.append(v)
+        return deleted
+
     def restore(self, table: str, version: str) -> None:
         """Re-point the table at an earlier version directory."""
         self.point_to(table, self.version_path(table, version))

@@ -107,8 +107,19 @@ def test_optional_fact_grain_and_calendar_gates(spark, tmp_root):
     from salesmart.plans.queries import tpch_bronze, tpch_domain
     d = "/root/testdata/sf0.001"
     rep = daily_load(spark, tpch_domain(d), tpch_bronze(spark, d), tmp_root, env="opt", today="2001-08-01",
-                     check_fact_grain=True, check_calendar=True)
+                     check_fact_grain=True, check_calendar=True, keep_versions=1)
     gates = {(g["gate"], g["objeto"]): g["qtd_falhas"] for g in rep.gates}
     assert gates[("integridade", "fato_pedido_venda->dim_calendario")] == 0
     assert gates[("chave_duplicada", "gold.fato_pedido_venda")] == 0
     assert rep.published
+
+
+def test_prune_versions_keeps_newest_and_current(spark, tmp_root):
+    cat = VersionedCatalog(spark, tmp_root, "t_prune")
+    df = spark.createDataFrame([(1,)], "a int")
+    for v in ["v1", "v2", "v3", "v4"]:
+        cat.publish(df, "x", version=v)
+    cat.restore("x", "v1")                                  # the table reads an old version
+    assert cat.prune_versions("x", keep=2) == ["v2"]        # v1 is current, v3/v4 are the newest two
+    assert cat.versions("x") == ["v1", "v3", "v4"]
+    assert cat.table("x").count() == 1
