@@ -16,15 +16,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import (DEFAULT_OVERLAP_MINUTES, DEFAULT_RECONCILE_DAYS, ERP_MAPPINGS, FACT_HEADER_COLUMNS, FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS,
-                      GOLD_COMMENTS, LOAD_TYPES, SILVER_KEYS, VERSION_ORDER)
+from ..config import (DEFAULT_OVERLAP_MINUTES, DEFAULT_RECONCILE_DAYS, ERP_MAPPINGS, FACT_HEADER_COLUMNS,
+                      FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS, GOLD_COMMENTS, LOAD_TYPES, SILVER_KEYS,
+                      VERSION_ORDER)
 from ..operators import dimensions as dims
 from ..operators import quality
+from ..operators.control import sync
 from ..operators.fact import order_fact
 from ..operators.standardise import conversion_rejects, standardise
 from ..operators.upsert import BUCKET, Bucketing, upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
-from ..operators.control import sync
 from ..operators.watermark import FULL
 from ..sources.extract import run_extraction
 from ..sources.landing import cutoff, path_exists, read_manifests
@@ -84,7 +85,8 @@ class RunLock:
     (a crashed run) may be taken over.
     """
 
-    def __init__(self, spark: SparkSession, lake_root: str, env: str, ttl: _dt.timedelta = _dt.timedelta(hours=6)):
+    def __init__(self, spark: SparkSession, lake_root: str, env: str,
+                 ttl: _dt.timedelta = _dt.timedelta(hours=6)):
         jvm = spark.sparkContext._jvm
         self.path = jvm.org.apache.hadoop.fs.Path(f"{lake_root.rstrip('/')}/_locks/{env}.lock")
         self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -92,7 +94,8 @@ class RunLock:
 
     def __enter__(self):
         if not self.fs.createNewFile(self.path):
-            age_ms = int(_dt.datetime.now(_dt.UTC).timestamp() * 1000) - self.fs.getFileStatus(self.path).getModificationTime()
+            now_ms = int(_dt.datetime.now(_dt.UTC).timestamp() * 1000)
+            age_ms = now_ms - self.fs.getFileStatus(self.path).getModificationTime()
             if age_ms < self.ttl.total_seconds() * 1000:
                 raise RunInProgress(f"another load holds {self.path.toString()}")
             self.fs.delete(self.path, False)
