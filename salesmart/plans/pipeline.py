@@ -244,11 +244,12 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame, co
                      schemas: dict[str, str], env: str = "dev", company_col: str = "empresa",
                      batch: str | None = None, now: _dt.datetime | None = None,
                      company_pattern: str | None = None, overlap_minutes: int = DEFAULT_OVERLAP_MINUTES,
-                     reconcile_days: int = DEFAULT_RECONCILE_DAYS, **load_kwargs) -> tuple[DataFrame, LoadReport]:
+                     reconcile_days: int = DEFAULT_RECONCILE_DAYS, per_table: bool = False,
+                     **load_kwargs) -> tuple[DataFrame, LoadReport]:
     """Sync config -> extract -> load Bronze once -> daily load. Returns (control, report)."""
     synced = sync(control, config_items)
     run = run_extraction(spark, synced, sources, landing_root, company_col=company_col,
-                         overlap_minutes=overlap_minutes, batch=batch, now=now)
+                         overlap_minutes=overlap_minutes, batch=batch, now=now, per_table=per_table)
     bronze = {}
     extra = {"company_pattern": company_pattern} if company_pattern else {}
     since = cutoff(reconcile_days, now)          # Q7: reconcile the last N days only

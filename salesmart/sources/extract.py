@@ -17,13 +17,13 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_OVERLAP_MINUTES
 from ..operators import control as ctl
-from ..operators.watermark import INCREMENTAL, extract, next_watermark_value
-from .landing import new_batch_id, write_batch, write_manifest
+from ..operators.watermark import INCREMENTAL, LOAD_KINDS, extract, lower_bound, next_watermark_value
+from .landing import LANDING_BATCH, LANDING_COMPANY, batch_dir, new_batch_id, write_batch, write_manifest
 
 log = logging.getLogger(__name__)
 
@@ -45,11 +45,23 @@ class ExtractionFailed(RuntimeError):
 def run_extraction(spark: SparkSession, control: DataFrame, sources: dict[str, DataFrame], landing_root: str,
                    company_col: str = "empresa", stamp: str = "s_t_a_m_p_",
                    overlap_minutes: int = DEFAULT_OVERLAP_MINUTES, batch: str | None = None,
-                   now: _dt.datetime | None = None, parallelism: int = 4, raise_on_failure: bool = True) -> RunSummary:
-    """X9 over the active items of ``control`` (X12); returns the updated control."""
+                   now: _dt.datetime | None = None, parallelism: int = 4, raise_on_failure: bool = True,
+                   per_table: bool = False) -> RunSummary:
+    """X9 over the active items of ``control`` (X12); returns the updated control.
+
+    By default each (table, company) item is its own job, isolated like the
+    source system's extractor.  With ``per_table`` each table is read once and
+    written once, partitioned by company (same landing layout), which avoids
+    one scan per company when the source relation is not split by company;
+    a failure then marks every item of that table.
+    """
     summary = RunSummary(batch=batch or new_batch_id(now))
     # the control table is tables x companies: a bounded list for the driver loop
     items = [r.asDict() for r in ctl.active_items(control).collect()]
+    if per_table:
+        return _finish(spark, control, summary, _extract_tables(
+            items, sources, landing_root, company_col, stamp, overlap_minutes, summary.batch, parallelism),
+            landing_root, now, raise_on_failure)
 
     def one(item: dict) -> dict:
         table, company = item["tabela"], item["empresa"]
@@ -68,6 +80,59 @@ def run_extraction(spark: SparkSession, control: DataFrame, sources: dict[str, D
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         outcomes = list(pool.map(one, items))
+    return _finish(spark, control, summary, outcomes, landing_root, now, raise_on_failure)
+
+
+def _extract_tables(items: list[dict], sources: dict[str, DataFrame], root: str, company_col: str, stamp: str,
+                    overlap_minutes: int, batch: str, parallelism: int) -> list[dict]:
+    by_table: dict[str, list[dict]] = {}
+    for item in items:
+        by_table.setdefault(item["tabela"], []).append(item)
+
+    def one_table(table: str) -> list[dict]:
+        group = by_table[table]
+        try:
+            source = sources[table]
+            wanted = None
+            for item in group:   # one predicate per company: its own watermark and load type
+                if item["tipo_carga"] not in LOAD_KINDS:
+                    raise ValueError(f"invalid load type: {item['tipo_carga']!r}")
+                keep = F.col(company_col) == F.lit(item["empresa"])
+                if item["tipo_carga"] == INCREMENTAL and item["ultimo_watermark"] is not None:
+                    keep = keep & (F.col(stamp) > F.lit(lower_bound(item["ultimo_watermark"], overlap_minutes)))
+                wanted = keep if wanted is None else (wanted | keep)
+            obs = Observation(f"landing_{table}_{batch}")
+            metrics = []
+            for i, item in enumerate(group):
+                hit = F.col(company_col) == F.lit(item["empresa"])
+                metrics += [F.count(F.when(hit, 1)).alias(f"n{i}"), F.max(F.when(hit, F.col(stamp))).alias(f"m{i}")]
+            out = (source.filter(wanted)
+                   .withColumn("_lote", F.lit(batch))
+                   .withColumn(LANDING_COMPANY, F.col(company_col)).withColumn(LANDING_BATCH, F.lit(batch))
+                   .observe(obs, *metrics))
+            out.write.mode("append").partitionBy(LANDING_COMPANY, LANDING_BATCH).parquet(f"{root.rstrip('/')}/{table}")
+            got = obs.get
+            results = []
+            for i, item in enumerate(group):
+                n, newest = int(got.get(f"n{i}") or 0), got.get(f"m{i}")
+                wm = item["ultimo_watermark"]
+                if item["tipo_carga"] == INCREMENTAL:
+                    wm = next_watermark_value(wm, [newest])
+                results.append({"tabela": table, "empresa": item["empresa"], "tipo_carga": item["tipo_carga"],
+                                "registros": n, "arquivo": batch_dir(root, table, item["empresa"], batch) if n else None,
+                                "status": ctl.SUCCESS, "novo_watermark": wm})
+            return results
+        except Exception as err:  # noqa: BLE001 - isolate the table, keep going
+            log.exception("extraction of %s failed", table)
+            return [{"tabela": table, "empresa": item["empresa"], "status": ctl.FAILURE, "erro": str(err)}
+                    for item in group]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return [o for outcome in pool.map(one_table, list(by_table)) for o in outcome]
+
+
+def _finish(spark: SparkSession, control: DataFrame, summary: RunSummary, outcomes: list[dict], landing_root: str,
+            now: _dt.datetime | None, raise_on_failure: bool) -> RunSummary:
     for o in outcomes:
         (summary.items if o["status"] == ctl.SUCCESS else summary.failures).append(o)
 

@@ -22,6 +22,8 @@ from ..config import BATCH_FORMAT_PY
 MANIFEST_SCHEMA = ("lote string, gerado_em string, itens array<struct<tabela: string, empresa: string, "
                    "tipo_carga: string, registros: long, arquivo: string>>")
 ITEM_SCHEMA = "tabela string, empresa string, tipo_carga string, registros long, arquivo string"
+LANDING_COMPANY = "empresa"     # directory level names of the landing layout
+LANDING_BATCH = "lote"
 
 
 def new_batch_id(now: _dt.datetime | None = None) -> str:
@@ -30,7 +32,7 @@ def new_batch_id(now: _dt.datetime | None = None) -> str:
 
 
 def batch_dir(root: str, table: str, company: str, batch: str) -> str:
-    return f"{root.rstrip('/')}/{table}/empresa={company}/lote={batch}"
+    return f"{root.rstrip('/')}/{table}/{LANDING_COMPANY}={company}/{LANDING_BATCH}={batch}"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):

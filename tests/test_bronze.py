@@ -107,3 +107,29 @@ def test_extraction_isolates_failing_items(spark, tmp_root):
     assert rows[("sc5", "01")].status_ultima_carga == "SUCESSO" and rows[("sc5", "01")].ultimo_watermark == t
     got = sorted((r.tabela, r.empresa, r.registros) for r in read_manifests(spark, tmp_root).collect())
     assert got == [("sc5", "01", 1), ("sc5", "05", 1)]          # manifest written despite the failure
+
+
+def test_per_table_extraction_lands_the_same_batches(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from salesmart.operators import control as ctl
+    from salesmart.sources.extract import run_extraction
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumnRenamed("ts", "s_t_a_m_p_")
+    items = ev.select(F.lit("events").alias("tabela"), F.col("event_type").alias("empresa"),
+                      F.lit("INCREMENTAL").alias("tipo_carga"), F.lit(True).alias("ativo")).distinct()
+    cut = F.col("s_t_a_m_p_") < F.lit("2024-01-15").cast("timestamp_ntz")
+    got = {}
+    for mode in (False, True):
+        root = f"{tmp_root}/{'table' if mode else 'item'}"
+        first = run_extraction(spark, ctl.sync(ctl.empty_control(spark), items), {"events": ev.filter(cut)}, root,
+                               company_col="event_type", batch="B1", per_table=mode)
+        second = run_extraction(spark, first.control, {"events": ev}, root, company_col="event_type",
+                                batch="B2", per_table=mode)
+        manifest = sorted((r.lote, r.empresa, r.registros) for r in read_manifests(spark, root).collect())
+        n = load_once(spark, f"{root}/events", f"{root}/bronze", f"{root}/ckpt",
+                      "event_id long, s_t_a_m_p_ timestamp_ntz, event_type string, _lote string",
+                      company_pattern="empresa=([^/]+)")
+        rows = sorted((r.event_id, r._lote, r._empresa) for r in read_bronze(spark, f"{root}/bronze").collect())
+        wms = sorted((r.empresa, r.ultimo_watermark) for r in second.control.collect())
+        got[mode] = (manifest, n, rows, wms)
+    assert got[False] == got[True]
+    assert got[True][1] > 0
