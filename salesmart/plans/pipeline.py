@@ -80,9 +80,10 @@ class RunInProgress(RuntimeError):
 class RunLock:
     """One daily load per environment at a time.
 
-    The lock is a file created with Hadoop's atomic ``createNewFile`` in the
-    shared lake folder, so it holds across drivers.  A lock older than ``ttl``
-    (a crashed run) may be taken over.
+    The lock is a file created with Hadoop's ``createNewFile`` in the shared
+    lake folder, so it holds across drivers.  That call is atomic on HDFS and
+    on object stores with conditional creates (e.g. S3A with conditional
+    writes enabled); a lock older than ``ttl`` (a crashed run) may be taken over.
     """
 
     def __init__(self, spark: SparkSession, lake_root: str, env: str,
