@@ -39,7 +39,8 @@ class EventFeed:
     loaded_rerun: int
 
 
-def run(spark: SparkSession, sf_dir: str) -> EventFeed:
+def run(spark: SparkSession, sf_dir: str, per_table: bool = False) -> EventFeed:
+    """Two extraction runs and two load-once passes; ``per_table`` picks the extraction mode."""
     root = scratch_path(spark, "event_feed")
     source = td.read(spark, sf_dir, "events").withColumnRenamed("ts", "s_t_a_m_p_")
     before = source.filter(F.col("s_t_a_m_p_") < F.lit(FIRST_CUT).cast("timestamp_ntz"))
@@ -47,9 +48,9 @@ def run(spark: SparkSession, sf_dir: str) -> EventFeed:
                           F.lit("INCREMENTAL").alias("tipo_carga"), F.lit(True).alias("ativo")).distinct()
     control = ctl.sync(ctl.empty_control(spark), types)
     first = run_extraction(spark, control, {"events": before}, root, company_col="event_type",
-                           batch=FIRST_BATCH, now=_dt.datetime(2024, 1, 15))
+                           batch=FIRST_BATCH, now=_dt.datetime(2024, 1, 15), per_table=per_table)
     run_extraction(spark, first.control, {"events": source}, root, company_col="event_type",
-                   batch=SECOND_BATCH, now=_dt.datetime(2024, 1, 31, 9))
+                   batch=SECOND_BATCH, now=_dt.datetime(2024, 1, 31, 9), per_table=per_table)
     landing, bronze_dir, ckpt = f"{root}/events", f"{root}/bronze/events", f"{root}/_checkpoints/bronze_events"
     n1 = load_once(spark, landing, bronze_dir, ckpt, LANDING_SCHEMA, company_pattern=COMPANY_PATTERN)
     n2 = load_once(spark, landing, bronze_dir, ckpt, LANDING_SCHEMA, company_pattern=COMPANY_PATTERN)
