@@ -1,0 +1,31 @@
+from pyspark.sql import functions as F
+
+from salesmart.operators import sizing
+from salesmart.sources import testdata as td
+
+
+def test_broadcast_only_behind_a_counted_bound(spark):
+    small = spark.range(10).withColumn("k", F.col("id") % 3)
+    assert sizing.is_small(small, max_rows=10)
+    assert not sizing.is_small(small.filter("id >= 0").withColumn("x", F.lit(1)), max_rows=9)
+    hinted = sizing.broadcast_if_small(small, max_rows=10)
+    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    unhinted = sizing.broadcast_if_small(small.withColumn("y", F.lit(2)), max_rows=5)
+    plan = spark.range(100).join(unhinted, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan   # no hint, no static guess
+
+
+def test_estimate_is_a_number(spark):
+    est = sizing.estimated_bytes(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"))
+    assert isinstance(est, int) and est > 0
+
+
+def test_spread_only_narrow_and_large_scans(spark):
+    tiny = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    assert td.spread_if_narrow(tiny) is tiny                      # tiny: left alone
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert td.spread_if_narrow(wide) is wide                      # enough splits: left alone
+    big = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    spread = td.spread_if_narrow(big)
+    assert spread is not big and spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
