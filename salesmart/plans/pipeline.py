@@ -146,7 +146,8 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
         return silver.publish(latest_snapshot(std), spec.name)                       # S7 + S11
     if silver.exists(spec.name) and not reprocess:
         target = silver.table(spec.name)
-        last = newest_batch(target)                                                   # S8
+        # The newest batch recorded at the last publish (no scan), else computed
+        last = silver.newest_batch(spec.name) or newest_batch(target)
         changes = latest_version(batches_after(std, last), spec.keys, spec.order)    # S6
         return silver.publish(upsert(target, changes, spec.keys), spec.name)         # S9
     return silver.publish(latest_version(std, spec.keys, spec.order), spec.name)     # S10

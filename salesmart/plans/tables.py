@@ -44,8 +44,11 @@ def new_version_id() -> str:
 class VersionedCatalog:
     """Publishes DataFrames as versioned external Parquet tables of one database."""
 
+    NEWEST_BATCH = "salesmart.newest_batch"
+
     def __init__(self, spark: SparkSession, root: str, database: str):
         self.spark, self.root, self.database = spark, root.rstrip("/"), database
+        self._newest: dict[str, str | None] = {}       # version path -> newest batch observed at write
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/{database}'")
 
     def qualified(self, table: str) -> str:
@@ -74,8 +77,13 @@ class VersionedCatalog:
         version = version or new_version_id()
         path = self.version_path(table, version)
         obs = Observation(f"publish_{table}_{version}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-        return path, int(obs.get.get("rows", 0) or 0)
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if "_lote" in df.columns:                  # the newest batch, for the next run's S8 filter
+            metrics.append(F.max("_lote").alias("newest_batch"))
+        df.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
+        got = obs.get
+        self._newest[path] = got.get("newest_batch")
+        return path, int(got.get("rows", 0) or 0)
 
     def point_to(self, table: str, path: str, comments: bool = True) -> None:
         """Make ``table`` read ``path``; re-create the entry when the columns differ."""
@@ -90,6 +98,20 @@ class VersionedCatalog:
             self.spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{path}'")
             if comments and table in GOLD_COMMENTS:
                 self.apply_comments(table)
+        newest = self._newest.get(path)
+        if newest is not None:
+            self.spark.sql(f"ALTER TABLE {q} SET TBLPROPERTIES ('{self.NEWEST_BATCH}' = '{_escape(str(newest))}')")
+        else:                                      # unknown for this version: never keep a stale value
+            self.spark.sql(f"ALTER TABLE {q} UNSET TBLPROPERTIES IF EXISTS ('{self.NEWEST_BATCH}')")
+
+    def newest_batch(self, table: str) -> str | None:
+        """The newest batch id recorded when the current version was written, or None."""
+        if not self.exists(table):
+            return None
+        for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(table)}").collect():
+            if r[0] == self.NEWEST_BATCH:
+                return r[1]
+        return None
 
     def apply_comments(self, table: str, dictionary: dict = GOLD_COMMENTS) -> None:
         for stmt in comment_statements(self.qualified(table), table, dictionary):

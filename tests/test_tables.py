@@ -123,3 +123,17 @@ def test_prune_versions_keeps_newest_and_current(spark, tmp_root):
     assert cat.prune_versions("x", keep=2) == ["v2"]        # v1 is current, v3/v4 are the newest two
     assert cat.versions("x") == ["v1", "v3", "v4"]
     assert cat.table("x").count() == 1
+
+
+def test_newest_batch_recorded_at_publish_and_cleared_on_restore(spark, tmp_root):
+    cat = VersionedCatalog(spark, tmp_root, "t_newest")
+    df = spark.createDataFrame([(1, "L1"), (2, "L3"), (3, "L2")], "a int, _lote string")
+    cat.publish(df, "x", version="v1")
+    assert cat.newest_batch("x") == "L3"
+    cat.publish(df.union(spark.createDataFrame([(4, "L9")], df.schema)), "x", version="v2")
+    assert cat.newest_batch("x") == "L9"
+    fresh = VersionedCatalog(spark, tmp_root, "t_newest")        # another driver: nothing observed
+    fresh.restore("x", "v1")
+    assert fresh.newest_batch("x") is None
+    cat.publish(spark.createDataFrame([(1,)], "a int"), "y")
+    assert cat.newest_batch("y") is None
