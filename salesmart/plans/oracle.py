@@ -1,7 +1,7 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 Written independently of the Spark code from the query semantics: the same
-role mapping (``sources.testdata``), the reference's window form for latest
+role mapping (``sources.testdata``), the window form of the original pipeline for latest
 versions, the full dashboard join for the measures.  Tables are the
 pre-registered views of the test parquet files.
 """

@@ -162,7 +162,7 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
 
     ``check_fact_grain`` adds a uniqueness gate on the fact grain (duplicate live
     headers would fan the fact out); ``check_calendar`` adds the fact -> calendar
-    relation to the integrity gate.  Both are off by default, like the reference.
+    relation to the integrity gate.  Both are off by default, as in the original pipeline.
     ``keep_versions`` deletes older Gold and Silver versions after a publish.
     """
     with RunLock(spark, lake_root, env):

@@ -3,7 +3,7 @@
 Each function returns a Bronze-shaped frame (source columns plus the change
 tracking columns ``_empresa d_e_l_e_t_ r_e_c_n_o_ s_t_a_m_p_ _lote``) so the
 operators run on the test tables exactly as on ERP extracts.  This is our own
-design, not reference data:
+design, not source-system data:
 
 * one company ``01``; branch = the customer's nation (two digits);
 * orders = order headers, ``o_orderstatus = 'F'`` marks a logically deleted header;
