@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import SILVER_KEYS
@@ -80,14 +80,57 @@ def key_bucket(keys: Sequence[str], buckets) -> Column:
     return _bucketing(buckets).column(keys)
 
 
+_MARKER = "_meta/newest_batch"      # '_' keeps it out of partition discovery
+
+
+def _marker_path(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{_MARKER}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def read_newest_batch(spark, path: str) -> str | None:
+    """The newest batch id recorded for a bucketed table, or None (then scan for it)."""
+    fs, p = _marker_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        value = reader.readLine()
+    finally:
+        stream.close()
+    return value or None
+
+
+def _write_newest_batch(spark, path: str, value) -> None:
+    fs, p = _marker_path(spark, path)
+    if value is None:
+        fs.delete(p, False)
+        return
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(str(value).encode("utf-8")))
+    finally:
+        out.close()
+
+
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets=64) -> None:
     """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
 
     Rows are clustered by bucket before the write, so each bucket directory is
-    written by one task (one file per bucket, not one per task and bucket).
+    written by one task (one file per bucket, not one per task and bucket).  The
+    newest batch id is observed during the write and recorded next to the data.
     """
     bucketed = df.withColumn(BUCKET, key_bucket(keys, buckets)).repartition(BUCKET)
-    bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    if "_lote" in df.columns:
+        obs = Observation(f"bucketed_{id(df):x}")
+        bucketed.observe(obs, F.max("_lote").alias("newest")).write.mode("overwrite") \
+            .partitionBy(BUCKET).parquet(path)
+        _write_newest_batch(df.sparkSession, path, obs.get.get("newest"))
+    else:
+        bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: str,
@@ -120,4 +163,9 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     merged.repartition(BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
     (spark.read.parquet(merged_path).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
+    if "_lote" in src.columns:             # newest batch = max(recorded, newest of the staged changes)
+        known = read_newest_batch(spark, target_path)
+        newest = src.agg(F.max("_lote")).first()[0]
+        candidates = [v for v in (known, newest) if v is not None]
+        _write_newest_batch(spark, target_path, max(candidates) if candidates else None)
     return touched

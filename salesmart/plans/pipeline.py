@@ -24,7 +24,8 @@ from ..operators import quality
 from ..operators.control import sync
 from ..operators.fact import order_fact
 from ..operators.standardise import conversion_rejects, standardise
-from ..operators.upsert import BUCKET, Bucketing, upsert, upsert_touched_buckets, write_bucketed
+from ..operators.upsert import (BUCKET, Bucketing, read_newest_batch, upsert, upsert_touched_buckets,
+                                write_bucketed)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.watermark import FULL
 from ..sources.extract import run_extraction
@@ -135,8 +136,8 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
     if spec.buckets and spec.load_type != FULL:
         path = bucketed_path(silver, spec.name)
         if path_exists(spark, path) and not reprocess:
-            current = spark.read.parquet(path)
-            changes = latest_version(batches_after(std, newest_batch(current)), spec.keys, spec.order)
+            last = read_newest_batch(spark, path) or newest_batch(spark.read.parquet(path))   # S8
+            changes = latest_version(batches_after(std, last), spec.keys, spec.order)
             touched = upsert_touched_buckets(path, changes, scratch_path(spark, "silver_staging", spec.name),
                                              spec.keys, buckets=spec.buckets)
             return {"table": spec.name, "path": path, "buckets_rewritten": len(touched)}
