@@ -77,7 +77,7 @@ def test_register_bronze_with_comment(spark, tmp_root):
     land, bronze, ckpt = f"{tmp_root}/landing", f"{tmp_root}/bronze/sc5", f"{tmp_root}/ckpt/sc5"
     _land(spark, land, "01", "L1", [(1, dt.datetime(2026, 1, 1), "a")])
     load_once(spark, f"{land}/sc5", bronze, ckpt, SCHEMA)
-    spark.sql("CREATE DATABASE IF NOT EXISTS t_bronze")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_bronze LOCATION '{tmp_root}/db'")
     register_bronze(spark, "t_bronze.sc5", bronze, "Bronze: espelho da tabela sc5")
     assert spark.catalog.getTable("t_bronze.sc5").description == "Bronze: espelho da tabela sc5"
     assert spark.table("t_bronze.sc5").count() == 1
