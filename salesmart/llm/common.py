@@ -106,10 +106,14 @@ class Words:
         self.per_row = np.bincount(self.row, minlength=self.rows)
         self.first = np.concatenate([[0], np.cumsum(self.per_row)])
         power, inverse = _powers(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CODE[norm] * power[:n], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * inverse[self.start]
-                        + (self.end - self.start).astype(np.uint64))
+        self._sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_CODE[norm] * power[:n], out=self._sums[1:])
+        self._inverse = inverse
+        self.hash = self.range_hash(self.start, self.end)
+
+    def range_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the normalised bytes of ranges."""
+        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.norm[self.start[i]:self.end[i]].tobytes()
