@@ -6,14 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bagminhash, decontaminate
+from salesmart.llm import bagminhash, bpe, decontaminate, pii, toxicity
 from salesmart.llm.common import small_arrow_batches
+from salesmart.llm.settings import PII_KEY, tokenizer_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.digest(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +45,6 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _prepared(f) for f in (op7_bagminhash, op9_decontaminate)}
+    f.__name__: _prepared(f) for f in (op2_surrogates, op3_toxicity, op6_bpe, op7_bagminhash, op9_decontaminate)}
 
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,85 @@
+import re
+
+import pytest
+
+from salesmart.llm import pii
+
+ROWS = [
+    (1, "Mail JOHN.DOE7@MAIL.EXAMPLE.COM or john.doe7@mail.example.com, call +1 (017) 555-7713 / +1-017-555-7713."),
+    (2, "Card 4111 1111 1111 1111 and 4111-1111-1111-1111, then 4952935900253052###"),
+    (3, "Frau Anna Schmidt met Mr. John Smith. Mr. Smith said hi. Анна Петрова писала. Anna Smith too"),
+    (4, 'IP 10.1.2.3, SSN 123-45-6789, token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b" TOKEN 9233A8ECF7C5B09FE5949719B6B82BC439E9329B!!'),
+    (5, None), (6, ""), (7, "Version 2.0 of 1999, no. 12, e@ma il 3.14 At 10:30 on 2024-01-02"), (8, "DE89 3704 0044 0532 0130 00"),
+    (1, "Mail JOHN.DOE7@MAIL.EXAMPLE.COM or john.doe7@mail.example.com, call +1 (017) 555-7713 / +1-017-555-7713."),
+]
+
+
+def luhn(digits):
+    ds = [int(c) for c in digits[::-1]]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(ds)) % 10
+
+
+@pytest.fixture(scope="module")
+def replaced(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("pii") / "d")
+    spark.createDataFrame([(i, t, len(t or ""), "x") for i, t in ROWS], "doc_id long, text string, n_chars long, N_entities string") \
+        .write.parquet(path)
+    out, count = pii.replace(spark.read.parquet(path), "k")
+    assert count == "n_entities_"
+    return {r.doc_id: r for r in out.collect()}, out.count()
+
+
+def test_formats_and_coreference(replaced):
+    rows, n = replaced
+    assert n == len(ROWS)
+    upper, lower = re.findall(r"\S+@\S+(?=,| )", rows[1].text.replace(",", " ,"))
+    assert upper == lower.upper() and lower != "john.doe7@mail.example.com"
+    assert re.fullmatch(r"[a-z]{4}\.[a-z]{3}\d@[a-z]{4}\.[a-z]{7}\.com", lower)
+    a, b = re.findall(r"\+1[ -][(\d) -]+\d", rows[1].text)
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", a) and re.sub(r"\D", "", a) == re.sub(r"\D", "", b) != "10175557713"
+    c = re.findall(r"\d[\d -]{14,}\d", rows[2].text)
+    assert c[0].replace(" ", "-") == c[1] and luhn(c[0].replace(" ", "")) == 0 and c[0] != "4111 1111 1111 1111"
+    assert rows[2].text.endswith("###") and "4952935900253052" not in rows[2].text
+    ip = re.search(r"IP ([\d.]+),", rows[4].text)[1].split(".")
+    assert len(ip) == 4 and all(0 < int(x) < 256 for x in ip)
+    one, two = re.findall(r"\b[0-9a-fA-F]{40}\b", rows[4].text)
+    assert one.upper() == two and "9233" != one[:4]
+    assert rows[1].n_chars == len(rows[1].text)
+
+
+def test_names_keep_gender_script_and_person(replaced):
+    m = re.fullmatch(r"Frau (\w+) (\w+) met Mr\. (\w+) (\w+)\. Mr\. (\w+) said hi\. (\w+) (\w+) писала\. (\w+) (\w+) too", replaced[0][3].text)
+    anna, schmidt, john, smith, smith2, anna_c, petrova, anna2, smith3 = m.groups()
+    assert anna == anna2 in pii.GIVEN["f", "latin"] and john in pii.GIVEN["m", "latin"] and anna_c in pii.GIVEN["f", "cyrillic"]
+    assert smith == smith2 == smith3 != schmidt and re.fullmatch("[А-я]+", petrova)
+    assert not {"Anna", "John", "Smith", "Schmidt"} & {anna, john, smith, schmidt}
+
+
+def test_clean_null_and_empty_texts_stay(replaced):
+    for i in (5, 6, 7):
+        assert replaced[0][i].text == dict(ROWS)[i] and replaced[0][i].n_entities_ == 0
+
+
+def test_collisions_are_drawn_again(spark):
+    names = [n.lower() for n in pii.GIVEN["f", "latin"]] + [f"name{i}" for i in range(200)]
+    ips = [f"1.1.{i}.{j}" for i in range(20) for j in range(20)]
+    table = spark.createDataFrame([("given_f", n) for n in names] + [("ip", x) for x in ips] * 2, "kind string, key string")
+    rows = pii.surrogates(table, "k").collect()
+    assert len(rows) == len({(r.kind, r.surrogate) for r in rows}) == len(names) + len(ips)
+    assert not {(r.kind, r.surrogate) for r in rows} & {(r.kind, r.key) for r in rows}
+
+
+def test_whole_table_and_empty_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    old = {r.doc_id: r.text for r in docs.collect()}
+    out = {r.doc_id: r for r in pii.digest(docs, "k").collect()}
+    private = r"[\w.+-]+@[\w.-]+\.com|\+\d \(\d+\) \d+-\d+|\b\d{16}\b|\b\d+\.\d+\.\d+\.\d+\b|\b[0-9a-fA-F]{40}\b"
+    seen = {}
+    for i, text in old.items():
+        a, b = re.findall(private, text), re.findall(private, out[i].text)
+        assert len(a) == len(b) == out[i].n_entities and not set(a) & set(b)
+        assert re.sub(private, "", text) == re.sub(private, "", out[i].text)
+        for x, y in zip(a, b):
+            assert seen.setdefault(x.lower(), y.lower()) == y.lower()
+    assert len(set(seen.values())) == len(seen)
+    assert pii.digest(docs.limit(0), "k").count() == 0
