@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bagminhash, bpe, decontaminate, pii, quality_rules, toxicity
+from salesmart.llm import bagminhash, bpe, decontaminate, gru_lm, pii, quality_rules, toxicity
 from salesmart.llm.common import small_arrow_batches
 from salesmart.llm.settings import PII_KEY, tokenizer_path
 
@@ -23,6 +23,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,6 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _prepared(f) for f in (op2_surrogates, op3_toxicity, op5_quality_rules, op6_bpe, op7_bagminhash, op9_decontaminate)}
+    f.__name__: _prepared(f) for f in (op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op9_decontaminate)}
 
 ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
