@@ -142,8 +142,8 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         at = end
 
 
-def word_slices(column: pa.Array, table: np.ndarray) -> Iterator[tuple[int, int, Words]]:
-    for at, end, raw, offsets in text_slices(column):
+def word_slices(column: pa.Array, table: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
+    for at, end, raw, offsets in text_slices(column, limit):
         yield at, end, Words(raw, offsets, table)
 
 

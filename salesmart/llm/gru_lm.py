@@ -38,7 +38,9 @@ from salesmart.llm.common import BLANKS, Words, fold_of, lookup, mix, stage, wor
 HELD_OUT_FOLD = 1
 FREQUENT, CLASSES, RARE = 1024, 32, 32
 KNOWN = 65536
-HIDDEN, WINDOW, LANES = 24, 32, 32
+HIDDEN, WINDOW, LANES = 16, 32, 32
+#: Bytes of text that a task scores side by side.
+SCORE_BYTES = 4 << 20
 TRAIN_TEXTS, SHARD_BYTES, ROUNDS, STEPS = 40, 1 << 20, 3, 120
 RATE = 0.01
 
@@ -275,12 +277,11 @@ def _replica(shared, turn: int):
     return run
 
 
-def _log10_text(model: Gru, code: Coder, hashes: np.ndarray, rare: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _log_text(model: Gru, x: np.ndarray, head: np.ndarray, member: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Natural-log probability per text of its frequent tokens and of its rare words' classes, all texts side by side.
 
     Texts go through in the order of their length; a lane's state is carried until its text ends.
     """
-    x, head, member, _ = code(hashes, rare)
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     out = np.zeros(len(length))
@@ -339,16 +340,16 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
         model.p = _unpack(s["weights"], model.p)
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for at, end, w in word_slices(batch.column(1), BLANKS):
+            for at, end, w in word_slices(batch.column(1), BLANKS, SCORE_BYTES):
                 hashes, rare, first = _tokens(w)
+                x, head, member, is_frequent = code(hashes, rare)
                 n = np.diff(first)
                 owner = np.repeat(np.arange(w.rows), n)
                 place = lookup(s["keys"], hashes)
                 known = place >= 0
                 count = s["counts"][place[known]] if len(s["keys"]) else np.zeros(0)
-                is_frequent = lookup(np.sort(s["frequent"]), hashes) >= 0
                 base = np.bincount(owner[known], np.log10(count + 0.5), w.rows) - n * s["base"]
-                text_score = _log10_text(model, code, hashes, rare, first) / np.log(10)
+                text_score = _log_text(model, x, head, member, first) / np.log(10)
                 text_score -= np.bincount(owner[~is_frequent], s["rare"][rare[~is_frequent]], w.rows)
                 middle = known & ~is_frequent
                 text_score += np.bincount(owner[middle], np.log10(s["counts"][place[middle]] + 0.5) if middle.any() else None, w.rows)
