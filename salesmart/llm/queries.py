@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bagminhash, bpe, decontaminate, gru_lm, pii, quality_rules, toxicity
+from salesmart.llm import bagminhash, bpe, decontaminate, gru_lm, html_blocks, pii, quality_rules, toxicity
 from salesmart.llm.common import small_arrow_batches
 from salesmart.llm.settings import PII_KEY, tokenizer_path
 
@@ -39,6 +39,10 @@ def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.digest(_table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +57,6 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _prepared(f) for f in (op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op9_decontaminate)}
+    f.__name__: _prepared(f) for f in (op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op8_html_blocks, op9_decontaminate)}
 
 ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
