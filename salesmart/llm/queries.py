@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bagminhash, bpe, decontaminate, gru_lm, html_blocks, pii, quality_rules, toxicity
+from salesmart.llm import bagminhash, bpe, decontaminate, eod_counts, gru_lm, html_blocks, license_scan, pii, quality_rules, toxicity
 from salesmart.llm.common import small_arrow_batches
 from salesmart.llm.settings import PII_KEY, tokenizer_path
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(_table(spark, sf_dir, "documents"))
+
+
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"), PII_KEY)
 
@@ -47,6 +51,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_eod_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eod_counts.digest(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_arrow_batches(spark)
@@ -57,6 +65,6 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _prepared(f) for f in (op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op8_html_blocks, op9_decontaminate)}
+    f.__name__: _prepared(f) for f in (op1_license_scan, op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op8_html_blocks, op9_decontaminate, op10_eod_counts)}
 
 ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
