@@ -12,9 +12,9 @@ shingle instead of one hash per shingle and component.
 Candidates.  ``BANDS`` bands of ``ROWS`` components; a pair of similarity 0.8 shares no band with
 probability 7e-6.  Texts with equal shingle multisets are merged first.  Inside a bucket no list of
 pairs is made: all members are compared with one hub, and what hubs leave open (members of
-different components that were never compared) gets further hubs and in the end a blockwise
-comparison of signatures inside tasks, which emits only pairs whose signatures agree.  Every
-emitted pair is verified on the texts: sum(min)/sum(max) of shingle counts >= ``SIMILARITY``.
+different components that were never compared) is compared inside tasks, block by block of bounded
+size, which emit only links that join components.  Every link is verified on the texts:
+sum(min)/sum(max) of shingle counts >= ``SIMILARITY``.
 Classes are the connected components of verified links.
 
 Words: letters, digits and non-ASCII characters, A-Z lower-cased.  Texts of one to four words are
@@ -44,8 +44,8 @@ BANDS, ROWS = 30, 5
 SIZE = BANDS * ROWS
 #: Signature agreement below which a candidate is not verified: 0.8 less 3.5 standard deviations.
 AGREEMENT = SIMILARITY - 3.5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / SIZE)
-#: Hub rounds before the blockwise comparison, and members of a block of it.
-HUB_ROUNDS, BLOCK = 3, 2000
+#: Rows and bytes of text of a block of the blockwise comparison.
+BLOCK, BLOCK_BYTES = 1000, 8 << 20
 
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
@@ -151,8 +151,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep[empty] = False
                 keys = pa.array([k if ok else [] for k, ok in zip(_band_keys(ids), keep)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, end - at), pa.array(prints[0]), pa.array(prints[1]), keys, bytes_],
-                names=["rid", "f1", "f2", "bands", "sig"])
+                [batch.column(0).slice(at, end - at), pa.array(prints[0]), pa.array(prints[1]), keys, bytes_,
+                 pa.array(np.diff(offsets))], names=["rid", "f1", "f2", "bands", "sig", "size"])
 
 
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,22 +185,43 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["u", "v", "similarity"])
 
 
-def _block_pairs(table: pa.Table) -> pa.Table:
-    """Rows of two blocks of one bucket -> pairs of different components whose signatures agree."""
+def _block_links(table: pa.Table) -> pa.Table:
+    """Rows of two blocks of one bucket -> verified links that join different components.
+
+    Pairs whose signatures agree are verified on the spot, most alike first; components that a link has
+    joined need no further link between them, so a block emits fewer links than it has components.
+    """
     block, rid, comp = (table.column(c).to_numpy() for c in ("block", "rid", "comp"))
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, SIZE)
+    texts, made = table.column("t"), {}
+
+    def multiset(k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k not in made:
+            made[k] = _multiset(texts[k].as_py())
+        return made[k]
+
     lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
     left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    us, vs = [], []
+    _, label = np.unique(comp, return_inverse=True)
+    u, v, score = [], [], []
     for i in left:
-        others = right[comp[right] != comp[i]]
+        others = right[label[right] != label[i]]
         if lo == hi:
             others = others[rid[others] > rid[i]]
-        near = others[(sig[others] == sig[i]).mean(axis=1) >= AGREEMENT] if len(others) else others
-        us.append(np.full(len(near), rid[i]))
-        vs.append(rid[near])
-    us, vs = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (us, vs))
-    return pa.table({"u": np.minimum(us, vs), "v": np.maximum(us, vs)})
+        agree = (sig[others] == sig[i]).mean(axis=1) if len(others) else np.zeros(0)
+        for k in np.argsort(-agree, kind="stable"):
+            j = int(others[k])
+            if agree[k] < AGREEMENT:
+                break
+            if label[i] == label[j]:
+                continue
+            low, high = multiset_jaccard(multiset(int(i)), multiset(j))
+            if low >= SIMILARITY * high - 1e-9:
+                u.append(min(rid[i], rid[j]))
+                v.append(max(rid[i], rid[j]))
+                score.append(low / high)
+                label[label == label[j]] = label[i]
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "similarity": pa.array(score, pa.float64())})
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -214,12 +235,12 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     class is the smallest rid of its rows' representatives.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(text).alias("t"))
-    sketch = stage(rows.mapInArrow(_sketch, "rid long, f1 long, f2 long, bands array<long>, sig binary"), "bag-sketch")
+    sketch = stage(rows.mapInArrow(_sketch, "rid long, f1 long, f2 long, bands array<long>, sig binary, size long"), "bag-sketch")
     least = sketch.groupBy("f1", "f2").agg(F.min("rid").alias("rep"))
     member = sketch.select("rid", "f1", "f2").join(least, ["f1", "f2"]).select("rid", "rep")
     member = stage(member, "bag-member")
     reps = stage(sketch.join(member.where("rid = rep").select("rid"), "rid", "left_semi").where(F.size("bands") > 0)
-                 .select("rid", "bands", "sig"), "bag-reps")
+                 .select("rid", "bands", "sig", "size"), "bag-reps")
     buckets = reps.select("rid", F.explode("bands").alias("bk"))
     shared = buckets.groupBy("bk").agg(F.min("rid").alias("hub"), F.max("rid").alias("top")).where("hub <> top").select("bk", "hub")
     buckets = stage(buckets.join(shared, "bk"), "bag-buckets")
@@ -235,41 +256,30 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
                 .join(texts.withColumnsRenamed({"rid": "u", "t": "tu"}), "u").select("u", "v", "tu", "tv"))
         return stage(full.mapInArrow(_verify, "u long, v long, similarity double"), "bag-links")
 
-    links, comps, left = None, None, buckets
-    for turn in range(HUB_ROUNDS + 1):
-        if turn:
-            # Members of other components than each other that no hub of their bucket has settled.
-            left = left.where("rid <> hub").select("bk", "rid").join(
-                comps.withColumnsRenamed({"node": "rid", "component": "comp"}), "rid", "left") \
-                .select("bk", "rid", F.coalesce("comp", "rid").alias("comp"))
-            split = left.groupBy("bk").agg(F.min("rid").alias("hub"), F.min("comp").alias("a"), F.max("comp").alias("b"),
-                                           F.min_by("comp", "rid").alias("hub_comp"), F.count("*").alias("n")) \
-                .where("a <> b").drop("a", "b")
-            left = stage(left.join(split, "bk"), "bag-open")
-            if left.isEmpty():
-                break
-        if turn == HUB_ROUNDS:
-            pairs = _blockwise(left, signature)
-        elif turn:
-            pairs = left.where("rid <> hub and comp <> hub_comp").select(F.col("hub").alias("u"), F.col("rid").alias("v")).distinct()
-        else:
-            pairs = left.where("rid <> hub").select(F.col("hub").alias("u"), F.col("rid").alias("v")).distinct()
-        new = linked(pairs)
-        links = new if links is None else links.unionAll(new)
-        comps = stage(components(links.select("u", "v")), "bag-components")
+    first = buckets.where("rid <> hub").select(F.col("hub").alias("u"), F.col("rid").alias("v")).distinct()
+    links = linked(first)
+    comps = stage(components(links.select("u", "v")), "bag-components")
+    # Members of different components that no hub has compared.
+    left = buckets.where("rid <> hub").select("bk", "rid").join(
+        comps.withColumnsRenamed({"node": "rid", "component": "comp"}), "rid", "left") \
+        .select("bk", "rid", F.coalesce("comp", "rid").alias("comp")).join(reps.select("rid", "sig", "size"), "rid")
+    split = left.groupBy("bk").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n"),
+                                   F.sum("size").alias("bytes")).where("a <> b").drop("a", "b")
+    more = _blockwise(left.join(split, "bk"), texts)
+    links = links.unionAll(stage(more, "bag-links"))
+    comps = stage(components(links.select("u", "v")), "bag-components")
     result = member.join(comps.withColumnsRenamed({"node": "rep", "component": "comp"}), "rep", "left") \
         .select("rid", F.coalesce("comp", "rep").alias("class"))
     return result, links
 
 
-def _blockwise(left: DataFrame, signature: DataFrame) -> DataFrame:
-    """All pairs of different components in each open bucket, compared in tasks by blocks of bounded size."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (left.select("bk", "rid", "comp", "n").join(signature, "rid")
-             .withColumn("block", F.pmod(F.xxhash64("rid", F.lit(7)), blocks).cast("int"))
+def _blockwise(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links inside each open bucket, compared in tasks by blocks of bounded rows and bytes."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    dealt = (left.join(texts, "rid").withColumn("block", F.pmod(F.xxhash64("rid", F.lit(7)), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("bk", "rid", "comp", "sig", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
-    return dealt.groupBy("bk", "lo", "hi").applyInArrow(_block_pairs, "u long, v long").distinct()
+             .select("bk", "rid", "comp", "sig", "t", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+    return dealt.groupBy("bk", "lo", "hi").applyInArrow(_block_links, "u long, v long, similarity double")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -51,7 +51,6 @@ def test_many_near_copies_of_one_text_in_one_class(spark, tmp_path):
 
 
 def test_what_hubs_leave_open_is_compared_blockwise(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(bagminhash, "HUB_ROUNDS", 1)
     monkeypatch.setattr(bagminhash, "BLOCK", 3)
     core = [f"c{i}" for i in range(100)]
     texts = [" ".join(core + [f"{g}x{i}" for i in range(35)] + [f"{g}y{k}"]) for g in range(12) for k in range(3)]
