@@ -119,18 +119,19 @@ def _write_newest_batch(spark, path: str, value) -> None:
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets=64) -> None:
     """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
 
-    Rows are clustered by bucket before the write, so each bucket directory is
-    written by one task (one file per bucket, not one per task and bucket).  The
+    The write replaces the whole table whatever the session's overwrite mode says.
+    Rows are rebalanced by bucket before it, so a bucket has few files and a bucket
+    beyond the advisory size is split over tasks.  The
     newest batch id is observed during the write and recorded next to the data.
     """
-    bucketed = df.withColumn(BUCKET, key_bucket(keys, buckets)).repartition(BUCKET)
+    bucketed = df.withColumn(BUCKET, key_bucket(keys, buckets)).hint("rebalance", BUCKET)
     if "_lote" in df.columns:
         obs = Observation(f"bucketed_{id(df):x}")
         bucketed.observe(obs, F.max("_lote").alias("newest")).write.mode("overwrite") \
-            .partitionBy(BUCKET).parquet(path)
+            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
         _write_newest_batch(df.sparkSession, path, obs.get.get("newest"))
     else:
-        bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        bucketed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
 
 
 def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: str,
@@ -160,7 +161,7 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     # cluster the merged rows (touched buckets only) by bucket: one writer and one
     # file per bucket instead of one file per task and bucket
     merged_path = f"{staging_path.rstrip('/')}/merged"
-    merged.repartition(BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
+    merged.hint("rebalance", BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
     (spark.read.parquet(merged_path).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
     if "_lote" in src.columns:             # newest batch = max(recorded, newest of the staged changes)

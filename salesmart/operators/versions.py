@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import BROADCAST_MAX_ROWS, SILVER_KEYS, VERSION_ORDER
+from ..config import SILVER_KEYS, VERSION_ORDER
 
 
 def latest_version(df: DataFrame, keys: Sequence[str] = SILVER_KEYS, order: Sequence[str] = VERSION_ORDER,
@@ -46,30 +46,16 @@ def newest_batches(df: DataFrame, company: str = "cod_empresa", batch: str = "_l
     return pairs.groupBy("_c").agg(F.max_by("_b", "_b").alias("_b"))
 
 
-def latest_snapshot(df: DataFrame, company: str = "cod_empresa", batch: str = "_lote",
-                    max_groups: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def latest_snapshot(df: DataFrame, company: str = "cod_empresa", batch: str = "_lote") -> DataFrame:
     """Rows whose batch is the newest batch of their company.
 
-    The per-company maximum comes from the distinct (company, batch) pairs
-    (a hash aggregate with map-side combine).  When the number of companies is
-    within ``max_groups`` (counted), the maxima are brought back once and used
-    twice: as a literal ``batch IN (...)`` filter that reaches the Parquet scan
-    (older batches' row groups are skipped by their statistics), and as a small
-    broadcast side of a null-safe semi join (a NULL company is its own group).
-    Beyond the bound the maxima stay distributed and are joined without a hint.
-    The whole table is never shuffled onto one task per company.
+    The per-company maximum comes from the distinct (company, batch) pairs (a hash
+    aggregate with map-side combine) and meets the rows in a null-safe semi join, which
+    AQE turns into a broadcast of the measured few rows.  Nothing is collected, and the
+    table is never shuffled onto one task per company.
     """
-    newest = newest_batches(df, company, batch)
     cond = F.col(company).eqNullSafe(F.col("_c")) & (F.col(batch) == F.col("_b"))
-    rows = newest.limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        return df.join(newest, cond, "left_semi")
-    if not rows:
-        return df.limit(0)
-    schema = newest.schema
-    small = df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-    wanted = sorted({r["_b"] for r in rows if r["_b"] is not None})
-    return df.filter(F.col(batch).isin(wanted)).join(F.broadcast(small), cond, "left_semi")
+    return df.join(newest_batches(df, company, batch), cond, "left_semi")
 
 
 def newest_batch(target: DataFrame, batch: str = "_lote"):

@@ -1,27 +1,19 @@
 """V1-V7: the commercial dashboard's dataset and measures.
 
 The dataset (V1) is the fact INNER JOIN unit, LEFT JOIN product, seller and
-customer.  A measure needs only the joins that feed its columns; dropping a
-LEFT join is exact only while that dimension's key is unique (a repeated key
-would fan the fact out), so the uniqueness of every skipped dimension key is
-checked once and the full join is used otherwise.  The inner join to the unit
-dimension filters rows and always stays.
-
-Every dimension is broadcast only behind a row-count bound; beyond it Catalyst
-and AQE choose the join.
+customer.  Measures keep every join of the dataset, because a repeated dimension key
+repeats fact rows in it.  Joins are unhinted: AQE broadcasts a dimension by its
+measured size.
 """
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import BROADCAST_MAX_ROWS, REFRESH_FORMAT
-from ..operators.quality import has_duplicate_keys
-from ..operators.sizing import broadcast_if_small
+from ..config import REFRESH_FORMAT
 
 TOTAL = "decimal(38,2)"
 
@@ -31,8 +23,6 @@ _LEFT_DIMS = {
     "seller": (["cod_empresa", "cod_vendedor"], {"des_vendedor": "des_nome"}),
     "customer": (["cod_empresa", "cod_cliente", "cod_loja"], {"des_cliente": "des_nome"}),
 }
-_UNIQUE_CACHE: dict = {}
-_UNIQUE_SECONDS = 600        # verdicts are reused briefly (see operators/sizing.py)
 DATASET_COLUMNS = ["dat_emissao", "des_status", "vlr_total", "vlr_saldo", "qtd_vendida", "des_unidade",
                    "des_produto", "des_vendedor", "des_cliente"]
 
@@ -44,35 +34,19 @@ class SalesStar:
     product: DataFrame
     seller: DataFrame
     customer: DataFrame
-    broadcast_rows: int = BROADCAST_MAX_ROWS
-    _unique: dict = field(default_factory=dict)
 
     def _dim(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def _key_unique(self, name: str) -> bool:
-        if name not in self._unique:
-            keys = _LEFT_DIMS[name][0]
-            dim = self._dim(name).select(*keys)
-            # memoised per input plan for a few minutes
-            sig = (dim.semanticHash(), tuple(keys))
-            now = time.monotonic()
-            if sig not in _UNIQUE_CACHE or now - _UNIQUE_CACHE[sig][1] > _UNIQUE_SECONDS:
-                _UNIQUE_CACHE[sig] = (not has_duplicate_keys(dim, keys), now)
-            self._unique[name] = _UNIQUE_CACHE[sig][0]
-        return self._unique[name]
-
     def dataset(self, columns: list[str] | None = None) -> DataFrame:
         """V1 restricted to ``columns`` (all nine by default)."""
         wanted = list(columns or DATASET_COLUMNS)
-        unit = broadcast_if_small(self.unit.select("cod_empresa", "cod_filial", "des_unidade"), self.broadcast_rows)
+        unit = self.unit.select("cod_empresa", "cod_filial", "des_unidade")
         df = self.fact.join(unit, ["cod_empresa", "cod_filial"], "inner")
+        # Every join stays, also where no column is wanted: a repeated dimension key repeats fact rows.
         for name, (keys, outputs) in _LEFT_DIMS.items():
-            needed = any(c in wanted for c in outputs)
-            if not needed and self._key_unique(name):
-                continue
             dim = self._dim(name).select(*keys, *[F.col(src).alias(dst) for dst, src in outputs.items()])
-            df = df.join(broadcast_if_small(dim, self.broadcast_rows), keys, "left")
+            df = df.join(dim, keys, "left")
         return df.select(*wanted)
 
     # V2

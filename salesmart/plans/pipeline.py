@@ -74,42 +74,6 @@ ERP_DOMAIN = Domain(
 )
 
 
-class RunInProgress(RuntimeError):
-    pass
-
-
-class RunLock:
-    """One daily load per environment at a time.
-
-    The lock is a file created with Hadoop's ``createNewFile`` in the shared
-    lake folder, so it holds across drivers.  That call is atomic on HDFS and
-    on object stores with conditional creates (e.g. S3A with conditional
-    writes enabled); a lock older than ``ttl`` (a crashed run) may be taken over.
-    """
-
-    def __init__(self, spark: SparkSession, lake_root: str, env: str,
-                 ttl: _dt.timedelta = _dt.timedelta(hours=6)):
-        jvm = spark.sparkContext._jvm
-        self.path = jvm.org.apache.hadoop.fs.Path(f"{lake_root.rstrip('/')}/_locks/{env}.lock")
-        self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.ttl = ttl
-
-    def __enter__(self):
-        if not self.fs.createNewFile(self.path):
-            now_ms = int(_dt.datetime.now(_dt.UTC).timestamp() * 1000)
-            age_ms = now_ms - self.fs.getFileStatus(self.path).getModificationTime()
-            if age_ms < self.ttl.total_seconds() * 1000:
-                raise RunInProgress(f"another load holds {self.path.toString()}")
-            self.fs.delete(self.path, False)
-            if not self.fs.createNewFile(self.path):
-                raise RunInProgress(f"another load took over {self.path.toString()}")
-        return self
-
-    def __exit__(self, *exc):
-        self.fs.delete(self.path, False)
-        return False
-
-
 @dataclass
 class LoadReport:
     silver: dict = field(default_factory=dict)
@@ -159,17 +123,16 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
                loaded_at=None, manifests: DataFrame | None = None, bronze_counts: DataFrame | None = None,
                parallelism: int = 5, raise_on_failure: bool = True, check_fact_grain: bool = False,
                check_calendar: bool = False, keep_versions: int | None = None) -> LoadReport:
-    """Silver -> Gold versions -> gates -> publish (one run per environment at a time).
+    """Silver -> Gold versions -> gates -> publish (the scheduler starts one run per environment at a time).
 
     ``check_fact_grain`` adds a uniqueness gate on the fact grain (duplicate live
     headers would fan the fact out); ``check_calendar`` adds the fact -> calendar
     relation to the integrity gate.  Both are off by default, as in the original pipeline.
     ``keep_versions`` deletes older Gold and Silver versions after a publish.
     """
-    with RunLock(spark, lake_root, env):
-        return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
-                           bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar,
-                           keep_versions)
+    return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
+                       bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar,
+                       keep_versions)
 
 
 def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests, bronze_counts,

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..operators import audits, control, quality, watermark
 from ..operators import dimensions as dims
 from ..operators import fact as fact_ops
-from ..operators.sizing import broadcast_if_small
 from ..operators.standardise import standardise
 from ..operators.upsert import upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
@@ -140,7 +139,7 @@ def q_next_watermark(spark, d):
     """X2 + X5 + X13 for every (table, company) item at once."""
     ev = _event_items(spark, d)
     ctl = _previous_event_control(spark, d)
-    marks = broadcast_if_small(ctl.select("tabela", "empresa", "ultimo_watermark"), SMALL_ROWS)
+    marks = ctl.select("tabela", "empresa", "ultimo_watermark")
     extracted = watermark.incremental_by_column(ev.join(marks, ["tabela", "empresa"]), F.col("ultimo_watermark"),
                                                 stamp="ts").drop("ultimo_watermark")
     advanced = watermark.next_watermark(ctl, extracted, stamp="ts")

@@ -24,17 +24,20 @@ from ..config import GOLD_COMMENTS
 from ..sources.landing import path_exists
 
 
-def _escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+_QUOTED = str.maketrans({"\\": "\\\\", "'": "\\'"})
+
+
+def _literal(text: str) -> str:
+    """A SQL string literal."""
+    return f"'{text.translate(_QUOTED)}'"
 
 
 def comment_statements(qualified: str, table: str, dictionary: dict = GOLD_COMMENTS) -> list[str]:
-    """COMMENT ON TABLE plus one ALTER COLUMN COMMENT per described column."""
-    description, columns = dictionary[table]
-    stmts = [f"COMMENT ON TABLE {qualified} IS '{_escape(description)}'"]
-    stmts += [f"ALTER TABLE {qualified} ALTER COLUMN {col} COMMENT '{_escape(text)}'"
-              for col, text in columns.items()]
-    return stmts
+    """One statement for the table, one for each described column (Spark's own tables take no bulk change)."""
+    about, columns = dictionary[table]
+    targets = [(f"COMMENT ON TABLE {qualified} IS", about),
+               *((f"ALTER TABLE {qualified} ALTER COLUMN {name} COMMENT", text) for name, text in columns.items())]
+    return [f"{target} {_literal(text)}" for target, text in targets]
 
 
 def new_version_id() -> str:
@@ -100,7 +103,7 @@ class VersionedCatalog:
                 self.apply_comments(table)
         newest = self._newest.get(path)
         if newest is not None:
-            self.spark.sql(f"ALTER TABLE {q} SET TBLPROPERTIES ('{self.NEWEST_BATCH}' = '{_escape(str(newest))}')")
+            self.spark.sql(f"ALTER TABLE {q} SET TBLPROPERTIES ('{self.NEWEST_BATCH}' = {_literal(str(newest))})")
         else:                                      # unknown for this version: never keep a stale value
             self.spark.sql(f"ALTER TABLE {q} UNSET TBLPROPERTIES IF EXISTS ('{self.NEWEST_BATCH}')")
 

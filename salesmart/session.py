@@ -8,7 +8,6 @@ setting is unset, which is the case in tests and on a laptop.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,9 +23,8 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # No broadcast from a static guess (compressed file size): explicit hints are
-    # given only behind a counted bound, and AQE broadcasts at runtime from the
-    # measured size of a finished shuffle stage.
+    # No broadcast from a static guess (compressed file size) and no hints: AQE
+    # broadcasts at runtime from the measured size of a finished shuffle stage.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
@@ -65,22 +63,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only when unset."""
+    """The cluster's shared checkpoint folder, with its scheme; a private one only in local mode."""
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-        spark.sparkContext.setCheckpointDir(current)
-    elif not spark.sparkContext.getCheckpointDir():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared folder (never reused across runs)."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "salesmart", *parts, uuid.uuid4().hex)
+    return "/".join([shared_dir(spark), "salesmart", *parts, uuid.uuid4().hex])
 
 
 def materialize(df, name: str = "stage"):

@@ -1,6 +1,7 @@
 """Load every landing file into Bronze exactly once (Structured Streaming).
 
-A file-source stream over ``<landing>/<table>`` with ``trigger(availableNow)``
+A file-source stream over ``<landing>/<table>/empresa=*`` (files elsewhere are not
+landing files, B2) with ``trigger(availableNow)``
 processes the files that arrived since the last run and stops; the source's
 checkpoint remembers loaded paths, so a rerun loads nothing twice (each
 environment keeps its own checkpoint).  The Parquet file sink commits each
@@ -30,7 +31,7 @@ def landing_stream(spark: SparkSession, landing_table_dir: str, schema: T.Struct
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.parquet(landing_table_dir)
+    raw = reader.parquet(f"{landing_table_dir.rstrip('/')}/empresa=*")
     return raw.select(
         "*",
         F.regexp_extract(F.col("_metadata.file_path"), company_pattern, 1).alias("_empresa"),
@@ -44,6 +45,8 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
               max_files_per_trigger: int | None = None) -> int:
     """B1: run the stream until every available file is loaded; return rows appended."""
     stream = landing_stream(spark, landing_table_dir, schema, company_pattern, max_files_per_trigger)
+    # The sum below needs the progress of every micro-batch, not of the latest hundred.
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1))
     query = (stream.writeStream.format("parquet")
              .option("path", bronze_dir)
              .option("checkpointLocation", checkpoint_dir)

@@ -133,3 +133,13 @@ def test_per_table_extraction_lands_the_same_batches(spark, tmp_root):
         got[mode] = (manifest, n, rows, wms)
     assert got[False] == got[True]
     assert got[True][1] > 0
+
+
+def test_files_outside_company_folders_are_ignored(spark, tmp_root):
+    land, bronze, ckpt = f"{tmp_root}/landing", f"{tmp_root}/bronze/sc5", f"{tmp_root}/ckpt/sc5"
+    t = dt.datetime(2031, 1, 2)
+    for k in range(5):
+        _land(spark, land, f"{k:02d}", "L1", [(k, t, "x")])
+    spark.createDataFrame([(9, t, "stray", "L1")], SCHEMA).write.parquet(f"{land}/sc5/other/lote=L1")
+    assert load_once(spark, f"{land}/sc5", bronze, ckpt, SCHEMA, max_files_per_trigger=1) == 5
+    assert {r._empresa for r in read_bronze(spark, bronze).collect()} == {f"{k:02d}" for k in range(5)}

@@ -64,24 +64,6 @@ def test_failing_gates_keep_gold_unpublished(spark, tmp_root):
     assert spark.catalog.tableExists("gated_silver.lineitem")
 
 
-def test_run_lock(spark, tmp_root):
-    import datetime as dt
-    import pytest
-    from salesmart.plans.pipeline import RunInProgress, RunLock
-    with RunLock(spark, tmp_root, "dev"):
-        with pytest.raises(RunInProgress):
-            with RunLock(spark, tmp_root, "dev"):
-                pass
-        with RunLock(spark, tmp_root, "prod"):      # another environment runs independently
-            pass
-    with RunLock(spark, tmp_root, "dev"):            # released after the run
-        pass
-    stale = RunLock(spark, tmp_root, "dev", ttl=dt.timedelta(seconds=-1))
-    stale.fs.createNewFile(stale.path)
-    with stale:                                      # a lock past its TTL is taken over
-        pass
-
-
 def test_build_silver_first_load_upsert_and_reprocess(spark, tmp_root):
     import datetime as dt
     from salesmart.plans.pipeline import SourceTable, build_silver
