@@ -79,9 +79,14 @@ def record_results(control: DataFrame, results: DataFrame, now: _dt.datetime | N
 
     Success sets watermark, status, run time and row count; failure sets status
     and run time and keeps watermark and count.  Rows without a result are kept.
+    A result's own time (optional column ``quando``) comes before ``now``.
     """
     stamp = F.lit(now or _dt.datetime.now(_dt.UTC).replace(tzinfo=None)).cast("timestamp")
-    r = results.select(*KEY, F.col("status").alias("_st"), F.col("novo_watermark").alias("_wm"),
+    if "quando" in results.columns:
+        stamp = F.coalesce("_quando", stamp)
+    else:
+        results = results.withColumn("quando", F.lit(None).cast("timestamp"))
+    r = results.select(*KEY, F.col("quando").alias("_quando"), F.col("status").alias("_st"), F.col("novo_watermark").alias("_wm"),
                        F.col("qtd").alias("_qtd"))
     j = control.join(r, KEY, "left")
     ok = F.col("_st") == SUCCESS

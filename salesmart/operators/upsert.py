@@ -16,11 +16,13 @@ a per-column ``CASE``; Catalyst plans a sort-merge (or shuffled-hash) join.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import SILVER_KEYS
 
@@ -46,6 +48,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KE
 
 
 # --- bucketed form: rewrite only the buckets the changes touch -----------------
+#
+#   <table>/bucket_version=<n>-full|part/key_bucket=<b>/part-*.parquet
+#   <table>/bucket_version=<n>-full|part/_committed       written last: columns, newest batch
+#
+# Version directories are never changed.  Readers take the versions from the newest committed
+# whole-table write on, and each bucket from the newest of them that holds it.  Before its mark
+# appears a version is invisible, so a driver that dies at any point leaves the previous state.
 
 BUCKET = "key_bucket"
 
@@ -80,93 +89,144 @@ def key_bucket(keys: Sequence[str], buckets) -> Column:
     return _bucketing(buckets).column(keys)
 
 
-_MARKER = "_meta/newest_batch"      # '_' keeps it out of partition discovery
+VERSION = "bucket_version"
+_FULL, _PART = "-full", "-part"
+_COMMITTED = "_committed"
 
 
-def _marker_path(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{_MARKER}")
+def _hadoop(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def read_newest_batch(spark, path: str) -> str | None:
-    """The newest batch id recorded for a bucketed table, or None (then scan for it)."""
-    fs, p = _marker_path(spark, path)
+def _children(spark, path: str, prefix: str) -> list[str]:
+    fs, p = _hadoop(spark, path)
     if not fs.exists(p):
-        return None
-    stream = fs.open(p)
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if n.startswith(prefix))
+
+
+def _commit(spark, version_dir: str, schema: T.StructType, newest: str | None) -> None:
+    """Make a version visible: the mark is written aside and renamed into place."""
+    fs, aside = _hadoop(spark, f"{version_dir}/{_COMMITTED}.new")
+    out = fs.create(aside, True)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        value = reader.readLine()
+        out.write(bytearray(json.dumps({"newest_batch": newest, "schema": schema.jsonValue()}).encode("utf-8")))
     finally:
-        stream.close()
-    return value or None
+        out.close()
+    if not fs.rename(aside, _hadoop(spark, f"{version_dir}/{_COMMITTED}")[1]):
+        raise RuntimeError(f"could not commit {version_dir}")
 
 
-def _write_newest_batch(spark, path: str, value) -> None:
-    fs, p = _marker_path(spark, path)
-    if value is None:
-        fs.delete(p, False)
-        return
-    out = fs.create(p, True)
+def _mark(spark, version_dir: str) -> dict:
+    fs, p = _hadoop(spark, f"{version_dir}/{_COMMITTED}")
+    java = spark.sparkContext._jvm.java.io
+    stream = fs.open(p)
     try:
-        out.write(bytearray(str(value).encode("utf-8")))
+        return json.loads(java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine())
     finally:
-        out.close()
+        stream.close()
+
+
+def committed_versions(spark, path: str) -> list[str]:
+    """Version directories that make up the table, oldest first; empty if there is no table."""
+    done = [n for n in _children(spark, path, f"{VERSION}=") if _COMMITTED in _children(spark, f"{path}/{n}", _COMMITTED)]
+    whole = [i for i, n in enumerate(done) if n.endswith(_FULL)]
+    return done[whole[-1]:] if whole else []
+
+
+def _bucket_dirs(spark, path: str, versions: Sequence[str]) -> dict[int, str]:
+    """Bucket id -> its newest directory (one entry per bucket: a driver-sized list)."""
+    return {int(leaf.partition("=")[2]): f"{path}/{v}/{leaf}"
+            for v in versions for leaf in _children(spark, f"{path}/{v}", f"{BUCKET}=")}
+
+
+def read_newest_batch(spark, path: str) -> str | None:
+    """The newest batch id recorded for a bucketed table, or None (then scan for it)."""
+    path = path.rstrip("/")
+    known = (_mark(spark, f"{path}/{v}")["newest_batch"] for v in committed_versions(spark, path))
+    return max((b for b in known if b is not None), default=None)
+
+
+def read_bucketed(spark, path: str, only: Sequence[int] | None = None) -> DataFrame:
+    """The table's rows with their bucket; ``only`` reads the named buckets' directories alone."""
+    path = path.rstrip("/")
+    versions = committed_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no committed bucketed table at {path}")
+    schema = T.StructType.fromJson(_mark(spark, f"{path}/{versions[-1]}")["schema"])
+    wanted = None if only is None else set(only)
+    dirs = [d for b, d in sorted(_bucket_dirs(spark, path, versions).items()) if wanted is None or b in wanted]
+    if not dirs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*dirs).select(*schema.names)
+
+
+def _write_version(df: DataFrame, path: str, kind: str, newest: str | None = None, observe: bool = False) -> None:
+    """One write of ``df`` (with its bucket column) as the next version, rebalanced by bucket: a bucket
+    has few files, and one beyond the advisory size is split over tasks."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    taken = [int(n.partition("=")[2].partition("-")[0]) for n in _children(spark, path, f"{VERSION}=")]
+    target = f"{path}/{VERSION}={max(taken, default=0) + 1:012d}{kind}"
+    out, obs = df.hint("rebalance", BUCKET), None
+    if observe:
+        obs = Observation(f"bucketed_{id(df):x}")
+        out = out.observe(obs, F.max("_lote").alias("newest"))
+    out.write.mode("errorifexists").partitionBy(BUCKET).parquet(target)
+    _commit(spark, target, df.schema, obs.get.get("newest") if obs else newest)
 
 
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets=64) -> None:
     """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
 
-    The write replaces the whole table whatever the session's overwrite mode says.
-    Rows are rebalanced by bucket before it, so a bucket has few files and a bucket
-    beyond the advisory size is split over tasks.  The
-    newest batch id is observed during the write and recorded next to the data.
+    The new version replaces the whole table, whatever its earlier buckets were and whatever the
+    session's overwrite mode says.  The newest batch id is observed during the write.
     """
-    bucketed = df.withColumn(BUCKET, key_bucket(keys, buckets)).hint("rebalance", BUCKET)
-    if "_lote" in df.columns:
-        obs = Observation(f"bucketed_{id(df):x}")
-        bucketed.observe(obs, F.max("_lote").alias("newest")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
-        _write_newest_batch(df.sparkSession, path, obs.get.get("newest"))
-    else:
-        bucketed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+    _write_version(df.withColumn(BUCKET, key_bucket(keys, buckets)), path, _FULL, observe="_lote" in df.columns)
 
 
 def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: str,
                            keys: Sequence[str] = SILVER_KEYS, stamp: str = "dat_stamp",
                            buckets=64) -> list[int]:
-    """S9 at scale: only buckets that receive changes are read, merged and rewritten.
+    """S9 at scale: only buckets that receive changes are read, merged and written, once.
 
-    The touched bucket ids select target partitions by partition pruning; the
-    merged buckets are staged under ``staging_path`` (the target cannot be
-    overwritten while it is read) and then replace exactly those partitions with
-    a dynamic partition overwrite.  Every other bucket is left untouched on
-    storage.  Returns the rewritten bucket ids.
+    The merged buckets become a new version directory; the old ones stay until ``prune_bucketed``.
+    ``buckets`` must be what the table was last wholly written with.  Without changes nothing is
+    written.  Returns the rewritten bucket ids.
     """
     spark = source.sparkSession
     keys = list(keys)
-    # the changes (the small side at scale) are staged once: they give the
-    # touched buckets and feed the merge without being computed twice
+    # the changes (the small side at scale) are staged once: they give the touched buckets and the
+    # newest batch and feed the merge without being computed twice
+    staged = source.withColumn(BUCKET, key_bucket(keys, buckets))
+    obs = Observation(f"changes_{id(staged):x}")
+    newest = F.col("_lote") if "_lote" in source.columns else F.lit(None).cast("string")
     changes_path = f"{staging_path.rstrip('/')}/changes"
-    source.withColumn(BUCKET, key_bucket(keys, buckets)).write.mode("errorifexists").parquet(changes_path)
-    src = spark.read.parquet(changes_path)
+    staged.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(newest).alias("newest")) \
+        .write.mode("errorifexists").parquet(changes_path)
+    if not obs.get.get("rows"):
+        return []
+    src = spark.read.schema(staged.schema).parquet(changes_path)
     # at most one id per bucket (hash) or per id range touched by the changes
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
-    if not touched:
-        return []
-    target = spark.read.parquet(target_path).filter(F.col(BUCKET).isin(touched))
+    target = read_bucketed(spark, target_path, touched)
     merged = upsert(target, src.select(*target.columns), keys, stamp)
-    # cluster the merged rows (touched buckets only) by bucket: one writer and one
-    # file per bucket instead of one file per task and bucket
-    merged_path = f"{staging_path.rstrip('/')}/merged"
-    merged.hint("rebalance", BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(merged_path)
-    (spark.read.parquet(merged_path).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
-    if "_lote" in src.columns:             # newest batch = max(recorded, newest of the staged changes)
-        known = read_newest_batch(spark, target_path)
-        newest = src.agg(F.max("_lote")).first()[0]
-        candidates = [v for v in (known, newest) if v is not None]
-        _write_newest_batch(spark, target_path, max(candidates) if candidates else None)
+    _write_version(merged, target_path, _PART, newest=obs.get.get("newest"))
     return touched
+
+
+def prune_bucketed(spark, path: str) -> list[str]:
+    """Delete version directories and buckets that the current state does not use (no reader may still
+    be on an older state).  Returns what was deleted."""
+    path = path.rstrip("/")
+    versions = committed_versions(spark, path)
+    if not versions:
+        return []
+    live = set(_bucket_dirs(spark, path, versions).values())
+    doomed = [f"{path}/{n}" for n in _children(spark, path, f"{VERSION}=") if n not in versions and n < versions[-1]]
+    doomed += [d for v in versions for d in (f"{path}/{v}/{leaf}" for leaf in _children(spark, f"{path}/{v}", f"{BUCKET}="))
+               if d not in live]
+    for d in doomed:
+        fs, p = _hadoop(spark, d)
+        fs.delete(p, True)
+    return doomed

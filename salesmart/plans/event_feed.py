@@ -52,6 +52,8 @@ def run(spark: SparkSession, sf_dir: str, per_table: bool = False) -> EventFeed:
     run_extraction(spark, first.control, {"events": source}, root, company_col="event_type",
                    batch=SECOND_BATCH, now=_dt.datetime(2024, 1, 31, 9), per_table=per_table)
     landing, bronze_dir, ckpt = f"{root}/events", f"{root}/bronze/events", f"{root}/_checkpoints/bronze_events"
+    # a file outside empresa=* is not a landing file (B2)
+    types.write.mode("errorifexists").parquet(f"{landing}/outro")
     n1 = load_once(spark, landing, bronze_dir, ckpt, LANDING_SCHEMA, company_pattern=COMPANY_PATTERN)
     n2 = load_once(spark, landing, bronze_dir, ckpt, LANDING_SCHEMA, company_pattern=COMPANY_PATTERN)
-    return EventFeed(root, read_bronze(spark, bronze_dir), read_manifests(spark, root), n1, n2)
+    return EventFeed(root, read_bronze(spark, bronze_dir, LANDING_SCHEMA), read_manifests(spark, root), n1, n2)

@@ -302,11 +302,14 @@ ORACLE: dict[str, str] = {
     "daily_load": with_ctes(_GATE_CTES, _gate_report(
         ["silver.orders", "silver.lineitem", "silver.customer", "silver.supplier", "silver.part"])),
     "bronze_load_once": _FEED + """
-        SELECT e.event_id, e.ts AS s_t_a_m_p_, e.user_id, e.event_type, e.value, e.props,
-               CASE WHEN w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE THEN '20240131T090000Z'
-                    ELSE '20240115T000000Z' END AS _lote,
-               e.event_type AS _empresa
-        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type""",
+        , landed AS (
+            SELECT *, '20240115T000000Z' AS _lote FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
+            UNION ALL
+            SELECT e.*, '20240131T090000Z' FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
+            WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE)
+        SELECT event_id, ts AS s_t_a_m_p_, user_id, event_type, value, props, _lote, event_type AS _empresa,
+               event_type AS empresa_arquivo, true AS tem_ingestao, CAST(0 AS BIGINT) AS recarga
+        FROM landed""",
     "manifest_items": _FEED + """
         SELECT '20240115T000000Z' AS lote, 'events' AS tabela, event_type AS empresa, count(*) AS registros
         FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type
@@ -314,10 +317,78 @@ ORACLE: dict[str, str] = {
         SELECT '20240131T090000Z', 'events', e.event_type, count(*)
         FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
         WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type""",
-    "bronze_reconcile": """
-        SELECT CAST(NULL AS VARCHAR) AS lote, CAST(NULL AS VARCHAR) AS tabela, CAST(NULL AS VARCHAR) AS empresa,
-               CAST(NULL AS BIGINT) AS registros, CAST(NULL AS BIGINT) AS qtd_bronze
-        WHERE false""",
+    "manifests_since": _FEED + """
+        SELECT '20240131T090000Z' AS lote, 'events' AS tabela, e.event_type AS empresa, count(*) AS registros
+        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
+        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type""",
+    "bronze_reconcile": _FEED + """
+        SELECT '20240115T000000Z' AS lote, 'events' AS tabela, event_type AS empresa, count(*) AS registros,
+               count(*) AS qtd_bronze, false AS divergente
+        FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type
+        UNION ALL
+        SELECT '20240131T090000Z', 'events', e.event_type, count(*), count(*), false
+        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
+        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type""",
+    "reprocess_lines_bucketed": with_ctes(["std_lines"], """
+        SELECT * EXCLUDE (_rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY cod_empresa, num_recno
+                ORDER BY dat_stamp DESC NULLS LAST, _lote DESC NULLS LAST,
+                         cod_produto DESC NULLS LAST, cod_vendedor DESC NULLS LAST) AS _rn
+            FROM std_lines WHERE dat_stamp < TIMESTAMP '1999-01-01 00:00:00') WHERE _rn = 1"""),
+    "upsert_conditions": with_ctes(["silver_lines"], """
+        , t AS (SELECT CASE WHEN cod_item <> '5' THEN cod_empresa END AS cod_empresa, num_recno,
+                       CASE WHEN cod_item <> '6' THEN dat_stamp END AS dat_stamp, cod_item, 'destino' AS origem
+                FROM silver_lines WHERE cod_item <> '7')
+        , s AS (SELECT CASE WHEN cod_item <> '5' THEN cod_empresa END AS cod_empresa, num_recno,
+                       CASE WHEN cod_item = '2' THEN dat_stamp - INTERVAL 1 DAY
+                            WHEN cod_item = '4' AND num_nota = 'A' THEN NULL
+                            WHEN cod_item = '4' THEN dat_stamp + INTERVAL 1 DAY ELSE dat_stamp END AS dat_stamp,
+                       cod_item, 'origem' AS origem
+                FROM silver_lines WHERE cod_item <> '1')
+        SELECT t.* FROM t WHERE NOT EXISTS (
+            SELECT 1 FROM s WHERE s.cod_empresa = t.cod_empresa AND s.num_recno = t.num_recno
+                              AND s.dat_stamp >= t.dat_stamp)
+        UNION ALL
+        SELECT s.* FROM s JOIN t ON s.cod_empresa = t.cod_empresa AND s.num_recno = t.num_recno
+        WHERE s.dat_stamp >= t.dat_stamp
+        UNION ALL
+        SELECT s.* FROM s WHERE NOT EXISTS (
+            SELECT 1 FROM t WHERE s.cod_empresa = t.cod_empresa AND s.num_recno = t.num_recno)"""),
+    "date_texts": with_ctes(["silver_orders"], """
+        SELECT * REPLACE (CASE WHEN flg_deletado THEN NULL ELSE dat_emissao END AS dat_emissao) FROM silver_orders"""),
+    "control_failure": with_ctes(["prev_control"], """
+        SELECT p.tabela, p.empresa, p.tipo_carga, p.ativo,
+               CASE WHEN p.empresa = 'error' THEN p.ultimo_watermark ELSE e.mx END AS ultimo_watermark,
+               CASE WHEN p.empresa = 'error' THEN 'FALHA' ELSE 'SUCESSO' END AS status_ultima_carga,
+               TIMESTAMP '2024-01-31 09:00:00' AS data_ultima_execucao,
+               CASE WHEN p.empresa = 'error' THEN NULL ELSE e.n END AS qtd_ultima_carga
+        FROM prev_control p
+        JOIN (SELECT event_type, CAST(max(ts) AS TIMESTAMP) AS mx, count(*) AS n FROM events GROUP BY event_type) e
+          ON p.empresa = e.event_type"""),
+    "config_items": """
+        SELECT DISTINCT 'events' AS tabela, event_type AS empresa, 'INCREMENTAL' AS tipo_carga, false AS ativo FROM events
+        UNION ALL
+        SELECT DISTINCT 'orders', o_orderpriority, 'FULL', true FROM orders""",
+    "control_switches": with_ctes(["synced_control"], """
+        SELECT tabela, empresa, tipo_carga,
+               CASE WHEN tabela = 'orders' OR (tabela = 'events' AND empresa = 'error') THEN false ELSE ativo END AS ativo,
+               CASE WHEN tabela = 'events' THEN NULL
+                    WHEN tabela = 'lineitem' AND empresa = 'A' THEN TIMESTAMP '2024-01-20 00:00:00'
+                    ELSE ultimo_watermark END AS ultimo_watermark,
+               status_ultima_carga, data_ultima_execucao, qtd_ultima_carga
+        FROM synced_control"""),
+    "restored_version": with_ctes(["dim_product"], "SELECT * FROM dim_product"),
+    "comment_coverage": with_ctes(["fact", "dim_customer", "dim_seller", "dim_product", "units"], """
+        , b AS (SELECT coalesce(min(dat_emissao), DATE '2001-08-01') AS s FROM fact)
+        , n AS (SELECT 'fato_pedido_venda' AS tabela, 17 AS colunas, count(*) AS registros FROM fact
+                UNION ALL SELECT 'dim_cliente', 9, count(*) FROM dim_customer
+                UNION ALL SELECT 'dim_vendedor', 3, count(*) FROM dim_seller
+                UNION ALL SELECT 'dim_produto', 7, count(*) FROM dim_product
+                UNION ALL SELECT 'dim_unidade', 3, count(*) FROM units
+                UNION ALL SELECT 'dim_calendario', 7,
+                    date_diff('day', s, make_date(greatest(2001, CAST(year(s) AS INTEGER)), 12, 31)) + 1 FROM b)
+        SELECT tabela, true AS com_descricao, CAST(colunas AS INTEGER) AS colunas,
+               CAST(colunas AS INTEGER) AS colunas_descritas, registros FROM n"""),
     "item_value_audit": with_ctes(["silver_lines"], f"""
         SELECT count(*) AS qtd_itens,
                count(*) FILTER (WHERE vlr_total <> round(qtd_vendida * vlr_unitario, 2)) AS qtd_divergentes,

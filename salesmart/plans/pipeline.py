@@ -3,8 +3,9 @@
 Stages run in dependency order on one session:
 Bronze (load-once streams) -> Silver (five tables, concurrently) -> Gold
 dimensions, fact and calendar as *new versions* -> quality gates on those
-versions -> only if every gate passes are the Gold tables re-pointed at them
-(bad data never reaches the dashboard) -> documentation gate.
+versions, the documentation gate included -> only if every gate passes are the Gold
+tables re-pointed at them (bad data never reaches the dashboard).  A source table that
+never landed is left out with the Gold tables that need it.
 """
 
 from __future__ import annotations
@@ -17,21 +18,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import (DEFAULT_OVERLAP_MINUTES, DEFAULT_RECONCILE_DAYS, ERP_MAPPINGS, FACT_HEADER_COLUMNS,
-                      FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS, GOLD_COMMENTS, LOAD_TYPES, SILVER_KEYS,
+                      FACT_KEYS, FACT_NON_NEGATIVE, FACT_RELATIONS, LOAD_TYPES, SILVER_KEYS,
                       VERSION_ORDER)
 from ..operators import dimensions as dims
 from ..operators import quality
 from ..operators.control import sync
 from ..operators.fact import order_fact
 from ..operators.standardise import conversion_rejects, standardise
-from ..operators.upsert import (BUCKET, Bucketing, read_newest_batch, upsert, upsert_touched_buckets,
-                                write_bucketed)
+from ..operators.upsert import (BUCKET, Bucketing, committed_versions, prune_bucketed, read_bucketed,
+                                read_newest_batch, upsert, upsert_touched_buckets, write_bucketed)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.watermark import FULL
-from ..sources.extract import run_extraction
+from ..sources.extract import load_control, run_extraction
 from ..sources.landing import cutoff, path_exists, read_manifests
 from ..session import scratch_path
-from ..streaming.bronze import load_once, read_bronze
+from ..streaming.bronze import load_once, read_bronze, register_bronze
 from .tables import VersionedCatalog
 
 
@@ -40,8 +41,8 @@ class SourceTable:
     """One source table.  ``buckets`` (incremental tables only; a hash bucket
     count or a ``Bucketing``, e.g. record-id ranges) keeps the Silver table in
     the key-bucket layout and upserts only the buckets the day's changes touch,
-    instead of writing a whole new version every run; such a table is read by
-    path and has no version history."""
+    instead of writing a whole new version every run; such a table is read with
+    ``read_silver``, not from the catalog."""
 
     name: str
     mapping: dict
@@ -88,19 +89,25 @@ def bucketed_path(silver: VersionedCatalog, table: str) -> str:
 
 def read_silver(spark: SparkSession, spec: SourceTable, silver: VersionedCatalog) -> DataFrame:
     if spec.buckets and spec.load_type != FULL:
-        return spark.read.parquet(bucketed_path(silver, spec.name)).drop(BUCKET)
+        return read_bucketed(spark, bucketed_path(silver, spec.name)).drop(BUCKET)
     return silver.table(spec.name)
 
 
+def silver_exists(spark: SparkSession, spec: SourceTable, silver: VersionedCatalog) -> bool:
+    if spec.buckets and spec.load_type != FULL:
+        return bool(committed_versions(spark, bucketed_path(silver, spec.name)))
+    return silver.exists(spec.name)
+
+
 def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silver: VersionedCatalog,
                  reprocess: bool = False) -> dict:
     """S1 + S6..S11 for one table; publishes a new Silver version (or, for a
-    bucketed incremental table, rewrites the touched buckets in place)."""
+    bucketed incremental table, a version of the touched buckets)."""
     std = standardise(bronze, spec.mapping, lenient=spec.lenient)
     if spec.buckets and spec.load_type != FULL:
         path = bucketed_path(silver, spec.name)
-        if path_exists(spark, path) and not reprocess:
-            last = read_newest_batch(spark, path) or newest_batch(spark.read.parquet(path))   # S8
+        if committed_versions(spark, path) and not reprocess:
+            last = read_newest_batch(spark, path) or newest_batch(read_bucketed(spark, path))   # S8
             changes = latest_version(batches_after(std, last), spec.keys, spec.order)
             touched = upsert_touched_buckets(path, changes, scratch_path(spark, "silver_staging", spec.name),
                                              spec.keys, buckets=spec.buckets)
@@ -147,35 +154,40 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
                    for n, spec in domain.tables.items() if n in bronze}
         report.silver = {n: f.result() for n, f in futures.items()}
 
-    s = {n: read_silver(spark, domain.tables[n], silver) for n in report.silver}
-    staged = {
-        "dim_cliente": dims.dim_customer(s[domain.customer]),
-        "dim_vendedor": dims.dim_seller(s[domain.seller]),
-        "dim_produto": dims.dim_product(s[domain.product]),
-        "dim_unidade": domain.units(spark),
-        "fato_pedido_venda": order_fact(s[domain.header], s[domain.item], domain.fact_keys,
-                                        domain.fact_header_columns, loaded_at),
+    s = {n: read_silver(spark, spec, silver) for n, spec in domain.tables.items() if silver_exists(spark, spec, silver)}
+    builders = {
+        "dim_cliente": ([domain.customer], lambda: dims.dim_customer(s[domain.customer])),
+        "dim_vendedor": ([domain.seller], lambda: dims.dim_seller(s[domain.seller])),
+        "dim_produto": ([domain.product], lambda: dims.dim_product(s[domain.product])),
+        "dim_unidade": ([], lambda: domain.units(spark)),
+        "fato_pedido_venda": ([domain.header, domain.item], lambda: order_fact(
+            s[domain.header], s[domain.item], domain.fact_keys, domain.fact_header_columns, loaded_at)),
     }
+    staged = {name: build() for name, (needs, build) in builders.items() if all(n in s for n in needs)}
     # independent writes: submitted together so the small dimension jobs overlap the fact job
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         written = {name: pool.submit(gold.write_version, df, name) for name, df in staged.items()}
         paths = {name: f.result()[0] for name, f in written.items()}
-    fact = spark.read.parquet(paths["fato_pedido_venda"])
-    paths["dim_calendario"], _ = gold.write_version(dims.calendar_for_fact(fact, today), "dim_calendario")
+    fact_name = "fato_pedido_venda"
+    if fact_name in paths:
+        paths["dim_calendario"], _ = gold.write_version(
+            dims.calendar_for_fact(spark.read.parquet(paths[fact_name]), today), "dim_calendario")
     new = {n: spark.read.parquet(p) for n, p in paths.items()}
     report.gold = paths
 
     parts = [quality.key_gate(df, f"silver.{n}", list(domain.tables[n].keys)) for n, df in s.items()]
-    relations = dict(FACT_RELATIONS)
-    fact_new = new["fato_pedido_venda"]
-    if check_calendar:                      # the emission date must exist in the calendar
-        relations["dim_calendario"] = ["dat_data"]
-        fact_new = fact_new.withColumn("dat_data", fact_new["dat_emissao"])
-    parts.append(quality.integrity_gate(fact_new, new, relations))
-    if check_fact_grain:
-        parts.append(quality.key_gate(new["fato_pedido_venda"], "gold.fato_pedido_venda",
-                                      ["cod_empresa", "cod_filial", "cod_pedido", "cod_item"]))
-    parts.append(quality.value_gate(new["fato_pedido_venda"], FACT_NON_NEGATIVE))
+    if fact_name in new:
+        fact = new[fact_name]
+        relations = {dim: keys for dim, keys in FACT_RELATIONS.items() if dim in new}
+        if check_calendar:                      # the emission date must exist in the calendar
+            relations["dim_calendario"] = ["dat_data"]
+            fact = fact.withColumn("dat_data", fact["dat_emissao"])
+        parts.append(quality.integrity_gate(fact, new, relations))
+        if check_fact_grain:
+            parts.append(quality.key_gate(new[fact_name], f"gold.{fact_name}",
+                                          ["cod_empresa", "cod_filial", "cod_pedido", "cod_item"]))
+        parts.append(quality.value_gate(new[fact_name], FACT_NON_NEGATIVE))
+    parts.append(quality.dictionary_gate(spark, gold.database, list(paths)))
     if manifests is not None and bronze_counts is not None:
         parts.append(quality.reconcile_gate(quality.reconcile(manifests, bronze_counts)))
     for n, spec in domain.tables.items():
@@ -195,28 +207,31 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     if keep_versions:
         for name in paths:
             gold.prune_versions(name, keep_versions)
-        for name in report.silver:
+        for name in s:
             if silver.exists(name):
                 silver.prune_versions(name, keep_versions)
-    missing = [t for t in paths if t not in GOLD_COMMENTS]
-    doc = quality.documentation_gate(spark, gold.database).collect()
-    if (missing or doc) and raise_on_failure:
-        raise quality.GateFailure(f"tables without description: {missing + [r.objeto for r in doc]}")
+            else:
+                prune_bucketed(spark, bucketed_path(silver, name))
     return report
 
 
-def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame, config_items: DataFrame,
+def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | None, config_items: DataFrame,
                      sources: dict[str, DataFrame], landing_root: str, lake_root: str,
                      schemas: dict[str, str], env: str = "dev", company_col: str = "empresa",
                      batch: str | None = None, now: _dt.datetime | None = None,
                      company_pattern: str | None = None, overlap_minutes: int = DEFAULT_OVERLAP_MINUTES,
                      reconcile_days: int = DEFAULT_RECONCILE_DAYS, per_table: bool = False,
                      **load_kwargs) -> tuple[DataFrame, LoadReport]:
-    """Sync config -> extract -> load Bronze once -> daily load. Returns (control, report)."""
-    synced = sync(control, config_items)
+    """Sync config -> extract -> load Bronze once -> daily load. Returns (control, report).
+
+    ``control=None`` continues from the control stored below the landing, also after a failed or
+    interrupted run.
+    """
+    synced = sync(load_control(spark, landing_root) if control is None else control, config_items)
     run = run_extraction(spark, synced, sources, landing_root, company_col=company_col,
                          overlap_minutes=overlap_minutes, batch=batch, now=now, per_table=per_table)
     bronze = {}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {env}_bronze LOCATION '{lake_root.rstrip('/')}/{env}_bronze'")
     extra = {"company_pattern": company_pattern} if company_pattern else {}
     since = cutoff(reconcile_days, now)          # Q7: reconcile the last N days only
     counts = []
@@ -227,7 +242,8 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame, co
         bronze_dir = f"{lake_root.rstrip('/')}/{env}_bronze/{name}"
         load_once(spark, landing, bronze_dir, f"{lake_root.rstrip('/')}/_checkpoints/{env}/{name}",
                   schemas[name], **extra)
-        bronze[name] = read_bronze(spark, bronze_dir)
+        register_bronze(spark, f"{env}_bronze.{name}", bronze_dir, f"Bronze: {name} como recebida da origem, só acréscimos.")
+        bronze[name] = read_bronze(spark, bronze_dir, schemas[name])
         counts.append(quality.batch_counts(bronze[name], name, since=since))
     manifests = read_manifests(spark, landing_root, since=since)
     bronze_counts = None

@@ -18,9 +18,10 @@ from ..operators import audits, control, quality, watermark
 from ..operators import dimensions as dims
 from ..operators import fact as fact_ops
 from ..operators.standardise import standardise
-from ..operators.upsert import upsert, upsert_touched_buckets, write_bucketed
+from ..operators.upsert import BUCKET, read_bucketed, upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
+from ..sources.landing import cutoff, read_manifests
 from ..session import materialize, scratch_path
 from . import event_feed
 from .marts import SalesStar
@@ -108,10 +109,46 @@ def q_upsert_lines_bucketed(spark, d):
                             order=td.LINE_VERSION_ORDER)
     root = scratch_path(spark, "silver_lines")
     write_bucketed(target, f"{root}/table", buckets=UPSERT_BUCKETS)
-    stored = spark.read.parquet(f"{root}/table")
+    stored = read_bucketed(spark, f"{root}/table")
     source = latest_version(batches_after(std, newest_batch(stored)), order=td.LINE_VERSION_ORDER)
     upsert_touched_buckets(f"{root}/table", source, f"{root}/staging", buckets=UPSERT_BUCKETS)
-    return spark.read.parquet(f"{root}/table").drop("key_bucket")
+    return read_bucketed(spark, f"{root}/table").drop(BUCKET)
+
+
+def q_reprocess_lines_bucketed(spark, d):
+    """S10 on the bucketed layout: a table of all latest versions is reprocessed from the earlier
+    versions alone (fewer rows, another bucket count)."""
+    std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
+    path = scratch_path(spark, "silver_lines")
+    write_bucketed(latest_version(std, order=td.LINE_VERSION_ORDER), path, buckets=UPSERT_BUCKETS)
+    earlier = std.filter(F.col("dat_stamp") < F.lit(UPSERT_SPLIT).cast("timestamp"))
+    write_bucketed(latest_version(earlier, order=td.LINE_VERSION_ORDER), path, buckets=UPSERT_BUCKETS // 4)
+    return read_bucketed(spark, path).drop(BUCKET)
+
+
+def q_upsert_conditions(spark, d):
+    """S9 case by case, told by the item number: 1 target only, 2 older source, 3 equal stamp, 4 newer source
+    (NULL stamp for invoice note A), 5 NULL key on both sides, 6 NULL target stamp, 7 source only."""
+    lines = silver_lines(spark, d)
+    item = F.col("cod_item")
+    company = F.when(item != "5", F.col("cod_empresa")).alias("cod_empresa")
+    day = F.expr("INTERVAL 1 DAY")
+    stamp = F.col("dat_stamp")
+    target = lines.filter(item != "7").select(
+        company, "num_recno", F.when(item != "6", stamp).alias("dat_stamp"), "cod_item", F.lit("destino").alias("origem"))
+    source = lines.filter(item != "1").select(
+        company, "num_recno",
+        F.when(item == "2", stamp - day).when((item == "4") & (F.col("num_nota") == "A"), F.lit(None))
+        .when(item == "4", stamp + day).otherwise(stamp).alias("dat_stamp"),
+        "cod_item", F.lit("origem").alias("origem"))
+    return upsert(target, source)
+
+
+def q_date_texts(spark, d):
+    """S3 on text dates: yyyyMMdd, and blanks for deleted headers."""
+    bronze = td.bronze_orders(spark, d)
+    text = F.when(F.col("d_e_l_e_t_") == "*", F.lit("        ")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return standardise(bronze.withColumn("o_orderdate", text), td.ORDER_MAP)
 
 
 def _event_items(spark, d):
@@ -142,11 +179,9 @@ def q_next_watermark(spark, d):
     marks = ctl.select("tabela", "empresa", "ultimo_watermark")
     extracted = watermark.incremental_by_column(ev.join(marks, ["tabela", "empresa"]), F.col("ultimo_watermark"),
                                                 stamp="ts").drop("ultimo_watermark")
-    advanced = watermark.next_watermark(ctl, extracted, stamp="ts")
-    counts = extracted.groupBy("tabela", "empresa").agg(F.count(F.lit(1)).alias("qtd"))
-    results = advanced.join(counts, ["tabela", "empresa"], "left").select(
-        "tabela", "empresa", F.lit(control.SUCCESS).alias("status"),
-        F.col("ultimo_watermark").alias("novo_watermark"), F.coalesce("qtd", F.lit(0)).cast("long").alias("qtd"))
+    advanced = watermark.next_watermark(ctl, extracted, stamp="ts", counted="qtd")
+    results = advanced.select("tabela", "empresa", F.lit(control.SUCCESS).alias("status"),
+                              F.col("ultimo_watermark").alias("novo_watermark"), "qtd")
     return control.record_results(ctl, results, now=RUN_AT)
 
 
@@ -181,6 +216,39 @@ def q_control_active(spark, d):
     return control.active_items(control.sync(previous, items))
 
 
+def q_control_failure(spark, d):
+    """X13 + X14: the items of type 'error' fail and keep watermark and count, the others advance."""
+    ctl = _previous_event_control(spark, d)
+    failed = F.col("empresa") == "error"
+    results = (_event_items(spark, d).groupBy("tabela", "empresa")
+               .agg(F.max("ts").cast("timestamp").alias("novo_watermark"), F.count(F.lit(1)).alias("qtd"))
+               .withColumn("status", F.when(failed, control.FAILURE).otherwise(control.SUCCESS)))
+    return control.record_results(ctl, results, now=RUN_AT)
+
+
+def q_config_items(spark, d):
+    """A configuration file made from the tables (one entry without ``ativo``), read into items."""
+    listed = _event_items(spark, d).groupBy("tabela").agg(F.collect_set("empresa").alias("empresas")).select(
+        "tabela", F.lit("INCREMENTAL").alias("tipo_carga"), F.lit(False).alias("ativo"), "empresas")
+    orders = td.read(spark, d, "orders").agg(F.collect_set("o_orderpriority").alias("empresas")).select(
+        F.lit("orders").alias("tabela"), F.lit("FULL").alias("tipo_carga"), F.lit(None).cast("boolean").alias("ativo"),
+        "empresas")
+    path = scratch_path(spark, "config")
+    entries = listed.unionByName(orders)
+    (entries.agg(F.collect_list(F.struct(*entries.columns)).alias("tabelas"))
+     .select(F.lit("erp").alias("sistema"), "tabelas").coalesce(1).write.json(path))
+    return control.read_config(spark, path)
+
+
+def q_control_switches(spark, d):
+    """One item off, one table off, one watermark rewound, one table set to a full reload."""
+    previous, items = _sync_inputs(spark, d)
+    synced = control.sync(previous, items)
+    switched = control.set_active(control.set_active(synced, "events", "error", False), "orders", None, False)
+    rewound = control.rewind_watermark(switched, "lineitem", "A", EVENT_WATERMARK)
+    return control.rewind_watermark(rewound, "events", None, None)
+
+
 def q_order_fact(spark, d):
     return gold_fact(spark, d)
 
@@ -314,11 +382,13 @@ def q_tax_id_audit(spark, d):
 
 
 def q_bronze_load_once(spark, d):
-    """B1-B4 + X2/X7/X9: two extraction runs landed and loaded once; the latest
-    version per event (S6 by batch) equals the source rows."""
+    """B1-B4 + X2/X7/X9: raw Bronze after two extraction runs and a rerun of the load; rows inside the
+    overlap land twice, a file outside the landing pattern never."""
     feed = event_feed.run(spark, d)
-    cols = ["event_id", "s_t_a_m_p_", "user_id", "event_type", "value", "props", "_lote", "_empresa"]
-    return latest_version(feed.bronze.select(*cols), keys=["event_id"], order=["_lote"])
+    return feed.bronze.select(
+        "event_id", "s_t_a_m_p_", "user_id", "event_type", "value", "props", "_lote", "_empresa",
+        F.regexp_extract("_arquivo", event_feed.COMPANY_PATTERN, 1).alias("empresa_arquivo"),
+        F.col("_dt_ingestao").isNotNull().alias("tem_ingestao"), F.lit(feed.loaded_rerun).cast("long").alias("recarga"))
 
 
 def q_manifest_items(spark, d):
@@ -326,11 +396,21 @@ def q_manifest_items(spark, d):
     return event_feed.run(spark, d, per_table=True).manifests
 
 
+def q_manifests_since(spark, d):
+    """Q7: manifest items of the last seven days before the second run."""
+    root = event_feed.run(spark, d, per_table=True).root
+    return read_manifests(spark, root, since=cutoff(7, RUN_AT))
+
+
 def q_bronze_reconcile(spark, d):
-    """Q5 + Q6 + Q8 on the real landing: declared vs loaded counts per batch (no differences);
-    extraction with one scan per table."""
+    """Q5 + Q6 + Q8 on the real landing: declared and loaded counts of every batch, and whether the gate
+    reports it; extraction with one scan per table."""
     feed = event_feed.run(spark, d, per_table=True)
-    return quality.reconcile(feed.manifests, quality.batch_counts(feed.bronze, "events"))
+    counts = quality.batch_counts(feed.bronze, "events")
+    key = ["lote", "tabela", "empresa"]
+    differing = quality.reconcile(feed.manifests, counts).select(*key, F.lit(True).alias("divergente"))
+    return (feed.manifests.join(counts, key, "full_outer").join(differing, key, "left")
+            .withColumn("divergente", F.coalesce("divergente", F.lit(False))))
 
 
 def tpch_domain(d: str) -> Domain:
@@ -388,16 +468,34 @@ def q_comment_coverage(spark, d):
         rows, "tabela string, com_descricao boolean, colunas int, colunas_descritas int, registros long")
 
 
+def q_restored_version(spark, d):
+    """A second version doubles the prices, then the first is restored."""
+    cat = VersionedCatalog(spark, scratch_path(spark, "gold"), f"restore_{uuid.uuid4().hex[:8]}")
+    products = dims.dim_product(silver_products(spark, d))
+    cat.publish(products, "dim_produto", "1")
+    cat.publish(cat.table("dim_produto").withColumn(
+        "vlr_preco_venda", (F.col("vlr_preco_venda") * 2).cast(products.schema["vlr_preco_venda"].dataType)),
+        "dim_produto", "2")
+    cat.restore("dim_produto", "1")
+    return cat.table("dim_produto")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standardise_orders": q_standardise_orders,
     "latest_line_version": q_latest_line_version,
     "latest_event_snapshot": q_latest_event_snapshot,
     "upsert_lines": q_upsert_lines,
     "upsert_lines_bucketed": q_upsert_lines_bucketed,
+    "reprocess_lines_bucketed": q_reprocess_lines_bucketed,
+    "upsert_conditions": q_upsert_conditions,
+    "date_texts": q_date_texts,
     "incremental_events": q_incremental_events,
     "next_watermark": q_next_watermark,
     "control_sync": q_control_sync,
     "control_active": q_control_active,
+    "control_failure": q_control_failure,
+    "config_items": q_config_items,
+    "control_switches": q_control_switches,
     "order_fact": q_order_fact,
     "dim_customer": q_dim_customer,
     "dim_seller": q_dim_seller,
@@ -419,7 +517,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_report": q_gate_report,
     "bronze_load_once": q_bronze_load_once,
     "manifest_items": q_manifest_items,
+    "manifests_since": q_manifests_since,
     "bronze_reconcile": q_bronze_reconcile,
+    "restored_version": q_restored_version,
     "daily_load": q_daily_load,
     "comment_coverage": q_comment_coverage,
     "item_value_audit": q_item_value_audit,

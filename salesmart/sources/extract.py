@@ -6,14 +6,16 @@ control item, the run reads the item's rows (everything for FULL and first
 loads, ``stamp > watermark - overlap`` otherwise; both predicates reach the
 source), writes them as a new landing batch, and derives the next watermark
 from the same write.  A failing item is recorded and the others continue; the
-run fails at the end if any item failed.  Order of effects per run: files,
-then the control table, then the manifest.
+run fails at the end if any item failed.  Order of effects per run: files
+(each item's result is logged as it finishes), then the control table, then the manifest.
+A new driver continues from ``load_control``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import logging
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_OVERLAP_MINUTES
 from ..operators import control as ctl
 from ..operators.watermark import INCREMENTAL, LOAD_KINDS, extract, lower_bound, next_watermark_value
-from .landing import LANDING_BATCH, LANDING_COMPANY, batch_dir, new_batch_id, write_batch, write_manifest
+from .landing import (LANDING_BATCH, LANDING_COMPANY, batch_dir, list_names, new_batch_id, path_exists, write_batch,
+                      write_manifest)
 
 log = logging.getLogger(__name__)
 
@@ -56,11 +59,12 @@ def run_extraction(spark: SparkSession, control: DataFrame, sources: dict[str, D
     a failure then marks every item of that table.
     """
     summary = RunSummary(batch=batch or new_batch_id(now))
+    control = persist_control(spark, control, landing_root)
     # the control table is tables x companies: a bounded list for the driver loop
     items = [r.asDict() for r in ctl.active_items(control).collect()]
     if per_table:
         return _finish(spark, control, summary, _extract_tables(
-            items, sources, landing_root, company_col, stamp, overlap_minutes, summary.batch, parallelism),
+            spark, items, sources, landing_root, company_col, stamp, overlap_minutes, summary.batch, parallelism, now),
             landing_root, now, raise_on_failure)
 
     def one(item: dict) -> dict:
@@ -79,12 +83,13 @@ def run_extraction(spark: SparkSession, control: DataFrame, sources: dict[str, D
             return {"tabela": table, "empresa": company, "status": ctl.FAILURE, "erro": str(err)}
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        outcomes = list(pool.map(one, items))
+        outcomes = list(pool.map(lambda item: record_outcomes(spark, landing_root, [one(item)], now)[0], items))
     return _finish(spark, control, summary, outcomes, landing_root, now, raise_on_failure)
 
 
-def _extract_tables(items: list[dict], sources: dict[str, DataFrame], root: str, company_col: str, stamp: str,
-                    overlap_minutes: int, batch: str, parallelism: int) -> list[dict]:
+def _extract_tables(spark: SparkSession, items: list[dict], sources: dict[str, DataFrame], root: str, company_col: str,
+                    stamp: str, overlap_minutes: int, batch: str, parallelism: int,
+                    now: _dt.datetime | None) -> list[dict]:
     by_table: dict[str, list[dict]] = {}
     for item in items:
         by_table.setdefault(item["tabela"], []).append(item)
@@ -128,7 +133,8 @@ def _extract_tables(items: list[dict], sources: dict[str, DataFrame], root: str,
                     for item in group]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return [o for outcome in pool.map(one_table, list(by_table)) for o in outcome]
+        done = pool.map(lambda table: record_outcomes(spark, root, one_table(table), now), list(by_table))
+        return [o for outcomes in done for o in outcomes]
 
 
 def _finish(spark: SparkSession, control: DataFrame, summary: RunSummary, outcomes: list[dict], landing_root: str,
@@ -136,10 +142,7 @@ def _finish(spark: SparkSession, control: DataFrame, summary: RunSummary, outcom
     for o in outcomes:
         (summary.items if o["status"] == ctl.SUCCESS else summary.failures).append(o)
 
-    results = spark.createDataFrame(
-        [(o["tabela"], o["empresa"], o["status"], o.get("novo_watermark"), o.get("registros")) for o in outcomes],
-        ctl.RESULT_SCHEMA)
-    summary.control = ctl.record_results(control, results, now=now)
+    summary.control = ctl.record_results(control, _results(spark, outcomes, now), now=now)
     summary.control = persist_control(spark, summary.control, landing_root)
     write_manifest(spark, landing_root, summary.batch, summary.items, generated_at=now)
     if summary.failures and raise_on_failure:
@@ -147,8 +150,46 @@ def _finish(spark: SparkSession, control: DataFrame, summary: RunSummary, outcom
     return summary
 
 
+def _results(spark: SparkSession, outcomes: list[dict], now: _dt.datetime | None) -> DataFrame:
+    """Outcomes (one per table and company) as result rows."""
+    when = now or _dt.datetime.now(_dt.UTC).replace(tzinfo=None)
+    return spark.createDataFrame(
+        [(o["tabela"], o["empresa"], o["status"], o.get("novo_watermark"), o.get("registros"), when) for o in outcomes],
+        f"{ctl.RESULT_SCHEMA}, quando timestamp")
+
+
+def _new_entry() -> str:
+    return _dt.datetime.now(_dt.UTC).strftime("%Y%m%dT%H%M%S%fZ") + "_" + uuid.uuid4().hex[:6]
+
+
+def record_outcomes(spark: SparkSession, root: str, outcomes: list[dict], now: _dt.datetime | None) -> list[dict]:
+    """Log finished items at once, so that a driver lost later in the run does not lose them."""
+    if outcomes:
+        _results(spark, outcomes, now).coalesce(1).write.mode("errorifexists") \
+            .parquet(f"{root.rstrip('/')}/_control_log/{_new_entry()}")
+    return outcomes
+
+
 def persist_control(spark: SparkSession, control: DataFrame, root: str) -> DataFrame:
     """Write the (small) control table as a new version and read it back, cutting lineage."""
-    path = f"{root.rstrip('/')}/_control/{new_batch_id()}_{id(control):x}"
+    path = f"{root.rstrip('/')}/_control/{_new_entry()}"
     control.coalesce(1).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(control.schema).parquet(path)
+
+
+def load_control(spark: SparkSession, root: str) -> DataFrame:
+    """The stored control table: its newest complete version, and what items logged after it (a run
+    starts by storing its control, so the log of an interrupted run names an item once)."""
+    root = root.rstrip("/")
+
+    def complete(folder: str) -> list[str]:
+        return [n for n in list_names(spark, f"{root}/{folder}") if path_exists(spark, f"{root}/{folder}/{n}/_SUCCESS")]
+
+    versions = complete("_control")
+    if not versions:
+        return ctl.empty_control(spark)
+    control = spark.read.schema(ctl.CONTROL_SCHEMA).parquet(f"{root}/_control/{versions[-1]}")
+    later = [f"{root}/_control_log/{n}" for n in complete("_control_log") if n > versions[-1]]
+    if not later:
+        return control
+    return ctl.record_results(control, spark.read.schema(f"{ctl.RESULT_SCHEMA}, quando timestamp").parquet(*later))

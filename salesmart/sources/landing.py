@@ -52,6 +52,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, sorted; none if it does not exist."""
+    fs, p = _hadoop_fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def write_batch(df: DataFrame, root: str, table: str, company: str, batch: str,
                 stamp: str | None = None) -> tuple[int, object, str | None]:
     """Append ``df`` tagged with ``_lote`` as a new batch directory.

@@ -50,6 +50,7 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
     query = (stream.writeStream.format("parquet")
              .option("path", bronze_dir)
              .option("checkpointLocation", checkpoint_dir)
+             .partitionBy("_lote")                       # S8 and Q8 then read only the batches they ask for
              .outputMode("append")
              .trigger(availableNow=True)
              .start())
@@ -59,9 +60,22 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 
-def read_bronze(spark: SparkSession, bronze_dir: str, merge_schema: bool = True) -> DataFrame:
-    """Committed Bronze rows (the sink's log hides uncommitted files)."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(bronze_dir)
+def bronze_schema(landing_schema: T.StructType | str) -> T.StructType:
+    """Columns of Bronze: the landing's plus provenance."""
+    base = T._parse_datatype_string(landing_schema) if isinstance(landing_schema, str) else landing_schema
+    return T.StructType([*base.fields, T.StructField("_empresa", T.StringType()), T.StructField("_arquivo", T.StringType()),
+                         T.StructField("_dt_ingestao", T.TimestampType())])
+
+
+def read_bronze(spark: SparkSession, bronze_dir: str, landing_schema: T.StructType | str | None = None) -> DataFrame:
+    """Committed Bronze rows (the sink's log hides uncommitted files).
+
+    With the landing schema no file footer is opened to plan the read, and a column that early files
+    lack is NULL in their rows (B5); without it the schemas of all files are merged.
+    """
+    if landing_schema is None:
+        return spark.read.option("mergeSchema", "true").parquet(bronze_dir)
+    return spark.read.schema(bronze_schema(landing_schema)).parquet(bronze_dir)
 
 
 def register_bronze(spark: SparkSession, table: str, bronze_dir: str, comment: str) -> None:

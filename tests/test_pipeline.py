@@ -12,7 +12,7 @@ import dataclasses
 
 import pytest
 
-from salesmart.operators.upsert import Bucketing
+from salesmart.operators.upsert import Bucketing, read_bucketed
 from salesmart.plans.pipeline import ERP_DOMAIN, extract_and_load, landing_schema
 
 COMPANIES = ["01", "05", "08", "13"]
@@ -106,7 +106,9 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     assert spark.catalog.getTable(f"{env}_gold.fato_pedido_venda").description
 
     # run 2: nothing changed -> incremental tables land 0 rows, FULL tables land again
-    control, rep2 = extract_and_load(spark, domain, control, items, src,
+    assert spark.catalog.getTable(f"{env}_bronze.sc6").description
+    assert spark.table(f"{env}_bronze.sc6").count() == len(data["sc6"])
+    control, rep2 = extract_and_load(spark, domain, None, items, src,      # the stored control
                                      batch="20261013T070000Z", now=dt.datetime(2026, 10, 13, 7), **kw)
     b2 = spark.read.parquet(f"{lake}/{env}_bronze/sc5").filter(F.col("_lote") == "20261013T070000Z").count()
     assert b2 == 0
@@ -127,7 +129,7 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     b3 = spark.read.parquet(f"{lake}/{env}_bronze/sc6").filter(F.col("_lote") == "20261014T060000Z")
     assert b3.count() == 2
     silver6 = (spark.table("dev_silver.sc6") if domain is ERP_DOMAIN
-               else spark.read.parquet(f"{lake}/bkt_silver/sc6/bucketed").drop("key_bucket"))
+               else read_bucketed(spark, f"{lake}/bkt_silver/sc6/bucketed").drop("key_bucket"))
     assert silver6.count() == len(sc6)
     assert silver6.groupBy("cod_empresa", "num_recno").count().filter("count > 1").count() == 0
     fact = spark.table(f"{env}_gold.fato_pedido_venda")
@@ -143,3 +145,29 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     assert ctl_rows[("sa1", "01")].status_ultima_carga == "SUCESSO"
     gates = {(g["gate"], g["objeto"]): g["qtd_falhas"] for g in rep3.gates}
     assert all(v == 0 for v in gates.values())
+
+
+def test_a_source_that_never_landed_is_left_out(spark, tmp_root):
+    src = frames(spark, make_erp())
+    del src["sa3"]
+    landed = [x for x in EXTRACTION_CONFIG["tabelas"] if x["tabela"] != "sa3"]
+    cfg = spark.createDataFrame([(x["tabela"], x["tipo_carga"], x["empresas"]) for x in landed],
+                                "tabela string, tipo_carga string, empresas array<string>")
+    _, report = extract_and_load(spark, ERP_DOMAIN, None, ctl.config_items(cfg), src, f"{tmp_root}/landing",
+                                 f"{tmp_root}/lake", {k: landing_schema(v) for k, v in src.items()}, today="2026-10-13",
+                                 env="part", per_table=True)
+    assert report.published and "dim_vendedor" not in report.gold and "fato_pedido_venda" in report.gold
+
+
+def test_stored_control_folds_results_logged_by_an_interrupted_run(spark, tmp_root):
+    from salesmart.sources.extract import load_control, persist_control, record_outcomes
+    assert load_control(spark, tmp_root).count() == 0
+    rows = [("a", "01", "INCREMENTAL", True, T0, "SUCESSO", T0, 5), ("a", "02", "INCREMENTAL", True, T0, "SUCESSO", T0, 6)]
+    persist_control(spark, spark.createDataFrame(rows, ctl.CONTROL_SCHEMA), tmp_root)
+    later = T0 + dt.timedelta(days=1)
+    record_outcomes(spark, tmp_root, [{"tabela": "a", "empresa": "01", "status": ctl.SUCCESS, "novo_watermark": later,
+                                       "registros": 7}], later)
+    record_outcomes(spark, tmp_root, [{"tabela": "a", "empresa": "02", "status": ctl.FAILURE, "erro": "x"}], later)
+    got = {r.empresa: r for r in load_control(spark, tmp_root).collect()}
+    assert (got["01"].ultimo_watermark, got["01"].qtd_ultima_carga, got["01"].data_ultima_execucao) == (later, 7, later)
+    assert (got["02"].ultimo_watermark, got["02"].qtd_ultima_carga, got["02"].status_ultima_carga) == (T0, 6, "FALHA")
