@@ -10,18 +10,20 @@ P(class | state), then P(token | class, state) for frequent tokens, and for a wo
 smoothed corpus count (c + 0.5) / (N_class + 0.5 (V_class + 1)).  So every word has a probability, and the
 model's log10 probability of a text is a sum over all its tokens.
 
-Training is truncated backpropagation: ``TRAIN_TEXTS`` in a thousand training texts (by a hash of
-the row; the share, not the number, is fixed, so training grows with the corpus) are dealt into shards, which
-cut them into windows of ``WINDOW`` tokens whose state is carried on; a replica per shard runs at most ``STEPS``
-steps of Adam and one pass, and the replicas' weights are averaged after each of ``ROUNDS`` rounds.
+Training is truncated backpropagation, one pass over all training texts.  Rounds, whose number grows with
+the logarithm of the corpus, take disjoint parts of the texts (by a hash of the row); a round deals its part into
+shards of about ``SHARD_BYTES``, which cut it into windows of ``WINDOW`` tokens whose state is carried on.  A replica
+per shard runs one step of Adam per window until its texts end, and the replicas' weights are averaged after each
+round, by their numbers of tokens.
 
 Scoring runs many texts side by side, carries each text's state over all its windows, and takes the
 probabilities of words outside the broadcast tables (``FREQUENT`` embeddings, ``KNOWN`` counts) from a
-join of distinct (text, word) pairs with the counts, summed per text.
+join of distinct (text, word) pairs with the counts, summed per text.  All later reads of the texts and
+their row numbers come from one staged copy.
 
 Edge cases: null is an empty text, which is one end token.  Without training texts counts are 0 and
-the untrained model, which starts as a unigram model, scores.  Rows are told apart by row number (the input must be a repeatable scan),
-so repeated and null ids are fine.
+the untrained model, which starts as a unigram model, scores.  Rows are told apart by row number, so repeated
+and null ids are fine.
 """
 
 from __future__ import annotations
@@ -38,10 +40,12 @@ from salesmart.llm.common import BLANKS, Words, fold_of, lookup, mix, stage, wor
 HELD_OUT_FOLD = 1
 FREQUENT, CLASSES, RARE = 1024, 32, 32
 KNOWN = 65536
-HIDDEN, WINDOW, LANES = 16, 32, 32
+HIDDEN, WINDOW = 24, 32
+#: Token streams side by side: the least, the most, and windows that a replica should at least have.
+LANES, MOST_LANES, DEPTH = 32, 128, 128
 #: Bytes of text that a task scores side by side.
 SCORE_BYTES = 4 << 20
-TRAIN_TEXTS, SHARD_BYTES, ROUNDS, STEPS = 40, 1 << 20, 3, 120
+SHARD_BYTES, LEAST_ROUNDS = 4 << 20, 3
 RATE = 0.01
 
 _U = np.uint64
@@ -108,7 +112,10 @@ class Gru:
         return self
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        a, r = self.p["x"][x] + self.p["b"], h @ self.p["u"]
+        return self.advance(self.p["x"][x] + self.p["b"], h)
+
+    def advance(self, a: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        r = h @ self.p["u"]
         gates = 1 / (1 + np.exp(-(a[:, :2 * HIDDEN] + r[:, :2 * HIDDEN])))
         z, q = gates[:, :HIDDEN], gates[:, HIDDEN:]
         n = np.tanh(a[:, 2 * HIDDEN:] + q * r[:, 2 * HIDDEN:])
@@ -148,9 +155,9 @@ class Gru:
     def train_window(self, x: np.ndarray, head: np.ndarray, member: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the mean loss of one window (time, lanes), backpropagated to its start; the state after it."""
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
-        steps, states = [], [h]
+        inputs, steps, states = self.p["x"][x] + self.p["b"], [], [h]
         for t in range(len(x)):
-            steps.append(self.step(x[t], states[-1]))
+            steps.append(self.advance(inputs[t], states[-1]))
             states.append(steps[-1][4])
         # State before token t predicts token t.
         flat = np.concatenate(states[:-1])
@@ -159,19 +166,24 @@ class Gru:
         dout = np.zeros_like(flat)
         dout[where] = dflat
         dout = dout.reshape(len(x), *h.shape)
+        da, back = np.empty_like(inputs), np.ascontiguousarray(self.p["u"].T)
+        dr = np.empty_like(inputs)
         carry = np.zeros_like(h)
         for t in range(len(x) - 1, -1, -1):
             z, q, n, rn, _ = steps[t]
-            prev = states[t]
             dn = carry * (1 - z) * (1 - n * n)
-            dz = carry * (prev - n) * z * (1 - z)
-            dq = dn * rn * q * (1 - q)
-            da = np.concatenate([dz, dq, dn], axis=1)
-            dr = np.concatenate([dz, dq, dn * q], axis=1)
-            np.add.at(g["x"], x[t], da)
-            g["b"] += da.sum(axis=0)
-            g["u"] += prev.T @ dr
-            carry = carry * z + dr @ self.p["u"].T + dout[t]
+            da[t, :, :HIDDEN] = carry * (states[t] - n) * z * (1 - z)
+            da[t, :, HIDDEN:2 * HIDDEN] = dn * rn * q * (1 - q)
+            da[t, :, 2 * HIDDEN:] = dn
+            dr[t, :, :2 * HIDDEN] = da[t, :, :2 * HIDDEN]
+            dr[t, :, 2 * HIDDEN:] = dn * q
+            carry = carry * z + dr[t] @ back + dout[t]
+        da, dr = da.reshape(len(flat), -1), dr.reshape(len(flat), -1)
+        order = np.argsort(x.ravel(), kind="stable")
+        keys, begin = np.unique(x.ravel()[order], return_index=True)
+        g["x"][keys] = np.add.reduceat(da[order], begin)
+        g["b"] += da.sum(axis=0)
+        g["u"] += flat.T @ dr
         for v in g.values():
             v /= max(1, len(where))
         return g, states[-1]
@@ -194,43 +206,42 @@ class Coder:
                 np.where(known, rank % per, 0), known)
 
 
-def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str], seed: int) -> dict:
-    """Adam over windows of ``LANES`` token streams of the texts, the state carried from window to window."""
+def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str]) -> tuple[dict, int]:
+    """Adam over all windows of the texts dealt to lanes, the state carried from window to window; and the tokens trained on."""
     model, code = Gru(), Coder(frequent)
     model.p = {k: v.copy() for k, v in weights.items()}
-    streams: list[list[np.ndarray]] = [[] for _ in range(LANES)]
-    sizes = np.zeros(LANES, np.int64)
+    parts: list[np.ndarray] = []
     for _, _, w in word_slices(pa.array(texts, pa.large_string()), BLANKS):
         hashes, rare, first = _tokens(w)
         x, head, member, _ = code(hashes, rare)
-        whole = np.stack([x, head, member])
-        for a, b in zip(first[:-1], first[1:]):
-            lane = int(sizes.argmin())
-            streams[lane].append(whole[:, a:b])
-            sizes[lane] += b - a
+        parts += np.split(np.stack([x, head, member]), first[1:-1], axis=1)
+    tokens = sum(p.shape[1] for p in parts)
+    lanes = min(MOST_LANES, max(LANES, tokens // (WINDOW * DEPTH)))
+    streams: list[list[np.ndarray]] = [[] for _ in range(lanes)]
+    sizes = np.zeros(lanes, np.int64)
+    for part in parts:
+        lane = int(sizes.argmin())
+        streams[lane].append(part)
+        sizes[lane] += part.shape[1]
     width = max(WINDOW, int(np.ceil(sizes.max() / WINDOW)) * WINDOW)
-    grid = np.zeros((3, LANES, width), np.int64)
-    live = np.zeros((LANES, width), bool)
-    for k, parts in enumerate(streams):
-        if parts:
-            line = np.concatenate(parts, axis=1)
+    grid = np.zeros((3, lanes, width), np.int64)
+    live = np.zeros((lanes, width), bool)
+    for k, stream in enumerate(streams):
+        if stream:
+            line = np.concatenate(stream, axis=1)
             grid[:, k, :line.shape[1]] = line
             live[k, :line.shape[1]] = True
     first_moment = {k: np.zeros_like(v) for k, v in model.p.items()}
     second_moment = {k: np.zeros_like(v) for k, v in model.p.items()}
-    h = np.zeros((LANES, HIDDEN), np.float32)
-    at = (seed * 7919 * WINDOW) % width // WINDOW * WINDOW
-    for n in range(1, min(STEPS, width // WINDOW) + 1):
-        cut = slice(at, at + WINDOW)
+    h = np.zeros((lanes, HIDDEN), np.float32)
+    for n in range(1, width // WINDOW + 1):
+        cut = slice((n - 1) * WINDOW, n * WINDOW)
         grads, h = model.train_window(grid[0, :, cut].T, grid[1, :, cut].T, grid[2, :, cut].T, live[:, cut].T, h)
         for k, g in grads.items():
             first_moment[k] = 0.9 * first_moment[k] + 0.1 * g
             second_moment[k] = 0.99 * second_moment[k] + 0.01 * g * g
             model.p[k] -= (RATE * (first_moment[k] / (1 - 0.9 ** n)) / (np.sqrt(second_moment[k] / (1 - 0.99 ** n)) + 1e-8)).astype(np.float32)
-        at += WINDOW
-        if at >= width:
-            at, h = 0, np.zeros_like(h)
-    return model.p
+    return model.p, tokens
 
 
 def _pack(weights: dict) -> bytes:
@@ -246,33 +257,36 @@ def _unpack(data: bytes, like: dict) -> dict:
 
 
 def train(texts: DataFrame, frequent: np.ndarray, start: Gru) -> dict:
-    """Weights after rounds of replicated training over ``texts(row, t)`` and averaging.
+    """Weights after one pass over ``texts(row, t)`` in rounds of replicated training and averaging.
 
     Shards hold about ``SHARD_BYTES`` of text, so their number grows with the corpus and none outgrows a
     task; Spark averages the replicas' weights, and one set of weights reaches the driver.
     """
     spark = texts.sparkSession
     weights = start.p
-    texts = stage(texts, "gru-texts")
-    shards = -(-(texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // SHARD_BYTES)
-    if not shards:
-        return weights
+    size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    rounds = LEAST_ROUNDS + int(np.log2(1 + size / SHARD_BYTES))
+    shards = max(1, round(size / rounds / SHARD_BYTES))
+    turn_of = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(rounds))
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(shards)))
-    for turn in range(ROUNDS):
-        rows = (dealt.groupBy("shard").applyInArrow(_replica(spark.sparkContext.broadcast((_pack(weights), frequent)), turn), "i int, w double")
-                .groupBy("i").agg(F.avg("w").alias("w")).toArrow())
-        flat = np.zeros(rows.num_rows, np.float32)
-        flat[rows.column("i").to_numpy()] = rows.column("w").to_numpy()
-        weights = _unpack(flat.tobytes(), weights)
+    for turn in range(rounds if size else 0):
+        rows = (dealt.where(turn_of == turn).select("shard", "t").groupBy("shard")
+                .applyInArrow(_replica(spark.sparkContext.broadcast((_pack(weights), frequent))), "i int, w double, n long")
+                .groupBy("i").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).toArrow())
+        if rows.num_rows:
+            flat = np.zeros(rows.num_rows, np.float32)
+            flat[rows.column("i").to_numpy()] = rows.column("w").to_numpy()
+            weights = _unpack(flat.tobytes(), weights)
     return weights
 
 
-def _replica(shared, turn: int):
+def _replica(shared):
     def run(table: pa.Table) -> pa.Table:
         data, common = shared.value
-        got = _train_replica(_unpack(data, Gru().p), common, table.column("t").to_pylist(), turn)
+        got, tokens = _train_replica(_unpack(data, Gru().p), common, table.column("t").to_pylist())
         flat = np.frombuffer(_pack(got), np.float32).astype(np.float64)
-        return pa.table({"i": pa.array(np.arange(len(flat), dtype=np.int32)), "w": pa.array(flat)})
+        return pa.table({"i": pa.array(np.arange(len(flat), dtype=np.int32)), "w": pa.array(flat),
+                         "n": pa.array(np.full(len(flat), tokens, np.int64))})
 
     return run
 
@@ -312,8 +326,8 @@ def _log_text(model: Gru, x: np.ndarray, head: np.ndarray, member: np.ndarray, f
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """row, id, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``."""
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"),
-                       (fold_of(doc_id) == HELD_OUT_FOLD).alias("held_out"))
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"),
+                             (fold_of(doc_id) == HELD_OUT_FOLD).alias("held_out")), "gru-rows")
     counts = stage(rows.where("not held_out").select("t").mapInArrow(_count, "h long, r int, c long")
                    .groupBy("h").agg(F.min("r").alias("r"), F.sum("c").alias("c")), "gru-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -327,8 +341,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     for r, c in zip(top.column("r").to_numpy()[:FREQUENT], top_c[:FREQUENT]):
         mass[r] -= c
         kinds[r] -= 1
-    sample = rows.where("not held_out").where(F.pmod(F.xxhash64("row", F.lit(5)), F.lit(1000)) < TRAIN_TEXTS).select("row", "t")
-    weights = train(sample, frequent, Gru().start_from(top_c[:FREQUENT], mass))
+    weights = train(rows.where("not held_out").select("row", "t"), frequent, Gru().start_from(top_c[:FREQUENT], mass))
     order = np.argsort(top_h)
     shared = spark.sparkContext.broadcast({
         "weights": _pack(weights), "frequent": frequent, "keys": top_h[order], "counts": top_c[order],

@@ -95,3 +95,45 @@ def test_state_is_carried_across_windows(monkeypatch):
 
 def test_empty_table(spark):
     assert gru_lm.digest(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_model_beats_the_base_on_the_smallest_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = gru_lm.digest(docs).where("held_out").collect()
+    assert sum(g.score for g in got) > sum(g.base_score for g in got) and gru_lm.HIDDEN == 24
+
+
+def test_every_training_text_is_trained_on_once(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "SHARD_BYTES", 2000)
+    texts = [f"w{i} common words here" for i in range(2000)]
+    seen = []
+
+    def replica(shared):
+        def run(table):
+            return pa.table({"i": pa.array([0], pa.int32()), "w": pa.array([float(zlib.crc32("|".join(sorted(table.column("t").to_pylist())).encode()))]),
+                             "n": pa.array([table.num_rows], pa.int64())})
+        return run
+
+    monkeypatch.setattr(gru_lm, "_replica", replica)
+    monkeypatch.setattr(gru_lm, "_unpack", lambda data, like: like)
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, t string")
+    kind = type(frame.groupBy("t"))
+    apply = kind.applyInArrow
+
+    def spy(self, f, schema):
+        out = apply(self, f, schema)
+        seen.extend(r.n for r in out.collect())
+        return out
+
+    monkeypatch.setattr(kind, "applyInArrow", spy)
+    gru_lm.train(frame, np.zeros(0, np.uint64), gru_lm.Gru())
+    assert sum(seen) == len(texts) and len(seen) > 20
+
+
+def test_a_replica_steps_through_all_its_windows(monkeypatch):
+    live = []
+    step = gru_lm.Gru.train_window
+    monkeypatch.setattr(gru_lm.Gru, "train_window", lambda self, x, head, member, on, h: (live.append(int(on.sum())), step(self, x, head, member, on, h))[1])
+    texts = ["a b c " * 40 for _ in range(6000)]
+    _, tokens = gru_lm._train_replica(gru_lm.Gru().p, np.zeros(0, np.uint64), texts)
+    assert sum(live) == tokens == 6000 * 121 and len(live) > 120
