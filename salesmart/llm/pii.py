@@ -64,8 +64,11 @@ PATTERNS = {
                r"|\p{Lu}(?<=\b" + _TITLE + r"(?:\p{Lu}\p{L}{1,30} )?\p{Lu})\p{L}+",
 }
 PATTERN = "|".join(PATTERNS.values())
-#: What every match needs somewhere in the text; texts without it are not searched.
-HINT = r"[0-9]{2}|@|(?<!\p{L})(?:" + "|".join([*TITLES, *_ALL_GIVEN]) + r")(?!\p{L})"
+_LED = [*TITLES, *_ALL_GIVEN]
+#: What every match needs somewhere in the text, by pattern: email; token; iban, ip, card, phone and ssn (two digits
+#: with at most one separator between); given and surname.  Texts without it are not searched.
+HINT = (r"@|[0-9][ .-]?[0-9]|[0-9a-fA-F]{32}|AKIA|gh[opsu]_|sk-"
+        r"|(?=[" + "".join(sorted({n[0] for n in _LED})) + r"])(?:" + "|".join(_LED) + r")\.? \p{Lu}")
 
 
 def _type_of(match: Column) -> Column:
