@@ -6,6 +6,10 @@ place.  Alignment is patience: anchor on words that are unique in both sequences
 increasing subsequence of anchors, and align the gaps between anchors the same way (in a gap more
 words are unique); a gap without anchors is aligned by its equal beginning and end.
 
+What tells licenses apart must be there: of each word of ``MARKS`` (name and version) of a template a place
+is matched, and no word of ``QUALIFIERS`` stands unmatched inside the place ("NonCommercial" in the sentence of
+CC BY).  Of overlapping places only the best is reported, the one with the most matched words.
+
 Candidates are exact.  A place that matches shares at least ``_need`` adjacent word pairs with the
 template (each unmatched template word breaks two pairs, each foreign word one); all pairs of all
 templates are looked up in one vectorised pass over whole texts, and only windows with so many hits are aligned.
@@ -13,7 +17,7 @@ The template table is a parameter of bounded size and travels with the task.
 
 Words are letters, digits and non-ASCII characters, A-Z lower-cased.  Edge cases: null, empty and
 wordless texts match nothing; a notice that repeats is reported at each place; overlapping places of
-one template are reported once, the leftmost first; rows may repeat; added columns that clash get a trailing underscore.
+one template are taken leftmost first; a license that is in no template matches nothing; rows may repeat; added columns that clash get a trailing underscore.
 """
 
 from __future__ import annotations
@@ -45,18 +49,47 @@ TEMPLATES = {
         "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
         "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."),
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     "bsd-text": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
         "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "bsd": "Released under the BSD License.",
+    "isc": "Released under the ISC License.",
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies."),
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright under CC0 1.0 Universal.",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
 }
+#: Words that a place must have, by template.
+MARKS = {"apache-2.0": "apache 2 0", "apache-2.0-notice": "apache 2 0", "mit": "mit", "mpl-2.0": "mozilla 2 0", "bsd": "bsd", "isc": "isc",
+         "unlicense": "unencumbered", "cc0-1.0": "cc0 1 0", "epl-2.0": "eclipse 2 0"}
+#: Words that make another license of a template's.
+QUALIFIERS = "affero lesser library nc nd sa noncommercial noderivatives noderivs sharealike"
+
+# The GNU and Creative Commons families differ by name and version only.
+for _kind, _title, _versions in (("gpl", "", ("2", "3")), ("lgpl", "Lesser ", ("2.1", "3")), ("agpl", "Affero ", ("3",))):
+    for _v in _versions:
+        _name = f"{_kind}-{_v if '.' in _v else _v + '.0'}"
+        TEMPLATES[_name] = f"This work is licensed under the GNU {_title}General Public License, version {_v}."
+        TEMPLATES[f"{_name}-notice"] = (
+            f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {_title}General Public License as "
+            f"published by the Free Software Foundation, either version {_v} of the License, or (at your option) any later version.")
+        MARKS[_name] = MARKS[f"{_name}-notice"] = f"{_title}general public {_v}"
+for _kind, _title in (("by", "Attribution"), ("by-sa", "Attribution-ShareAlike"), ("by-nd", "Attribution-NoDerivatives"),
+                      ("by-nc", "Attribution-NonCommercial"), ("by-nc-sa", "Attribution-NonCommercial-ShareAlike"),
+                      ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives")):
+    for _v, _port in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES[f"cc-{_kind}-{_v}"] = f"This work is licensed under a Creative Commons {_title} {_v} {_port} License."
+        MARKS[f"cc-{_kind}-{_v}"] = f"creative commons {_title} {_v}"
+        TEMPLATES[f"cc-{_kind}-{_v}-short"] = f"Licensed under CC {_kind.upper()} {_v}."
+        MARKS[f"cc-{_kind}-{_v}-short"] = f"cc {_kind} {_v}"
+
+
+def license_of(template: str) -> str:
+    """The license that a template stands for: both wordings of a Creative Commons license are one."""
+    return template.removesuffix("-short")
 
 
 def _rising(values: list[int]) -> list[int]:
@@ -127,12 +160,20 @@ def _compact(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return pairs[lo:hi + 1]
 
 
+def _hashes(texts: list[str]) -> tuple[Words, list[list[int]]]:
+    """Words of the texts and their hashes by text."""
+    data = [t.encode() for t in texts]
+    w = Words(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64), LETTERS)
+    return w, [w.hash[w.first[k]:w.first[k + 1]].tolist() for k in range(len(data))]
+
+
 class _Scanner:
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], marks: dict[str, str]):
         self.names = list(templates)
-        data = [t.encode() for t in templates.values()]
-        w = Words(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64), LETTERS)
-        self.words = [w.hash[w.first[k]:w.first[k + 1]].tolist() for k in range(len(data))]
+        data = list(templates)
+        w, self.words = _hashes(list(templates.values()))
+        self.marks = [set(x) for x in _hashes([marks.get(name, "") for name in data])[1]]
+        self.qualifiers = set(_hashes([QUALIFIERS])[1][0])
         at, pair = self.pairs(w)
         self.keys = np.unique(pair)
         #: Place of each pair in each template, -1 where it has none.
@@ -145,6 +186,22 @@ class _Scanner:
         at = np.flatnonzero(w.row[1:] == w.row[:-1]) if len(w.row) else np.zeros(0, np.int64)
         return at, mix(w.hash[at] * np.uint64(0x9E3779B97F4A7C15) + w.hash[at + 1])
 
+    def same(self, place: list[int], pairs: list[tuple[int, int]], k: int) -> bool:
+        """Whether the matched words have what tells template ``k`` from other licenses."""
+        matched = {i for i, _ in pairs}
+        foreign = {place[i] for i in range(pairs[0][0], pairs[-1][0]) if i not in matched}
+        return self.marks[k] <= {place[i] for i in matched} and not foreign & self.qualifiers
+
+    def best(self, w: Words) -> list[tuple[int, str, int, int, float]]:
+        """``matches`` without places that overlap a better one of any template."""
+        size = {name: len(x) for name, x in zip(self.names, self.words)}
+        out: dict[int, list[tuple[int, str, int, int, float]]] = {}
+        for m in sorted(self.matches(w), key=lambda m: (-round(m[4] * size[m[1]]), -m[4], m[3] - m[2], m[2], m[1])):
+            kept = out.setdefault(m[0], [])
+            if all(m[3] <= x[2] or x[3] <= m[2] for x in kept):
+                kept.append(m)
+        return [m for kept in out.values() for m in kept]
+
     def matches(self, w: Words) -> Iterator[tuple[int, str, int, int, float]]:
         """(row, license, first word, word behind the last, coverage)."""
         at, pair = self.pairs(w)
@@ -168,12 +225,13 @@ class _Scanner:
                 hi = min(int(w.first[row + 1]), begin + n + slack)
                 pairs = align(w.hash[lo:hi].tolist(), template)
                 pairs = _compact(pairs) if pairs else []
-                if len(pairs) >= COVERAGE * n:
+                if len(pairs) >= COVERAGE * n and self.same(w.hash[lo:hi].tolist(), pairs, k):
                     behind = lo + pairs[-1][0] + 1
                     yield row, name, lo + pairs[0][0], behind, len(pairs) / n
 
 
-def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None) -> tuple[DataFrame, str]:
+def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None,
+         marks: dict[str, str] | None = None) -> tuple[DataFrame, str]:
     """``docs`` plus an array of (license, start, end, coverage), characters [start, end); and its name."""
     name = free_name(docs.columns, "licenses")
     match = T.StructType([T.StructField("license", T.StringType(), False), T.StructField("start", T.IntegerType(), False),
@@ -181,17 +239,18 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None =
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(match, False), False)])
     where = docs.columns.index(text)
     table = dict(templates or TEMPLATES)
+    needed = dict(marks or {}) if templates else dict(MARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = _Scanner(table)
+        scanner = _Scanner(table, needed)
         kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("coverage", pa.float64())]))
         for batch in batches:
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for at, _, w in word_slices(batch.column(where), LETTERS):
-                for row, license_, lo, hi, coverage in scanner.matches(w):
+                for row, license_, lo, hi, coverage in scanner.best(w):
                     base = int(w.offsets[row])
                     chars = [int(np.count_nonzero((w.raw[base:x] & 0xC0) != 0x80)) for x in (int(w.start[lo]), int(w.end[hi - 1]))]
-                    found[at + row].append({"license": license_, "start": chars[0], "end": chars[1], "coverage": coverage})
+                    found[at + row].append({"license": license_of(license_), "start": chars[0], "end": chars[1], "coverage": coverage})
             for x in found:
                 x.sort(key=lambda m: (m["start"], m["license"]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=schema.names)

@@ -60,3 +60,29 @@ def test_alignment_is_a_common_subsequence_close_to_the_longest():
 
 def test_empty_table(spark):
     assert ls.digest(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_whole_license_set_of_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: set(r.licenses.split(",")) - {""} for r in ls.digest(docs).collect()}
+    want = {r.doc_id: {k for k, p in LINES.items() if re.search(p, r.text, re.I)} for r in docs.select("doc_id", "text").collect()}
+    assert got == want
+
+
+def test_licenses_that_differ_by_a_word_are_told_apart(spark):
+    gpl2 = ls.TEMPLATES["gpl-3.0-notice"].replace("version 3", "version 2")
+    sentence = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    cases = {"Licensed under CC BY-NC 4.0.": ["cc-by-nc-4.0"], "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"], "Licensed under CC BY 4.0.": ["cc-by-4.0"],
+             "Licensed under CC BY-NC-ND 4.0.": ["cc-by-nc-nd-4.0"], "Licensed under CC BY 2.5.": [], "Released under the BSD License": ["bsd"],
+             "Released under the XYZ License": [], gpl2: ["gpl-2.0-notice"], ls.TEMPLATES["gpl-3.0-notice"]: ["gpl-3.0-notice"],
+             sentence.format(""): ["cc-by-4.0"], sentence.format("-NonCommercial"): ["cc-by-nc-4.0"],
+             sentence.format("-NonCommercial-ShareAlike"): ["cc-by-nc-sa-4.0"], ls.TEMPLATES["apache-2.0-notice"]: ["apache-2.0-notice"],
+             "This work is licensed under the GNU Lesser General Public License, version 3.": ["lgpl-3.0"],
+             "Licensed under the Apache License, Version 1.1.": [],
+             "Released under the MIT License. Licensed under CC BY 4.0.": ["mit", "cc-by-4.0"]}
+    assert [[m[0] for m in g] for g in found(spark, list(cases))] == list(cases.values())
+
+
+def test_every_template_is_found_as_itself_only(spark):
+    got = found(spark, list(ls.TEMPLATES.values()))
+    assert [[m[0] for m in g] for g in got] == [[ls.license_of(name)] for name in ls.TEMPLATES]
