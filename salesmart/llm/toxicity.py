@@ -6,7 +6,8 @@ repetitions count once.  An absolute discount ``DISCOUNT`` takes rare expression
 classes and hands their mass to shared backoff counts, so that an expression which neither class
 has often enough scores alike in both.  With n_c the counts of class c, H_c their sum after the
 discount, b the share of the mass that the discount takes from the pooled counts, and P(x) the pooled
-continuation counts (in how many distinct contexts x occurs):
+continuation counts (in how many distinct contexts, preceding words or the start of a text, x occurs, as a
+share of all such pairs of a context and an x):
 
     P_c(x)     = (1 - b) * max(n_c(x) - D, 0) / H_c + b * P(x)
     P_c(w | u) = (1 - b(u)) * max(n_c(u w) - D, 0) / H_c(u) + b(u) * P_c(w)
@@ -49,6 +50,8 @@ STEMS = (6, 4)
 HELD_OUT_FOLD, CALIBRATION_FOLD = 0, 1
 
 _U = np.uint64
+#: The context of a text's first word; hashes of words as contexts are odd as well, and equal it with probability 2^-63.
+START = _U(1)
 
 
 def _pairs(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -73,16 +76,18 @@ def _stems(w: Words) -> list[np.ndarray]:
 def _expressions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, toxic) -> distinct (previous word, word, stems of the word, toxic) of each text.
 
-    Previous word 0 stands for a single word; pairs carry no stems.
+    Previous word 0 stands for a single word, and ``START`` for the start of the text; only single words carry stems.
     """
     for batch in batches:
         label = np.asarray(batch.column(1))
         for at, _, w in word_slices(batch.column(0), LETTERS):
             second, _ = _pairs(w)
-            none = np.zeros(len(second), np.uint64)
-            rows = np.concatenate([w.row, w.row[second]]).astype(np.uint64)
-            u = np.concatenate([np.zeros(len(w.hash), np.uint64), w.hash[second - 1] | _U(1)])
-            v = np.concatenate([w.hash, w.hash[second]])
+            lead = w.first[:-1][w.per_row > 0]
+            place = np.concatenate([np.arange(len(w.hash)), second, lead])
+            rows = w.row[place].astype(np.uint64)
+            u = np.concatenate([np.zeros(len(w.hash), np.uint64), w.hash[second - 1] | _U(1), np.full(len(lead), START, np.uint64)])
+            v = w.hash[place]
+            none = np.zeros(len(second) + len(lead), np.uint64)
             _, first = np.unique(mix(mix(u * _U(0xD6E8FEB86659FD93) + v) + rows), return_index=True)
             stems = [np.concatenate([x, none])[first] for x in _stems(w)]
             yield pa.RecordBatch.from_arrays(
@@ -183,10 +188,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
               .agg(F.sum(1 - F.col("toxic")).alias("n0"), F.sum("toxic").alias("n1")))
     counts = stage(counts, "toxicity-counts")
     model = Model()
-    single, double = counts.where("u = 0"), counts.where("u <> 0")
+    single, double = counts.where("u = 0"), counts.where(~F.col("u").isin(0, int(START)))
     for unit in ("v", "s0", "s1"):
         table = single.groupBy(F.col(unit).alias("x")).agg(*(F.sum(c).alias(c) for c in ("n0", "n1")))
-        level = _level(table)
+        level = _level(table, stage(continuations(counts, unit), "toxicity-contexts"))
         if level is None:
             return Model()
         model.levels.append(level)
@@ -210,18 +215,34 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     return model
 
 
-def _level(table: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """Kept expressions of (x, n0, n1) and their probabilities per class; None if a class keeps nothing."""
+def continuations(counts: DataFrame, unit: str) -> DataFrame:
+    """(x, contexts): in how many distinct contexts of ``counts(u, v, s0, s1)`` each word or stem occurs.
+
+    Pairs are distinct already; for stems they meet the stems of the sample's words, whose number is bounded.
+    """
+    pairs = counts.where("u <> 0").select("u", "v")
+    if unit != "v":
+        words = counts.where("u = 0").select("v", unit).distinct()
+        pairs = pairs.join(F.broadcast(words), "v").select("u", unit).distinct()
+    return pairs.groupBy(F.col(unit).alias("x")).agg(F.count("*").alias("contexts"))
+
+
+def _level(table: DataFrame, contexts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Kept expressions of (x, n0, n1) and their probabilities per class, backed off to the shares of
+    (x, contexts); None if a class keeps nothing."""
     pooled = F.col("n0") + F.col("n1")
     total = table.agg(*(F.sum(F.greatest(c - DISCOUNT, F.lit(0.0))) for c in (F.col("n0"), F.col("n1"), pooled)),
-                      F.sum(pooled), F.sum(F.least(pooled, F.lit(DISCOUNT)))).first()
+                      F.sum(pooled)).first()
     if not total[0] or not total[1]:
         return None
     back = 1 - total[2] / total[3]
-    kept = table.where(F.greatest("n0", "n1") > DISCOUNT).toArrow()
-    x, n0, n1 = (kept.column(c).to_numpy() for c in ("x", "n0", "n1"))
+    contexts = contexts.withColumnRenamed("x", "y")
+    pairs = contexts.agg(F.sum("contexts")).first()[0]
+    kept = (table.where(F.greatest("n0", "n1") > DISCOUNT).join(contexts, F.col("x") == F.col("y"))
+            .select("x", "n0", "n1", "contexts").toArrow())
+    x, n0, n1, contexts_of = (kept.column(c).to_numpy() for c in ("x", "n0", "n1", "contexts"))
     held = np.maximum(np.column_stack([n0, n1]) - DISCOUNT, 0) / np.array(total[:2], float)
-    prob = (1 - back) * held + back * DISCOUNT / total[4]
+    prob = (1 - back) * held + (back * contexts_of / pairs)[:, None]
     order = np.argsort(x.view(np.uint64))
     return x.view(np.uint64)[order], prob[order]
 
