@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import LETTERS, Words, mix, stage, text_slices
+from salesmart.llm.common import LETTERS, Words, free_name, mix, stage, text_slices
 from salesmart.llm.components import components
 from salesmart.llm.shingles import multiset_jaccard, shingle_multisets
 
@@ -228,13 +228,15 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.withColumn("rid", F.monotonically_increasing_id())
 
 
-def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, text: str = "text", rid: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rid, class) of every row, and the verified links (u, v, similarity) between representatives.
 
-    ``rid`` is the number that ``monotonically_increasing_id`` gives to the rows of the scan, and a
-    class is the smallest rid of its rows' representatives.
+    ``rid`` names a stored column that numbers the rows; without it, rows are numbered in the order of the
+    scan, once, in a staged copy.  A class is the smallest rid of its rows' representatives.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(text).alias("t"))
+    rows = docs.select((F.col(rid) if rid else F.monotonically_increasing_id()).alias("rid"), F.col(text).alias("t"))
+    if not rid:
+        rows = stage(rows, "bag-rows")
     sketch = stage(rows.mapInArrow(_sketch, "rid long, f1 long, f2 long, bands array<long>, sig binary, size long"), "bag-sketch")
     least = sketch.groupBy("f1", "f2").agg(F.min("rid").alias("rep"))
     member = sketch.select("rid", "f1", "f2").join(least, ["f1", "f2"]).select("rid", "rep")
@@ -284,9 +286,9 @@ def _blockwise(left: DataFrame, texts: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class), class size, links of its text."""
-    found, links = classes(docs)
-    ids = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"))
-    marked = stage(ids.join(found, "rid"), "bag-classes")
+    rows = stage(numbered(docs.select("doc_id", "text")), "bag-rows")
+    found, _ = classes(rows, rid="rid")
+    marked = stage(rows.select("doc_id", "rid").join(found, "rid"), "bag-classes")
     sizes = marked.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))
     return marked.join(sizes, "class").select(
         "doc_id", "class_id", "class_rows", (F.col("doc_id") == F.col("class_id")).alias("is_first"))
@@ -294,13 +296,11 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` with one row of each class, unchanged otherwise."""
-    found, _ = classes(docs, text)
-    ids = docs.select(F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("rid"))
+    spare = free_name(docs.columns, "_row_of_scan")
+    rows = stage(docs.withColumn(spare, F.monotonically_increasing_id()), "bag-rows")
+    found, _ = classes(rows, text, spare)
+    ids = rows.select(F.col(doc_id).alias("id"), F.col(spare).alias("rid"))
     first = (found.join(ids, "rid").groupBy("class")
              .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("first"))
-             .select(F.col("first.rid").alias("rid")))
-    spare = "_row_of_scan"
-    while spare.lower() in {c.lower() for c in docs.columns}:
-        spare += "_"
-    return (docs.withColumn(spare, F.monotonically_increasing_id())
-            .join(first.withColumnRenamed("rid", spare), spare, "left_semi").select(*docs.columns))
+             .select(F.col("first.rid").alias(spare)))
+    return rows.join(first, spare, "left_semi").select(*docs.columns)

@@ -14,7 +14,7 @@ earlier draws keep their place.  Each check is a join and an aggregation of the
 number reaches the driver.
 
 Only rows with an entity have their matches exploded; texts meet their replacements in one join by
-row number (the input must be a repeatable scan, such as a stored table).
+row number.  Rows are numbered once, in a staged copy of the table that all later reads use.
 
 Edge cases: null texts stay null and empty texts empty; texts without entities pass unchanged;
 repeated rows get the same replacements; empty tables give empty results.  ``n_chars``, where the
@@ -196,7 +196,8 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, s
     """``docs`` with surrogates in the text, and the name of the added column with the number of replaced mentions."""
     count, row = free_name(docs.columns, "n_entities"), free_name(docs.columns, "_pii_row")
     source = F.col(text)
-    found = (docs.select(F.monotonically_increasing_id().alias("row"), source.alias("t")).where(F.col("t").rlike(HINT))
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pii-rows")
+    found = (rows.select(F.col(row).alias("row"), source.alias("t")).where(F.col("t").rlike(HINT))
              .select("row", F.regexp_extract_all("t", F.lit(PATTERN), 0).alias("matches")).where(F.size("matches") > 0))
     found = stage(found, "pii-found")
     mentions = (found.select("row", F.posexplode("matches").alias("place", "mention"))
@@ -208,7 +209,7 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, s
     per_row = per_row.select(F.col("row").alias(row), F.transform("puts", lambda p: p["put"]).alias(f"{row}puts"))
     puts = F.col(f"{row}puts")
     new = F.array_join(F.zip_with(F.split(source, PATTERN, -1), F.concat(puts, F.array(F.lit(""))), lambda gap, put: F.concat(gap, put)), "")
-    out = (docs.withColumn(row, F.monotonically_increasing_id()).join(per_row, row, "left")
+    out = (rows.join(per_row, row, "left")
            .withColumn(text, F.when(puts.isNull(), source).otherwise(new))
            .withColumn(count, F.coalesce(F.size(puts), F.lit(0)).cast("long")))
     if "n_chars" in docs.columns:
