@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bagminhash, bpe, decontaminate, eod_counts, gru_lm, html_blocks, license_scan, pii, quality_rules, toxicity
+from salesmart.llm import (bagminhash, bpe, decontaminate, eod_counts, gru_lm, hard_negatives, html_blocks, license_scan, pii, pstable,
+                           quality_rules, spelling, toxicity)
 from salesmart.llm.common import small_arrow_batches
 from salesmart.llm.settings import PII_KEY, tokenizer_path
 
@@ -55,6 +56,18 @@ def op10_eod_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eod_counts.digest(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(_table(spark, sf_dir, "embeddings"))
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_arrow_batches(spark)
@@ -65,6 +78,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _prepared(f) for f in (op1_license_scan, op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op8_html_blocks, op9_decontaminate, op10_eod_counts)}
+    f.__name__: _prepared(f) for f in (op1_license_scan, op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op8_html_blocks, op9_decontaminate, op10_eod_counts,
+                                       op11_spelling, op12_pstable, op13_hard_negatives)}
 
-ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
+ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op12_pstable": pstable.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
