@@ -11,10 +11,11 @@ smoothed corpus count (c + 0.5) / (N_class + 0.5 (V_class + 1)).  So every word
 model's log10 probability of a text is a sum over all its tokens.
 
 Training is truncated backpropagation, one pass over all training texts.  Rounds, whose number grows with
-the logarithm of the corpus, take disjoint parts of the texts (by a hash of the row); a round deals its part into
-shards of about ``SHARD_BYTES``, which cut it into windows of ``WINDOW`` tokens whose state is carried on.  A replica
-per shard runs one step of Adam per window until its texts end, and the replicas' weights are averaged after each
-round, by their numbers of tokens.
+the logarithm of the corpus, take disjoint parts of the texts: ranges of ``slot``, a hash of the row by which the staged
+files are sorted, so that a round reads the pages of its own rows.  A round deals its part into
+shards of about ``SHARD_BYTES``, which cut it, in the order of the rows, into windows of ``WINDOW`` tokens whose state is
+carried on.  A replica per shard runs one step of Adam per window until its texts end, and the replicas' weights are
+averaged after each round, by their numbers of tokens.
 
 Scoring runs many texts side by side, carries each text's state over all its windows, and takes the
 probabilities of words outside the broadcast tables (``FREQUENT`` embeddings, ``KNOWN`` counts) from a
@@ -23,7 +24,8 @@ their row numbers come from one staged copy.
 
 Edge cases: null is an empty text, which is one end token.  Without training texts counts are 0 and
 the untrained model, which starts as a unigram model, scores.  Rows are told apart by row number, so repeated
-and null ids are fine.
+and null ids are fine.  A very long text is a slice of its own, scored as a whole with its state carried on.
+An empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,13 +41,15 @@ from salesmart.llm.common import BLANKS, Words, fold_of, lookup, mix, stage, wor
 
 HELD_OUT_FOLD = 1
 FREQUENT, CLASSES, RARE = 1024, 32, 32
-KNOWN = 65536
+#: Most words whose counts are broadcast, and steps of a doubling in which their least count is found.
+KNOWN, STEPS = 65536, 16
 HIDDEN, WINDOW = 24, 32
 #: Token streams side by side: the least, the most, and windows that a replica should at least have.
 LANES, MOST_LANES, DEPTH = 32, 128, 128
 #: Bytes of text that a task scores side by side.
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 1 << 20
 SHARD_BYTES, LEAST_ROUNDS = 4 << 20, 3
+SLOTS = 256
 RATE = 0.01
 
 _U = np.uint64
@@ -166,18 +170,21 @@ class Gru:
         dout = np.zeros_like(flat)
         dout[where] = dflat
         dout = dout.reshape(len(x), *h.shape)
-        da, back = np.empty_like(inputs), np.ascontiguousarray(self.p["u"].T)
-        dr = np.empty_like(inputs)
+        # Local derivatives of all steps at once: only what depends on the carried gradient is left to the loop.
+        z, q, n, rn = (np.stack([s[k] for s in steps]) for k in range(4))
+        by_n = (1 - z) * (1 - n * n)
+        local = np.concatenate([(np.stack(states[:-1]) - n) * z * (1 - z), by_n * rn * q * (1 - q), by_n * q], axis=2)
+        dr, back = np.empty_like(inputs), np.ascontiguousarray(self.p["u"].T)
+        carried = np.empty_like(dout)
         carry = np.zeros_like(h)
         for t in range(len(x) - 1, -1, -1):
-            z, q, n, rn, _ = steps[t]
-            dn = carry * (1 - z) * (1 - n * n)
-            da[t, :, :HIDDEN] = carry * (states[t] - n) * z * (1 - z)
-            da[t, :, HIDDEN:2 * HIDDEN] = dn * rn * q * (1 - q)
-            da[t, :, 2 * HIDDEN:] = dn
-            dr[t, :, :2 * HIDDEN] = da[t, :, :2 * HIDDEN]
-            dr[t, :, 2 * HIDDEN:] = dn * q
-            carry = carry * z + dr[t] @ back + dout[t]
+            carried[t] = carry
+            np.multiply(local[t].reshape(-1, 3, HIDDEN), carry[:, None, :], out=dr[t].reshape(-1, 3, HIDDEN))
+            carry = carry * z[t]
+            carry += dr[t] @ back
+            carry += dout[t]
+        da = dr.copy()
+        da[:, :, 2 * HIDDEN:] = carried * by_n
         da, dr = da.reshape(len(flat), -1), dr.reshape(len(flat), -1)
         order = np.argsort(x.ravel(), kind="stable")
         keys, begin = np.unique(x.ravel()[order], return_index=True)
@@ -257,7 +264,7 @@ def _unpack(data: bytes, like: dict) -> dict:
 
 
 def train(texts: DataFrame, frequent: np.ndarray, start: Gru) -> dict:
-    """Weights after one pass over ``texts(row, t)`` in rounds of replicated training and averaging.
+    """Weights after one pass over ``texts(row, t, slot)`` in rounds of replicated training and averaging.
 
     Shards hold about ``SHARD_BYTES`` of text, so their number grows with the corpus and none outgrows a
     task; Spark averages the replicas' weights, and one set of weights reaches the driver.
@@ -267,10 +274,11 @@ def train(texts: DataFrame, frequent: np.ndarray, start: Gru) -> dict:
     size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     rounds = LEAST_ROUNDS + int(np.log2(1 + size / SHARD_BYTES))
     shards = max(1, round(size / rounds / SHARD_BYTES))
-    turn_of = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(rounds))
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(shards)))
+    edges = [turn * SLOTS // rounds for turn in range(rounds + 1)]
     for turn in range(rounds if size else 0):
-        rows = (dealt.where(turn_of == turn).select("shard", "t").groupBy("shard")
+        mine = (F.col("slot") >= edges[turn]) & (F.col("slot") < edges[turn + 1])
+        rows = (dealt.where(mine).select("shard", "row", "t").groupBy("shard")
                 .applyInArrow(_replica(spark.sparkContext.broadcast((_pack(weights), frequent))), "i int, w double, n long")
                 .groupBy("i").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).toArrow())
         if rows.num_rows:
@@ -283,7 +291,7 @@ def train(texts: DataFrame, frequent: np.ndarray, start: Gru) -> dict:
 def _replica(shared):
     def run(table: pa.Table) -> pa.Table:
         data, common = shared.value
-        got, tokens = _train_replica(_unpack(data, Gru().p), common, table.column("t").to_pylist())
+        got, tokens = _train_replica(_unpack(data, Gru().p), common, table.sort_by("row").column("t").to_pylist())
         flat = np.frombuffer(_pack(got), np.float32).astype(np.float64)
         return pa.table({"i": pa.array(np.arange(len(flat), dtype=np.int32)), "w": pa.array(flat),
                          "n": pa.array(np.full(len(flat), tokens, np.int64))})
@@ -323,15 +331,30 @@ def _log_text(model: Gru, x: np.ndarray, head: np.ndarray, member: np.ndarray, f
     return out
 
 
+def _most_frequent(counts: DataFrame) -> pa.Table:
+    """Words with the largest counts, at most KNOWN of them: all from a least count on, found on a scale of logarithms."""
+    step = F.floor(F.log2("c") * STEPS).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)  # a few hundred steps
+    least, so_far = None, 0
+    for at, n in sizes:
+        so_far += n
+        if so_far > KNOWN:
+            break
+        least = at
+    top = counts.where(step >= least) if least is not None else counts.limit(0)
+    return top.toArrow().sort_by([("c", "descending"), ("h", "ascending")])
+
+
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """row, id, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``."""
     spark = docs.sparkSession
     rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"),
-                             (fold_of(doc_id) == HELD_OUT_FOLD).alias("held_out")), "gru-rows")
+                             (fold_of(doc_id) == HELD_OUT_FOLD).alias("held_out"))
+                 .withColumn("slot", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(SLOTS)).cast("int")).sortWithinPartitions("slot"), "gru-rows")
     counts = stage(rows.where("not held_out").select("t").mapInArrow(_count, "h long, r int, c long")
                    .groupBy("h").agg(F.min("r").alias("r"), F.sum("c").alias("c")), "gru-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "h").limit(KNOWN).toArrow()
+    top = _most_frequent(counts)
     top_h, top_c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
     frequent = top_h[:FREQUENT].copy()
     # Mass and number of the words of each rare class: all counted words less the frequent ones.
@@ -341,7 +364,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     for r, c in zip(top.column("r").to_numpy()[:FREQUENT], top_c[:FREQUENT]):
         mass[r] -= c
         kinds[r] -= 1
-    weights = train(rows.where("not held_out").select("row", "t"), frequent, Gru().start_from(top_c[:FREQUENT], mass))
+    weights = train(rows.where("not held_out").select("row", "t", "slot"), frequent, Gru().start_from(top_c[:FREQUENT], mass))
     order = np.argsort(top_h)
     shared = spark.sparkContext.broadcast({
         "weights": _pack(weights), "frequent": frequent, "keys": top_h[order], "counts": top_c[order],

@@ -116,7 +116,7 @@ def test_every_training_text_is_trained_on_once(spark, monkeypatch):
 
     monkeypatch.setattr(gru_lm, "_replica", replica)
     monkeypatch.setattr(gru_lm, "_unpack", lambda data, like: like)
-    frame = spark.createDataFrame(list(enumerate(texts)), "row long, t string")
+    frame = spark.createDataFrame([(k, t, k * 37 % gru_lm.SLOTS) for k, t in enumerate(texts)], "row long, t string, slot int")
     kind = type(frame.groupBy("t"))
     apply = kind.applyInArrow
 
