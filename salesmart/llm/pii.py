@@ -1,8 +1,10 @@
 """Operator 2, surrogate generation for personal data; DataFrame functions only.
 
 One pattern finds entities: e-mail addresses, card, phone, social-security and account numbers, IP
-addresses, access tokens, and parts of personal names (after a title or a common given name).  Each
-distinct entity (type and normalised form: digits of numbers, lower case of the rest) gets one
+addresses, access tokens, and parts of personal names (after a title or a common given name; hyphens and
+apostrophes belong to a name).  A card number must have a valid check digit; book numbers (978, 979) are none.
+In a text with names, every capitalised word that is a part of a name found in it is a mention too, so "Later
+Smith left and John stayed" follows "Mr. John Smith".  Each distinct entity (type and normalised form: digits of numbers, lower case of the rest) gets one
 replacement for the whole table, drawn by a keyed hash, so all mentions of an entity stay together in
 whatever spelling.  Replacements keep the type and the format: separators, lengths, letter case,
 script, top-level domain, country digit and a valid card check digit; given names keep gender and
@@ -17,7 +19,9 @@ Only rows with an entity have their matches exploded; texts meet their replaceme
 row number.  Rows are numbered once, in a staged copy of the table that all later reads use.
 
 Edge cases: null texts stay null and empty texts empty; texts without entities pass unchanged;
-repeated rows get the same replacements; empty tables give empty results.  ``n_chars``, where the
+repeated rows get the same replacements; empty tables give empty results.  Texts of any length are
+searched whole: repetitions in the patterns are either of single characters, which need no stack, or bounded
+(a local part up to 64 characters, labels of up to 63 in a domain, as mail rules have it; 41 letters in a part of a name).  ``n_chars``, where the
 table has it, follows the new text; other columns and their names are untouched.
 """
 
@@ -46,33 +50,41 @@ SYLLABLES = {"latin": ["ba", "de", "li", "mo", "ra", "se", "ti", "no", "ka", "ve
 ATTEMPTS = 60
 
 _ALL_GIVEN = [n for names in GIVEN.values() for n in names]
-_WORD = r"\p{Lu}\p{L}+"
 _TITLE = r"(?:" + "|".join(TITLES) + r")\.? "
-_FIRST = r"(?:" + "|".join(_ALL_GIVEN) + r")"
+_FIRST = r"(?:" + "|".join(_ALL_GIVEN) + r")(?:-\p{Lu}\p{L}{1,30})?"
+#: What follows the capital of a name: "mith", "'Neill", "l-Hassan"; parts of at most 41 letters.
+_REST = r"(?:['’]\p{Lu})?\p{L}{1,40}(?:[-'’]\p{Lu}\p{L}{1,40}){0,3}(?!\p{L})"
 
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,10}\.[A-Za-z]{2,63}",
     "token": r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "ip": r"(?<![0-9.vV])(?<![vV][ .])(?<!ersion )(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
+          r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
+    "card": r"(?<![0-9+-])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{4,5}"
+            r"|[0-9]{4}-[0-9]{6}-[0-9]{4,5}|[0-9](?: [0-9]){12,18}|[0-9](?:-[0-9]){12,18})(?![0-9])",
     "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
              r"|(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "given": r"\b" + _FIRST + r"(?= " + _WORD + r")",
-    "surname": r"\p{Lu}(?<=\b" + _FIRST + r" \p{Lu})\p{L}+"
-               r"|\p{Lu}(?<=\b" + _TITLE + r"(?:\p{Lu}\p{L}{1,30} )?\p{Lu})\p{L}+",
+    "given": r"\b" + _FIRST + r"(?= \p{Lu}(?:\p{L}|['’]\p{Lu}))",
+    "surname": r"\p{Lu}(?<=\b" + _FIRST + r" \p{Lu})" + _REST +
+               r"|\p{Lu}(?<=\b" + _TITLE + r"(?:\p{Lu}\p{L}{1,30} )?\p{Lu})" + _REST,
 }
+#: A capitalised word that may repeat a part of a name; it ends before what another pattern finds.
+BARE = (r"(?<![\p{L}\p{N}])\p{Lu}(?:['’]\p{Lu})?\p{L}{1,40}"
+        r"(?:[-'’](?!AKIA|[0-9A-F]{32})\p{Lu}\p{L}{1,40}){0,3}(?![\p{L}\p{N}])")
 PATTERN = "|".join(PATTERNS.values())
+WITH_BARE = PATTERN + "|" + BARE
 _LED = [*TITLES, *_ALL_GIVEN]
 #: What every match needs somewhere in the text, by pattern: email; token; iban, ip, card, phone and ssn (two digits
 #: with at most one separator between); given and surname.  Texts without it are not searched.
 HINT = (r"@|[0-9][ .-]?[0-9]|[0-9a-fA-F]{32}|AKIA|gh[opsu]_|sk-"
-        r"|(?=[" + "".join(sorted({n[0] for n in _LED})) + r"])(?:" + "|".join(_LED) + r")\.? \p{Lu}")
+        r"|(?=[" + "".join(sorted({n[0] for n in _LED})) + r"])(?:" + "|".join(_LED) + r")(?:-\p{Lu}\p{L}{1,30})?\.? \p{Lu}")
+NAMES = ["given_f", "given_m", "surname"]
 
 
 def _type_of(match: Column) -> Column:
-    digits = F.length(F.regexp_replace(match, "[^0-9]", ""))
+    digits, name = F.length(F.regexp_replace(match, "[^0-9]", "")), F.lower(F.substring_index(match, "-", 1))
     return (F.when(match.contains("@"), "email")
             .when(match.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "hex")
             .when(match.rlike(r"^(?:AKIA|gh[opsu]_|sk-)"), "token")
@@ -81,8 +93,8 @@ def _type_of(match: Column) -> Column:
             .when(match.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
             .when(match.rlike(r"^[0-9]") & (digits >= 13), "card")
             .when(match.rlike(r"^[+(0-9]"), "phone")
-            .when(F.lower(match).isin([n.lower() for n in GIVEN["f", "latin"] + GIVEN["f", "cyrillic"]]), "given_f")
-            .when(F.lower(match).isin([n.lower() for n in GIVEN["m", "latin"] + GIVEN["m", "cyrillic"]]), "given_m")
+            .when(name.isin([n.lower() for n in GIVEN["f", "latin"] + GIVEN["f", "cyrillic"]]), "given_f")
+            .when(name.isin([n.lower() for n in GIVEN["m", "latin"] + GIVEN["m", "cyrillic"]]), "given_m")
             .otherwise("surname"))
 
 
@@ -149,6 +161,7 @@ def _surrogate(key: str) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: _pick(SYLLABLES[name], _draw(key, 16, kind, form, attempt, i))), "")
 
     generated = F.when(script == "cyrillic", spoken("cyrillic")).otherwise(spoken("latin"))
+    double = F.concat(generated, F.lit("-"), F.reverse(generated))  # a double name stays one
 
     def given(gender: str) -> Column:
         chosen = F.when(script == "cyrillic", _pick(GIVEN[gender, "cyrillic"], _draw(key, 8, kind, form, attempt))) \
@@ -158,7 +171,7 @@ def _surrogate(key: str) -> Column:
         return F.when(attempt < 6, F.lower(chosen)).otherwise(F.concat(generated, ending))
 
     return (F.when(kind == "ip", ip).when(kind == "given_f", given("f")).when(kind == "given_m", given("m"))
-            .when(kind == "surname", generated)
+            .when(kind == "surname", F.when(form.contains("-"), double).otherwise(generated))
             .when((kind == "card") & (_luhn(form) == 0), F.concat(body, check)).otherwise(shaped))
 
 
@@ -172,7 +185,7 @@ def _in_format_of(match: Column, kind: Column, surrogate: Column) -> Column:
 
     spaced = F.array_join(F.transform(F.sequence(F.lit(1), F.length(match)), place), "")
     cased = (F.when((F.upper(match) == match) & (F.lower(match) != match), F.upper(surrogate))
-             .when(kind.isin("given_f", "given_m", "surname"), F.initcap(surrogate)).otherwise(surrogate))
+             .when(kind.isin(*NAMES), F.array_join(F.transform(F.split(surrogate, "-"), F.initcap), "-")).otherwise(surrogate))
     return F.when(kind.isin("card", "ssn", "phone", "iban"), spaced).when(kind == "token", surrogate).otherwise(cased)
 
 
@@ -195,23 +208,39 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def replace(docs: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with surrogates in the text, and the name of the added column with the number of replaced mentions."""
     count, row = free_name(docs.columns, "n_entities"), free_name(docs.columns, "_pii_row")
-    source = F.col(text)
+    source, kind, form = F.col(text), F.col("kind"), F.col("key")
     rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pii-rows")
     found = (rows.select(F.col(row).alias("row"), source.alias("t")).where(F.col("t").rlike(HINT))
-             .select("row", F.regexp_extract_all("t", F.lit(PATTERN), 0).alias("matches")).where(F.size("matches") > 0))
+             .withColumn("matches", F.regexp_extract_all("t", F.lit(PATTERN), 0)).where(F.size("matches") > 0))
+    names = F.transform(F.filter("matches", lambda m: _type_of(m).isin(*NAMES)), F.lower)
+    # Texts with names are searched again, for bare mentions of their parts.
+    found = found.withColumn("names", F.array_distinct(names)).select(
+        "row", "names", F.when(F.size("names") == 0, F.col("matches")).otherwise(F.regexp_extract_all("t", F.lit(WITH_BARE), 0)).alias("matches"))
     found = stage(found, "pii-found")
-    mentions = (found.select("row", F.posexplode("matches").alias("place", "mention"))
-                .withColumn("kind", _type_of(F.col("mention"))).withColumn("key", _key_of(F.col("kind"), F.col("mention"))))
-    drawn = surrogates(mentions.select("kind", "key"), key)
-    put = _in_format_of(F.col("mention"), F.col("kind"), F.col("surrogate"))
-    per_row = (mentions.join(drawn, ["kind", "key"]).select("row", F.struct("place", put.alias("put")).alias("one"))
-               .groupBy("row").agg(F.sort_array(F.collect_list("one")).alias("puts")))
-    per_row = per_row.select(F.col("row").alias(row), F.transform("puts", lambda p: p["put"]).alias(f"{row}puts"))
-    puts = F.col(f"{row}puts")
-    new = F.array_join(F.zip_with(F.split(source, PATTERN, -1), F.concat(puts, F.array(F.lit(""))), lambda gap, put: F.concat(gap, put)), "")
+    matched = (found.select("row", (F.size("names") > 0).alias("bare"), F.posexplode("matches").alias("place", "mention"))
+               .withColumn("kind", _type_of(F.col("mention"))).withColumn("key", _key_of(kind, F.col("mention"))))
+    parts = found.select("row", F.explode("names").alias("key"), F.lit(True).alias("part"))
+    # A match of a name counts if it is a part of a name of its text, a card if its digits check.
+    card = (_luhn(form) == 0) & ~((F.length(form) == 13) & form.rlike("^97[89]"))
+    counts = F.when(kind.isin(*NAMES), F.col("part").isNotNull()).when(kind == "card", card).otherwise(F.lit(True))
+    mentions = stage(matched.join(parts, ["row", "key"], "left").withColumn("real", counts).drop("part"), "pii-mentions")
+    drawn = surrogates(mentions.where("real").select("kind", "key"), key)
+    put = F.when(F.col("real"), _in_format_of(F.col("mention"), kind, F.col("surrogate"))).otherwise(F.col("mention"))
+    per_row = (mentions.join(drawn, ["kind", "key"], "left").select("row", "bare", "real", F.struct("place", put.alias("put")).alias("one"))
+               .groupBy("row").agg(F.sort_array(F.collect_list("one")).alias("puts"), F.count_if("real").alias("n"), F.any_value("bare").alias("bare"))
+               .where("n > 0"))
+    put_names = [f"{row}puts", f"{row}n", f"{row}bare"]
+    per_row = per_row.select(F.col("row").alias(row), F.transform("puts", lambda p: p["put"]).alias(put_names[0]),
+                             F.col("n").alias(put_names[1]), F.col("bare").alias(put_names[2]))
+    puts, n, bare = map(F.col, put_names)
+
+    def rebuilt(pattern: str) -> Column:
+        filled = F.concat(puts, F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.split(source, pattern, -1), filled, lambda gap, put: F.concat(gap, put)), "")
+
     out = (rows.join(per_row, row, "left")
-           .withColumn(text, F.when(puts.isNull(), source).otherwise(new))
-           .withColumn(count, F.coalesce(F.size(puts), F.lit(0)).cast("long")))
+           .withColumn(text, F.when(puts.isNull(), source).when(bare, rebuilt(WITH_BARE)).otherwise(rebuilt(PATTERN)))
+           .withColumn(count, F.coalesce(n, F.lit(0)).cast("long")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(puts.isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns, count), count
