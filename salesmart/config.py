@@ -199,5 +199,3 @@ FACT_RELATIONS: dict[str, list[str]] = {
     "dim_unidade": ["cod_empresa", "cod_filial"],
 }
 FACT_NON_NEGATIVE: list[str] = ["qtd_vendida", "vlr_unitario", "vlr_total"]
-# A size bound below which a side may be broadcast after its row count is checked.
-BROADCAST_MAX_ROWS = 1_000_000

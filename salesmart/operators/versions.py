@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SILVER_KEYS, VERSION_ORDER
+from ..session import materialize
 
 
 def latest_version(df: DataFrame, keys: Sequence[str] = SILVER_KEYS, order: Sequence[str] = VERSION_ORDER,
@@ -46,16 +48,47 @@ def newest_batches(df: DataFrame, company: str = "cod_empresa", batch: str = "_l
     return pairs.groupBy("_c").agg(F.max_by("_b", "_b").alias("_b"))
 
 
-def latest_snapshot(df: DataFrame, company: str = "cod_empresa", batch: str = "_lote") -> DataFrame:
+#: Companies up to which a snapshot is read by a literal filter.
+SNAPSHOT_LITERALS = 1000
+
+
+def snapshot_filter(newest: dict, company: str = "cod_empresa", batch: str = "_lote") -> Column:
+    """The predicate of S7 as literals: rows of the batch that is named for their company.
+
+    Its first conjunct holds batches only, so a table partitioned by batch lists and reads just those.
+    """
+    groups: dict = {}
+    for name, newest_batch_id in newest.items():
+        if newest_batch_id is not None:
+            groups.setdefault(newest_batch_id, []).append(name)
+    if not groups:
+        return F.lit(False)
+
+    def of(names: list) -> Column:
+        known = [n for n in names if n is not None]
+        hit = F.col(company).isin(known)
+        return hit | F.col(company).isNull() if len(known) < len(names) else hit
+
+    mine = reduce(Column.__or__, ((F.col(batch) == F.lit(b)) & of(names) for b, names in sorted(groups.items())))
+    return F.col(batch).isin(sorted(groups)) & mine
+
+
+def latest_snapshot(df: DataFrame, company: str = "cod_empresa", batch: str = "_lote", newest: dict | None = None) -> DataFrame:
     """Rows whose batch is the newest batch of their company.
 
-    The per-company maximum comes from the distinct (company, batch) pairs (a hash
-    aggregate with map-side combine) and meets the rows in a null-safe semi join, which
-    AQE turns into a broadcast of the measured few rows.  Nothing is collected, and the
-    table is never shuffled onto one task per company.
+    ``newest`` (company -> batch) is the index that the Bronze load maintains; without it, the pairs are
+    reduced map-side from two columns first.  Up to ``SNAPSHOT_LITERALS`` companies the rows are then read by
+    a literal filter, beyond by a semi join with the materialised pairs; the table itself is
+    never shuffled by the filter.
     """
-    cond = F.col(company).eqNullSafe(F.col("_c")) & (F.col(batch) == F.col("_b"))
-    return df.join(newest_batches(df, company, batch), cond, "left_semi")
+    if newest is None:
+        pairs = newest_batches(df, company, batch)
+        few = pairs.limit(SNAPSHOT_LITERALS + 1).collect()
+        if len(few) > SNAPSHOT_LITERALS:
+            cond = F.col(company).eqNullSafe(F.col("_c")) & (F.col(batch) == F.col("_b"))
+            return df.join(materialize(pairs, "newest_batches"), cond, "left_semi")
+        newest = dict(few)
+    return df.filter(snapshot_filter(newest, company, batch))
 
 
 def newest_batch(target: DataFrame, batch: str = "_lote"):

@@ -20,6 +20,7 @@ from ..session import scratch_path
 from ..sources import testdata as td
 from ..sources.extract import run_extraction
 from ..sources.landing import read_manifests
+from ..streaming.batch_index import BatchIndex
 from ..streaming.bronze import load_once, read_bronze
 
 FIRST_CUT = "2024-01-15 00:00:00"
@@ -37,6 +38,7 @@ class EventFeed:
     manifests: DataFrame
     loaded_first: int
     loaded_rerun: int
+    index: BatchIndex | None = None
 
 
 def run(spark: SparkSession, sf_dir: str, per_table: bool = False) -> EventFeed:
@@ -57,3 +59,22 @@ def run(spark: SparkSession, sf_dir: str, per_table: bool = False) -> EventFeed:
     n1 = load_once(spark, landing, bronze_dir, ckpt, LANDING_SCHEMA, company_pattern=COMPANY_PATTERN)
     n2 = load_once(spark, landing, bronze_dir, ckpt, LANDING_SCHEMA, company_pattern=COMPANY_PATTERN)
     return EventFeed(root, read_bronze(spark, bronze_dir, LANDING_SCHEMA), read_manifests(spark, root), n1, n2)
+
+
+def run_full(spark: SparkSession, sf_dir: str, absent: str = "error") -> EventFeed:
+    """The same table as FULL loads: the second run finds no rows of the ``absent`` company, which so lands
+    nothing and keeps its first snapshot.  Each load maintains the batch index."""
+    root = scratch_path(spark, "event_feed")
+    source = td.read(spark, sf_dir, "events").withColumnRenamed("ts", "s_t_a_m_p_")
+    items = source.select(F.lit("events").alias("tabela"), F.col("event_type").alias("empresa"),
+                          F.lit("FULL").alias("tipo_carga"), F.lit(True).alias("ativo")).distinct()
+    control = ctl.sync(ctl.empty_control(spark), items)
+    landing, bronze_dir = f"{root}/events", f"{root}/bronze/events"
+    index = BatchIndex(spark, f"{root}/_batches/events")
+    loaded = []
+    for rows, batch, now in ((source.filter(F.col("s_t_a_m_p_") < F.lit(FIRST_CUT).cast("timestamp_ntz")), FIRST_BATCH, _dt.datetime(2024, 1, 15)),
+                             (source.filter(F.col("event_type") != absent), SECOND_BATCH, _dt.datetime(2024, 1, 31, 9))):
+        run_extraction(spark, control, {"events": rows}, root, company_col="event_type", batch=batch, now=now, per_table=True)
+        loaded.append(load_once(spark, landing, bronze_dir, f"{root}/_checkpoints/bronze_events", LANDING_SCHEMA,
+                                company_pattern=COMPANY_PATTERN, index=index))
+    return EventFeed(root, read_bronze(spark, bronze_dir, LANDING_SCHEMA), read_manifests(spark, root), loaded[0], loaded[1], index)

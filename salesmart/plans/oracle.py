@@ -228,6 +228,10 @@ ORACLE: dict[str, str] = {
     "latest_event_snapshot": with_ctes(["ev"], """
         SELECT * EXCLUDE (_mx) FROM (SELECT *, max(_lote) OVER (PARTITION BY _empresa) AS _mx FROM ev)
         WHERE _lote = _mx"""),
+    "snapshot_by_index": """
+        SELECT event_id, ts AS s_t_a_m_p_, user_id, event_type, value, props, event_type AS _empresa,
+               CASE WHEN event_type = 'error' THEN '20240115T000000Z' ELSE '20240131T090000Z' END AS _lote
+        FROM events WHERE event_type <> 'error' OR ts < TIMESTAMP '2024-01-15 00:00:00'""",
     # the upsert of the later versions into the earlier ones equals the latest version overall
     "upsert_lines": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),
     "upsert_lines_bucketed": with_ctes(["silver_lines"], "SELECT * FROM silver_lines"),

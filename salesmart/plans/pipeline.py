@@ -32,6 +32,7 @@ from ..operators.watermark import FULL
 from ..sources.extract import load_control, run_extraction
 from ..sources.landing import cutoff, path_exists, read_manifests
 from ..session import scratch_path
+from ..streaming.batch_index import BatchIndex
 from ..streaming.bronze import load_once, read_bronze, register_bronze
 from .tables import VersionedCatalog
 
@@ -100,9 +101,10 @@ def silver_exists(spark: SparkSession, spec: SourceTable, silver: VersionedCatal
 
 
 def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silver: VersionedCatalog,
-                 reprocess: bool = False) -> dict:
+                 reprocess: bool = False, newest: dict | None = None) -> dict:
     """S1 + S6..S11 for one table; publishes a new Silver version (or, for a
-    bucketed incremental table, a version of the touched buckets)."""
+    bucketed incremental table, a version of the touched buckets).  ``newest`` (company -> newest
+    batch, from the load's index) prunes a FULL table's Bronze to its snapshots."""
     std = standardise(bronze, spec.mapping, lenient=spec.lenient)
     if spec.buckets and spec.load_type != FULL:
         path = bucketed_path(silver, spec.name)
@@ -115,7 +117,7 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
         write_bucketed(latest_version(std, spec.keys, spec.order), path, spec.keys, spec.buckets)
         return {"table": spec.name, "path": path, "buckets_rewritten": None}      # first load: all
     if spec.load_type == FULL:
-        return silver.publish(latest_snapshot(std), spec.name)                       # S7 + S11
+        return silver.publish(latest_snapshot(std, newest=newest), spec.name)        # S7 + S11
     if silver.exists(spec.name) and not reprocess:
         target = silver.table(spec.name)
         # The newest batch recorded at the last publish (no scan), else computed
@@ -129,28 +131,29 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
                env: str = "dev", reprocess: bool = False, today: _dt.date | str | None = None,
                loaded_at=None, manifests: DataFrame | None = None, bronze_counts: DataFrame | None = None,
                parallelism: int = 5, raise_on_failure: bool = True, check_fact_grain: bool = False,
-               check_calendar: bool = False, keep_versions: int | None = None) -> LoadReport:
+               check_calendar: bool = False, keep_versions: int | None = None,
+               newest: dict[str, dict] | None = None) -> LoadReport:
     """Silver -> Gold versions -> gates -> publish (the scheduler starts one run per environment at a time).
 
     ``check_fact_grain`` adds a uniqueness gate on the fact grain (duplicate live
     headers would fan the fact out); ``check_calendar`` adds the fact -> calendar
     relation to the integrity gate.  Both are off by default, as in the original pipeline.
     ``keep_versions`` deletes older Gold and Silver versions after a publish.
+    ``newest`` holds the batch index of each FULL table (see ``streaming.batch_index``).
     """
     return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
                        bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar,
-                       keep_versions)
+                       keep_versions, newest or {})
 
 
 def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests, bronze_counts,
-                parallelism, raise_on_failure, check_fact_grain=False, check_calendar=False,
-                keep_versions=None) -> LoadReport:
+                parallelism, raise_on_failure, check_fact_grain, check_calendar, keep_versions, newest) -> LoadReport:
     report = LoadReport()
     silver = VersionedCatalog(spark, lake_root, f"{env}_silver")
     gold = VersionedCatalog(spark, lake_root, f"{env}_gold")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        futures = {n: pool.submit(build_silver, spark, spec, bronze[n], silver, reprocess)
+        futures = {n: pool.submit(build_silver, spark, spec, bronze[n], silver, reprocess, newest.get(n))
                    for n, spec in domain.tables.items() if n in bronze}
         report.silver = {n: f.result() for n, f in futures.items()}
 
@@ -230,7 +233,7 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | N
     synced = sync(load_control(spark, landing_root) if control is None else control, config_items)
     run = run_extraction(spark, synced, sources, landing_root, company_col=company_col,
                          overlap_minutes=overlap_minutes, batch=batch, now=now, per_table=per_table)
-    bronze = {}
+    bronze, newest = {}, {}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {env}_bronze LOCATION '{lake_root.rstrip('/')}/{env}_bronze'")
     extra = {"company_pattern": company_pattern} if company_pattern else {}
     since = cutoff(reconcile_days, now)          # Q7: reconcile the last N days only
@@ -240,8 +243,11 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | N
         if not path_exists(spark, landing):
             continue
         bronze_dir = f"{lake_root.rstrip('/')}/{env}_bronze/{name}"
+        index = BatchIndex(spark, f"{lake_root.rstrip('/')}/_batches/{env}/{name}")
         load_once(spark, landing, bronze_dir, f"{lake_root.rstrip('/')}/_checkpoints/{env}/{name}",
-                  schemas[name], **extra)
+                  schemas[name], index=index, **extra)
+        if domain.tables[name].load_type == FULL:
+            newest[name] = index.newest()
         register_bronze(spark, f"{env}_bronze.{name}", bronze_dir, f"Bronze: {name} como recebida da origem, só acréscimos.")
         bronze[name] = read_bronze(spark, bronze_dir, schemas[name])
         counts.append(quality.batch_counts(bronze[name], name, since=since))
@@ -252,7 +258,7 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | N
         for c in counts[1:]:
             bronze_counts = bronze_counts.unionByName(c)
     report = daily_load(spark, domain, bronze, lake_root, env=env, manifests=manifests,
-                        bronze_counts=bronze_counts, **load_kwargs)
+                        bronze_counts=bronze_counts, newest=newest, **load_kwargs)
     return run.control, report
 
 

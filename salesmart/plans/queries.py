@@ -33,7 +33,6 @@ UPSERT_SPLIT = "1999-01-01"                         # target = versions shipped
 EVENT_WATERMARK = _dt.datetime(2024, 1, 20)         # previous high-water mark of the event stream
 RUN_AT = _dt.datetime(2024, 1, 31, 9, 0)            # "now" of a simulated extraction run
 UPSERT_BUCKETS = 32                                 # key buckets of the bucketed Silver layout
-SMALL_ROWS = 100_000                                # size bound of the per-item control frames
 # A fixed load timestamp keeps results reproducible (G6 takes it as a parameter).
 LOAD_TS = "2001-08-02 06:00:00"
 # "Today" for the calendar bounds (G12), fixed for the same reason.
@@ -91,6 +90,13 @@ def q_latest_event_snapshot(spark, d):
     return latest_snapshot(td.events_stream(spark, d), company="_empresa", batch="_lote")
 
 
+def q_snapshot_by_index(spark, d):
+    """S7 + S11 on Bronze by the load's batch index; the 'error' company is absent from the newest batch."""
+    feed = event_feed.run_full(spark, d)
+    return latest_snapshot(feed.bronze, "_empresa", "_lote", newest=feed.index.newest()).select(
+        "event_id", "s_t_a_m_p_", "user_id", "event_type", "value", "props", "_lote", "_empresa")
+
+
 def q_upsert_lines(spark, d):
     """S6 + S8 + S9: target = latest versions shipped before the split; the source is
     every batch newer than the target's newest batch, deduplicated, then upserted."""
@@ -484,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standardise_orders": q_standardise_orders,
     "latest_line_version": q_latest_line_version,
     "latest_event_snapshot": q_latest_event_snapshot,
+    "snapshot_by_index": q_snapshot_by_index,
     "upsert_lines": q_upsert_lines,
     "upsert_lines_bucketed": q_upsert_lines_bucketed,
     "reprocess_lines_bucketed": q_reprocess_lines_bucketed,

@@ -12,7 +12,7 @@ Provenance: ``_empresa`` from the path (B3), ``_arquivo`` = file path,
 ``_dt_ingestao`` = ingestion time (B4).  The landing is read with a canonical
 explicit schema (decimal precision differs per landing file otherwise; the
 company is kept as text).  Adding a column = restarting with the wider
-schema on the same checkpoint (B5).
+schema on the same checkpoint (B5; ``schema_history`` keeps the schemas of all loads).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COMPANY_PATH_PATTERN, LANDING_FILE_GLOB
+from .batch_index import METRIC, BatchIndex, committed_micro_batch, loaded_pairs
 
 
 def landing_stream(spark: SparkSession, landing_table_dir: str, schema: T.StructType | str,
@@ -42,9 +43,16 @@ def landing_stream(spark: SparkSession, landing_table_dir: str, schema: T.Struct
 
 def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, checkpoint_dir: str,
               schema: T.StructType | str, company_pattern: str = COMPANY_PATH_PATTERN,
-              max_files_per_trigger: int | None = None) -> int:
-    """B1: run the stream until every available file is loaded; return rows appended."""
+              max_files_per_trigger: int | None = None, index: BatchIndex | None = None) -> int:
+    """B1: run the stream until every available file is loaded; return rows appended.
+
+    ``index`` follows the load: the newest batch of every company, for snapshot reads.
+    """
     stream = landing_stream(spark, landing_table_dir, schema, company_pattern, max_files_per_trigger)
+    if index is not None:
+        if committed_micro_batch(spark, bronze_dir) is not None:
+            index.follow(bronze_dir, read_bronze(spark, bronze_dir, schema))
+        stream = stream.observe(METRIC, loaded_pairs())
     # The sum below needs the progress of every micro-batch, not of the latest hundred.
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1))
     query = (stream.writeStream.format("parquet")
@@ -57,6 +65,9 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    if index is not None:
+        index.advance(bronze_dir, [(x["company"], x["batch"]) for p in query.recentProgress
+                                   for x in (p.observedMetrics[METRIC]["pairs"] if METRIC in p.observedMetrics else [])])
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 

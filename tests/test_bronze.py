@@ -3,6 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from salesmart.sources.landing import batch_dir, read_manifests, write_batch, write_manifest
+from salesmart.sources.files import create_text
+from salesmart.streaming.batch_index import BatchIndex
 from salesmart.streaming.bronze import load_once, read_bronze, register_bronze
 
 SCHEMA = "r_e_c_n_o_ long, s_t_a_m_p_ timestamp, c5_num string, _lote string"
@@ -143,3 +145,26 @@ def test_files_outside_company_folders_are_ignored(spark, tmp_root):
     spark.createDataFrame([(9, t, "stray", "L1")], SCHEMA).write.parquet(f"{land}/sc5/other/lote=L1")
     assert load_once(spark, f"{land}/sc5", bronze, ckpt, SCHEMA, max_files_per_trigger=1) == 5
     assert {r._empresa for r in read_bronze(spark, bronze).collect()} == {f"{k:02d}" for k in range(5)}
+
+
+def test_batch_index_follows_loads_late_files_and_lost_drivers(spark, tmp_root):
+    land, bronze, ckpt = f"{tmp_root}/landing", f"{tmp_root}/bronze/sc5", f"{tmp_root}/ckpt/sc5"
+    index = BatchIndex(spark, f"{tmp_root}/index")
+    t = dt.datetime(2026, 10, 13, 9)
+
+    def load(*batches, with_index=True):
+        for company, batch in batches:
+            _land(spark, land, company, batch, [(1, t, "x")])
+        return load_once(spark, f"{land}/sc5", bronze, ckpt, SCHEMA, index=index if with_index else None)
+
+    assert index.newest() == {}
+    assert load(("01", "B3"), ("05", "B3")) == 2
+    assert index.newest() == {"01": "B3", "05": "B3"}
+    assert load() == 0 and index.newest() == {"01": "B3", "05": "B3"}
+    load(("01", "B2"), ("08", "B1"))                       # late files: only the company that had none is set
+    assert index.newest() == {"01": "B3", "05": "B3", "08": "B1"}
+    load(("05", "B4"), with_index=False)                   # the driver is lost after the sink's commit
+    load(("01", "B5"))
+    assert index.newest() == {"01": "B5", "05": "B4", "08": "B1"}
+    create_text(spark, f"{index.path}/99.json", '{"newest": [{"comp')        # cut off while it was written
+    assert index.newest() == {"01": "B5", "05": "B4", "08": "B1"}

@@ -1,13 +1,18 @@
 """Plan properties that must hold at scale (checked on the smallest test tables)."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from salesmart.operators.quality import orphan_keys
+from salesmart.operators import versions
 from salesmart.operators.versions import latest_snapshot, latest_version, newest_batches
+from salesmart.plans import event_feed
+from salesmart.plans.queries import QUERIES
+from salesmart.streaming.bronze import read_bronze
 
 SF = "/root/testdata/sf0.001"
 # queries whose builders write (landing, versions): their final plans read written data
@@ -19,7 +24,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_plans(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     for node in FORBIDDEN:
@@ -43,16 +48,28 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
     assert got[1] == f"L{999:05d}" and len(got) == 1 + 2000
 
 
-def test_snapshot_combines_map_side(spark):
-    df = _hot(spark).withColumn("cod_empresa", F.lit("01")).repartition(4)
-    maxima = newest_batches(df)
-    leaf_side = maxima._jdf.queryExecution().sparkPlan().toString().split("Exchange hashpartitioning")[-1]
+def test_snapshot_combines_map_side_and_reads_literals(spark, monkeypatch):
+    df = _hot(spark).withColumn("cod_empresa", F.lit("01"))
+    leaf_side = newest_batches(df)._jdf.queryExecution().sparkPlan().toString().split("Exchange hashpartitioning")[-1]
     assert "HashAggregate" in leaf_side and "Sort [" not in leaf_side
     snap = latest_snapshot(df)
-    text = snap._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in text and "LeftSemi" in text
-    assert "_lote#" in text and "L00999" in text          # the newest batch is a literal filter
-    assert snap.count() == 1
+    text = plan(snap)
+    assert "Exchange" not in text and "L00999" in text and snap.count() == 1
+    monkeypatch.setattr(versions, "SNAPSHOT_LITERALS", 0)         # many companies: a semi join with the pairs
+    assert "LeftSemi" in plan(latest_snapshot(df)) and latest_snapshot(df).count() == 1
+
+
+def test_snapshot_by_index_prunes_bronze_partitions(spark):
+    feed = event_feed.run_full(spark, SF)
+    newest = feed.index.newest()
+    assert newest["error"] == event_feed.FIRST_BATCH and set(newest.values()) == {event_feed.FIRST_BATCH, event_feed.SECOND_BATCH}
+    only = {c: b for c, b in newest.items() if c != "error"}
+    snap = latest_snapshot(read_bronze(spark, f"{feed.root}/bronze/events", event_feed.LANDING_SCHEMA), "_empresa", "_lote", newest=only)
+    text = plan(snap)
+    assert "Exchange" not in text
+    assert re.search(r"PartitionFilters: \[[^\]]*_lote#\d+ = " + event_feed.SECOND_BATCH, text)
+    files = {r[0] for r in snap.select(F.input_file_name()).distinct().collect()}
+    assert files and all(event_feed.SECOND_BATCH in f for f in files)
 
 
 def test_orphans_reduce_fact_keys_before_the_join(spark):
