@@ -277,6 +277,13 @@ ORACLE: dict[str, str] = {
         SELECT des_unidade, CAST(SUM(vlr_total) AS {TOTAL}) AS vlr_vendido FROM sales_dataset GROUP BY 1"""),
     "open_by_seller": with_ctes(["sales_dataset"], f"""
         SELECT des_vendedor, CAST(SUM(vlr_saldo) AS {TOTAL}) AS vlr_carteira FROM sales_dataset GROUP BY 1"""),
+    "maintained_measures": with_ctes(["sales_dataset"], f"""
+        SELECT 'valor_vendido' AS medida, CAST(NULL AS VARCHAR) AS chave, CAST(SUM(vlr_total) AS {TOTAL}) AS valor FROM sales_dataset
+        UNION ALL SELECT 'valor_em_carteira', NULL, CAST(SUM(vlr_saldo) AS {TOTAL}) FROM sales_dataset
+        UNION ALL SELECT 'vendas_por_mes', CAST(CAST(date_trunc('month', dat_emissao) AS DATE) AS VARCHAR), CAST(SUM(vlr_total) AS {TOTAL})
+            FROM sales_dataset GROUP BY 2
+        UNION ALL SELECT 'vendas_por_unidade', des_unidade, CAST(SUM(vlr_total) AS {TOTAL}) FROM sales_dataset GROUP BY 2
+        UNION ALL SELECT 'carteira_por_vendedor', des_vendedor, CAST(SUM(vlr_saldo) AS {TOTAL}) FROM sales_dataset GROUP BY 2"""),
     "gate_duplicates": with_ctes(["std_lines"], """
         SELECT count(*) AS qtd_duplicadas FROM (
             SELECT 1 FROM std_lines GROUP BY cod_empresa, num_recno HAVING count(*) > 1)"""),
@@ -381,6 +388,28 @@ ORACLE: dict[str, str] = {
                     ELSE ultimo_watermark END AS ultimo_watermark,
                status_ultima_carga, data_ultima_execucao, qtd_ultima_carga
         FROM synced_control"""),
+    "extract_and_load": with_ctes(["fact", "units"], f"""
+        SELECT s.s_name AS des_vendedor, count(*) AS itens, CAST(sum(vlr_total) AS {TOTAL}) AS vlr_vendido,
+               CAST(sum(vlr_saldo) AS {TOTAL}) AS vlr_carteira, CAST(sum(vlr_saldo) AS {TOTAL}) AS vlr_carteira_mantida
+        FROM fact f JOIN units u ON f.cod_empresa = u.cod_empresa AND f.cod_filial = u.cod_filial
+        LEFT JOIN supplier s ON f.cod_vendedor = CAST(s.s_suppkey AS VARCHAR)
+        GROUP BY 1"""),
+    "extract_isolated": with_ctes(["prev_control"], """
+        , e AS (SELECT event_type, CAST(max(ts) AS TIMESTAMP) AS mx, count(*) AS n FROM events
+                WHERE event_type <> 'error' AND ts > TIMESTAMP '2024-01-19 23:50:00' GROUP BY event_type)
+        SELECT p.tabela, p.empresa, p.tipo_carga, p.ativo, greatest(p.ultimo_watermark, e.mx) AS ultimo_watermark,
+               CASE WHEN p.empresa = 'error' THEN 'FALHA' ELSE 'SUCESSO' END AS status_ultima_carga,
+               TIMESTAMP '2024-01-31 09:00:00' AS data_ultima_execucao, e.n AS qtd_ultima_carga,
+               e.n AS qtd_pouso, e.n AS qtd_manifesto
+        FROM prev_control p LEFT JOIN e ON p.empresa = e.event_type"""),
+    "bronze_table": _FEED + """
+        SELECT event_type AS _empresa, '20240115T000000Z' AS _lote, count(*) AS registros, count(value) AS com_valor,
+               'Events as received: it''s append-only' AS descricao
+        FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type
+        UNION ALL
+        SELECT e.event_type, '20240131T090000Z', count(*), count(value), 'Events as received: it''s append-only'
+        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
+        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type""",
     "restored_version": with_ctes(["dim_product"], "SELECT * FROM dim_product"),
     "comment_coverage": with_ctes(["fact", "dim_customer", "dim_seller", "dim_product", "units"], """
         , b AS (SELECT coalesce(min(dat_emissao), DATE '2001-08-01') AS s FROM fact)

@@ -3,8 +3,8 @@
 Stages run in dependency order on one session:
 Bronze (load-once streams) -> Silver (five tables, concurrently) -> Gold
 dimensions, fact and calendar as *new versions* -> quality gates on those
-versions, the documentation gate included -> only if every gate passes are the Gold
-tables re-pointed at them (bad data never reaches the dashboard).  A source table that
+versions, the documentation gate included -> only if every gate passes are they committed by
+one pointer and the Gold tables re-pointed at them (bad data never reaches the dashboard).  A source table that
 never landed is left out with the Gold tables that need it.
 """
 
@@ -31,9 +31,10 @@ from ..operators.versions import batches_after, latest_snapshot, latest_version,
 from ..operators.watermark import FULL
 from ..sources.extract import load_control, run_extraction
 from ..sources.landing import cutoff, path_exists, read_manifests
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..streaming.batch_index import BatchIndex
 from ..streaming.bronze import load_once, read_bronze, register_bronze
+from .measures import MeasureStore, changed_orders
 from .tables import VersionedCatalog
 
 
@@ -94,6 +95,13 @@ def read_silver(spark: SparkSession, spec: SourceTable, silver: VersionedCatalog
     return silver.table(spec.name)
 
 
+def silver_state(spark: SparkSession, spec: SourceTable, silver: VersionedCatalog) -> str | None:
+    """What names the current content of a Silver table."""
+    if spec.buckets and spec.load_type != FULL:
+        return (committed_versions(spark, bucketed_path(silver, spec.name)) or [None])[-1]
+    return silver.current_location(spec.name)
+
+
 def silver_exists(spark: SparkSession, spec: SourceTable, silver: VersionedCatalog) -> bool:
     if spec.buckets and spec.load_type != FULL:
         return bool(committed_versions(spark, bucketed_path(silver, spec.name)))
@@ -110,20 +118,22 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
         path = bucketed_path(silver, spec.name)
         if committed_versions(spark, path) and not reprocess:
             last = read_newest_batch(spark, path) or newest_batch(read_bucketed(spark, path))   # S8
-            changes = latest_version(batches_after(std, last), spec.keys, spec.order)
+            before = read_bucketed(spark, path).drop(BUCKET)
+            changes = materialize(latest_version(batches_after(std, last), spec.keys, spec.order), "silver_changes")
             touched = upsert_touched_buckets(path, changes, scratch_path(spark, "silver_staging", spec.name),
                                              spec.keys, buckets=spec.buckets)
-            return {"table": spec.name, "path": path, "buckets_rewritten": len(touched)}
+            return {"table": spec.name, "path": path, "buckets_rewritten": len(touched), "changes": changes, "before": before}
         write_bucketed(latest_version(std, spec.keys, spec.order), path, spec.keys, spec.buckets)
         return {"table": spec.name, "path": path, "buckets_rewritten": None}      # first load: all
     if spec.load_type == FULL:
         return silver.publish(latest_snapshot(std, newest=newest), spec.name)        # S7 + S11
     if silver.exists(spec.name) and not reprocess:
-        target = silver.table(spec.name)
+        target = spark.read.parquet(silver.current_location(spec.name))
         # The newest batch recorded at the last publish (no scan), else computed
         last = silver.newest_batch(spec.name) or newest_batch(target)
-        changes = latest_version(batches_after(std, last), spec.keys, spec.order)    # S6
-        return silver.publish(upsert(target, changes, spec.keys), spec.name)         # S9
+        changes = materialize(latest_version(batches_after(std, last), spec.keys, spec.order), "silver_changes")    # S6
+        done = silver.publish(upsert(target, changes, spec.keys), spec.name)         # S9
+        return {**done, "changes": changes, "before": target}
     return silver.publish(latest_version(std, spec.keys, spec.order), spec.name)     # S10
 
 
@@ -132,7 +142,7 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
                loaded_at=None, manifests: DataFrame | None = None, bronze_counts: DataFrame | None = None,
                parallelism: int = 5, raise_on_failure: bool = True, check_fact_grain: bool = False,
                check_calendar: bool = False, keep_versions: int | None = None,
-               newest: dict[str, dict] | None = None) -> LoadReport:
+               newest: dict[str, dict] | None = None, measures: MeasureStore | None = None) -> LoadReport:
     """Silver -> Gold versions -> gates -> publish (the scheduler starts one run per environment at a time).
 
     ``check_fact_grain`` adds a uniqueness gate on the fact grain (duplicate live
@@ -140,22 +150,32 @@ def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame]
     relation to the integrity gate.  Both are off by default, as in the original pipeline.
     ``keep_versions`` deletes older Gold and Silver versions after a publish.
     ``newest`` holds the batch index of each FULL table (see ``streaming.batch_index``).
+    ``measures`` follows each published fact by the orders that the run changed (see ``measures``).
     """
     return _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests,
                        bronze_counts, parallelism, raise_on_failure, check_fact_grain, check_calendar,
-                       keep_versions, newest or {})
+                       keep_versions, newest or {}, measures)
 
 
 def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_at, manifests, bronze_counts,
-                parallelism, raise_on_failure, check_fact_grain, check_calendar, keep_versions, newest) -> LoadReport:
+                parallelism, raise_on_failure, check_fact_grain, check_calendar, keep_versions, newest, measures) -> LoadReport:
     report = LoadReport()
     silver = VersionedCatalog(spark, lake_root, f"{env}_silver")
     gold = VersionedCatalog(spark, lake_root, f"{env}_gold")
 
+    base = gold.committed()[0]
+    order_tables = [domain.header, domain.item]
+    states = [{n: silver_state(spark, domain.tables[n], silver) for n in order_tables} if measures else {}]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         futures = {n: pool.submit(build_silver, spark, spec, bronze[n], silver, reprocess, newest.get(n))
                    for n, spec in domain.tables.items() if n in bronze}
         report.silver = {n: f.result() for n, f in futures.items()}
+    if measures:
+        states.append({n: silver_state(spark, domain.tables[n], silver) for n in order_tables})
+        made = [report.silver[n] for n in order_tables if n in report.silver]
+        known = all("changes" in m for m in made)
+        if states[0] != states[1]:
+            measures.note(*states, changed_orders([m["changes"] for m in made], [m["before"] for m in made], domain.fact_keys) if known else None)
 
     s = {n: read_silver(spark, spec, silver) for n, spec in domain.tables.items() if silver_exists(spark, spec, silver)}
     builders = {
@@ -204,9 +224,14 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
                 f"{g['gate']} {g['objeto']}={g['qtd_falhas']}" for g in failing))
         return report
 
+    served = gold.current_location(fact_name) if measures else None
+    gold.commit(paths, base)                    # readers of the snapshot change over here, all tables at once
     for name, path in paths.items():
         gold.point_to(name, path)
     report.published = True
+    if measures and fact_name in paths:
+        measures.follow(_version_of(paths[fact_name]), new[fact_name], served and _version_of(served),
+                        served and spark.read.parquet(served), states[1], domain.fact_keys)
     if keep_versions:
         for name in paths:
             gold.prune_versions(name, keep_versions)
@@ -218,6 +243,10 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     return report
 
 
+def _version_of(path: str) -> str:
+    return path.rstrip("/").rsplit("v=", 1)[-1]
+
+
 def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | None, config_items: DataFrame,
                      sources: dict[str, DataFrame], landing_root: str, lake_root: str,
                      schemas: dict[str, str], env: str = "dev", company_col: str = "empresa",

@@ -21,11 +21,14 @@ from ..operators.standardise import standardise
 from ..operators.upsert import BUCKET, read_bucketed, upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
+from ..sources.extract import run_extraction
 from ..sources.landing import cutoff, read_manifests
+from ..streaming.bronze import register_bronze
 from ..session import materialize, scratch_path
 from . import event_feed
-from .marts import SalesStar
-from .pipeline import Domain, SourceTable, daily_load
+from .marts import TOTAL, SalesStar
+from .measures import MeasureStore, changed_orders, of_orders, retractions
+from .pipeline import Domain, SourceTable, daily_load, extract_and_load, landing_schema
 from .tables import VersionedCatalog
 
 # Fixed parameters of the test queries.
@@ -307,6 +310,42 @@ def q_open_by_seller(spark, d):
     return star(spark, d).open_by_seller()
 
 
+MEASURE_CUTS = ["1996-01-01", "1999-01-01", None]    # the loads: line versions shipped before
+
+
+def headers_at(spark, d, load: int) -> DataFrame:
+    """Headers as of a load (1-3): deletions arrive with loads 2 and 3 (odd and even orders), and every third
+    order is moved from branch 00 to its own with load 3."""
+    number = F.col("cod_pedido").cast("long")
+    deleted = F.col("flg_deletado") & {1: F.lit(False), 2: number % 2 == 1, 3: F.lit(True)}[load]
+    branch = F.when((number % 3 == 0) & F.lit(load < 3), F.lit("00")).otherwise(F.col("cod_filial"))
+    return silver_orders(spark, d).withColumns({"flg_deletado": deleted, "cod_filial": branch})
+
+
+def q_maintained_measures(spark, d):
+    """V3-V7 maintained over three loads with new line versions, deleted orders and moved orders."""
+    store = MeasureStore(spark, scratch_path(spark, "measures"))
+    std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
+    before = (None, None)
+    for load, cut in enumerate(MEASURE_CUTS, 1):
+        known = std if cut is None else std.filter(F.col("dat_stamp") < F.lit(cut).cast("timestamp"))
+        items, headers = materialize(latest_version(known, order=td.LINE_VERSION_ORDER), "items"), headers_at(spark, d, load)
+        orders = None
+        if load > 1:
+            changes = [latest_version(batches_after(known, newest_batch(before[0])), order=td.LINE_VERSION_ORDER),
+                       headers.exceptAll(before[1])]
+            orders = materialize(changed_orders(changes, before, td.FACT_KEYS), "changed_orders")
+        facts = [None if h is None else fact_ops.order_fact(
+            h if orders is None else of_orders(h, orders, td.FACT_KEYS), i if orders is None else of_orders(i, orders, td.FACT_KEYS),
+            td.FACT_KEYS, td.FACT_HEADER_COLUMNS, LOAD_TS) for i, h in (before, (items, headers))]
+        store.add(f"load{load}", retractions(facts[0], facts[1]))
+        store.add(f"load{load}", retractions(None, facts[1]))     # a repeated load counts once
+        before = (items, headers)
+        if load == 2:
+            store.compact()
+    return store.measures(td.units(spark, d), dims.dim_seller(silver_sellers(spark, d)))
+
+
 def q_gate_duplicates(spark, d):
     """Q1 on the raw line versions: repeated (company, record) keys."""
     return quality.duplicate_keys_df(standardise(td.bronze_lines(spark, d), td.LINE_MAP), ["cod_empresa", "num_recno"])
@@ -448,6 +487,57 @@ def q_daily_load(spark, d):
     return spark.createDataFrame(rows, quality.GATE_SCHEMA)
 
 
+def q_extract_and_load(spark, d):
+    """C8 + C7 + G13: two runs of the whole chain (sync, extract, load once, Silver, Gold, gates, publish) over all
+    tables; the first sees the line versions shipped before the split.  No seller is deleted, so
+    both publish; the maintained measures follow.  Read from the committed snapshot."""
+    sources = {name: df.drop("_lote").withColumnRenamed("_empresa", "empresa") for name, df in tpch_bronze(spark, d).items()}
+    sources["supplier"] = sources["supplier"].withColumn("d_e_l_e_t_", F.lit(" "))
+    domain, root, env = tpch_domain(d), scratch_path(spark, "chain"), f"x{uuid.uuid4().hex[:8]}"
+    items = spark.createDataFrame([(t, td.COMPANY, s.load_type, True) for t, s in domain.tables.items()], control.CONFIG_SCHEMA)
+    schemas = {n: landing_schema(df) for n, df in sources.items()}
+    store = MeasureStore(spark, f"{root}/measures")
+    early = sources["lineitem"].filter(F.col("s_t_a_m_p_") < F.lit(UPSERT_SPLIT).cast("timestamp"))
+    for batch, lines in (("20010731T000000Z", early), (td.SNAPSHOT_BATCH, sources["lineitem"])):
+        extract_and_load(spark, domain, None, items, {**sources, "lineitem": lines}, f"{root}/landing", f"{root}/lake", schemas,
+                         env=env, batch=batch, now=_dt.datetime.strptime(batch, "%Y%m%dT%H%M%SZ"), per_table=True,
+                         today=TODAY, loaded_at=LOAD_TS, measures=store)
+    gold = VersionedCatalog(spark, f"{root}/lake", f"{env}_gold").snapshot()
+    sales = SalesStar(gold["fato_pedido_venda"], gold["dim_unidade"], gold["dim_produto"], gold["dim_vendedor"], gold["dim_cliente"])
+    by_seller = store.measures(gold["dim_unidade"], gold["dim_vendedor"]).where("medida = 'carteira_por_vendedor'")
+    return (sales.dataset(["des_vendedor", "vlr_total", "vlr_saldo"]).groupBy("des_vendedor")
+            .agg(F.count(F.lit(1)).alias("itens"), F.sum("vlr_total").cast(TOTAL).alias("vlr_vendido"), F.sum("vlr_saldo").cast(TOTAL).alias("vlr_carteira"))
+            .join(by_seller.select(F.col("chave").alias("des_vendedor"), F.col("valor").alias("vlr_carteira_mantida")), "des_vendedor", "left"))
+
+
+def q_extract_isolated(spark, d):
+    """X9 + X14: the extraction of the 'error' item fails; the others land and advance, it keeps its watermark.
+    The control rows after the run, with what landed."""
+    source = td.read(spark, d, "events").withColumnRenamed("ts", "s_t_a_m_p_")
+    broken = source.withColumn("value", F.when(F.col("event_type") == "error", F.raise_error(F.lit("source gone")).cast("double"))
+                               .otherwise(F.col("value")))
+    root = scratch_path(spark, "isolated")
+    run = run_extraction(spark, _previous_event_control(spark, d), {"events": broken}, root, company_col="event_type",
+                         batch=event_feed.SECOND_BATCH, now=RUN_AT, raise_on_failure=False)
+    landed = (spark.read.schema(event_feed.LANDING_SCHEMA).parquet(f"{root}/events").groupBy(F.col("event_type").alias("empresa"))
+              .agg(F.count(F.lit(1)).alias("qtd_pouso")))
+    declared = read_manifests(spark, root).select("empresa", F.col("registros").alias("qtd_manifesto"))
+    return run.control.join(landed, "empresa", "left").join(declared, "empresa", "left")
+
+
+def q_bronze_table(spark, d):
+    """B6 + B5: the Bronze table in the catalog, created once with its description, by company; loads before and
+    after a column was added."""
+    feed = event_feed.run(spark, d, per_table=True)
+    name = f"bronze_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'bronze')}'")
+    for _ in range(2):
+        register_bronze(spark, f"{name}.events", f"{feed.root}/bronze/events", "Events as received: it's append-only")
+    about = spark.catalog.getTable(f"{name}.events").description
+    return spark.table(f"{name}.events").groupBy("_empresa", "_lote").agg(
+        F.count(F.lit(1)).alias("registros"), F.count("value").alias("com_valor")).withColumn("descricao", F.lit(about))
+
+
 def q_comment_coverage(spark, d):
     """G13 + G14 + Q11: publish the Gold tables as versions with their descriptions and
     report, from the catalog, which tables and columns are described."""
@@ -516,6 +606,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_month": q_sales_by_month,
     "sales_by_unit": q_sales_by_unit,
     "open_by_seller": q_open_by_seller,
+    "maintained_measures": q_maintained_measures,
     "gate_duplicates": q_gate_duplicates,
     "gate_nulls": q_gate_nulls,
     "gate_orphans": q_gate_orphans,
@@ -528,6 +619,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_reconcile": q_bronze_reconcile,
     "restored_version": q_restored_version,
     "daily_load": q_daily_load,
+    "extract_and_load": q_extract_and_load,
+    "extract_isolated": q_extract_isolated,
+    "bronze_table": q_bronze_table,
     "comment_coverage": q_comment_coverage,
     "item_value_audit": q_item_value_audit,
     "tax_id_audit": q_tax_id_audit,

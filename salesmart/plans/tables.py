@@ -10,17 +10,27 @@ while writing n+1 (an upsert reads its own target), and restoring is
 re-pointing at an older directory.  Table and column descriptions are applied
 with ``COMMENT ON TABLE`` / ``ALTER COLUMN ... COMMENT``; a publish that
 changes the columns re-creates the table entry and its comments.
+
+Tables that belong together are committed together: ``commit`` creates one pointer file
+
+    <root>/<database>/_current/<n>.json
+
+naming every table's version, and fails if somebody else has committed since the state it started from.
+``snapshot`` reads all tables as of one pointer, so its readers see all old or all new
+versions.  Catalog entries follow the pointer one by one, for users of plain SQL.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import GOLD_COMMENTS
+from ..sources.files import create_text, names_below, read_text
 from ..sources.landing import path_exists
 
 
@@ -44,6 +54,10 @@ def new_version_id() -> str:
     return _dt.datetime.now(_dt.UTC).strftime("%Y%m%dT%H%M%S%fZ") + "_" + uuid.uuid4().hex[:6]
 
 
+class ConcurrentCommit(RuntimeError):
+    pass
+
+
 class VersionedCatalog:
     """Publishes DataFrames as versioned external Parquet tables of one database."""
 
@@ -107,6 +121,36 @@ class VersionedCatalog:
         else:                                      # unknown for this version: never keep a stale value
             self.spark.sql(f"ALTER TABLE {q} UNSET TBLPROPERTIES IF EXISTS ('{self.NEWEST_BATCH}')")
 
+    # --- one commit for all tables ---------------------------------------------------------------
+
+    def _pointers(self) -> list[int]:
+        names = names_below(self.spark, f"{self.root}/{self.database}/_current")
+        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
+
+    def committed(self) -> tuple[int, dict[str, str]]:
+        """(number, table -> version path) of the newest pointer; (0, {}) before the first."""
+        for n in sorted(self._pointers(), reverse=True):
+            try:
+                return n, json.loads(read_text(self.spark, f"{self.root}/{self.database}/_current/{n:012d}.json"))["tables"]
+            except ValueError:                     # cut off while it was written: never committed
+                continue
+        return 0, {}
+
+    def commit(self, paths: dict[str, str], base: int) -> int:
+        """Serve ``paths`` (and the other tables of pointer ``base`` unchanged) from now on, all at once."""
+        newest, tables = self.committed()
+        if newest != base:
+            raise ConcurrentCommit(f"{self.database}: pointer {newest} was committed after {base}")
+        number = max(self._pointers(), default=0) + 1
+        if not create_text(self.spark, f"{self.root}/{self.database}/_current/{number:012d}.json",
+                           json.dumps({"tables": {**tables, **paths}})):
+            raise ConcurrentCommit(f"{self.database}: pointer {number} was committed meanwhile")
+        return number
+
+    def snapshot(self) -> dict[str, DataFrame]:
+        """All committed tables as of one pointer."""
+        return {name: self.spark.read.parquet(path) for name, path in self.committed()[1].items()}
+
     def newest_batch(self, table: str) -> str | None:
         """The newest batch id recorded when the current version was written, or None."""
         if not self.exists(table):
@@ -138,8 +182,9 @@ class VersionedCatalog:
         return sorted(n[2:] for n in names if n.startswith("v="))
 
     def prune_versions(self, table: str, keep: int = 7) -> list[str]:
-        """Delete all but the newest ``keep`` version directories of ``table``; the
-        version the table currently reads is always kept.  Returns deleted versions."""
+        """Delete all but the newest ``keep`` version directories of ``table``; the version the table
+        currently reads and the committed one are always kept.  Returns deleted versions."""
+        served = self.committed()[1].get(table, "").rstrip("/")
         current = (self.current_location(table) or "").rstrip("/")
         versions = self.versions(table)
         doomed = versions[:-keep] if keep > 0 else list(versions)
@@ -147,7 +192,7 @@ class VersionedCatalog:
         jvm = self.spark.sparkContext._jvm
         for v in doomed:
             path = self.version_path(table, v)
-            if current.endswith(path.rstrip("/")) or current.endswith(f"/v={v}"):
+            if current.endswith(path.rstrip("/")) or current.endswith(f"/v={v}") or served.endswith(f"/v={v}"):
                 continue
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

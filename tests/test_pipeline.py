@@ -13,7 +13,10 @@ import dataclasses
 import pytest
 
 from salesmart.operators.upsert import Bucketing, read_bucketed
+from salesmart.plans.marts import SalesStar
+from salesmart.plans.measures import MeasureStore
 from salesmart.plans.pipeline import ERP_DOMAIN, extract_and_load, landing_schema
+from salesmart.plans.tables import VersionedCatalog
 
 COMPANIES = ["01", "05", "08", "13"]
 UNITS = {"01": ["01"], "05": ["01"], "08": ["01", "02"], "13": ["01"]}
@@ -75,6 +78,17 @@ def frames(spark, data):
     return {k: spark.createDataFrame([tuple(r) for r in v], SCHEMAS[k]) for k, v in data.items()}
 
 
+def assert_measures(spark, store, lake, env):
+    """The maintained measures equal the full dashboard join over the committed snapshot."""
+    g = VersionedCatalog(spark, lake, f"{env}_gold").snapshot()
+    star = SalesStar(g["fato_pedido_venda"], g["dim_unidade"], g["dim_produto"], g["dim_vendedor"], g["dim_cliente"])
+    want = {("valor_vendido", None, star.value_sold().first()[0]), ("valor_em_carteira", None, star.open_value().first()[0])}
+    want |= {("vendas_por_mes", str(r[0]), r[1]) for r in star.sales_by_month().collect()}
+    want |= {("vendas_por_unidade", *r) for r in star.sales_by_unit().collect()}
+    want |= {("carteira_por_vendedor", *r) for r in star.open_by_seller().collect()}
+    assert {tuple(r) for r in store.measures(g["dim_unidade"], g["dim_vendedor"]).collect()} == want
+
+
 BUCKETED = dataclasses.replace(ERP_DOMAIN, tables={
     **ERP_DOMAIN.tables,
     "sc5": dataclasses.replace(ERP_DOMAIN.tables["sc5"], buckets=8),
@@ -92,13 +106,15 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     src = frames(spark, data)
     schemas = {k: landing_schema(v) for k, v in src.items()}
     env = "dev" if domain is ERP_DOMAIN else "bkt"
+    store = MeasureStore(spark, f"{tmp_root}/measures")
     kw = dict(landing_root=landing, lake_root=lake, schemas=schemas, today="2026-10-13", overlap_minutes=0, env=env,
-              loaded_at="2026-10-13 09:00:00")
+              loaded_at="2026-10-13 09:00:00", measures=store)
 
     # run 1: first load = every source row
     control, rep1 = extract_and_load(spark, domain, ctl.empty_control(spark), items, src,
                                      batch="20261013T060000Z", now=dt.datetime(2026, 10, 13, 6), **kw)
     assert rep1.published
+    assert_measures(spark, store, lake, env)
     bronze6 = spark.read.parquet(f"{lake}/{env}_bronze/sc6")
     assert bronze6.count() == len(data["sc6"])
     fact = spark.table(f"{env}_gold.fato_pedido_venda")
@@ -126,6 +142,9 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     control, rep3 = extract_and_load(spark, domain, control, items, frames(spark, data),
                                      batch="20261014T060000Z", now=dt.datetime(2026, 10, 14, 6), **kw)
     assert rep3.published
+    assert_measures(spark, store, lake, env)
+    live = store._live()
+    assert len(live) == 3                     # run 3 followed by its changed orders, not by a full computation
     b3 = spark.read.parquet(f"{lake}/{env}_bronze/sc6").filter(F.col("_lote") == "20261014T060000Z")
     assert b3.count() == 2
     silver6 = (spark.table("dev_silver.sc6") if domain is ERP_DOMAIN

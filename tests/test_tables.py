@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from salesmart.config import GOLD_COMMENTS
 from salesmart.plans.tables import VersionedCatalog, comment_statements
 
@@ -119,3 +121,37 @@ def test_newest_batch_recorded_at_publish_and_cleared_on_restore(spark, tmp_root
     assert fresh.newest_batch("x") is None
     cat.publish(spark.createDataFrame([(1,)], "a int"), "y")
     assert cat.newest_batch("y") is None
+
+
+def test_one_commit_changes_all_tables_for_snapshot_readers(spark, tmp_root):
+    import pytest
+
+    from salesmart.plans.tables import ConcurrentCommit
+    from salesmart.sources.files import create_text
+
+    cat = VersionedCatalog(spark, tmp_root, "pointer_db")
+    assert cat.committed() == (0, {}) and cat.snapshot() == {}
+
+    def write(load, tables=("a", "b", "c")):
+        return {t: cat.write_version(spark.range(2).withColumn("load", F.lit(load)), t, f"{load}")[0] for t in tables}
+
+    def seen():
+        return {t: df.first().load for t, df in cat.snapshot().items()}
+
+    cat.commit(write(1), 0)
+    assert seen() == dict.fromkeys("abc", 1)
+    base = cat.committed()[0]
+    new = write(2, ("a", "c"))
+    assert seen() == dict.fromkeys("abc", 1)          # written, not committed
+    held = cat.snapshot()
+    cat.commit(new, base)
+    assert seen() == {"a": 2, "b": 1, "c": 2} and {df.first().load for df in held.values()} == {1}
+    with pytest.raises(ConcurrentCommit):
+        cat.commit(write(3), base)                     # somebody has committed after base
+    create_text(spark, f"{tmp_root}/pointer_db/_current/{3:012d}.json", '{"tab')     # a driver lost while it wrote
+    assert seen() == {"a": 2, "b": 1, "c": 2}
+    cat.commit(write(4), cat.committed()[0])
+    assert seen() == dict.fromkeys("abc", 4)
+    for load in (5, 6):
+        write(load, ("a",))
+    assert "4" not in cat.prune_versions("a", keep=1) and seen()["a"] == 4          # the committed version stays
