@@ -109,7 +109,7 @@ class Gru:
         per = FREQUENT // CLASSES
         table = np.full(FREQUENT, 0.5)
         table[:len(counts)] += counts
-        table = table.reshape(CLASSES, per)
+        table = table.reshape(per, CLASSES).T
         self.p["ob"] = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
         heads = np.concatenate([table.sum(axis=1), rare_mass + 0.5])
         self.p["cb"] = np.log(heads / heads.sum()).astype(np.float32)
@@ -139,22 +139,28 @@ class Gru:
             grads["c"] += h.T @ d
             grads["cb"] += d.sum(axis=0)
             dh = d @ self.p["c"].T
-        order = np.argsort(head, kind="stable")
-        edges = np.searchsorted(head[order], np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            at = order[edges[k]:edges[k + 1]]
-            s = h[at] @ self.p["o"][k] + self.p["ob"][k]
-            s -= s.max(axis=1, keepdims=True)
-            es = np.exp(s)
-            sums = es.sum(axis=1)
-            out[at] += s[np.arange(len(at)), member[at]] - np.log(sums)
-            if grads is not None:
-                d = es / sums[:, None]
-                d[np.arange(len(at)), member[at]] -= 1
-                grads["o"][k] += h[at].T @ d
-                grads["ob"][k] += d.sum(axis=0)
-                dh[at] += d @ self.p["o"][k].T
-        return out if grads is None else (out, dh)
+        # The members of all classes at once: each class's states in a row of their own, padded to the longest.
+        at = np.argsort(head, kind="stable")
+        at = at[:np.searchsorted(head[at], CLASSES)]
+        k = head[at]
+        sizes = np.bincount(k, minlength=CLASSES)
+        place = np.arange(len(k)) - (np.cumsum(sizes) - sizes)[k]
+        states = np.zeros((CLASSES, int(sizes.max(initial=0)), HIDDEN), h.dtype)
+        states[k, place] = h[at]
+        s = states @ self.p["o"] + self.p["ob"][:, None, :]
+        s -= s.max(axis=2, keepdims=True)
+        e = np.exp(s)
+        total = e.sum(axis=2)
+        out[at] += s[k, place, member[at]] - np.log(total[k, place])
+        if grads is None:
+            return out
+        d = e / total[:, :, None]
+        d[k, place, member[at]] -= 1
+        d *= (np.arange(d.shape[1]) < sizes[:, None])[:, :, None]
+        grads["o"] += states.transpose(0, 2, 1) @ d
+        grads["ob"] += d.sum(axis=1)
+        dh[at] += (d @ self.p["o"].transpose(0, 2, 1))[k, place]
+        return out, dh
 
     def train_window(self, x: np.ndarray, head: np.ndarray, member: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the mean loss of one window (time, lanes), backpropagated to its start; the state after it."""
@@ -204,13 +210,12 @@ class Coder:
         self.rank = np.argsort(frequent, kind="stable")
 
     def __call__(self, hashes: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(input, class, member, is frequent); frequent tokens are dealt to classes by rank."""
+        """(input, class, member, is frequent); frequent tokens are dealt to the classes in turn, by rank."""
         at = lookup(self.keys, hashes)
         known = at >= 0
         rank = self.rank[at] if len(self.keys) else at
-        per = FREQUENT // CLASSES
-        return (np.where(known, rank, FREQUENT + rare), np.where(known, rank // per, CLASSES + rare),
-                np.where(known, rank % per, 0), known)
+        return (np.where(known, rank, FREQUENT + rare), np.where(known, rank % CLASSES, CLASSES + rare),
+                np.where(known, rank // CLASSES, 0), known)
 
 
 def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str]) -> tuple[dict, int]:
@@ -230,6 +235,8 @@ def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str]) -> tup
         lane = int(sizes.argmin())
         streams[lane].append(part)
         sizes[lane] += part.shape[1]
+    longest = np.argsort(-sizes, kind="stable")  # lanes that end early are the last ones and drop out
+    streams, sizes = [streams[k] for k in longest], sizes[longest]
     width = max(WINDOW, int(np.ceil(sizes.max() / WINDOW)) * WINDOW)
     grid = np.zeros((3, lanes, width), np.int64)
     live = np.zeros((lanes, width), bool)
@@ -238,16 +245,28 @@ def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str]) -> tup
             line = np.concatenate(stream, axis=1)
             grid[:, k, :line.shape[1]] = line
             live[k, :line.shape[1]] = True
-    first_moment = {k: np.zeros_like(v) for k, v in model.p.items()}
-    second_moment = {k: np.zeros_like(v) for k, v in model.p.items()}
+    # All weights in one vector, of which the model's arrays are views: Adam steps in place.
+    flat = np.concatenate([model.p[k].ravel() for k in sorted(model.p)])
+    first_moment, second_moment, at = np.zeros_like(flat), np.zeros_like(flat), 0
+    for k in sorted(model.p):
+        model.p[k] = flat[at:at + model.p[k].size].reshape(model.p[k].shape)
+        at += model.p[k].size
     h = np.zeros((lanes, HIDDEN), np.float32)
     for n in range(1, width // WINDOW + 1):
-        cut = slice((n - 1) * WINDOW, n * WINDOW)
-        grads, h = model.train_window(grid[0, :, cut].T, grid[1, :, cut].T, grid[2, :, cut].T, live[:, cut].T, h)
-        for k, g in grads.items():
-            first_moment[k] = 0.9 * first_moment[k] + 0.1 * g
-            second_moment[k] = 0.99 * second_moment[k] + 0.01 * g * g
-            model.p[k] -= (RATE * (first_moment[k] / (1 - 0.9 ** n)) / (np.sqrt(second_moment[k] / (1 - 0.99 ** n)) + 1e-8)).astype(np.float32)
+        cut, on = slice((n - 1) * WINDOW, n * WINDOW), max(1, int(np.searchsorted(-sizes, -(n - 1) * WINDOW, side="left")))
+        grads, h = model.train_window(grid[0, :on, cut].T, grid[1, :on, cut].T, grid[2, :on, cut].T, live[:on, cut].T, h[:on])
+        g = np.concatenate([grads[k].ravel() for k in sorted(grads)])
+        first_moment *= 0.9
+        first_moment += np.float32(0.1) * g
+        second_moment *= 0.99
+        g *= g
+        second_moment += np.float32(0.01) * g
+        scale = np.sqrt(second_moment)
+        scale *= np.float32(1 / np.sqrt(1 - 0.99 ** n))
+        scale += np.float32(1e-8)
+        np.divide(first_moment, scale, out=scale)
+        scale *= np.float32(RATE / (1 - 0.9 ** n))
+        flat -= scale
     return model.p, tokens
 
 
