@@ -250,6 +250,7 @@ ORACLE: dict[str, str] = {
     "control_active": with_ctes(["synced_control"], """
         SELECT tabela, trim(empresa) AS empresa, tipo_carga, ultimo_watermark FROM synced_control WHERE ativo"""),
     "order_fact": with_ctes(["fact"], "SELECT * FROM fact"),
+    "order_fact_stored": with_ctes(["fact"], "SELECT * FROM fact"),
     "dim_customer": with_ctes(["dim_customer"], "SELECT * FROM dim_customer"),
     "dim_seller": with_ctes(["dim_seller"], "SELECT * FROM dim_seller"),
     "dim_product": with_ctes(["dim_product"], "SELECT * FROM dim_product"),
@@ -308,6 +309,11 @@ ORACLE: dict[str, str] = {
         SELECT d.lote, d.tabela, d.empresa, d.registros, coalesce(l.qtd_bronze, 0) AS qtd_bronze
         FROM declared d LEFT JOIN landed l ON d.lote = l.lote AND d.tabela = l.tabela AND d.empresa = l.empresa
         WHERE d.registros > 0 AND coalesce(l.qtd_bronze, 0) <> d.registros"""),
+    "gate_reconcile_null_keys": with_ctes(["ev"], """
+        , c AS (SELECT _lote AS lote, 'events' AS tabela, nullif(_empresa, 'error') AS empresa, count(*) AS n FROM ev GROUP BY 1, 3)
+        SELECT d.lote, d.tabela, d.empresa, d.n AS registros, coalesce(l.n, 0) AS qtd_bronze
+        FROM c d LEFT JOIN c l ON d.lote = l.lote AND d.tabela = l.tabela AND d.empresa = l.empresa
+        WHERE d.n > 0 AND coalesce(l.n, 0) <> d.n"""),
     "gate_report": with_ctes(_GATE_CTES, _gate_report(
         ["silver.orders", "silver.lines", "silver.customers", "silver.sellers", "silver.products"])),
     "daily_load": with_ctes(_GATE_CTES, _gate_report(
@@ -410,6 +416,24 @@ ORACLE: dict[str, str] = {
         SELECT e.event_type, '20240131T090000Z', count(*), count(value), 'Events as received: it''s append-only'
         FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
         WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type""",
+    "bronze_schema_history": """
+        SELECT CAST(event_id AS BIGINT) AS event_id, ts AS s_t_a_m_p_, event_type,
+               CASE WHEN ts < TIMESTAMP '2024-01-21' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value,
+               CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN CAST(user_id AS BIGINT) END AS user_id,
+               CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN props END AS props,
+               CASE WHEN ts < TIMESTAMP '2024-01-11' THEN '1' WHEN ts < TIMESTAMP '2024-01-21' THEN '2' ELSE '3' END AS _lote,
+               '01' AS _empresa, CAST(3 AS INTEGER) AS versoes
+        FROM events""",
+    "footer_counts": with_ctes(["fact"], """
+        , wm AS (SELECT event_type, max(ts) AS w FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type)
+        SELECT '20240115T000000Z' AS lote, event_type AS empresa, count(*) AS qtd_bronze, 'events' AS tabela
+        FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type
+        UNION ALL
+        SELECT '20240131T090000Z', e.event_type, count(*), 'events'
+        FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
+        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type
+        UNION ALL
+        SELECT CAST(min(dat_emissao) AS VARCHAR), NULL, count(*), 'fato_pedido_venda' FROM fact"""),
     "restored_version": with_ctes(["dim_product"], "SELECT * FROM dim_product"),
     "comment_coverage": with_ctes(["fact", "dim_customer", "dim_seller", "dim_product", "units"], """
         , b AS (SELECT coalesce(min(dat_emissao), DATE '2001-08-01') AS s FROM fact)

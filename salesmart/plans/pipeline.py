@@ -30,10 +30,12 @@ from ..operators.upsert import (BUCKET, Bucketing, committed_versions, prune_buc
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.watermark import FULL
 from ..sources.extract import load_control, run_extraction
+from ..sources.footers import footer_table
 from ..sources.landing import cutoff, path_exists, read_manifests
 from ..session import materialize, scratch_path
 from ..streaming.batch_index import BatchIndex
-from ..streaming.bronze import load_once, read_bronze, register_bronze
+from ..streaming.bronze import bronze_schema, load_once, read_bronze, register_bronze
+from ..streaming.schema_history import SchemaHistory
 from .measures import MeasureStore, changed_orders
 from .tables import VersionedCatalog
 
@@ -68,6 +70,7 @@ class Domain:
     units: Callable[[SparkSession], DataFrame]
     fact_keys: tuple = FACT_KEYS
     fact_header_columns: tuple = FACT_HEADER_COLUMNS
+    order_buckets: int | None = None    # store versioned headers and items clustered by the order key
 
 
 ERP_DOMAIN = Domain(
@@ -109,10 +112,11 @@ def silver_exists(spark: SparkSession, spec: SourceTable, silver: VersionedCatal
 
 
 def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silver: VersionedCatalog,
-                 reprocess: bool = False, newest: dict | None = None) -> dict:
+                 reprocess: bool = False, newest: dict | None = None, clustered: tuple | None = None) -> dict:
     """S1 + S6..S11 for one table; publishes a new Silver version (or, for a
     bucketed incremental table, a version of the touched buckets).  ``newest`` (company -> newest
-    batch, from the load's index) prunes a FULL table's Bronze to its snapshots."""
+    batch, from the load's index) prunes a FULL table's Bronze to its snapshots; ``clustered`` is the
+    layout of a published version of an incremental table."""
     std = standardise(bronze, spec.mapping, lenient=spec.lenient)
     if spec.buckets and spec.load_type != FULL:
         path = bucketed_path(silver, spec.name)
@@ -132,9 +136,9 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
         # The newest batch recorded at the last publish (no scan), else computed
         last = silver.newest_batch(spec.name) or newest_batch(target)
         changes = materialize(latest_version(batches_after(std, last), spec.keys, spec.order), "silver_changes")    # S6
-        done = silver.publish(upsert(target, changes, spec.keys), spec.name)         # S9
+        done = silver.publish(upsert(target, changes, spec.keys), spec.name, clustered=clustered)    # S9
         return {**done, "changes": changes, "before": target}
-    return silver.publish(latest_version(std, spec.keys, spec.order), spec.name)     # S10
+    return silver.publish(latest_version(std, spec.keys, spec.order), spec.name, clustered=clustered)    # S10
 
 
 def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame], lake_root: str,
@@ -167,7 +171,9 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     order_tables = [domain.header, domain.item]
     states = [{n: silver_state(spark, domain.tables[n], silver) for n in order_tables} if measures else {}]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        futures = {n: pool.submit(build_silver, spark, spec, bronze[n], silver, reprocess, newest.get(n))
+        clustered = (domain.order_buckets, domain.fact_keys) if domain.order_buckets else None
+        futures = {n: pool.submit(build_silver, spark, spec, bronze[n], silver, reprocess, newest.get(n),
+                                  clustered if n in order_tables else None)
                    for n, spec in domain.tables.items() if n in bronze}
         report.silver = {n: f.result() for n, f in futures.items()}
     if measures:
@@ -194,7 +200,7 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     fact_name = "fato_pedido_venda"
     if fact_name in paths:
         paths["dim_calendario"], _ = gold.write_version(
-            dims.calendar_for_fact(spark.read.parquet(paths[fact_name]), today), "dim_calendario")
+            dims.calendar_for_fact(footer_table(spark, paths[fact_name]), today), "dim_calendario")
     new = {n: spark.read.parquet(p) for n, p in paths.items()}
     report.gold = paths
 
@@ -273,13 +279,14 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | N
             continue
         bronze_dir = f"{lake_root.rstrip('/')}/{env}_bronze/{name}"
         index = BatchIndex(spark, f"{lake_root.rstrip('/')}/_batches/{env}/{name}")
+        schema = SchemaHistory(spark, f"{lake_root.rstrip('/')}/_schemas/{env}/{name}").record(schemas[name])     # B5
         load_once(spark, landing, bronze_dir, f"{lake_root.rstrip('/')}/_checkpoints/{env}/{name}",
-                  schemas[name], index=index, **extra)
+                  schema, index=index, **extra)
         if domain.tables[name].load_type == FULL:
             newest[name] = index.newest()
         register_bronze(spark, f"{env}_bronze.{name}", bronze_dir, f"Bronze: {name} como recebida da origem, só acréscimos.")
-        bronze[name] = read_bronze(spark, bronze_dir, schemas[name])
-        counts.append(quality.batch_counts(bronze[name], name, since=since))
+        bronze[name] = read_bronze(spark, bronze_dir, schema)
+        counts.append(quality.batch_counts(footer_table(spark, bronze_dir, bronze_schema(schema)), name, since=since))     # Q8
     manifests = read_manifests(spark, landing_root, since=since)
     bronze_counts = None
     if counts:

@@ -21,9 +21,11 @@ from ..operators.standardise import standardise
 from ..operators.upsert import BUCKET, read_bucketed, upsert, upsert_touched_buckets, write_bucketed
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
-from ..sources.extract import run_extraction
-from ..sources.landing import cutoff, read_manifests
-from ..streaming.bronze import register_bronze
+from ..sources.extract import persist_control, run_extraction
+from ..sources.footers import footer_table
+from ..sources.landing import cutoff, read_manifests, write_batch
+from ..streaming.bronze import bronze_schema, load_once, read_bronze, register_bronze
+from ..streaming.schema_history import SchemaHistory
 from ..session import materialize, scratch_path
 from . import event_feed
 from .marts import TOTAL, SalesStar
@@ -36,6 +38,7 @@ UPSERT_SPLIT = "1999-01-01"                         # target = versions shipped
 EVENT_WATERMARK = _dt.datetime(2024, 1, 20)         # previous high-water mark of the event stream
 RUN_AT = _dt.datetime(2024, 1, 31, 9, 0)            # "now" of a simulated extraction run
 UPSERT_BUCKETS = 32                                 # key buckets of the bucketed Silver layout
+ORDER_BUCKETS = 8                                   # buckets of stored Silver clustered by the order key
 # A fixed load timestamp keeps results reproducible (G6 takes it as a parameter).
 LOAD_TS = "2001-08-02 06:00:00"
 # "Today" for the calendar bounds (G12), fixed for the same reason.
@@ -184,10 +187,9 @@ def q_incremental_events(spark, d):
 def q_next_watermark(spark, d):
     """X2 + X5 + X13 for every (table, company) item at once."""
     ev = _event_items(spark, d)
-    ctl = _previous_event_control(spark, d)
-    marks = ctl.select("tabela", "empresa", "ultimo_watermark")
-    extracted = watermark.incremental_by_column(ev.join(marks, ["tabela", "empresa"]), F.col("ultimo_watermark"),
-                                                stamp="ts").drop("ultimo_watermark")
+    ctl = persist_control(spark, _previous_event_control(spark, d), scratch_path(spark, "control"))
+    items = [r.asDict() for r in control.active_items(ctl).collect()]        # one row per table and company
+    extracted = watermark.extract_items(ev, items, "empresa", stamp="ts")
     advanced = watermark.next_watermark(ctl, extracted, stamp="ts", counted="qtd")
     results = advanced.select("tabela", "empresa", F.lit(control.SUCCESS).alias("status"),
                               F.col("ultimo_watermark").alias("novo_watermark"), "qtd")
@@ -262,6 +264,21 @@ def q_order_fact(spark, d):
     return gold_fact(spark, d)
 
 
+def stored_silver(spark, d) -> VersionedCatalog:
+    """Headers and lines as stored Silver tables, clustered by the order key."""
+    cat = VersionedCatalog(spark, scratch_path(spark, "silver"), f"silver_{uuid.uuid4().hex[:8]}")
+    for name, df in (("orders", silver_orders(spark, d)), ("lineitem", silver_lines(spark, d))):
+        cat.publish(df, name, clustered=(ORDER_BUCKETS, td.FACT_KEYS))
+    return cat
+
+
+def q_order_fact_stored(spark, d):
+    """G2-G6 over stored Silver clustered by the order key: joined without an exchange."""
+    cat = stored_silver(spark, d)
+    return fact_ops.order_fact(cat.table("orders"), cat.table("lineitem"), keys=td.FACT_KEYS,
+                               header_columns=td.FACT_HEADER_COLUMNS, loaded_at=LOAD_TS)
+
+
 def q_dim_customer(spark, d):
     return dims.dim_customer(silver_customers(spark, d))
 
@@ -379,6 +396,13 @@ def q_gate_reconcile(spark, d):
     return quality.reconcile(declared, counts)
 
 
+def q_gate_reconcile_null_keys(spark, d):
+    """Q5 where one company is NULL on both sides: its items match no landed count, however many rows landed."""
+    ev = td.events_stream(spark, d).withColumn("_empresa", F.nullif(F.col("_empresa"), F.lit("error")))
+    counts = quality.batch_counts(ev, "events")
+    return quality.reconcile(counts.withColumnRenamed("qtd_bronze", "registros"), counts)
+
+
 def gate_report_df(spark, d) -> DataFrame:
     # The Silver lines feed a key gate and the fact, and the fact feeds five gates:
     # each is written once under the shared folder and read back (lineage cut there).
@@ -538,6 +562,42 @@ def q_bronze_table(spark, d):
         F.count(F.lit(1)).alias("registros"), F.count("value").alias("com_valor")).withColumn("descricao", F.lit(about))
 
 
+SCHEMA_CUTS = ["2024-01-11", "2024-01-21", None]      # the loads: events before
+EVENT_SCHEMAS = [["int event_id", "timestamp_ntz s_t_a_m_p_", "string event_type", "float value"],
+                 ["long event_id", "timestamp_ntz s_t_a_m_p_", "int user_id", "string event_type", "float value"],
+                 ["long event_id", "timestamp_ntz s_t_a_m_p_", "long user_id", "string event_type", "double value", "string props"]]
+
+
+def q_bronze_schema_history(spark, d):
+    """Three loads, each with a schema of its own (columns added, types widened), read by their merged schema."""
+    root = scratch_path(spark, "schema_history")
+    history, bronze_dir = SchemaHistory(spark, f"{root}/schemas"), f"{root}/bronze/events"
+    events = td.read(spark, d, "events").withColumnRenamed("ts", "s_t_a_m_p_")
+    at, since = F.col("s_t_a_m_p_"), None
+    for k, (cut, columns) in enumerate(zip(SCHEMA_CUTS, EVENT_SCHEMAS, strict=True), 1):
+        rows = events if since is None else events.filter(at >= F.lit(since).cast("timestamp_ntz"))
+        rows = rows if cut is None else rows.filter(at < F.lit(cut).cast("timestamp_ntz"))
+        since = cut
+        shaped = rows.select(*[F.col(name).cast(kind).alias(name) for kind, name in (c.split() for c in columns)])
+        write_batch(shaped, f"{root}/landing", "events", "01", f"{k}")
+        schema = history.record(landing_schema(shaped))
+        load_once(spark, f"{root}/landing/events", bronze_dir, f"{root}/_checkpoint", schema)
+    return read_bronze(spark, bronze_dir, history.read_schema()).drop("_arquivo", "_dt_ingestao").withColumn(
+        "versoes", F.lit(len(history.versions())))
+
+
+def q_footer_counts(spark, d):
+    """Q8 + G12 from Parquet footers: rows of each (batch, company) of Bronze, and the first emission date of a stored fact."""
+    feed = event_feed.run(spark, d, per_table=True)
+    bronze = footer_table(spark, f"{feed.root}/bronze/events", bronze_schema(event_feed.LANDING_SCHEMA))
+    counts = quality.batch_counts(bronze, "events")
+    path = scratch_path(spark, "fact")
+    gold_fact(spark, d).write.parquet(path)
+    first = footer_table(spark, path).agg(F.min("dat_emissao").alias("dat_inicio"), F.count(F.lit(1)).alias("qtd_fato"))
+    return counts.unionByName(first.select(F.lit("fato_pedido_venda").alias("tabela"), F.col("dat_inicio").cast("string").alias("lote"),
+                                           F.lit(None).cast("string").alias("empresa"), F.col("qtd_fato").alias("qtd_bronze")))
+
+
 def q_comment_coverage(spark, d):
     """G13 + G14 + Q11: publish the Gold tables as versions with their descriptions and
     report, from the catalog, which tables and columns are described."""
@@ -594,6 +654,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "config_items": q_config_items,
     "control_switches": q_control_switches,
     "order_fact": q_order_fact,
+    "order_fact_stored": q_order_fact_stored,
     "dim_customer": q_dim_customer,
     "dim_seller": q_dim_seller,
     "dim_product": q_dim_product,
@@ -612,6 +673,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_orphans": q_gate_orphans,
     "gate_negatives": q_gate_negatives,
     "gate_reconcile": q_gate_reconcile,
+    "gate_reconcile_null_keys": q_gate_reconcile_null_keys,
     "gate_report": q_gate_report,
     "bronze_load_once": q_bronze_load_once,
     "manifest_items": q_manifest_items,
@@ -622,6 +684,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_and_load": q_extract_and_load,
     "extract_isolated": q_extract_isolated,
     "bronze_table": q_bronze_table,
+    "bronze_schema_history": q_bronze_schema_history,
+    "footer_counts": q_footer_counts,
     "comment_coverage": q_comment_coverage,
     "item_value_audit": q_item_value_audit,
     "tax_id_audit": q_tax_id_audit,

@@ -25,6 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,7 @@ class VersionedCatalog:
     """Publishes DataFrames as versioned external Parquet tables of one database."""
 
     NEWEST_BATCH = "salesmart.newest_batch"
+    CLUSTERED = "_clustered.json"
 
     def __init__(self, spark: SparkSession, root: str, database: str):
         self.spark, self.root, self.database = spark, root.rstrip("/"), database
@@ -89,15 +91,30 @@ class VersionedCatalog:
                 return r.data_type
         return None
 
-    def write_version(self, df: DataFrame, table: str, version: str | None = None) -> tuple[str, int]:
-        """Write a complete version directory; rows are counted during the write."""
+    def write_version(self, df: DataFrame, table: str, version: str | None = None,
+                      clustered: tuple[int, Sequence[str]] | None = None) -> tuple[str, int]:
+        """Write a complete version directory; rows are counted during the write.
+
+        ``clustered`` = (buckets, columns) stores it bucketed by these columns, a file per bucket: tables
+        clustered alike are joined on them without an exchange.
+        """
         version = version or new_version_id()
         path = self.version_path(table, version)
         obs = Observation(f"publish_{table}_{version}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         if "_lote" in df.columns:                  # the newest batch, for the next run's S8 filter
             metrics.append(F.max("_lote").alias("newest_batch"))
-        df.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
+        out = df.observe(obs, *metrics)
+        if clustered is None:
+            out.write.mode("errorifexists").parquet(path)
+        else:
+            count, columns = clustered
+            # Spark writes buckets through a catalog entry only; this one is external and goes at once
+            entry = f"{self.database}.{table}_{uuid.uuid4().hex[:8]}"
+            (out.repartition(count, *columns).write.format("parquet").mode("errorifexists").option("path", path)
+             .bucketBy(count, *columns).sortBy(*columns).saveAsTable(entry))
+            self.spark.sql(f"DROP TABLE {entry}")
+            create_text(self.spark, f"{path}/{self.CLUSTERED}", json.dumps({"buckets": count, "columns": list(columns)}))
         got = obs.get
         self._newest[path] = got.get("newest_batch")
         return path, int(got.get("rows", 0) or 0)
@@ -106,13 +123,20 @@ class VersionedCatalog:
         """Make ``table`` read ``path``; re-create the entry when the columns differ."""
         q = self.qualified(table)
         new_schema = self.spark.read.parquet(path).schema
-        if self.exists(table) and [(f.name, f.dataType) for f in self.table(table).schema] == \
-                [(f.name, f.dataType) for f in new_schema]:
+        clustered = self._clustering(path)
+        if self.exists(table) and clustered == self._clustering(self.current_location(table)) and \
+                [(f.name, f.dataType) for f in self.table(table).schema] == [(f.name, f.dataType) for f in new_schema]:
             self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(q)
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {q}")
-            self.spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{path}'")
+            if clustered is None:
+                self.spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{path}'")
+            else:
+                columns = ", ".join(clustered["columns"])
+                fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new_schema)
+                self.spark.sql(f"CREATE TABLE {q} ({fields}) USING parquet CLUSTERED BY ({columns}) SORTED BY ({columns}) "
+                               f"INTO {clustered['buckets']} BUCKETS LOCATION '{path}'")
             if comments and table in GOLD_COMMENTS:
                 self.apply_comments(table)
         newest = self._newest.get(path)
@@ -151,6 +175,11 @@ class VersionedCatalog:
         """All committed tables as of one pointer."""
         return {name: self.spark.read.parquet(path) for name, path in self.committed()[1].items()}
 
+    def _clustering(self, path: str | None) -> dict | None:
+        if path is None or not path_exists(self.spark, f"{path}/{self.CLUSTERED}"):
+            return None
+        return json.loads(read_text(self.spark, f"{path}/{self.CLUSTERED}"))
+
     def newest_batch(self, table: str) -> str | None:
         """The newest batch id recorded when the current version was written, or None."""
         if not self.exists(table):
@@ -164,9 +193,10 @@ class VersionedCatalog:
         for stmt in comment_statements(self.qualified(table), table, dictionary):
             self.spark.sql(stmt)
 
-    def publish(self, df: DataFrame, table: str, version: str | None = None, activate: bool = True) -> dict:
+    def publish(self, df: DataFrame, table: str, version: str | None = None, activate: bool = True,
+                clustered: tuple[int, Sequence[str]] | None = None) -> dict:
         """Write a new version and (by default) point the table at it."""
-        path, rows = self.write_version(df, table, version)
+        path, rows = self.write_version(df, table, version, clustered)
         if activate:
             self.point_to(table, path)
         return {"table": self.qualified(table), "path": path, "rows": rows}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_OVERLAP_MINUTES
 from ..operators import control as ctl
-from ..operators.watermark import INCREMENTAL, LOAD_KINDS, extract, lower_bound, next_watermark_value
+from ..operators.watermark import INCREMENTAL, extract, extract_items, next_watermark_value
 from .landing import (LANDING_BATCH, LANDING_COMPANY, batch_dir, list_names, new_batch_id, path_exists, write_batch,
                       write_manifest)
 
@@ -98,20 +98,12 @@ def _extract_tables(spark: SparkSession, items: list[dict], sources: dict[str, D
         group = by_table[table]
         try:
             source = sources[table]
-            wanted = None
-            for item in group:   # one predicate per company: its own watermark and load type
-                if item["tipo_carga"] not in LOAD_KINDS:
-                    raise ValueError(f"invalid load type: {item['tipo_carga']!r}")
-                keep = F.col(company_col) == F.lit(item["empresa"])
-                if item["tipo_carga"] == INCREMENTAL and item["ultimo_watermark"] is not None:
-                    keep = keep & (F.col(stamp) > F.lit(lower_bound(item["ultimo_watermark"], overlap_minutes)))
-                wanted = keep if wanted is None else (wanted | keep)
             obs = Observation(f"landing_{table}_{batch}")
             metrics = []
             for i, item in enumerate(group):
                 hit = F.col(company_col) == F.lit(item["empresa"])
                 metrics += [F.count(F.when(hit, 1)).alias(f"n{i}"), F.max(F.when(hit, F.col(stamp))).alias(f"m{i}")]
-            out = (source.filter(wanted)
+            out = (extract_items(source, group, company_col, overlap_minutes, stamp)
                    .withColumn("_lote", F.lit(batch))
                    .withColumn(LANDING_COMPANY, F.col(company_col)).withColumn(LANDING_BATCH, F.lit(batch))
                    .observe(obs, *metrics))

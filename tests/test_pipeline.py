@@ -96,7 +96,10 @@ BUCKETED = dataclasses.replace(ERP_DOMAIN, tables={
 })
 
 
-@pytest.mark.parametrize("domain", [ERP_DOMAIN, BUCKETED], ids=["versioned", "bucketed"])
+CLUSTERED = dataclasses.replace(ERP_DOMAIN, order_buckets=4)
+
+
+@pytest.mark.parametrize("domain", [ERP_DOMAIN, BUCKETED, CLUSTERED], ids=["versioned", "bucketed", "clustered"])
 def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     data = make_erp()
     landing, lake = f"{tmp_root}/landing", f"{tmp_root}/lake"
@@ -105,7 +108,7 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     items = ctl.config_items(cfg)
     src = frames(spark, data)
     schemas = {k: landing_schema(v) for k, v in src.items()}
-    env = "dev" if domain is ERP_DOMAIN else "bkt"
+    env = {id(ERP_DOMAIN): "dev", id(BUCKETED): "bkt", id(CLUSTERED): "clu"}[id(domain)]
     store = MeasureStore(spark, f"{tmp_root}/measures")
     kw = dict(landing_root=landing, lake_root=lake, schemas=schemas, today="2026-10-13", overlap_minutes=0, env=env,
               loaded_at="2026-10-13 09:00:00", measures=store)
@@ -147,7 +150,7 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     assert len(live) == 3                     # run 3 followed by its changed orders, not by a full computation
     b3 = spark.read.parquet(f"{lake}/{env}_bronze/sc6").filter(F.col("_lote") == "20261014T060000Z")
     assert b3.count() == 2
-    silver6 = (spark.table("dev_silver.sc6") if domain is ERP_DOMAIN
+    silver6 = (spark.table(f"{env}_silver.sc6") if domain is not BUCKETED
                else read_bucketed(spark, f"{lake}/bkt_silver/sc6/bucketed").drop("key_bucket"))
     assert silver6.count() == len(sc6)
     assert silver6.groupBy("cod_empresa", "num_recno").count().filter("count > 1").count() == 0
@@ -156,6 +159,9 @@ def test_extract_and_load_end_to_end(spark, tmp_root, domain):
     assert fact.filter((F.col("cod_pedido") == sc5[0][2]) & (F.col("cod_empresa") == sc5[0][0])) \
         .select("cod_cliente").distinct().first()[0] == "000005"
     assert "a1_cgc" not in spark.table(f"{env}_silver.sa1").columns
+    if domain is CLUSTERED:                   # also after upserts, the order join needs no exchange
+        joined = spark.table("clu_silver.sc5").join(spark.table("clu_silver.sc6"), list(domain.fact_keys))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     if domain is BUCKETED:
         assert 0 < rep3.silver["sc6"]["buckets_rewritten"] <= 2
         assert 0 < rep3.silver["sc5"]["buckets_rewritten"] <= 1

@@ -91,3 +91,37 @@ def test_scans_read_only_needed_columns(spark):
     text = plan(df)
     line_scan = [ln for ln in text.splitlines() if "lineitem.parquet" in ln][0]
     assert "l_tax" not in line_scan and "l_linestatus" not in line_scan
+
+
+def test_stored_order_fact_joins_without_an_exchange(spark):
+    text = plan(entry.queries()["order_fact_stored"](spark, SF))
+    assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text
+
+
+def test_the_integrity_gate_scans_the_fact_once(spark, tmp_root):
+    from salesmart.operators.quality import integrity_gate
+    rows = spark.range(2000).selectExpr("string(id % 50) as a", "string(id % 7) as b", "if(id % 11 = 0, null, string(id % 3)) as c")
+    rows.write.parquet(f"{tmp_root}/fact")
+    keys = {"x": ["a"], "y": ["b", "c"], "z": ["c"]}
+    dims = {"x": rows.select("a").where("a < '4'"), "y": rows.select("b", "c").where("b <> '2'"), "z": rows.select("c")}
+    gate = integrity_gate(spark.read.parquet(f"{tmp_root}/fact"), dims, keys)
+    assert plan(gate).count(f"{tmp_root}/fact") == 1
+    got = {r.objeto.partition("->")[2]: r.qtd_falhas for r in gate.collect()}
+    want = {name: orphan_keys(rows, dims[name], k).count() for name, k in keys.items()}
+    assert got == want and want["y"] > want["z"] == 1
+    none = integrity_gate(rows.limit(0), dims, keys).collect()
+    assert len(none) == 3 and all(r.qtd_falhas == 0 for r in none)
+
+
+def test_bounds_of_all_items_reach_the_scan(spark):
+    from salesmart.operators.watermark import extract_items
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    items = [{"empresa": "click", "tipo_carga": "INCREMENTAL", "ultimo_watermark": dt.datetime(2024, 1, 20)},
+             {"empresa": "error", "tipo_carga": "INCREMENTAL", "ultimo_watermark": dt.datetime(2024, 1, 10)}]
+    df = extract_items(events, items, "event_type", stamp="ts")
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(ts,2024-01-09T23:50\)", plan(df))
+    want = events.where("(event_type = 'click' and ts > '2024-01-19 23:50:00') or (event_type = 'error' and ts > '2024-01-09 23:50:00')")
+    assert df.count() == want.count() > 0
+    full = [*items[:1], {"empresa": "error", "tipo_carga": "FULL", "ultimo_watermark": None}]
+    assert extract_items(events, full, "event_type", stamp="ts").where("event_type = 'error'").count() == events.where("event_type = 'error'").count()
+    assert extract_items(events, [], "event_type", stamp="ts").count() == 0
