@@ -85,16 +85,18 @@ class _TestSet:
                     yield int(at[k]), length, items
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[tuple[list[str], list[str]]]:
-    """Items in blocks of bounded text; the block of an item follows from its hash and the measured total."""
-    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"),
-                             F.col(text).alias("t")).where(F.col("t").isNotNull()).distinct()
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
-    for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).toArrow()
-        if rows.num_rows or blocks == 1:
-            yield rows.column("i").to_pylist(), rows.column("t").to_pylist()
+class _Blocks:
+    """Items in blocks of bounded text, collected one at a time; an item's block follows from its hash and the measured total."""
+
+    def __init__(self, benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
+        self.items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"),
+                                      F.col(text).alias("t")).where(F.col("t").isNotNull()).distinct()
+        total = self.items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+        self.count = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
+
+    def read(self, k: int) -> tuple[list[str], list[str]]:
+        rows = self.items.where(F.pmod(F.xxhash64("i", "t"), F.lit(self.count)) == k).toArrow()
+        return rows.column("i").to_pylist(), rows.column("t").to_pylist()
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -111,12 +113,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
                            T.StructField(names["items"], T.ArrayType(T.StringType(), False), False),
                            T.StructField(names["hit_spans"], T.ArrayType(spans_type, False), False)])
     width = len(docs.columns)
-    blocks = list(_blocks(benchmark, item_id, item_text, block_bytes)) if benchmark is not None else []
+    blocks = _Blocks(benchmark, item_id, item_text, block_bytes)
     where = docs.columns.index(text)
     sc = docs.sparkSession.sparkContext
     out = docs
-    for k, (ids, texts) in enumerate(blocks or [([], [])]):
-        shared = sc.broadcast((ids, texts))
+    for k in range(blocks.count):
+        shared = sc.broadcast(blocks.read(k))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, earlier=k > 0) -> Iterator[pa.RecordBatch]:
             tests = _TestSet(*shared.value)
@@ -144,8 +146,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
                     names=schema.names)
 
         out = out.mapInArrow(run, schema)
-        if k + 1 < len(blocks):
+        if k + 1 < blocks.count:
             out = stage(out, "decontaminate")
+            shared.unpersist()
     return out, names
 
 
@@ -194,3 +197,28 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         contaminated(names).alias("contaminated"))
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS g
+       FROM i, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS u(k) WHERE len(w) > 0),
+dw AS (SELECT rid, k, n, array_to_string(w[k:k + n - 1], ' ') AS g
+       FROM d JOIN (SELECT DISTINCT n FROM iw) s ON len(w) >= n, unnest(range(1, len(w) - n + 2)) AS u(k)),
+hit AS (SELECT rid, k, dw.n, item FROM dw JOIN iw ON dw.n = iw.n AND dw.g = iw.g),
+spans AS (SELECT DISTINCT rid, k, n FROM hit),
+covered AS (SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS x FROM spans) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN covered c ON d.rid = c.rid LEFT JOIN found f ON d.rid = f.rid
+"""

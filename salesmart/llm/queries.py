@@ -81,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _prepared(f) for f in (op1_license_scan, op2_surrogates, op3_toxicity, op4_gru_lm, op5_quality_rules, op6_bpe, op7_bagminhash, op8_html_blocks, op9_decontaminate, op10_eod_counts,
                                        op11_spelling, op12_pstable, op13_hard_negatives)}
 
-ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op12_pstable": pstable.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
+ORACLE: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op12_pstable": pstable.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
