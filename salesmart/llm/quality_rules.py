@@ -1,14 +1,16 @@
 """Operator 5, quality rules as a short-circuit cascade; DataFrame functions only.
 
 Every rule is a Column that is true where a document fails.  A cascade first measures the rules on a
-sample (``SAMPLE_ROWS`` rows, a documented bound): its cost, the time one pass of the rule over the sample takes beyond a
+random sample of all rows (about ``SAMPLE_ROWS``, a documented bound, drawn and kept inside Spark; only times and
+counts reach the driver): its cost, the time one pass of the rule over the sample takes beyond a
 pass without rules, and its selectivity, the share of sampled rows that it rejects.  Rules are then
 evaluated in descending order of rejection per cost inside one CASE expression, which stops at a
 document's first failed rule.  The order changes the work and never the verdict, so nothing but speed depends on the sample.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Edge cases: null is an empty text; texts of fewer than ten words
 fail the base rule; texts of fewer than five words have no repeated windows; rows may repeat, and
-columns with clashing names stay: added columns get a trailing underscore.
+columns with clashing names stay: added columns get a trailing underscore.  Texts of any length are judged
+whole; an empty table gives no rows (its rules keep their listed order).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from salesmart.llm.common import free_name
 
 BLANK = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS, SEED = 1000, 17
 WINDOW = 5
 
 #: name -> failing condition over words (array), text and base columns; SQL that both engines read.
@@ -75,9 +77,9 @@ def _failing(names: dict[str, str], rule: str) -> Column:
 
 def rule_order(docs: DataFrame, text: str = "text") -> list[tuple[str, float, float]]:
     """(rule, cost in seconds, rejected share) on the sample, by rejection per cost."""
-    # take() reads as few partitions as give the rows; limit() would send rows of every partition to one task.
-    rows = [(r[0],) for r in docs.select(text).take(SAMPLE_ROWS)]
-    sample, names = measured(docs.sparkSession.createDataFrame(rows, f"`{text}` string"), text)
+    share = SAMPLE_ROWS / max(1, docs.count())
+    rows = docs.select(text)
+    sample, names = measured(rows if share >= 1 else rows.sample(share, seed=SEED), text)
     sample = sample.cache()
     try:
         n = max(1, sample.count())
