@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import shared_dir
+from salesmart.llm.common import shared_dir, stage
 
 END = 2
 BLOCK = 1 << 18
@@ -107,11 +107,18 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, file part, ordinal and n_tokens of every document, by way of flat files in the shared folder."""
     spark = docs.sparkSession
     path = f"{shared_dir(spark)}/llm/flat-{uuid.uuid4().hex}"
-    # One file per scan partition: a document's place in the scan is its place in the files.
-    write(docs, model_file, path, rows_per_file=0)
+    # One file per scan partition: a document's place in the scan is its place in the files.  Spark cuts a scan
+    # by the cores it has unless this is set, so executors that come or go between the two jobs change nothing.
+    setting = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        write(docs, model_file, path, rows_per_file=0)
+        place = F.monotonically_increasing_id()
+        ids = stage(docs.select("doc_id", F.shiftright(place, 33).alias("part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal")), "flat-places")
+    finally:
+        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
     found = scan(spark, path).select(F.regexp_extract("file", r"part-(\d+)", 1).cast("long").alias("part"), "ordinal", "n_tokens")
-    place = F.monotonically_increasing_id()
-    ids = docs.select("doc_id", F.shiftright(place, 33).alias("part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal"))
     joined = ids.join(found, ["part", "ordinal"], "full_outer")
     return joined.select("doc_id", F.col("part").alias("file_part"), "ordinal",
                          F.coalesce("n_tokens", F.raise_error(F.lit("documents and separators of a file differ")).cast("long")).alias("n_tokens"))
