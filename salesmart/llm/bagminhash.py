@@ -10,7 +10,8 @@ document's whole signature is sure to be filled (else that time is doubled), a f
 shingle instead of one hash per shingle and component.
 
 Candidates.  ``BANDS`` bands of ``ROWS`` components; a pair of similarity 0.8 shares no band with
-probability 7e-6.  Texts with equal shingle multisets are merged first.  Inside a bucket no list of
+probability 7e-6, and its signatures agree in so few components that it is not verified (``AGREEMENT``) with
+probability 1e-6 (binomial; less for closer pairs), so at most 8e-6 of such pairs are missed.  Texts with equal shingle multisets are merged first.  Inside a bucket no list of
 pairs is made: all members are compared with one hub, and what hubs leave open (members of
 different components that were never compared) is compared inside tasks, block by block of bounded
 size, which emit only links that join components.  Every link is verified on the texts:
@@ -42,8 +43,8 @@ from salesmart.llm.shingles import multiset_jaccard, shingle_multisets
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5
 SIZE = BANDS * ROWS
-#: Signature agreement below which a candidate is not verified: 0.8 less 3.5 standard deviations.
-AGREEMENT = SIMILARITY - 3.5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / SIZE)
+#: Signature agreement below which a candidate is not verified: 0.8 less five standard deviations.
+AGREEMENT = SIMILARITY - 5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / SIZE)
 #: Rows and bytes of text of a block of the blockwise comparison.
 BLOCK, BLOCK_BYTES = 1000, 8 << 20
 
@@ -244,7 +245,9 @@ def classes(docs: DataFrame, text: str = "text", rid: str | None = None) -> tupl
     reps = stage(sketch.join(member.where("rid = rep").select("rid"), "rid", "left_semi").where(F.size("bands") > 0)
                  .select("rid", "bands", "sig", "size"), "bag-reps")
     buckets = reps.select("rid", F.explode("bands").alias("bk"))
-    shared = buckets.groupBy("bk").agg(F.min("rid").alias("hub"), F.max("rid").alias("top")).where("hub <> top").select("bk", "hub")
+    # Staged, so that a bucket holding a large group meets it in a join whose skewed partitions Spark splits.
+    shared = stage(buckets.groupBy("bk").agg(F.min("rid").alias("hub"), F.max("rid").alias("top")).where("hub <> top").select("bk", "hub"),
+                   "bag-shared")
     buckets = stage(buckets.join(shared, "bk"), "bag-buckets")
     signature = reps.select("rid", "sig")
     texts = stage(rows.join(buckets.select("rid").distinct(), "rid", "left_semi"), "bag-texts")
@@ -265,9 +268,12 @@ def classes(docs: DataFrame, text: str = "text", rid: str | None = None) -> tupl
     left = buckets.where("rid <> hub").select("bk", "rid").join(
         comps.withColumnsRenamed({"node": "rid", "component": "comp"}), "rid", "left") \
         .select("bk", "rid", F.coalesce("comp", "rid").alias("comp")).join(reps.select("rid", "sig", "size"), "rid")
-    split = left.groupBy("bk").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n"),
-                                   F.sum("size").alias("bytes")).where("a <> b").drop("a", "b")
-    more = _blockwise(left.join(split, "bk"), texts)
+    left = stage(left, "bag-left")
+    comps_of = left.groupBy("bk", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    split = (comps_of.groupBy("bk").agg(F.max_by("comp", F.struct("n", "comp")).alias("big"), F.count("*").alias("comps"),
+                                        F.max("n").alias("n_big"), F.max_by("bytes", F.struct("n", "comp")).alias("bytes_big"),
+                                        F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("comps > 1"))
+    more = _blockwise(left.join(stage(split, "bag-open"), "bk"), texts)
     links = links.unionAll(stage(more, "bag-links"))
     comps = stage(components(links.select("u", "v")), "bag-components")
     result = member.join(comps.withColumnsRenamed({"node": "rep", "component": "comp"}), "rep", "left") \
@@ -276,16 +282,25 @@ def classes(docs: DataFrame, text: str = "text", rid: str | None = None) -> tupl
 
 
 def _blockwise(left: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside each open bucket, compared in tasks by blocks of bounded rows and bytes."""
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    dealt = (left.join(texts, "rid").withColumn("block", F.pmod(F.xxhash64("rid", F.lit(7)), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    """Links inside each open bucket, compared in tasks by blocks of bounded rows and bytes.
+
+    Members of one component need no comparison, so those of a bucket's largest component meet only
+    the others: its blocks come after the others' and pair with these alone.
+    """
+    def blocks(rows: str, size: str) -> F.Column:
+        return F.greatest(F.ceil(F.expr(rows) / BLOCK), F.ceil(F.expr(size) / BLOCK_BYTES)).cast("int")
+
+    few, many = blocks("n - n_big", "bytes - bytes_big"), blocks("n_big", "bytes_big")
+    is_big, spread = F.col("comp") == F.col("big"), F.xxhash64("rid", F.lit(7))
+    partners = F.sequence(F.lit(0), F.when(is_big, few - 1).otherwise(few + many - 1))
+    dealt = (left.withColumn("block", F.when(is_big, few + F.pmod(spread, many)).otherwise(F.pmod(spread, few)).cast("int"))
+             .withColumn("other", F.explode(partners)).join(texts, "rid")
              .select("bk", "rid", "comp", "sig", "t", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
     return dealt.groupBy("bk", "lo", "hi").applyInArrow(_block_links, "u long, v long, similarity double")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), class size, links of its text."""
+    """One row per document: doc_id, class_id (smallest doc_id of its class), class_rows, is_first."""
     rows = stage(numbered(docs.select("doc_id", "text")), "bag-rows")
     found, _ = classes(rows, rid="rid")
     marked = stage(rows.select("doc_id", "rid").join(found, "rid"), "bag-classes")
