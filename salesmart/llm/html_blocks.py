@@ -7,14 +7,16 @@ place, and labels every block with the whole page as context.
 
 There are no labelled pages, so the network learns from pages that say what their parts are: a
 block's label follows from semantic elements and usual class names (``ROLES``), on at most
-``TRAIN_PAGES`` pages in the order of a hash of their id (documented bound), each also in variants with other container
-names and inserted notices, forms, adverts, sidebars and comments.  Path parts are dropped at random while
-learning, so that the neighbours and words count too.
+``TRAIN_PAGES`` different pages of at most ``PAGE_BYTES``, those with the least hashes (documented bounds; hashes are
+compared first, then these pages are read).  Each page is also read in variants with other container
+names and inserted notices, forms, adverts, sidebars and comments, and each of those again without its names: paths in
+which semantic elements are ``div`` or table cells and classes are random.  There only words, lengths, links, places and the
+neighbours tell main text, and so they do on pages whose names say nothing.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined by two line feeds in page order; scripts, styles, comments and the head are
 no blocks.  Edge cases: null and empty pages, and pages without text, give an empty text; unclosed and truncated tags,
-comments and scripts end with the page; repeated rows are extracted as they come; added columns that
+comments and scripts end with the page; the content of a ``textarea`` is no text; very long pages are read whole; repeated rows are extracted as they come; added columns that
 clash with input columns get a trailing underscore; without training pages every block is kept.
 """
 
@@ -33,14 +35,17 @@ from pyspark.sql import types as T
 
 from salesmart.llm.common import BLANKS, Words, free_name, mix
 
-TRAIN_PAGES, EPOCHS, RATE = 200, 14, 0.01
-PATH_ROWS, PATH_DIM, WORD_ROWS, WORD_DIM, HIDDEN = 512, 24, 1024, 12, 16
+TRAIN_PAGES, PAGE_BYTES, EPOCHS, RATE = 200, 256 << 10, 24, 0.01
+PATH_ROWS, PATH_DIM, WORD_ROWS, WORD_DIM, HIDDEN = 512, 24, 1024, 12, 24
+#: Weight of a page without names beside the same page with them.
+UNNAMED = 0.5
 
 # Elements that do not end a block, elements whose content is no text, elements
 # without content, and the roles that element and class names usually mark.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
              "sub sup time tt u var wbr".split())
-RAW = "script|style|noscript|template|svg|iframe|head|object|canvas"
+RAW = "script|style|noscript|template|svg|iframe|head|object|canvas|textarea"
+SEMANTIC = set("article main section header nav footer aside form figure".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = {
     "main": set("article main content post entry story".split()),
@@ -150,6 +155,29 @@ def variants(page: str, rng: np.random.Generator) -> Iterator[str]:
     yield page.replace(closed, closed + "".join(x for x in below if rng.random() < 0.4), 1)
 
 
+def unnamed(page: list[Block], rng: np.random.Generator) -> list[Block]:
+    """The blocks with paths that name nothing: each container gets one element, each class one random name.
+
+    Containers are nested by chance: around everything, around parts, around the paragraphs of a part; or paragraphs are containers.
+    """
+    plain, classes = [("div",), ("div",), ("section",), ("table", "tr", "td"), ("center",)][rng.integers(5)], {}
+    around, parts, inside = plain * int(rng.integers(0, 3)), {}, rng.random(3) < (0.4, 0.4, 0.3)
+
+    def nested(path: tuple[str, ...]) -> tuple[str, ...]:
+        cut = max((k for k, x in enumerate(path) if x[0] != "."), default=0)
+        part = path[:cut]
+        wrap = parts.setdefault(part, plain * int(rng.integers(0, 3)))
+        wrap += plain * int(inside[0] and path[cut:cut + 1] == ("p",)) + plain * int(inside[1])
+        return around + part + wrap + path[cut:]
+
+    def part(name: str) -> tuple[str, ...]:
+        if name.startswith("."):
+            return (classes.setdefault(name, "." + "".join(chr(97 + c) for c in rng.integers(0, 26, 3))),)
+        return plain if name in SEMANTIC or name == "p" and inside[2] else (name,)
+
+    return [Block(tuple(y for x in nested(b.path) if x[0] != "." or rng.random() < 0.7 for y in part(x)), b.text, b.linked) for b in page]
+
+
 def _row(name: str) -> int:
     return zlib.crc32(name.encode()) % PATH_ROWS
 
@@ -171,6 +199,10 @@ class Features:
         data = [b.text.encode() for b in every]
         w = Words(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64), BLANKS)
         self.words, self.word_first = (mix(w.hash) % np.uint64(WORD_ROWS)).astype(np.int64), w.first
+        if drop:  # words too, and all words of some blocks: a short block must not hang on its words
+            keep = (rng.random(len(self.words)) >= 0.4) & (rng.random(self.n) >= 0.3)[w.row]
+            self.words = self.words[keep]
+            self.word_first = np.concatenate([[0], np.cumsum(np.bincount(w.row[keep], minlength=self.n))]).astype(np.int64)
         chars = np.array([len(b.text) for b in every], np.float32)
         at = np.concatenate([np.arange(n) / n for n in self.sizes if n]) if self.n else np.zeros(0)
         self.numbers = np.stack([np.log1p(chars) / 5, np.array([b.linked for b in every], np.float32) / np.maximum(chars, 1), at, 1 - at], 1).astype(np.float32) \
@@ -268,34 +300,43 @@ def fit(pages: list[str], seed: int = 5) -> dict:
     """Weights learned from the pages' own semantic names."""
     rng = np.random.default_rng(seed)
     model = Labeller()
-    parsed = [b for page in pages for v in variants(page, rng) if (b := blocks(v)) and any(role(x.path) == 1 for x in b)]
+    parsed: list[tuple[list[Block], list[int | None], float]] = []
+    for page in pages:
+        for v in variants(page, rng):
+            found = blocks(v)
+            labels = [role(b.path) for b in found]
+            if 1 in labels:
+                parsed += [(found, labels, 1.0), (unnamed(found, rng), labels, UNNAMED)]
     if not parsed:
         model.p["outb"][:] = 50.0
         model.p["out"][:] = 0
         return model.p
     one = {k: np.zeros_like(v) for k, v in model.p.items()}
     two = {k: np.zeros_like(v) for k, v in model.p.items()}
-    n = 0
+    n, steps = 0, EPOCHS * -(-len(parsed) // 16)
     for _ in range(EPOCHS):
         order = rng.permutation(len(parsed))
         for at in range(0, len(order), 16):
-            batch = [parsed[i] for i in order[at:at + 16]]
-            labels = [role(b.path) for p in batch for b in p]
+            batch = [parsed[i][0] for i in order[at:at + 16]]
+            labels = [x for i in order[at:at + 16] for x in parsed[i][1]]
             # On a page that names its main part, unnamed blocks are outside it.
             y, weight = np.array([x or 0 for x in labels], np.float32), np.array([0.3 if x is None else 1.0 for x in labels], np.float32)
+            weight *= np.repeat([parsed[i][2] for i in order[at:at + 16]], [len(p) for p in batch]).astype(np.float32)
             grads = model.gradients(Features(batch, 0.1, rng), y, weight)
             n += 1
             for k, g in grads.items():
                 one[k] = 0.9 * one[k] + 0.1 * g
                 two[k] = 0.99 * two[k] + 0.01 * g * g
-                model.p[k] -= (RATE * (one[k] / (1 - 0.9 ** n)) / (np.sqrt(two[k] / (1 - 0.99 ** n)) + 1e-8)).astype(np.float32)
+                rate = RATE * (1 - n / (steps + 1))
+                model.p[k] -= (rate * (one[k] / (1 - 0.9 ** n)) / (np.sqrt(two[k] / (1 - 0.99 ** n)) + 1e-8)).astype(np.float32)
     return model.p
 
 
 def train(pages: DataFrame, page_id: str = "page_id", page: str = "html") -> dict:
-    rows = (pages.select(F.col(page).alias("p"), F.xxhash64(page_id).alias("k")).where("p is not null")
-            .orderBy("k", F.xxhash64("p")).limit(TRAIN_PAGES).select("p").collect())
-    return fit([r.p for r in rows])
+    rows = pages.select(F.col(page).alias("p"), F.xxhash64(page_id, page).alias("k")).where(F.octet_length("p").between(1, PAGE_BYTES))
+    chosen = [r.k for r in rows.select("k").distinct().orderBy("k").limit(TRAIN_PAGES).collect()]
+    picked = rows.where(F.col("k").isin(chosen)).groupBy("k").agg(F.first("p").alias("p")).collect()
+    return fit([r.p for r in sorted(picked)])
 
 
 def extract(pages: DataFrame, weights: dict, page: str = "html", drop_page: bool = False) -> tuple[DataFrame, str]:
