@@ -239,7 +239,7 @@ def classes(docs: DataFrame, text: str = "text", rid: str | None = None) -> tupl
     if not rid:
         rows = stage(rows, "bag-rows")
     sketch = stage(rows.mapInArrow(_sketch, "rid long, f1 long, f2 long, bands array<long>, sig binary, size long"), "bag-sketch")
-    least = sketch.groupBy("f1", "f2").agg(F.min("rid").alias("rep"))
+    least = stage(sketch.groupBy("f1", "f2").agg(F.min("rid").alias("rep")), "bag-least")
     member = sketch.select("rid", "f1", "f2").join(least, ["f1", "f2"]).select("rid", "rep")
     member = stage(member, "bag-member")
     reps = stage(sketch.join(member.where("rid = rep").select("rid"), "rid", "left_semi").where(F.size("bands") > 0)
@@ -304,7 +304,7 @@ def digest(docs: DataFrame) -> DataFrame:
     rows = stage(numbered(docs.select("doc_id", "text")), "bag-rows")
     found, _ = classes(rows, rid="rid")
     marked = stage(rows.select("doc_id", "rid").join(found, "rid"), "bag-classes")
-    sizes = marked.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows"))
+    sizes = stage(marked.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_rows")), "bag-sizes")
     return marked.join(sizes, "class").select(
         "doc_id", "class_id", "class_rows", (F.col("doc_id") == F.col("class_id")).alias("is_first"))
 

@@ -1,4 +1,8 @@
-"""Connected components of a link table by alternating large-star and small-star steps."""
+"""Connected components of a link table by alternating large-star and small-star steps.
+
+The least neighbours are staged before they meet the links, so that a node with very many links meets its
+own in a join whose skewed partitions Spark splits.
+"""
 
 from __future__ import annotations
 
@@ -10,13 +14,13 @@ from salesmart.llm.common import stage
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges here lead from a node to a smaller one."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "components-least")
     joined = edges.join(least, "u")
     moved = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

@@ -162,7 +162,7 @@ def links(reps: DataFrame, k: int, tables: int, cosine: float = COSINE) -> DataF
     """(u, v, n) from ``reps(rid, label, vec, copies)``: rows (u, null, n) to be summed, and joining links (u, v, null)."""
     sketch = stage(reps.mapInArrow(_hasher(k, tables), "rid long, vec array<double>, copies long, keys array<long>"), "pstable-sketch")
     buckets = sketch.select("rid", F.posexplode("keys").alias("t", "bk"))
-    shared = buckets.groupBy("bk").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stage(buckets.groupBy("bk").agg(F.count("*").alias("size")).where("size > 1"), "pstable-shared")
     live = buckets.join(shared, "bk")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (live.join(sketch, "rid").withColumn("block", F.pmod(F.xxhash64("rid", "bk"), blocks).cast("int"))
@@ -185,7 +185,9 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", label: str = "la
                                 F.when(usable, v).alias("vec")).withColumn("rid", F.monotonically_increasing_id()), "pstable-rows")
     prints = [F.xxhash64("label", "vec").alias("f1"), F.xxhash64("vec", F.lit(1), "label").alias("f2")]
     usable_rows = rows.where("vec is not null").select("rid", "label", *prints)
-    same = usable_rows.groupBy("f1", "f2").agg(F.min("rid").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"))
+    # Tables by key are staged, so that a key with very many rows meets its own in a join that Spark splits.
+    same = stage(usable_rows.groupBy("f1", "f2").agg(F.min("rid").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label")),
+                 "pstable-same")
     member = stage(usable_rows.drop("label").join(same, ["f1", "f2"]).select("rid", "rep", "copies", "label"), "pstable-member")
     largest = member.where("rid = rep").groupBy("label").count().agg(F.max("count")).first()[0] or 0
     k, tables = index_size(largest, cosine)
@@ -198,7 +200,7 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", label: str = "la
               .select("id", F.coalesce("comp", "rep", "rid").alias("comp"),
                       (F.coalesce("n", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links")))
     marked = stage(marked, "pstable-marked")
-    least = marked.groupBy("comp").agg(F.min("id").alias("component_id"))
+    least = stage(marked.groupBy("comp").agg(F.min("id").alias("component_id")), "pstable-least")
     return marked.join(least, "comp").select(F.col("id").alias("vec_id"), "n_links", "component_id",
                                              F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
