@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -50,6 +51,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KE
 # --- bucketed form: rewrite only the buckets the changes touch -----------------
 #
 #   <table>/bucket_version=<n>-full|part/key_bucket=<b>/part-*.parquet
+#   <table>/bucket_version=<n>-full|part/_keys            per bucket: rows with a NULL key, repeated keys (Q9)
 #   <table>/bucket_version=<n>-full|part/_committed       written last: columns, newest batch
 #
 # Version directories are never changed.  Readers take the versions from the newest committed
@@ -162,9 +164,14 @@ def read_bucketed(spark, path: str, only: Sequence[int] | None = None) -> DataFr
     return spark.read.schema(schema).option("basePath", path).parquet(*dirs).select(*schema.names)
 
 
-def _write_version(df: DataFrame, path: str, kind: str, newest: str | None = None, observe: bool = False) -> None:
+_KEYS = "_keys"
+_KEYS_SCHEMA = f"{BUCKET} long, nulos long, duplicadas long"
+
+
+def _write_version(df: DataFrame, path: str, kind: str, keys: Sequence[str], newest: str | None = None, observe: bool = False) -> None:
     """One write of ``df`` (with its bucket column) as the next version, rebalanced by bucket: a bucket
-    has few files, and one beyond the advisory size is split over tasks."""
+    has few files, and one beyond the advisory size is split over tasks.  The keys of the written buckets
+    are counted from the stored columns, so the key gate never reads a bucket that did not change."""
     spark, path = df.sparkSession, path.rstrip("/")
     taken = [int(n.partition("=")[2].partition("-")[0]) for n in _children(spark, path, f"{VERSION}=")]
     target = f"{path}/{VERSION}={max(taken, default=0) + 1:012d}{kind}"
@@ -173,16 +180,34 @@ def _write_version(df: DataFrame, path: str, kind: str, newest: str | None = Non
         obs = Observation(f"bucketed_{id(df):x}")
         out = out.observe(obs, F.max("_lote").alias("newest"))
     out.write.mode("errorifexists").partitionBy(BUCKET).parquet(target)
+    stored = spark.read.schema(df.schema).option("basePath", target).parquet(target)
+    groups = stored.groupBy(BUCKET, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    missing = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
+    (groups.groupBy(BUCKET).agg(F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0).cast("long")).alias("nulos"),
+                                F.count_if(F.col("_n") > 1).alias("duplicadas"))
+     .select(F.col(BUCKET).cast("long").alias(BUCKET), "nulos", "duplicadas").coalesce(1).write.parquet(f"{target}/{_KEYS}"))
     _commit(spark, target, df.schema, obs.get.get("newest") if obs else newest)
 
 
+def bucket_key_counts(spark, path: str) -> DataFrame:
+    """Q9 without reading the table: (nulos, duplicadas) of its current state, from the counts kept with each version.
+
+    A key's rows are all in one bucket, so the sums over buckets are those of the whole table.
+    """
+    path = path.rstrip("/")
+    versions = committed_versions(spark, path)
+    parts = [spark.read.schema(_KEYS_SCHEMA).parquet(f"{path}/{v}/{_KEYS}").withColumn("_v", F.lit(i)) for i, v in enumerate(versions)]
+    newest = reduce(DataFrame.unionByName, parts).groupBy(BUCKET).agg(F.max_by(F.struct("nulos", "duplicadas"), "_v").alias("k"))
+    return newest.agg(*[F.coalesce(F.sum(f"k.{c}"), F.lit(0).cast("long")).alias(c) for c in ("nulos", "duplicadas")])
+
+
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets=64) -> None:
     """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
 
     The new version replaces the whole table, whatever its earlier buckets were and whatever the
     session's overwrite mode says.  The newest batch id is observed during the write.
     """
-    _write_version(df.withColumn(BUCKET, key_bucket(keys, buckets)), path, _FULL, observe="_lote" in df.columns)
+    _write_version(df.withColumn(BUCKET, key_bucket(keys, buckets)), path, _FULL, keys, observe="_lote" in df.columns)
 
 
 def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: str,
@@ -211,7 +236,7 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
     target = read_bucketed(spark, target_path, touched)
     merged = upsert(target, src.select(*target.columns), keys, stamp)
-    _write_version(merged, target_path, _PART, newest=obs.get.get("newest"))
+    _write_version(merged, target_path, _PART, keys, newest=obs.get.get("newest"))
     return touched
 
 

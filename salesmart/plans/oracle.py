@@ -426,14 +426,19 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "footer_counts": with_ctes(["fact"], """
         , wm AS (SELECT event_type, max(ts) AS w FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type)
-        SELECT '20240115T000000Z' AS lote, event_type AS empresa, count(*) AS qtd_bronze, 'events' AS tabela
-        FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY event_type
+        SELECT '20240115T000000Z' AS lote, count(*) AS linhas, 'events' AS tabela, CAST(NULL AS DATE) AS dat_inicio
+        FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
         UNION ALL
-        SELECT '20240131T090000Z', e.event_type, count(*), 'events'
+        SELECT '20240131T090000Z', count(*), 'events', NULL
         FROM events e LEFT JOIN wm w ON e.event_type = w.event_type
-        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE GROUP BY e.event_type
+        WHERE w.w IS NULL OR e.ts > w.w - INTERVAL 10 MINUTE
+        UNION ALL
+        SELECT NULL, count(*), 'fato_pedido_venda', min(dat_emissao) FROM fact"""),
+    "key_gate_incremental": with_ctes(["std_lines"], """
+        SELECT 'chave_nula' AS gate, 'silver.lines' AS objeto, CAST(0 AS BIGINT) AS qtd_falhas, 'registros com chave nula' AS detalhe
         UNION ALL
-        SELECT CAST(min(dat_emissao) AS VARCHAR), NULL, count(*), 'fato_pedido_venda' FROM fact"""),
+        SELECT 'chave_duplicada', 'silver.lines', count(DISTINCT num_recno), 'chaves duplicadas'
+        FROM std_lines WHERE dat_stamp >= TIMESTAMP '1999-01-01 00:00:00' AND cod_item = '7'"""),
     "restored_version": with_ctes(["dim_product"], "SELECT * FROM dim_product"),
     "comment_coverage": with_ctes(["fact", "dim_customer", "dim_seller", "dim_product", "units"], """
         , b AS (SELECT coalesce(min(dat_emissao), DATE '2001-08-01') AS s FROM fact)
@@ -458,3 +463,5 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE {_tax_id_valid(_DOC)}) AS qtd_validos
         FROM customer""",
 }
+
+ORACLE["bronze_load_listed"] = ORACLE["bronze_load_once"]      # the same rows by another way of discovery

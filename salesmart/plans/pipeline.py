@@ -25,7 +25,7 @@ from ..operators import quality
 from ..operators.control import sync
 from ..operators.fact import order_fact
 from ..operators.standardise import conversion_rejects, standardise
-from ..operators.upsert import (BUCKET, Bucketing, committed_versions, prune_bucketed, read_bucketed,
+from ..operators.upsert import (BUCKET, Bucketing, bucket_key_counts, committed_versions, prune_bucketed, read_bucketed,
                                 read_newest_batch, upsert, upsert_touched_buckets, write_bucketed)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.watermark import FULL
@@ -34,7 +34,7 @@ from ..sources.footers import footer_table
 from ..sources.landing import cutoff, path_exists, read_manifests
 from ..session import materialize, scratch_path
 from ..streaming.batch_index import BatchIndex
-from ..streaming.bronze import bronze_schema, load_once, read_bronze, register_bronze
+from ..streaming.bronze import load_once, read_bronze, register_bronze
 from ..streaming.schema_history import SchemaHistory
 from .measures import MeasureStore, changed_orders
 from .tables import VersionedCatalog
@@ -204,7 +204,9 @@ def _daily_load(spark, domain, bronze, lake_root, env, reprocess, today, loaded_
     new = {n: spark.read.parquet(p) for n, p in paths.items()}
     report.gold = paths
 
-    parts = [quality.key_gate(df, f"silver.{n}", list(domain.tables[n].keys)) for n, df in s.items()]
+    parts = [quality.key_gate_rows(bucket_key_counts(spark, bucketed_path(silver, n)), f"silver.{n}")
+             if domain.tables[n].buckets and domain.tables[n].load_type != FULL
+             else quality.key_gate(df, f"silver.{n}", list(domain.tables[n].keys)) for n, df in s.items()]
     if fact_name in new:
         fact = new[fact_name]
         relations = {dim: keys for dim, keys in FACT_RELATIONS.items() if dim in new}
@@ -286,7 +288,7 @@ def extract_and_load(spark: SparkSession, domain: Domain, control: DataFrame | N
             newest[name] = index.newest()
         register_bronze(spark, f"{env}_bronze.{name}", bronze_dir, f"Bronze: {name} como recebida da origem, só acréscimos.")
         bronze[name] = read_bronze(spark, bronze_dir, schema)
-        counts.append(quality.batch_counts(footer_table(spark, bronze_dir, bronze_schema(schema)), name, since=since))     # Q8
+        counts.append(quality.batch_counts(bronze[name], name, since=since))
     manifests = read_manifests(spark, landing_root, since=since)
     bronze_counts = None
     if counts:

@@ -18,13 +18,15 @@ from ..operators import audits, control, quality, watermark
 from ..operators import dimensions as dims
 from ..operators import fact as fact_ops
 from ..operators.standardise import standardise
-from ..operators.upsert import BUCKET, read_bucketed, upsert, upsert_touched_buckets, write_bucketed
+from ..operators.upsert import (BUCKET, bucket_key_counts, read_bucketed, read_newest_batch, upsert, upsert_touched_buckets,
+                                write_bucketed)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
 from ..sources.extract import persist_control, run_extraction
 from ..sources.footers import footer_table
 from ..sources.landing import cutoff, read_manifests, write_batch
 from ..streaming.bronze import bronze_schema, load_once, read_bronze, register_bronze
+from ..streaming.manifest_load import load_listed, read_listed
 from ..streaming.schema_history import SchemaHistory
 from ..session import materialize, scratch_path
 from . import event_feed
@@ -127,6 +129,23 @@ def q_upsert_lines_bucketed(spark, d):
     return read_bucketed(spark, f"{root}/table").drop(BUCKET)
 
 
+def q_key_gate_incremental(spark, d):
+    """Q9 from the counts kept with each bucket version, after three loads; the last brings every line with item
+    number 7 twice.  Only buckets that a load touched are grouped."""
+    std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
+    root = scratch_path(spark, "silver_lines")
+    for load, cut in enumerate(MEASURE_CUTS):
+        known = std if cut is None else std.filter(F.col("dat_stamp") < F.lit(cut).cast("timestamp"))
+        if load == 0:
+            write_bucketed(latest_version(known, order=td.LINE_VERSION_ORDER), f"{root}/table", buckets=UPSERT_BUCKETS)
+            continue
+        changes = latest_version(batches_after(known, read_newest_batch(spark, f"{root}/table")), order=td.LINE_VERSION_ORDER)
+        if cut is None:
+            changes = changes.unionByName(changes.filter(F.col("cod_item") == "7"))
+        upsert_touched_buckets(f"{root}/table", changes, f"{root}/staging{load}", buckets=UPSERT_BUCKETS)
+    return quality.key_gate_rows(bucket_key_counts(spark, f"{root}/table"), "silver.lines")
+
+
 def q_reprocess_lines_bucketed(spark, d):
     """S10 on the bucketed layout: a table of all latest versions is reprocessed from the earlier
     versions alone (fewer rows, another bucket count)."""
@@ -460,6 +479,20 @@ def q_bronze_load_once(spark, d):
         F.col("_dt_ingestao").isNotNull().alias("tem_ingestao"), F.lit(feed.loaded_rerun).cast("long").alias("recarga"))
 
 
+def q_bronze_load_listed(spark, d):
+    """B1-B4 by manifest: the feed's two batches, the first loaded a second time after its mark was lost, then a rerun."""
+    root = event_feed.run(spark, d, per_table=True).root
+    bronze, marks = f"{root}/listed/events", [f"{root}/listed/marks{k}" for k in range(2)]
+    pattern = event_feed.COMPANY_PATTERN
+    for m in marks:                                  # marks of their own: the second load repeats the first
+        load_listed(spark, root, "events", bronze, m, event_feed.LANDING_SCHEMA, pattern)
+    rerun = load_listed(spark, root, "events", bronze, marks[1], event_feed.LANDING_SCHEMA, pattern)
+    return read_listed(spark, bronze, event_feed.LANDING_SCHEMA).select(
+        "event_id", "s_t_a_m_p_", "user_id", "event_type", "value", "props", "_lote", "_empresa",
+        F.regexp_extract("_arquivo", pattern, 1).alias("empresa_arquivo"),
+        F.col("_dt_ingestao").isNotNull().alias("tem_ingestao"), F.lit(rerun).cast("long").alias("recarga"))
+
+
 def q_manifest_items(spark, d):
     """X8 + Q6: manifest items written by the two extraction runs (one scan per table)."""
     return event_feed.run(spark, d, per_table=True).manifests
@@ -550,8 +583,7 @@ def q_extract_isolated(spark, d):
 
 
 def q_bronze_table(spark, d):
-    """B6 + B5: the Bronze table in the catalog, created once with its description, by company; loads before and
-    after a column was added."""
+    """The Bronze table in the catalog, created once with its description; its rows by company and batch."""
     feed = event_feed.run(spark, d, per_table=True)
     name = f"bronze_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'bronze')}'")
@@ -587,15 +619,15 @@ def q_bronze_schema_history(spark, d):
 
 
 def q_footer_counts(spark, d):
-    """Q8 + G12 from Parquet footers: rows of each (batch, company) of Bronze, and the first emission date of a stored fact."""
+    """Q8 + G12 from Parquet footers: rows of each batch of Bronze, and the first emission date of a stored fact."""
     feed = event_feed.run(spark, d, per_table=True)
     bronze = footer_table(spark, f"{feed.root}/bronze/events", bronze_schema(event_feed.LANDING_SCHEMA))
-    counts = quality.batch_counts(bronze, "events")
+    counts = bronze.groupBy(F.col("_lote").alias("lote")).agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit("events"))
     path = scratch_path(spark, "fact")
     gold_fact(spark, d).write.parquet(path)
-    first = footer_table(spark, path).agg(F.min("dat_emissao").alias("dat_inicio"), F.count(F.lit(1)).alias("qtd_fato"))
-    return counts.unionByName(first.select(F.lit("fato_pedido_venda").alias("tabela"), F.col("dat_inicio").cast("string").alias("lote"),
-                                           F.lit(None).cast("string").alias("empresa"), F.col("qtd_fato").alias("qtd_bronze")))
+    first = footer_table(spark, path).agg(F.min("dat_emissao").alias("dat_inicio"), F.count(F.lit(1)).alias("linhas"))
+    return counts.withColumn("dat_inicio", F.lit(None).cast("date")).unionByName(
+        first.select("dat_inicio", "linhas", F.lit("fato_pedido_venda").alias("tabela"), F.lit(None).cast("string").alias("lote")))
 
 
 def q_comment_coverage(spark, d):
@@ -643,6 +675,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_by_index": q_snapshot_by_index,
     "upsert_lines": q_upsert_lines,
     "upsert_lines_bucketed": q_upsert_lines_bucketed,
+    "key_gate_incremental": q_key_gate_incremental,
     "reprocess_lines_bucketed": q_reprocess_lines_bucketed,
     "upsert_conditions": q_upsert_conditions,
     "date_texts": q_date_texts,
@@ -676,6 +709,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_reconcile_null_keys": q_gate_reconcile_null_keys,
     "gate_report": q_gate_report,
     "bronze_load_once": q_bronze_load_once,
+    "bronze_load_listed": q_bronze_load_listed,
     "manifest_items": q_manifest_items,
     "manifests_since": q_manifests_since,
     "bronze_reconcile": q_bronze_reconcile,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_OVERLAP_MINUTES
 from ..operators import control as ctl
 from ..operators.watermark import INCREMENTAL, extract, extract_items, next_watermark_value
-from .landing import (LANDING_BATCH, LANDING_COMPANY, batch_dir, list_names, new_batch_id, path_exists, write_batch,
+from .landing import (LANDING_BATCH, LANDING_COMPANY, batch_dir, list_names, new_batch_id, path_exists, remove_dir, write_batch,
                       write_manifest)
 
 log = logging.getLogger(__name__)
@@ -59,6 +59,7 @@ def run_extraction(spark: SparkSession, control: DataFrame, sources: dict[str, D
     a failure then marks every item of that table.
     """
     summary = RunSummary(batch=batch or new_batch_id(now))
+    complete_manifest(spark, landing_root, now)
     control = persist_control(spark, control, landing_root)
     # the control table is tables x companies: a bounded list for the driver loop
     items = [r.asDict() for r in ctl.active_items(control).collect()]
@@ -83,7 +84,7 @@ def run_extraction(spark: SparkSession, control: DataFrame, sources: dict[str, D
             return {"tabela": table, "empresa": company, "status": ctl.FAILURE, "erro": str(err)}
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        outcomes = list(pool.map(lambda item: record_outcomes(spark, landing_root, [one(item)], now)[0], items))
+        outcomes = list(pool.map(lambda item: record_outcomes(spark, landing_root, [one(item)], now, summary.batch)[0], items))
     return _finish(spark, control, summary, outcomes, landing_root, now, raise_on_failure)
 
 
@@ -125,7 +126,7 @@ def _extract_tables(spark: SparkSession, items: list[dict], sources: dict[str, D
                     for item in group]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        done = pool.map(lambda table: record_outcomes(spark, root, one_table(table), now), list(by_table))
+        done = pool.map(lambda table: record_outcomes(spark, root, one_table(table), now, batch), list(by_table))
         return [o for outcomes in done for o in outcomes]
 
 
@@ -154,14 +155,44 @@ def _new_entry() -> str:
     return _dt.datetime.now(_dt.UTC).strftime("%Y%m%dT%H%M%S%fZ") + "_" + uuid.uuid4().hex[:6]
 
 
-def record_outcomes(spark: SparkSession, root: str, outcomes: list[dict], now: _dt.datetime | None) -> list[dict]:
+LOG_SCHEMA = f"{ctl.RESULT_SCHEMA}, quando timestamp, lote string, tipo_carga string, arquivo string"
+
+
+def record_outcomes(spark: SparkSession, root: str, outcomes: list[dict], now: _dt.datetime | None,
+                    batch: str | None = None) -> list[dict]:
     """Log finished items at once, so that a driver lost later in the run does not lose them."""
     if outcomes:
-        _results(spark, outcomes, now).coalesce(1).write.mode("errorifexists") \
+        files = spark.createDataFrame([(o["tabela"], o["empresa"], batch, o.get("tipo_carga"), o.get("arquivo")) for o in outcomes],
+                                      "tabela string, empresa string, lote string, tipo_carga string, arquivo string")
+        _results(spark, outcomes, now).join(files, ["tabela", "empresa"]).coalesce(1).write.mode("errorifexists") \
             .parquet(f"{root.rstrip('/')}/_control_log/{_new_entry()}")
     return outcomes
 
 
+def _complete(spark: SparkSession, root: str, folder: str) -> list[str]:
+    return [n for n in list_names(spark, f"{root}/{folder}") if path_exists(spark, f"{root}/{folder}/{n}/_SUCCESS")]
+
+
+def complete_manifest(spark: SparkSession, root: str, now: _dt.datetime | None = None) -> str | None:
+    """Write the manifest of the last run from its log, if its driver was lost before it did; the batch or None.
+
+    Only the last run can lack one, as every run starts here.
+    """
+    root = root.rstrip("/")
+    logged = _complete(spark, root, "_control_log")
+    if not logged:
+        return None
+    batch = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_control_log/{logged[-1]}").first().lote
+    if batch is None or path_exists(spark, f"{root}/_manifest/{batch}/_SUCCESS"):
+        return None
+    remove_dir(spark, f"{root}/_manifest/{batch}")
+    rows = (spark.read.schema(LOG_SCHEMA).parquet(*[f"{root}/_control_log/{n}" for n in logged])
+            .where((F.col("lote") == batch) & (F.col("status") == ctl.SUCCESS)).collect())         # items of one run
+    write_manifest(spark, root, batch, [{"tabela": r.tabela, "empresa": r.empresa, "tipo_carga": r.tipo_carga, "registros": r.qtd or 0,
+                                         "arquivo": r.arquivo} for r in rows], generated_at=now)
+    return batch
+
+
 def persist_control(spark: SparkSession, control: DataFrame, root: str) -> DataFrame:
     """Write the (small) control table as a new version and read it back, cutting lineage."""
     path = f"{root.rstrip('/')}/_control/{_new_entry()}"
@@ -174,14 +205,11 @@ def load_control(spark: SparkSession, root: str) -> DataFrame:
     starts by storing its control, so the log of an interrupted run names an item once)."""
     root = root.rstrip("/")
 
-    def complete(folder: str) -> list[str]:
-        return [n for n in list_names(spark, f"{root}/{folder}") if path_exists(spark, f"{root}/{folder}/{n}/_SUCCESS")]
-
-    versions = complete("_control")
+    versions = _complete(spark, root, "_control")
     if not versions:
         return ctl.empty_control(spark)
     control = spark.read.schema(ctl.CONTROL_SCHEMA).parquet(f"{root}/_control/{versions[-1]}")
-    later = [f"{root}/_control_log/{n}" for n in complete("_control_log") if n > versions[-1]]
+    later = [f"{root}/_control_log/{n}" for n in _complete(spark, root, "_control_log") if n > versions[-1]]
     if not later:
         return control
     return ctl.record_results(control, spark.read.schema(f"{ctl.RESULT_SCHEMA}, quando timestamp").parquet(*later))

@@ -58,7 +58,7 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
     query = (stream.writeStream.format("parquet")
              .option("path", bronze_dir)
              .option("checkpointLocation", checkpoint_dir)
-             .partitionBy("_lote", "_empresa")           # S7, S8 and Q8 then read only the batches they ask for
+             .partitionBy("_lote")                       # S7, S8 and Q8 then read only the batches they ask for
              .outputMode("append")
              .trigger(availableNow=True)
              .start())
@@ -72,7 +72,7 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
 
 
 def bronze_schema(landing_schema: T.StructType | str) -> T.StructType:
-    """Columns of Bronze: the landing's plus provenance (B4); batch and company are partitions."""
+    """Columns of Bronze: the landing's plus provenance."""
     base = T._parse_datatype_string(landing_schema) if isinstance(landing_schema, str) else landing_schema
     return T.StructType([*base.fields, T.StructField("_empresa", T.StringType()), T.StructField("_arquivo", T.StringType()),
                          T.StructField("_dt_ingestao", T.TimestampType())])

@@ -82,7 +82,7 @@ def test_register_bronze_with_comment(spark, tmp_root):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS t_bronze LOCATION '{tmp_root}/db'")
     register_bronze(spark, "t_bronze.sc5", bronze, "Bronze: espelho da tabela sc5")
     assert spark.catalog.getTable("t_bronze.sc5").description == "Bronze: espelho da tabela sc5"
-    assert spark.table("t_bronze.sc5").count() == 1
+    assert [(r._empresa, r._lote) for r in spark.table("t_bronze.sc5").collect()] == [("01", "L1")]
 
 
 def test_cutoff():
@@ -168,3 +168,64 @@ def test_batch_index_follows_loads_late_files_and_lost_drivers(spark, tmp_root):
     assert index.newest() == {"01": "B5", "05": "B4", "08": "B1"}
     create_text(spark, f"{index.path}/99.json", '{"newest": [{"comp')        # cut off while it was written
     assert index.newest() == {"01": "B5", "05": "B4", "08": "B1"}
+
+
+def test_load_by_manifest_reads_only_what_new_manifests_name(spark, tmp_root):
+    import os
+
+    from salesmart.streaming.manifest_load import load_listed, new_batches, read_listed
+    land, bronze, marks = f"{tmp_root}/landing", f"{tmp_root}/bronze/sc5", f"{tmp_root}/marks"
+    t = dt.datetime(2026, 10, 13, 9)
+
+    def run(batch, *companies):
+        items = []
+        for c in companies:
+            n, _, path = _land(spark, land, c, batch, [(int(c), t, batch)])
+            items.append({"tabela": "sc5", "empresa": c, "tipo_carga": "FULL", "registros": n, "arquivo": path})
+        items.append({"tabela": "sa1", "empresa": "01", "tipo_carga": "FULL", "registros": 9, "arquivo": f"{land}/sa1/gone"})
+        items.append({"tabela": "sc5", "empresa": "99", "tipo_carga": "FULL", "registros": 0, "arquivo": None})
+        write_manifest(spark, land, batch, items)
+
+    def load():
+        return load_listed(spark, land, "sc5", bronze, marks, SCHEMA)
+
+    def rows():
+        return sorted((r._empresa, r._lote) for r in read_listed(spark, bronze, SCHEMA).collect())
+
+    run("B1", "01", "05")
+    assert load() == 2 and load() == 0 and rows() == [("01", "B1"), ("05", "B1")]
+    # folders that no manifest names are never opened: this one could not be read
+    os.makedirs(f"{land}/sc5/empresa=07/lote=B0")
+    with open(f"{land}/sc5/empresa=07/lote=B0/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    run("B2", "01")
+    run("B3", "08")
+    assert new_batches(spark, land, marks) == ["B2", "B3"]
+    assert load() == 2 and rows() == [("01", "B1"), ("01", "B2"), ("05", "B1"), ("08", "B3")]
+    os.remove(f"{marks}/B3.json")                      # the driver was lost between the load and its mark
+    assert load() == 2 and rows() == [("01", "B1"), ("01", "B2"), ("05", "B1"), ("08", "B3")]
+    run("B4")
+    assert load() == 0 and new_batches(spark, land, marks) == []
+
+
+def test_the_next_run_completes_the_manifest_of_a_lost_driver(spark, tmp_root, monkeypatch):
+    import pytest
+
+    from salesmart.operators import control as ctl
+    from salesmart.sources import extract
+    source = {"sc5": spark.createDataFrame([("01", 1, dt.datetime(2026, 1, 1)), ("05", 2, dt.datetime(2026, 1, 2))],
+                                           "empresa string, r_e_c_n_o_ long, s_t_a_m_p_ timestamp")}
+    control = spark.createDataFrame([("sc5", c, "INCREMENTAL", True, None, None, None, None) for c in ("01", "05")], ctl.CONTROL_SCHEMA)
+
+    def lost(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(extract, "write_manifest", lost)
+        with pytest.raises(KeyboardInterrupt):
+            extract.run_extraction(spark, control, source, tmp_root, batch="B1")
+    assert extract.load_control(spark, tmp_root).where("ultimo_watermark is not null").count() == 2     # saved before the manifest
+    extract.run_extraction(spark, extract.load_control(spark, tmp_root), source, tmp_root, batch="B2", overlap_minutes=0)
+    got = {(r.lote, r.empresa, r.registros) for r in read_manifests(spark, tmp_root).collect()}
+    assert got == {("B1", "01", 1), ("B1", "05", 1), ("B2", "01", 0), ("B2", "05", 0)}
+    assert extract.complete_manifest(spark, tmp_root) is None
