@@ -1,8 +1,12 @@
 """The corpus pipeline: toxicity, near-dedup, decontamination, surrogates, BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread as
-the next stage's ``docs``.  All stages but the last return the columns of ``documents``; null and empty
-texts pass every filter except that equal ones are near copies of each other.
+the next stage's ``docs``.  All stages but the last return the columns of ``documents``.
+
+Edge cases: null and empty texts pass every filter, except that equal ones are near copies of each other;
+rows may repeat, also with equal or null ids, and of copies the one with the smallest id stays; very long texts pass whole;
+further columns are carried along, whatever their names (the last stage returns doc_id, n_tokens and ids);
+without usable labels no document is toxic, without benchmark items none is contaminated; empty tables give no rows.
 """
 
 from __future__ import annotations
