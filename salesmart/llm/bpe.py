@@ -18,7 +18,7 @@ dropped; special tokens are found in the raw text; decoded tokens are joined by
 vocabulary and merges are broadcast (bounded by the file, 49k entries).
 
 Edge cases: null and empty texts have no ids and decode to the empty text; repeated rows are encoded
-as they come; added columns that clash with input columns get a trailing underscore.
+as they come; very long texts are encoded whole; empty tables give no rows; added columns that clash with input columns get a trailing underscore.
 """
 
 from __future__ import annotations
@@ -40,6 +40,19 @@ WORD_ENTRIES, TRANSITIONS = 200_000, 400_000
 WORD_END = "</w>"
 
 
+# Code points that the tokenizers library's Unicode table leaves unassigned, while the tables of this
+# Python's pattern module make them letters or numbers.  There they split words as any other sign.
+UNASSIGNED = """
+0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7
+10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF
+18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96
+1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479
+3D000-3FC3F""".split()
+#: Lower case of the capitals that the library knows beyond this Python's table (first, last: distance).
+LOWER = {(0x1C89, 0x1C89): 1, (0xA7CB, 0xA7CB): 0x264 - 0xA7CB, (0xA7CC, 0xA7CC): 1, (0xA7CE, 0xA7CE): 1, (0xA7D2, 0xA7D2): 1, (0xA7D4, 0xA7D4): 1,
+         (0xA7DA, 0xA7DA): 1, (0xA7DC, 0xA7DC): 0x19B - 0xA7DC, (0x10D50, 0x10D65): 0x20, (0x16EA0, 0x16EB8): 0x1B}
+
+
 def byte_symbols() -> list[str]:
     """The visible character of each byte: itself where printable, else the next free one from 256 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -176,6 +189,10 @@ class Tokenizer:
         self.special = spec["special"]
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.split_words = regex.compile(spec["pattern"])
+        ranges = [[chr(int(x, 16)) for x in r.split("-")] for r in UNASSIGNED]
+        self.unassigned = regex.compile("[" + "".join("-".join(r) for r in ranges) + "]")
+        self.lower = {c: c + by for (a, b), by in LOWER.items() for c in range(a, b + 1)}
+        self.rare = regex.compile("[" + "".join("-".join(r) for r in ranges) + "".join(map(chr, self.lower)) + "]")
         self.words: dict[str, bytes] = {}
         labels = {i: t for t, i in [*spec["vocab"].items(), *self.special.items()]}
         self.labels = [labels.get(i, "").encode() for i in range(max(labels) + 1)]
@@ -185,8 +202,16 @@ class Tokenizer:
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower-cased by character, without the rule for word ends
+            if self.rare.search(text):
+                text = text.translate(self.lower).lower()
+                # A non-character, which is a sign in every table, stands in while words are found.
+                spans = [m.span() for m in self.split_words.finditer(self.unassigned.sub("\uFFFF", text))]
+                return self._ids([text[a:b] for a, b in spans])
+        return self._ids(self.split_words.findall(text.lower()))
+
+    def _ids(self, found: list[str]) -> bytes:
         words, known = self.words, []
-        for w in self.split_words.findall(text.lower()):
+        for w in found:
             ids = words.get(w)
             if ids is None:
                 if len(words) >= WORD_ENTRIES:

@@ -35,6 +35,15 @@ def test_words_against_the_library(library):
         assert own.decode(got).decode() == library.decode(want, skip_special_tokens=False), text
 
 
+def test_every_code_point_against_the_library(library):
+    own = bpe.Tokenizer(bpe.read_spec(PATH))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 400):
+        chars = map(chr, points[at:at + 400])
+        text = " ".join(f"a{c}b {c}1{c} !{c}{c}?" for c in chars)
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, hex(points[at])
+
+
 def test_cleared_tables_give_the_same_ids(library, monkeypatch):
     monkeypatch.setattr(bpe, "WORD_ENTRIES", 3)
     monkeypatch.setattr(bpe, "TRANSITIONS", 5)
