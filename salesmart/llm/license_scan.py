@@ -6,6 +6,8 @@ place.  Alignment is patience: anchor on words that are unique in both sequences
 increasing subsequence of anchors, and align the gaps between anchors the same way (in a gap more
 words are unique); a gap without anchors is aligned by its equal beginning and end.
 
+Beside whole notices there are their short forms: identifier lines, abbreviations with a version, names of clauses.
+
 What tells licenses apart must be there: of each word of ``MARKS`` (name and version) of a template a place
 is matched, and no word of ``QUALIFIERS`` stands unmatched inside the place ("NonCommercial" in the sentence of
 CC BY).  Of overlapping places only the best is reported, the one with the most matched words.
@@ -87,9 +89,33 @@ for _kind, _title in (("by", "Attribution"), ("by-sa", "Attribution-ShareAlike")
         MARKS[f"cc-{_kind}-{_v}-short"] = f"cc {_kind} {_v}"
 
 
+        TEMPLATES[f"cc-{_kind}-{_v}/name"] = f"CC {_kind.upper()} {_v}"
+        MARKS[f"cc-{_kind}-{_v}/name"] = f"cc {_kind} {_v}"
+#: Identifiers of the SPDX list, by license; "only" and "or later" are one license here.
+IDENTIFIERS = {
+    "apache-2.0": ["Apache-2.0"], "mit": ["MIT"], "bsd-2-clause": ["BSD-2-Clause"], "bsd-3-clause": ["BSD-3-Clause"], "isc": ["ISC"],
+    "mpl-2.0": ["MPL-2.0"], "unlicense": ["Unlicense"], "cc0-1.0": ["CC0-1.0"], "epl-2.0": ["EPL-2.0"],
+    **{f"{k}-{v}": [f"{k.upper()}-{v}{end}" for end in ("", "-only", "-or-later")]
+       for k, v in (("gpl", "2.0"), ("gpl", "3.0"), ("lgpl", "2.1"), ("lgpl", "3.0"), ("agpl", "3.0"))},
+    **{f"cc-{k}-{v}": [f"CC-{k.upper()}-{v}"] for k in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd") for v in ("4.0", "3.0")}}
+for _name, _ids in IDENTIFIERS.items():
+    for _id in _ids:
+        TEMPLATES[f"{_name}/{_id}"], MARKS[f"{_name}/{_id}"] = f"SPDX-License-Identifier: {_id}", f"spdx {_id}"
+# Short forms: clauses of the BSD family, and the GNU family by abbreviation or by name with "v".
+for _v in ("2", "3"):
+    TEMPLATES[f"bsd-{_v}-clause"], MARKS[f"bsd-{_v}-clause"] = f"Released under the BSD {_v}-Clause License.", f"bsd {_v} clause"
+    TEMPLATES[f"bsd-{_v}-clause/name"], MARKS[f"bsd-{_v}-clause/name"] = f"BSD {_v}-Clause License", f"bsd {_v} clause"
+for _kind, _title, _versions in (("gpl", "", ("2", "3")), ("lgpl", "Lesser ", ("2.1", "3")), ("agpl", "Affero ", ("3",))):
+    for _v in _versions:
+        _name = f"{_kind}-{_v if '.' in _v else _v + '.0'}"
+        for _form in (f"{_kind.upper()} v{_v}", f"{_kind.upper()}v{_v}", f"{_kind.upper()} version {_v}", f"{_kind.upper()} {_v}"):
+            TEMPLATES[f"{_name}/{_form}"], MARKS[f"{_name}/{_form}"] = f"Released under the {_form} license.", _form
+        TEMPLATES[f"{_name}/name"], MARKS[f"{_name}/name"] = f"GNU {_title}General Public License v{_v}", f"{_title}general public v{_v}"
+
+
 def license_of(template: str) -> str:
-    """The license that a template stands for: both wordings of a Creative Commons license are one."""
-    return template.removesuffix("-short")
+    """The license that a template stands for, in whatever wording."""
+    return template.partition("/")[0].removesuffix("-short")
 
 
 def _rising(values: list[int]) -> list[int]:

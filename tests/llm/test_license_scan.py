@@ -83,6 +83,25 @@ def test_licenses_that_differ_by_a_word_are_told_apart(spark):
     assert [[m[0] for m in g] for g in found(spark, list(cases))] == list(cases.values())
 
 
+def test_identifiers_short_forms_and_clauses(spark):
+    cases = {"# SPDX-License-Identifier: MIT": ["mit"], "SPDX-License-Identifier: GPL-2.0-or-later": ["gpl-2.0"], "SPDX-License-Identifier: XYZ-1": [],
+             "SPDX-License-Identifier: BSD-3-Clause": ["bsd-3-clause"], "SPDX-License-Identifier: LGPL-2.1-only": ["lgpl-2.1"],
+             "SPDX-License-Identifier: CC-BY-NC-SA-4.0": ["cc-by-nc-sa-4.0"], "SPDX-License-Identifier: AGPL-3.0": ["agpl-3.0"],
+             "Released under the GPL v3": ["gpl-3.0"], "Released under the GPLv2 license.": ["gpl-2.0"], "released under the LGPL v2.1": ["lgpl-2.1"],
+             "Released under the GPL v4": [], "GNU Affero General Public License v3": ["agpl-3.0"], "the GNU General Public License v2 applies": ["gpl-2.0"],
+             "photo: CC BY-SA 3.0": ["cc-by-sa-3.0"], "CC BY 2.5": [], "BSD 2-Clause License": ["bsd-2-clause"], "the BSD 3-Clause": ["bsd-3-clause"],
+             "Released under the BSD 3-Clause License.": ["bsd-3-clause"], "Released under the BSD License.": ["bsd"], "clause 3 of the license": [],
+             "a license by nature": []}
+    assert {t: [m[0] for m in g] for t, g in zip(cases, found(spark, list(cases)))} == cases
+
+
+def test_null_ids_repeated_rows_and_very_long_texts(spark):
+    long_text = "filler words " * 100000 + "Released under the MIT License. " + "more words " * 100000
+    rows = [(None, "SPDX-License-Identifier: MIT"), (None, "SPDX-License-Identifier: MIT"), (1, long_text), (1, "nothing")]
+    got = ls.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_matches, r.licenses) for r in got) == [(0, 1, "mit"), (0, 1, "mit"), (1, 0, ""), (1, 1, "mit")]
+
+
 def test_every_template_is_found_as_itself_only(spark):
     got = found(spark, list(ls.TEMPLATES.values()))
     assert [[m[0] for m in g] for g in got] == [[ls.license_of(name)] for name in ls.TEMPLATES]
