@@ -55,9 +55,9 @@ START = _U(1)
 
 
 def _pairs(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the second word, hash of the two words) of neighbours in a text."""
+    """(index of the second word, hash of the two words, the first as a context) of neighbours in a text."""
     second = np.flatnonzero(w.row[1:] == w.row[:-1]) + 1 if len(w.row) else np.zeros(0, np.int64)
-    return second, mix(w.hash[second - 1] * _U(0x9E3779B97F4A7C15) + w.hash[second])
+    return second, mix((w.hash[second - 1] | _U(1)) * _U(0x9E3779B97F4A7C15) + w.hash[second])
 
 
 def _stems(w: Words) -> list[np.ndarray]:
