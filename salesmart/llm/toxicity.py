@@ -12,6 +12,8 @@ share of all such pairs of a context and an x):
     P_c(x)     = (1 - b) * max(n_c(x) - D, 0) / H_c + b * P(x)
     P_c(w | u) = (1 - b(u)) * max(n_c(u w) - D, 0) / H_c(u) + b(u) * P_c(w)
 
+A pair is used where both classes keep it after the discount.  Where one keeps none, its first term would be 0 for
+lack of texts more than for lack of the pair (toxic texts are a tenth of the others), so the pair backs off to its word.
 x is the word, or if neither class keeps it after the discount its first six characters, else its
 first four (one table per length): inflected and compounded words back off to their stems.  A
 word of which nothing is kept has ratio 1.  As counts are of texts that hold a word, only a
@@ -208,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     order = np.argsort(u)
     model.contexts = u[order]
     model.context_back = (1 - rows.column("h").to_numpy() / rows.column("n").to_numpy())[order]
-    rows = double.where(F.greatest("n0", "n1") > DISCOUNT).join(context.select("u", "h0", "h1"), "u") \
+    rows = double.where(F.least("n0", "n1") > DISCOUNT).join(context.select("u", "h0", "h1"), "u") \
         .select("u", "v", (kept0 / F.col("h0")).alias("p0"), (kept1 / F.col("h1")).alias("p1")).toArrow()
     pu, pv = (rows.column(c).to_numpy().view(np.uint64) for c in ("u", "v"))
     key = mix(pu * _U(0x9E3779B97F4A7C15) + pv)

@@ -117,7 +117,7 @@ def brute_scores(docs, labels):
             p = next((level[unit(x)] for unit, level in zip(units, levels) if unit(x) in level), [1.0, 1.0])
             u = w[i - 1] if i else None
             n = [k[u, x] for k in pairs]
-            if u in backs and max(n) > D:
+            if u in backs and min(n) > D:
                 p = [(1 - backs[u]) * max(n[c] - D, 0) / held[u][c] + backs[u] * p[c] for c in (0, 1)]
             ratio[i] = np.log(p[1] / p[0])
         if not w:
