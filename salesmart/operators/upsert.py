@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import SILVER_KEYS
+from ..config import SILVER_KEYS, VERSION_ORDER
+from .versions import latest_version
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KEYS,
@@ -168,18 +170,42 @@ _KEYS = "_keys"
 _KEYS_SCHEMA = f"{BUCKET} long, nulos long, duplicadas long"
 
 
-def _write_version(df: DataFrame, path: str, kind: str, keys: Sequence[str], newest: str | None = None, observe: bool = False) -> None:
+LANE = "_faixa"
+
+
+def _lane(spark, keys: Sequence[str], buckets: int) -> Column:
+    """A slice of a key's bucket, so that the rows of ``buckets`` buckets spread over all shuffle partitions."""
+    slices = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // max(1, buckets)))
+    return F.xxhash64(F.lit(slices), F.col(BUCKET), F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(slices)))
+
+
+@contextmanager
+def _joined_by_lane(spark):
+    """Joins on a lane and its keys use rows that are dealt out by lane, without dealing them out again by all keys."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
+def _write_version(df: DataFrame, path: str, kind: str, keys: Sequence[str], newest: str | None = None, observe: bool = False,
+                   dealt: bool = False) -> None:
     """One write of ``df`` (with its bucket column) as the next version, rebalanced by bucket: a bucket
-    has few files, and one beyond the advisory size is split over tasks.  The keys of the written buckets
+    has few files, and one beyond the advisory size is split over tasks.  Rows that are ``dealt`` out by lane
+    are in such tasks already.  The keys of the written buckets
     are counted from the stored columns, so the key gate never reads a bucket that did not change."""
     spark, path = df.sparkSession, path.rstrip("/")
     taken = [int(n.partition("=")[2].partition("-")[0]) for n in _children(spark, path, f"{VERSION}=")]
     target = f"{path}/{VERSION}={max(taken, default=0) + 1:012d}{kind}"
-    out, obs = df.hint("rebalance", BUCKET), None
+    # in key order the stored rows take less space
+    out, obs = (df if dealt else df.hint("rebalance", BUCKET)).sortWithinPartitions(BUCKET, *keys), None
     if observe:
         obs = Observation(f"bucketed_{id(df):x}")
         out = out.observe(obs, F.max("_lote").alias("newest"))
-    out.write.mode("errorifexists").partitionBy(BUCKET).parquet(target)
+    out.write.mode("errorifexists").option("compression", "zstd").partitionBy(BUCKET).parquet(target)
     stored = spark.read.schema(df.schema).option("basePath", target).parquet(target)
     groups = stored.groupBy(BUCKET, *keys).agg(F.count(F.lit(1)).alias("_n"))
     missing = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
@@ -201,6 +227,27 @@ def bucket_key_counts(spark, path: str) -> DataFrame:
     return newest.agg(*[F.coalesce(F.sum(f"k.{c}"), F.lit(0).cast("long")).alias(c) for c in ("nulos", "duplicadas")])
 
 
+#: Rows of a lane beyond twice the mean from which it counts as hot.
+HOT_ROWS = 100_000
+
+
+def write_latest(rows: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, order: Sequence[str] = VERSION_ORDER, buckets=64) -> None:
+    """``write_bucketed`` of the latest versions of ``rows``: one exchange by lane serves the versions and the write.
+
+    That exchange sends every version.  Where a lane has far more than its share (a key with very many versions),
+    the versions are cut map-side in an exchange of their own, as in ``latest_version``; counting the lanes sends counts only.
+    """
+    spark, spec = rows.sparkSession, _bucketing(buckets)
+    laned = rows.withColumn(BUCKET, spec.column(keys))
+    laned = laned.withColumn(LANE, _lane(spark, keys, 1 if spec.range_col else spec.buckets))
+    lanes, total, heaviest = laned.groupBy(LANE).count().agg(F.count(F.lit(1)), F.sum("count"), F.max("count")).first()
+    if spec.range_col or (heaviest or 0) > 2 * (total or 0) / max(1, lanes) + HOT_ROWS:
+        write_bucketed(latest_version(rows, keys, order), path, keys, buckets)
+        return
+    latest = latest_version(laned.repartition(LANE), [LANE, *keys], order).drop(LANE)
+    _write_version(latest, path, _FULL, keys, observe="_lote" in rows.columns, dealt=True)
+
+
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str] = SILVER_KEYS, buckets=64) -> None:
     """Store a Silver table partitioned by key bucket (the layout the upsert below expects).
 
@@ -228,15 +275,19 @@ def upsert_touched_buckets(target_path: str, source: DataFrame, staging_path: st
     newest = F.col("_lote") if "_lote" in source.columns else F.lit(None).cast("string")
     changes_path = f"{staging_path.rstrip('/')}/changes"
     staged.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(newest).alias("newest")) \
-        .write.mode("errorifexists").parquet(changes_path)
+        .write.mode("errorifexists").option("compression", "zstd").parquet(changes_path)
     if not obs.get.get("rows"):
         return []
     src = spark.read.schema(staged.schema).parquet(changes_path)
     # at most one id per bucket (hash) or per id range touched by the changes
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
     target = read_bucketed(spark, target_path, touched)
-    merged = upsert(target, src.select(*target.columns), keys, stamp)
-    _write_version(merged, target_path, _PART, keys, newest=obs.get.get("newest"))
+    # both sides are dealt out by lane once: the merge and the write use the same tasks
+    lane = _lane(spark, keys, len(touched))
+    sides = [rows.withColumn(LANE, lane).repartition(LANE) for rows in (target, src.select(*target.columns))]
+    merged = upsert(*sides, [LANE, *keys], stamp).drop(LANE)
+    with _joined_by_lane(spark):
+        _write_version(merged, target_path, _PART, keys, newest=obs.get.get("newest"), dealt=True)
     return touched
 
 

@@ -19,7 +19,7 @@ from ..operators import dimensions as dims
 from ..operators import fact as fact_ops
 from ..operators.standardise import standardise
 from ..operators.upsert import (BUCKET, bucket_key_counts, read_bucketed, read_newest_batch, upsert, upsert_touched_buckets,
-                                write_bucketed)
+                                write_bucketed, write_latest)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
 from ..sources.extract import persist_control, run_extraction
@@ -119,10 +119,9 @@ def q_upsert_lines(spark, d):
 def q_upsert_lines_bucketed(spark, d):
     """S9 at scale: the target is stored by key bucket and only touched buckets are rewritten."""
     std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
-    target = latest_version(std.filter(F.col("dat_stamp") < F.lit(UPSERT_SPLIT).cast("timestamp")),
-                            order=td.LINE_VERSION_ORDER)
+    target = std.filter(F.col("dat_stamp") < F.lit(UPSERT_SPLIT).cast("timestamp"))
     root = scratch_path(spark, "silver_lines")
-    write_bucketed(target, f"{root}/table", buckets=UPSERT_BUCKETS)
+    write_latest(target, f"{root}/table", order=td.LINE_VERSION_ORDER, buckets=UPSERT_BUCKETS)
     stored = read_bucketed(spark, f"{root}/table")
     source = latest_version(batches_after(std, newest_batch(stored)), order=td.LINE_VERSION_ORDER)
     upsert_touched_buckets(f"{root}/table", source, f"{root}/staging", buckets=UPSERT_BUCKETS)
