@@ -136,7 +136,7 @@ def q_key_gate_incremental(spark, d):
     for load, cut in enumerate(MEASURE_CUTS):
         known = std if cut is None else std.filter(F.col("dat_stamp") < F.lit(cut).cast("timestamp"))
         if load == 0:
-            write_bucketed(latest_version(known, order=td.LINE_VERSION_ORDER), f"{root}/table", buckets=UPSERT_BUCKETS)
+            write_latest(known, f"{root}/table", order=td.LINE_VERSION_ORDER, buckets=UPSERT_BUCKETS)
             continue
         changes = latest_version(batches_after(known, read_newest_batch(spark, f"{root}/table")), order=td.LINE_VERSION_ORDER)
         if cut is None:
