@@ -48,9 +48,24 @@ def _summed(parts: DataFrame) -> DataFrame:
 
 
 def retractions(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Sums to add to the state when the rows ``old`` give way to ``new``."""
-    added = partial_sums(new)
-    return added if old is None else _summed(added.unionByName(partial_sums(old, -1)))
+    """Sums to add to the state when the rows ``old`` give way to ``new``.
+
+    Rows that stay as they are cancel out within their order first, where the facts are joined anyway; only what differs
+    is dealt out by group.
+    """
+    if old is None:
+        return partial_sums(new)
+    month = F.date_trunc("MONTH", "dat_emissao").cast("date").alias("mes")
+    parts = []
+    for rows, sign in ((new, 1), (old, -1)):
+        parts.append(rows.select("cod_empresa", "cod_pedido", "cod_filial", "cod_vendedor", month, F.lit(sign).cast("long").alias("linhas"),
+                                 *[x for c in SUMS for x in ((F.coalesce(F.col(c), F.lit(0)) * sign).alias(c),
+                                                             F.when(F.col(c).isNotNull(), F.lit(sign)).otherwise(F.lit(0)).cast("long").alias(f"n_{c}"))]))
+    signed = reduce(DataFrame.unionByName, parts)
+    differing = signed.groupBy("cod_empresa", "cod_pedido", *GROUP[1:]).agg(*[F.sum(c).alias(c) for c in _COUNTED])
+    differing = differing.where(reduce(Column.__or__, (F.col(c) != 0 for c in _COUNTED)))
+    sums = differing.groupBy(*GROUP).agg(*[F.sum(c).cast("long" if c not in SUMS else TOTAL).alias(c) for c in _COUNTED])
+    return sums.where(reduce(Column.__or__, (F.col(c) != 0 for c in _COUNTED)))
 
 
 def changed_orders(changes: Sequence[DataFrame], before: Sequence[DataFrame | None], keys: Sequence[str] = FACT_KEYS,

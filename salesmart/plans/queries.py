@@ -348,27 +348,32 @@ def q_open_by_seller(spark, d):
 MEASURE_CUTS = ["1996-01-01", "1999-01-01", None]    # the loads: line versions shipped before
 
 
-def headers_at(spark, d, load: int) -> DataFrame:
+def headers_at(headers: DataFrame, load: int) -> DataFrame:
     """Headers as of a load (1-3): deletions arrive with loads 2 and 3 (odd and even orders), and every third
     order is moved from branch 00 to its own with load 3."""
     number = F.col("cod_pedido").cast("long")
     deleted = F.col("flg_deletado") & {1: F.lit(False), 2: number % 2 == 1, 3: F.lit(True)}[load]
     branch = F.when((number % 3 == 0) & F.lit(load < 3), F.lit("00")).otherwise(F.col("cod_filial"))
-    return silver_orders(spark, d).withColumns({"flg_deletado": deleted, "cod_filial": branch})
+    return headers.withColumns({"flg_deletado": deleted, "cod_filial": branch})
 
 
 def q_maintained_measures(spark, d):
-    """V3-V7 maintained over three loads with new line versions, deleted orders and moved orders."""
+    """V3-V7 maintained over three loads with new line versions, deleted orders and moved orders.
+
+    Headers and changes are stored before they are used more than once, with the columns that reach the sums."""
     store = MeasureStore(spark, scratch_path(spark, "measures"))
-    std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
+    std = standardise(td.bronze_lines(spark, d), td.LINE_MAP).drop("num_nota")
+    stored = materialize(silver_orders(spark, d).select(*td.FACT_KEYS, *td.FACT_HEADER_COLUMNS, "flg_deletado", "num_recno"), "headers")
+    changed = [*td.FACT_KEYS, "num_recno"]
     before = (None, None)
     for load, cut in enumerate(MEASURE_CUTS, 1):
         known = std if cut is None else std.filter(F.col("dat_stamp") < F.lit(cut).cast("timestamp"))
-        items, headers = materialize(latest_version(known, order=td.LINE_VERSION_ORDER), "items"), headers_at(spark, d, load)
+        items, headers = materialize(latest_version(known, order=td.LINE_VERSION_ORDER), "items"), headers_at(stored, load)
         orders = None
         if load > 1:
             changes = [latest_version(batches_after(known, newest_batch(before[0])), order=td.LINE_VERSION_ORDER),
                        headers.exceptAll(before[1])]
+            changes = [materialize(c.select(*changed), "changes") for c in changes]
             orders = materialize(changed_orders(changes, before, td.FACT_KEYS), "changed_orders")
         facts = [None if h is None else fact_ops.order_fact(
             h if orders is None else of_orders(h, orders, td.FACT_KEYS), i if orders is None else of_orders(i, orders, td.FACT_KEYS),

@@ -87,5 +87,5 @@ def materialize(df, name: str = "stage"):
     and stores serialised rows.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -74,3 +74,40 @@ def test_changed_orders_hold_the_old_order_of_a_moved_record(spark):
     changes = spark.createDataFrame([("01", 1, "Z"), ("01", 9, "N")], rows)
     got = {r.cod_pedido for r in changed_orders([changes], [before], KEYS).collect()}
     assert got == {"A", "Z", "N"}
+
+
+def test_unchanged_rows_cancel_before_the_groups_are_dealt_out(spark):
+    one, two = (fact(spark, rows).repartition(4, *KEYS) for rows in (ONE, TWO))
+    got = retractions(one, two)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 3      # by order twice, by group once
+    rows = {(r.cod_filial, r.cod_vendedor, r.mes.month): (r.linhas, r.vlr_total, r.n_vlr_total, r.vlr_saldo, r.n_vlr_saldo) for r in got.collect()}
+    d = Decimal
+    assert rows == {("a", "x", 1): (0, d("-8.50"), 0, d("0.00"), 1), ("b", None, 2): (-1, d("-1.00"), -1, d("-1.00"), -1),
+                    ("c", "y", 3): (1, d("1.00"), 1, d("1.00"), 1)}
+
+
+def test_the_maintained_measures_read_the_headers_once(spark, tmp_root, monkeypatch):
+    from salesmart.plans import queries
+    rows = spark.range(600).selectExpr(
+        "id % 90 as l_orderkey", "cast(id % 7 + 1 as int) as l_linenumber", "id % 11 as l_partkey", "id % 5 as l_suppkey",
+        "double(id % 9) as l_quantity", "double(id) as l_extendedprice", "0.05d as l_discount", "'A' as l_returnflag",
+        "timestamp_ntz'1995-01-01' + make_dt_interval(cast(id * 4 as int)) as l_shipdate")
+    tables = {
+        "lineitem": rows,
+        "orders": spark.range(90).selectExpr("id as o_orderkey", "'1' as o_orderpriority", "id % 4 as o_custkey", "if(id % 5 = 0, 'F', 'O') as o_orderstatus",
+                                             "timestamp_ntz'1995-01-01' + make_dt_interval(cast(id as int)) as o_orderdate"),
+        "customer": spark.range(4).selectExpr("id as c_custkey", "cast(id as int) as c_nationkey"),
+        "supplier": spark.range(5).selectExpr("id as s_suppkey", "string(id) as s_name", "1d as s_acctbal"),
+        "nation": spark.range(4).selectExpr("cast(id as int) as n_nationkey", "0 as n_regionkey", "string(id) as n_name"),
+        "region": spark.range(1).selectExpr("0 as r_regionkey", "'r' as r_name"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_root}/{name}.parquet")
+    calls, base = [], queries.silver_orders
+    monkeypatch.setattr(queries, "silver_orders", lambda *a: calls.append(1) or base(*a))
+    got = {(r.medida, r.chave): r.valor for r in queries.q_maintained_measures(spark, tmp_root).collect()}
+    assert len(calls) == 1
+    whole = queries.gold_fact(spark, tmp_root)
+    assert (got[("valor_vendido", None)], got[("valor_em_carteira", None)]) == tuple(whole.agg(F.sum("vlr_total"), F.sum("vlr_saldo")).first())
+    assert {k[1]: v for k, v in got.items() if k[0] == "carteira_por_vendedor"} == \
+        {r[0]: r[1] for r in whole.groupBy("cod_vendedor").agg(F.sum("vlr_saldo")).collect()}
