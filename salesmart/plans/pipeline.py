@@ -26,7 +26,7 @@ from ..operators.control import sync
 from ..operators.fact import order_fact
 from ..operators.standardise import conversion_rejects, standardise
 from ..operators.upsert import (BUCKET, Bucketing, bucket_key_counts, committed_versions, prune_bucketed, read_bucketed,
-                                read_newest_batch, upsert, upsert_touched_buckets, write_bucketed)
+                                read_newest_batch, upsert, upsert_touched_buckets, write_latest)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..operators.watermark import FULL
 from ..sources.extract import load_control, run_extraction
@@ -127,7 +127,7 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
             touched = upsert_touched_buckets(path, changes, scratch_path(spark, "silver_staging", spec.name),
                                              spec.keys, buckets=spec.buckets)
             return {"table": spec.name, "path": path, "buckets_rewritten": len(touched), "changes": changes, "before": before}
-        write_bucketed(latest_version(std, spec.keys, spec.order), path, spec.keys, spec.buckets)
+        write_latest(std, path, spec.keys, spec.order, spec.buckets)
         return {"table": spec.name, "path": path, "buckets_rewritten": None}      # first load: all
     if spec.load_type == FULL:
         return silver.publish(latest_snapshot(std, newest=newest), spec.name)        # S7 + S11

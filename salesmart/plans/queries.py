@@ -19,7 +19,7 @@ from ..operators import dimensions as dims
 from ..operators import fact as fact_ops
 from ..operators.standardise import standardise
 from ..operators.upsert import (BUCKET, bucket_key_counts, read_bucketed, read_newest_batch, upsert, upsert_touched_buckets,
-                                write_bucketed, write_latest)
+                                write_latest)
 from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
 from ..sources import testdata as td
 from ..sources.extract import persist_control, run_extraction
@@ -150,9 +150,9 @@ def q_reprocess_lines_bucketed(spark, d):
     versions alone (fewer rows, another bucket count)."""
     std = standardise(td.bronze_lines(spark, d), td.LINE_MAP)
     path = scratch_path(spark, "silver_lines")
-    write_bucketed(latest_version(std, order=td.LINE_VERSION_ORDER), path, buckets=UPSERT_BUCKETS)
+    write_latest(std, path, order=td.LINE_VERSION_ORDER, buckets=UPSERT_BUCKETS)
     earlier = std.filter(F.col("dat_stamp") < F.lit(UPSERT_SPLIT).cast("timestamp"))
-    write_bucketed(latest_version(earlier, order=td.LINE_VERSION_ORDER), path, buckets=UPSERT_BUCKETS // 4)
+    write_latest(earlier, path, order=td.LINE_VERSION_ORDER, buckets=UPSERT_BUCKETS // 4)
     return read_bucketed(spark, path).drop(BUCKET)
 
 
