@@ -94,7 +94,7 @@ class Words:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, table: np.ndarray):
         self.raw, self.offsets, self.rows = raw, offsets, len(offsets) - 1
-        self.norm = norm = table[raw]
+        self.norm = norm = np.frombuffer(raw.tobytes().translate(table.tobytes()), np.uint8)
         n = len(raw)
         inside = np.zeros(n + 2, bool)
         inside[1:-1] = norm != 0
@@ -102,18 +102,23 @@ class Words:
         cut[offsets] = True
         self.start = np.flatnonzero(inside[1:] & (~inside[:-1] | cut) & inside[1:])
         self.end = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
-        self.row = np.searchsorted(offsets, self.start, side="right") - 1
-        self.per_row = np.bincount(self.row, minlength=self.rows)
-        self.first = np.concatenate([[0], np.cumsum(self.per_row)])
+        self.first = np.searchsorted(self.start, offsets)
+        self.per_row = np.diff(self.first)
+        self.row = np.repeat(np.arange(self.rows), self.per_row)
         power, inverse = _powers(n + 1)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CODE[norm] * power[:n], out=self._sums[1:])
+        np.multiply(_CODE.take(norm), power[:n], out=self._sums[1:])
+        np.cumsum(self._sums[1:], out=self._sums[1:])
         self._inverse = inverse
         self.hash = self.range_hash(self.start, self.end)
 
     def range_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of the normalised bytes of ranges."""
-        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
+        sums = self._sums.take(end)
+        sums -= self._sums.take(start)
+        sums *= self._inverse.take(start)
+        sums += (end - start).astype(np.uint64)
+        return mix(sums)
 
     def word(self, i: int) -> bytes:
         return self.norm[self.start[i]:self.end[i]].tobytes()

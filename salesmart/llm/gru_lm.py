@@ -2,7 +2,7 @@
 
 Counts.  Tokens are words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, and one end per text.  A Spark
 job counts every token of all training texts (crc32(doc_id as text) mod 5 is not 1), keyed by a 64-bit
-hash.
+hash, which ends in the word's rare class.
 
 Model.  The ``FREQUENT`` most frequent tokens have embeddings; every other word is read as one of
 ``RARE`` classes by its last bytes.  A GRU reads the text; the output softmax is factored into classes:
@@ -17,7 +17,7 @@ shards of about ``SHARD_BYTES``, which cut it, in the order of the rows, into wi
 carried on.  A replica per shard runs one step of Adam per window until its texts end, and the replicas' weights are
 averaged after each round, by their numbers of tokens.
 
-Scoring runs many texts side by side, carries each text's state over all its windows, and takes the
+Scoring deals texts to lanes that run side by side, carries each text's state over all its windows, and takes the
 probabilities of words outside the broadcast tables (``FREQUENT`` embeddings, ``KNOWN`` counts) from a
 join of distinct (text, word) pairs with the counts, summed per text.  All later reads of the texts and
 their row numbers come from one staged copy.
@@ -30,6 +30,8 @@ An empty table gives no rows; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import BLANKS, Words, fold_of, lookup, mix, stage, word_slices
+from salesmart.llm.common import BLANKS, Words, fold_of, mix, row_sums, stage, word_slices
 
 HELD_OUT_FOLD = 1
 FREQUENT, CLASSES, RARE = 1024, 32, 32
@@ -46,48 +48,62 @@ KNOWN, STEPS = 65536, 16
 HIDDEN, WINDOW = 24, 32
 #: Token streams side by side: the least, the most, and windows that a replica should at least have.
 LANES, MOST_LANES, DEPTH = 32, 128, 128
-#: Bytes of text that a task scores side by side.
-SCORE_BYTES = 1 << 20
+#: Tokens that a task scores side by side, on at most so many lanes; a long text fills a lane while short ones share the others.
+SCORE_TOKENS, SCORE_LANES = 1 << 21, 256
+#: Bytes of text cut into words, states whose class probabilities are taken and weights stepped at once: what a core's cache holds.
+WORD_BYTES, ROWS, PIECE = 1 << 18, 1 << 10, 1 << 14
 SHARD_BYTES, LEAST_ROUNDS = 4 << 20, 3
 SLOTS = 256
 RATE = 0.01
 
 _U = np.uint64
 #: Hash of the end token; no word of one slice hashes to it but with probability 2^-64.
-END = np.uint64(0x5EED0FE4DD0C5EED)
+END = np.uint64(0x5EED0FE4DD0C5EE0)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def _class_table() -> np.ndarray:
+    """Rare class by whether a word has bytes beyond ASCII, its last byte but one and its last byte."""
+    wide, before, last = np.ogrid[:2, :256, :256]
+    hashed = last.astype(_U) * _U(257) + before.astype(_U) * _U(65537) + wide.astype(_U)
+    return (mix(hashed) % _U(RARE)).astype(np.uint8).ravel()
+
+
+_CLASSES = _class_table()
+
+
 def _rare_class(w: Words) -> np.ndarray:
     """Class of each word by its last two bytes and whether it has bytes beyond ASCII."""
-    last = w.norm[w.end - 1].astype(np.uint64)
-    before = w.norm[np.maximum(w.end - 2, w.start)].astype(np.uint64)
-    wide = np.add.reduceat(np.append(w.norm >= 0x80, False).astype(np.int64), np.stack([w.start, w.end], 1).ravel())[::2] > 0 \
-        if len(w.start) else np.zeros(0, bool)
-    return (mix(last * _U(257) + before * _U(65537) + wide.astype(np.uint64)) % _U(RARE)).astype(np.int64)
+    last = w.norm.take(w.end - 1).astype(np.int32)
+    before = w.norm.take(np.maximum(w.end - 2, w.start)).astype(np.int32)
+    before <<= 8
+    before += last
+    if len(w.start) and w.norm.max() >= 0x80:  # the separators up to the next word are 0
+        before += (np.maximum.reduceat(w.norm, w.start) >= 0x80).astype(np.int32) << 16
+    return _CLASSES.take(before).astype(np.int64)
 
 
 def _tokens(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, rare class, first) of the slice's tokens, with an end after each text."""
+    """(hash, rare class, first) of the slice's tokens, with an end after each text; the hash ends in the class."""
     first = w.first + np.arange(w.rows + 1)
     hashes = np.full(int(first[-1]), END, np.uint64)
     rare = np.zeros(int(first[-1]), np.int64)
     place = np.arange(len(w.hash)) + w.row
-    hashes[place], rare[place] = w.hash, _rare_class(w)
+    kind = _rare_class(w)
+    hashes[place], rare[place] = (w.hash & ~_U(RARE - 1)) | kind.view(np.uint64), kind
     return hashes, rare, first
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [_tokens(w)[:2] for _, _, w in word_slices(batch.column(0), BLANKS)]
+        parts = [_tokens(w)[0] for _, _, w in word_slices(batch.column(0), BLANKS, WORD_BYTES)]
         if parts:
-            hashes, rare = (np.concatenate(x) for x in zip(*parts))
-            keys, at, n = np.unique(hashes, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(rare[at].astype(np.int32)), pa.array(n.astype(np.int64))],
-                                             names=["h", "r", "c"])
+            hashes = np.sort(np.concatenate(parts))
+            begin = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            yield pa.RecordBatch.from_arrays([_signed(hashes[begin]), pa.array(np.diff(begin, append=len(hashes)))], names=["h", "c"])
 
 
 class Gru:
@@ -103,6 +119,7 @@ class Gru:
         self.p = {"x": weights(inputs, 3 * HIDDEN), "u": weights(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32),
                   "c": weights(HIDDEN, heads), "cb": np.zeros(heads, np.float32),
                   "o": weights(CLASSES, HIDDEN, per), "ob": np.zeros((CLASSES, per), np.float32)}
+        self.rooms: dict[str, np.ndarray] = {}
 
     def start_from(self, counts: np.ndarray, rare_mass: np.ndarray) -> Gru:
         """Output biases from corpus counts (frequent tokens by rank, rare classes): untrained, the model is a unigram model."""
@@ -115,107 +132,219 @@ class Gru:
         self.p["cb"] = np.log(heads / heads.sum()).astype(np.float32)
         return self
 
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array in memory kept under ``name``: arrays made anew for each window would cost a third of its time in page faults."""
+        size, kind = math.prod(shape), self.p["x"].dtype
+        if name not in self.rooms or self.rooms[name].size < size or self.rooms[name].dtype != kind:
+            self.rooms[name] = np.empty(size, kind)
+        return self.rooms[name][:size].reshape(shape)
+
+    def views(self, flat: np.ndarray) -> dict:
+        """One vector as arrays by name, shaped like the weights."""
+        out, at = {}, 0
+        for k in sorted(self.p):
+            out[k] = flat[at:at + self.p[k].size].reshape(self.p[k].shape)
+            at += self.p[k].size
+        return out
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input sums, a row for each gate of an input, and state weights by gate: negated for z and q, whose sigmoids take exp(-a)."""
+        u = np.ascontiguousarray(self.p["u"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2))
+        np.negative(u[:2], out=u[:2])
+        return np.add(self.p["x"], self.p["b"], out=self.room("sums", *self.p["x"].shape)).reshape(-1, HIDDEN), u
+
+    def inputs(self, rows: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Input sums (time, gate, lane, unit) of the inputs ``x`` (time, lane)."""
+        at = 3 * x[:, None, :] + np.arange(3)[:, None]
+        return rows.take(at, axis=0, out=self.room("inputs", *at.shape, HIDDEN), mode="clip")
+
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        return self.advance(self.p["x"][x] + self.p["b"], h)
-
-    def advance(self, a: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        r = h @ self.p["u"]
-        gates = 1 / (1 + np.exp(-(a[:, :2 * HIDDEN] + r[:, :2 * HIDDEN])))
-        z, q = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(a[:, 2 * HIDDEN:] + q * r[:, 2 * HIDDEN:])
-        return z, q, n, r[:, 2 * HIDDEN:], n + z * (h - n)
-
-    def log_probs(self, h: np.ndarray, head: np.ndarray, member: np.ndarray, grads: dict | None = None) -> np.ndarray | tuple:
-        """Natural log P(class) + log P(member | class); rare classes have no member part.  With ``grads``: also dL/dh."""
-        logits = h @ self.p["c"] + self.p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(len(h))
-        out = logits[rows, head] - np.log(total)
-        if grads is not None:
-            d = e / total[:, None]
-            d[rows, head] -= 1
-            grads["c"] += h.T @ d
-            grads["cb"] += d.sum(axis=0)
-            dh = d @ self.p["c"].T
-        # The members of all classes at once: each class's states in a row of their own, padded to the longest.
-        at = np.argsort(head, kind="stable")
-        at = at[:np.searchsorted(head[at], CLASSES)]
-        k = head[at]
-        sizes = np.bincount(k, minlength=CLASSES)
-        place = np.arange(len(k)) - (np.cumsum(sizes) - sizes)[k]
-        states = np.zeros((CLASSES, int(sizes.max(initial=0)), HIDDEN), h.dtype)
-        states[k, place] = h[at]
-        s = states @ self.p["o"] + self.p["ob"][:, None, :]
-        s -= s.max(axis=2, keepdims=True)
-        e = np.exp(s)
-        total = e.sum(axis=2)
-        out[at] += s[k, place, member[at]] - np.log(total[k, place])
+        rows, u = self.sums()
+        a, r, after = self.inputs(rows, x[None])[0].copy(), np.empty((3, *h.shape), u.dtype), np.empty_like(h)
+        self.advance(a, u, h, r, after)
+        return a[0], a[1], a[2], r[2], after
+
+    def advance(self, a: np.ndarray, u: np.ndarray, h: np.ndarray, r: np.ndarray, after: np.ndarray) -> None:
+        """The state after ``h``; the input sums ``a`` become z, q and n, and r[2] the state's part of n."""
+        np.matmul(h, u, out=r)
+        zq, n = a[:2], a[2]
+        np.subtract(r[:2], zq, out=zq)
+        np.exp(zq, out=zq)
+        zq += 1
+        np.reciprocal(zq, out=zq)
+        n += np.multiply(a[1], r[2], out=r[0])
+        np.tanh(n, out=n)
+        np.subtract(h, n, out=after)
+        after *= a[0]
+        after += n
+
+    def log_probs(self, h: np.ndarray, head: np.ndarray, member: np.ndarray, grads: dict | None = None, weight: float = 1.0) -> np.ndarray | tuple:
+        """Natural log P(class) + log P(member | class); rare classes have no member part.
+
+        With ``grads``, to which the gradients times ``weight`` are added: also dL/dh, valid until the next call.
+        """
+        wide = self.room("wide", len(h), HIDDEN + 1)  # a last unit of ones carries the biases
+        wide[:, :HIDDEN] = h
+        wide[:, HIDDEN] = 1
+        c, back = np.concatenate([self.p["c"], self.p["cb"][None]]), np.ascontiguousarray(self.p["c"].T)
+        out, dh = np.empty(len(h), h.dtype), self.room("dh", *h.shape)
+        for at in range(0, len(h), ROWS):
+            some = wide[at:at + ROWS]
+            cut = slice(at, at + len(some))
+            e = np.matmul(some, c, out=self.room("heads", len(some), c.shape[1]))
+            out[cut], total, chosen = _softmax(e, head[cut])
+            if grads is not None:
+                scale = _logit_gradients(e, total, chosen, weight)
+                g = (some * scale).T @ e
+                grads["c"] += g[:HIDDEN]
+                grads["cb"] += g[HIDDEN]
+                np.matmul(e, back, out=dh[cut])
+                dh[cut] *= scale
+        # The members in the order of their classes: the products are taken class by class, all else for all rows at once.
+        sizes = np.bincount(head, minlength=CLASSES)[:CLASSES]
+        ends = np.cumsum(sizes)
+        at = np.argsort(head.astype(np.uint16), kind="stable")[:ends[-1]]
+        cuts = [(k, slice(ends[k] - sizes[k], ends[k])) for k in np.flatnonzero(sizes)]
+        states = wide.take(at, axis=0, out=self.room("states of members", len(at), HIDDEN + 1), mode="clip")
+        o = np.concatenate([self.p["o"], self.p["ob"][:, None]], axis=1)
+        e = self.room("members", len(at), o.shape[2])
+        for k, cut in cuts:
+            np.matmul(states[cut], o[k], out=e[cut])
+        inner, total, chosen = _softmax(e, member[at])
+        out[at] += inner
         if grads is None:
             return out
-        d = e / total[:, :, None]
-        d[k, place, member[at]] -= 1
-        d *= (np.arange(d.shape[1]) < sizes[:, None])[:, :, None]
-        grads["o"] += states.transpose(0, 2, 1) @ d
-        grads["ob"] += d.sum(axis=1)
-        dh[at] += (d @ self.p["o"].transpose(0, 2, 1))[k, place]
+        scale = _logit_gradients(e, total, chosen, weight)
+        states *= scale
+        d, back = self.room("back", len(at), HIDDEN), np.ascontiguousarray(self.p["o"].transpose(0, 2, 1))
+        g = self.room("members' gradients", *o.shape)
+        g[sizes == 0] = 0
+        for k, cut in cuts:
+            np.matmul(states[cut].T, e[cut], out=g[k])
+            np.matmul(e[cut], back[k], out=d[cut])
+        grads["o"] += g[:, :HIDDEN]
+        grads["ob"] += g[:, HIDDEN]
+        d *= scale
+        dh[at] += d
         return out, dh
 
     def train_window(self, x: np.ndarray, head: np.ndarray, member: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
-        """Gradients of the mean loss of one window (time, lanes), backpropagated to its start; the state after it."""
-        g = {k: np.zeros_like(v) for k, v in self.p.items()}
-        inputs, steps, states = self.p["x"][x] + self.p["b"], [], [h]
-        for t in range(len(x)):
-            steps.append(self.advance(inputs[t], states[-1]))
-            states.append(steps[-1][4])
+        """Gradients of the mean loss of one window (time, lanes), backpropagated to its start, views of the room "gradients"; the state after it."""
+        g = self.room("gradients", sum(v.size for v in self.p.values()))
+        g[:] = 0
+        g = self.views(g)
+        (times, lanes), (rows, u) = x.shape, self.sums()
+        a, r = self.inputs(rows, x), self.room("r", 3, lanes, HIDDEN)
+        rn, states = self.room("rn", times, lanes, HIDDEN), self.room("states", times + 1, lanes, HIDDEN)
+        states[0] = h
+        for t in range(times):
+            self.advance(a[t], u, states[t], r, states[t + 1])
+            rn[t] = r[2]
         # State before token t predicts token t.
-        flat = np.concatenate(states[:-1])
+        flat = states[:-1].reshape(-1, HIDDEN)
         where = np.flatnonzero(live.ravel())
-        _, dflat = self.log_probs(flat[where], head.ravel()[where], member.ravel()[where], g)
-        dout = np.zeros_like(flat)
-        dout[where] = dflat
-        dout = dout.reshape(len(x), *h.shape)
-        # Local derivatives of all steps at once: only what depends on the carried gradient is left to the loop.
-        z, q, n, rn = (np.stack([s[k] for s in steps]) for k in range(4))
-        by_n = (1 - z) * (1 - n * n)
-        local = np.concatenate([(np.stack(states[:-1]) - n) * z * (1 - z), by_n * rn * q * (1 - q), by_n * q], axis=2)
-        dr, back = np.empty_like(inputs), np.ascontiguousarray(self.p["u"].T)
-        carried = np.empty_like(dout)
-        carry = np.zeros_like(h)
-        for t in range(len(x) - 1, -1, -1):
-            carried[t] = carry
-            np.multiply(local[t].reshape(-1, 3, HIDDEN), carry[:, None, :], out=dr[t].reshape(-1, 3, HIDDEN))
-            carry = carry * z[t]
-            carry += dr[t] @ back
+        if len(where) == len(flat):
+            dout = self.log_probs(flat, head.ravel(), member.ravel(), g, 1 / len(where))[1]
+        else:
+            dout = np.zeros_like(flat)
+            dout[where] = self.log_probs(flat[where], head.ravel()[where], member.ravel()[where], g, 1 / max(1, len(where)))[1]
+        dout = dout.reshape(times, lanes, HIDDEN)
+        # Local derivatives: only what depends on the carried gradient is left to the loop.
+        z, q, n = a[:, 0], a[:, 1], a[:, 2]
+        local, by_n, some = self.room("local", times, lanes, 3, HIDDEN), self.room("by n", *z.shape), self.room("some", *z.shape)
+        np.subtract(states[:-1], n, out=some)
+        some *= z
+        np.subtract(1, z, out=by_n)
+        np.multiply(some, by_n, out=local[:, :, 0])
+        n *= n
+        np.subtract(1, n, out=n)
+        by_n *= n
+        rn *= by_n
+        rn *= q
+        np.multiply(by_n, q, out=local[:, :, 2])
+        np.subtract(1, q, out=q)
+        np.multiply(rn, q, out=local[:, :, 1])
+        back = np.ascontiguousarray(self.p["u"].T)
+        carry, by_u = np.zeros_like(h), np.empty_like(h)
+        for t in range(times - 1, -1, -1):
+            local[t] *= carry[:, None, :]
+            by_n[t] *= carry
+            carry *= z[t]
+            carry += np.matmul(local[t].reshape(lanes, -1), back, out=by_u)
             carry += dout[t]
-        da = dr.copy()
-        da[:, :, 2 * HIDDEN:] = carried * by_n
-        da, dr = da.reshape(len(flat), -1), dr.reshape(len(flat), -1)
-        order = np.argsort(x.ravel(), kind="stable")
-        keys, begin = np.unique(x.ravel()[order], return_index=True)
-        g["x"][keys] = np.add.reduceat(da[order], begin)
-        g["b"] += da.sum(axis=0)
-        g["u"] += flat.T @ dr
-        for v in g.values():
-            v /= max(1, len(where))
-        return g, states[-1]
+        sums = local.reshape(len(flat), -1)
+        g["u"] += flat.T @ sums
+        local[:, :, 2] = by_n
+        x = x.ravel()
+        order = np.argsort(x.astype(np.uint16), kind="stable")
+        keys = x[order]
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        by_input = np.add.reduceat(sums.take(order, axis=0, out=self.room("sorted", *sums.shape), mode="clip"), begin)
+        g["x"][keys[begin]] = by_input
+        g["b"] += by_input.sum(axis=0)
+        return g, states[-1].copy()
+
+
+def _softmax(logits: np.ndarray, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probabilities of the choices, sums of the rows' exponentials, flat places of the choices; ``logits`` become exponentials."""
+    chosen = np.arange(len(logits)) * logits.shape[1] + choice
+    if max(logits.max(initial=0), -logits.min(initial=0)) > 60:  # below, no exponential and no sum leaves the range of float32
+        logits -= logits.max(axis=1, keepdims=True)
+    out = logits.take(chosen)
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    out -= np.log(total)
+    return out, total, chosen
 
 
-class Coder:
-    """Token hashes -> input row, output class and member of a class."""
+def _logit_gradients(e: np.ndarray, total: np.ndarray, chosen: np.ndarray, weight: float) -> np.ndarray:
+    """Makes the exponentials the gradients of the logits but for a scale of each row, which it returns."""
+    e.reshape(-1)[chosen] -= total
+    return (weight / total).astype(e.dtype)[:, None]
 
-    def __init__(self, frequent: np.ndarray):
-        self.keys = np.sort(frequent)
-        self.rank = np.argsort(frequent, kind="stable")
+
+class Coder:
+    """Token hashes -> rank among the given ones, input row, output class and member of a class."""
+
+    def __init__(self, ranked: np.ndarray):
+        self.rank = np.argsort(ranked, kind="stable")
+        self.keys = ranked[self.rank]
+        # Keys by their first bits: about four places for a key, so most hashes meet one key or none.
+        self.shift = _U(64 - max(1, (4 * len(ranked)).bit_length()))
+        self.begin = np.searchsorted(self.keys, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift)
+        self.begin = np.append(self.begin, len(ranked))
+
+    def ranks(self, hashes: np.ndarray) -> np.ndarray:
+        """Rank of each hash, -1 for others."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1, np.int64)
+        out = np.full(len(hashes), -1, np.int64)
+        bucket = (hashes >> self.shift).view(np.int64)
+        at, end, left = self.begin.take(bucket), self.begin.take(bucket + 1), np.arange(len(hashes))
+        while True:
+            more = np.flatnonzero(at < end)
+            if not len(more):
+                return out
+            at, end, left = at[more], end[more], left[more]
+            hit = self.keys.take(at) == hashes.take(left)
+            out[left[hit]] = self.rank.take(at[hit])
+            at += 1
+            at[hit] = end[hit]
+
+    def inputs(self, hashes: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(input, rank) of the tokens."""
+        rank = self.ranks(hashes)
+        return np.where((rank >= 0) & (rank < FREQUENT), rank, FREQUENT + rare).astype(np.int16), rank
 
     def __call__(self, hashes: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(input, class, member, is frequent); frequent tokens are dealt to the classes in turn, by rank."""
-        at = lookup(self.keys, hashes)
-        known = at >= 0
-        rank = self.rank[at] if len(self.keys) else at
-        return (np.where(known, rank, FREQUENT + rare), np.where(known, rank % CLASSES, CLASSES + rare),
-                np.where(known, rank // CLASSES, 0), known)
+        """(input, class, member, rank); frequent tokens are dealt to the classes in turn, by rank."""
+        x, rank = self.inputs(hashes, rare)
+        return x, *outputs(x), rank
+
+
+def outputs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class and member of the inputs ``x``."""
+    return np.where(x < FREQUENT, x % CLASSES, x + (CLASSES - FREQUENT)), np.where(x < FREQUENT, x // CLASSES, 0)
 
 
 def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str]) -> tuple[dict, int]:
@@ -223,50 +352,48 @@ def _train_replica(weights: dict, frequent: np.ndarray, texts: list[str]) -> tup
     model, code = Gru(), Coder(frequent)
     model.p = {k: v.copy() for k, v in weights.items()}
     parts: list[np.ndarray] = []
-    for _, _, w in word_slices(pa.array(texts, pa.large_string()), BLANKS):
+    for _, _, w in word_slices(pa.array(texts, pa.large_string()), BLANKS, WORD_BYTES):
         hashes, rare, first = _tokens(w)
-        x, head, member, _ = code(hashes, rare)
-        parts += np.split(np.stack([x, head, member]), first[1:-1], axis=1)
-    tokens = sum(p.shape[1] for p in parts)
+        parts += np.split(code.inputs(hashes, rare)[0], first[1:-1])
+    tokens = sum(len(p) for p in parts)
     lanes = min(MOST_LANES, max(LANES, tokens // (WINDOW * DEPTH)))
     streams: list[list[np.ndarray]] = [[] for _ in range(lanes)]
     sizes = np.zeros(lanes, np.int64)
     for part in parts:
         lane = int(sizes.argmin())
         streams[lane].append(part)
-        sizes[lane] += part.shape[1]
+        sizes[lane] += len(part)
     longest = np.argsort(-sizes, kind="stable")  # lanes that end early are the last ones and drop out
     streams, sizes = [streams[k] for k in longest], sizes[longest]
     width = max(WINDOW, int(np.ceil(sizes.max() / WINDOW)) * WINDOW)
-    grid = np.zeros((3, lanes, width), np.int64)
-    live = np.zeros((lanes, width), bool)
+    grid = np.zeros((width, lanes), np.int16)
     for k, stream in enumerate(streams):
         if stream:
-            line = np.concatenate(stream, axis=1)
-            grid[:, k, :line.shape[1]] = line
-            live[k, :line.shape[1]] = True
+            grid[:sizes[k], k] = np.concatenate(stream)
     # All weights in one vector, of which the model's arrays are views: Adam steps in place.
     flat = np.concatenate([model.p[k].ravel() for k in sorted(model.p)])
-    first_moment, second_moment, at = np.zeros_like(flat), np.zeros_like(flat), 0
-    for k in sorted(model.p):
-        model.p[k] = flat[at:at + model.p[k].size].reshape(model.p[k].shape)
-        at += model.p[k].size
+    model.p = model.views(flat)
+    first_moment, second_moment, scale = (np.zeros_like(flat) for _ in range(3))
     h = np.zeros((lanes, HIDDEN), np.float32)
     for n in range(1, width // WINDOW + 1):
-        cut, on = slice((n - 1) * WINDOW, n * WINDOW), max(1, int(np.searchsorted(-sizes, -(n - 1) * WINDOW, side="left")))
-        grads, h = model.train_window(grid[0, :on, cut].T, grid[1, :on, cut].T, grid[2, :on, cut].T, live[:on, cut].T, h[:on])
-        g = np.concatenate([grads[k].ravel() for k in sorted(grads)])
-        first_moment *= 0.9
-        first_moment += np.float32(0.1) * g
-        second_moment *= 0.99
-        g *= g
-        second_moment += np.float32(0.01) * g
-        scale = np.sqrt(second_moment)
-        scale *= np.float32(1 / np.sqrt(1 - 0.99 ** n))
-        scale += np.float32(1e-8)
-        np.divide(first_moment, scale, out=scale)
-        scale *= np.float32(RATE / (1 - 0.9 ** n))
-        flat -= scale
+        begin = (n - 1) * WINDOW
+        on = max(1, int(np.searchsorted(-sizes, -begin, side="left")))
+        x = grid[begin:begin + WINDOW, :on]
+        _, h = model.train_window(x, *outputs(x), np.arange(begin, begin + WINDOW)[:, None] < sizes[:on], h[:on])
+        g = model.room("gradients", len(flat))
+        for at in range(0, len(flat), PIECE):
+            some = slice(at, at + PIECE)
+            m, v, by, to = first_moment[some], second_moment[some], g[some], scale[some]
+            m *= 0.9  # of all gradients: 10 times their decaying mean
+            m += by
+            v *= 0.99  # of all squares: 100 times
+            v += np.multiply(by, by, out=by)
+            np.sqrt(v, out=to)
+            to *= np.float32(0.1 / np.sqrt(1 - 0.99 ** n))
+            to += np.float32(1e-8)
+            np.divide(m, to, out=to)
+            to *= np.float32(0.1 * RATE / (1 - 0.9 ** n))
+            flat[some] -= to
     return model.p, tokens
 
 
@@ -318,36 +445,63 @@ def _replica(shared):
     return run
 
 
+def _lanes(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lane, place in it) of texts of these lengths, and the lanes' sizes, largest first; the longest text first, each into the emptiest lane."""
+    n = int(min(SCORE_LANES, max(1, len(length)), length.sum() // max(1, length.max(initial=0)) + 2))
+    lane, place, heap = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64), [(0, k) for k in range(n)]
+    for i in np.argsort(-length, kind="stable").tolist():
+        place[i], lane[i] = heap[0]
+        heapq.heapreplace(heap, (int(place[i] + length[i]), int(lane[i])))
+    sizes = np.zeros(n, np.int64)
+    for size, k in heap:
+        sizes[k] = size
+    order = np.argsort(-sizes, kind="stable")
+    return np.argsort(order)[lane], place, sizes[order]
+
+
 def _log_text(model: Gru, x: np.ndarray, head: np.ndarray, member: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Natural-log probability per text of its frequent tokens and of its rare words' classes, all texts side by side.
 
-    Texts go through in the order of their length; a lane's state is carried until its text ends.
+    A lane takes one text after another; its state is carried until the text ends and starts at 0 for the next one.
     """
     length = np.diff(first)
-    order = np.argsort(-length, kind="stable")
-    out = np.zeros(len(length))
-    lanes = order[length[order] > 0]
-    h = np.zeros((len(lanes), HIDDEN), np.float32)
-    at = 0
-    while len(lanes):
-        live = int(np.searchsorted(-length[lanes], -at, side="left"))
-        lanes, h = lanes[:live], h[:live]
-        if not live:
-            break
-        states, places, owner = [], [], []
-        for t in range(at, at + WINDOW):
-            live = int(np.searchsorted(-length[lanes], -t, side="left"))
-            if not live:
-                break
-            place = first[lanes[:live]] + t
-            states.append(h[:live].copy())
-            places.append(place)
-            owner.append(lanes[:live])
-            h[:live] = model.step(x[place], h[:live])[4]
-        place, who = np.concatenate(places), np.concatenate(owner)
-        np.add.at(out, who, model.log_probs(np.concatenate(states), head[place], member[place]).astype(np.float64))
-        at += WINDOW
-    return out
+    lane, place, sizes = _lanes(length)
+    steps = int(sizes.max(initial=0))
+    grid = np.full((steps, len(sizes)), -1, np.int32)
+    grid[np.arange(len(x)) + np.repeat(place - first[:-1], length), np.repeat(lane, length)] = np.arange(len(x))
+    by_place = np.argsort(place, kind="stable")
+    lane, starts = lane[by_place], np.searchsorted(place[by_place], np.arange(steps + 1))
+    out = np.zeros(len(x), np.float32)
+    rows, u = model.sums()
+    h = np.zeros((len(sizes), HIDDEN), np.float32)
+    for at in range(0, steps, WINDOW):
+        live = int(np.searchsorted(-sizes, -at, side="left"))
+        tokens = grid[at:at + WINDOW, :live]
+        a, r = model.inputs(rows, x.take(tokens, mode="clip")), model.room("r", 3, live, HIDDEN)
+        states = model.room("states", len(tokens) + 1, live, HIDDEN)
+        states[0] = h[:live]
+        for t in range(len(tokens)):
+            new = lane[starts[at + t]:starts[at + t + 1]]
+            if len(new):
+                states[t, new] = 0
+            model.advance(a[t], u, states[t], r, states[t + 1])
+        h = states[-1].copy()
+        where = np.flatnonzero(tokens.ravel() >= 0)
+        token = tokens.ravel()[where]
+        out[token] = model.log_probs(states[:-1].reshape(-1, HIDDEN).take(where, axis=0), head.take(token), member.take(token))
+    return row_sums(out.astype(np.float64), first)
+
+
+_TEXT = pa.struct([("n", pa.int64()), ("k", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+_PART = ["row", "h", "times", "text"]
+
+
+def _scored(model: Gru, waiting: list[tuple]) -> pa.RecordBatch:
+    """One row per text: all but the words that go to the join.  A hash of the row spreads these rows in the join, where they add nothing."""
+    x, ids, n, k, base, rest = (np.concatenate(some) for some in zip(*waiting))
+    score = _log_text(model, x, *outputs(x), np.concatenate([[0], np.cumsum(n)])) / np.log(10) + rest
+    text = pa.StructArray.from_arrays([pa.array(n), pa.array(k), pa.array(base), pa.array(score)], fields=list(_TEXT))
+    return pa.RecordBatch.from_arrays([pa.array(ids), _signed(mix(ids.astype(np.uint64) + _U(1))), pa.array(np.zeros(len(ids), np.int64)), text], names=_PART)
 
 
 def _most_frequent(counts: DataFrame) -> pa.Table:
@@ -370,66 +524,58 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"),
                              (fold_of(doc_id) == HELD_OUT_FOLD).alias("held_out"))
                  .withColumn("slot", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(SLOTS)).cast("int")).sortWithinPartitions("slot"), "gru-rows")
-    counts = stage(rows.where("not held_out").select("t").mapInArrow(_count, "h long, r int, c long")
-                   .groupBy("h").agg(F.min("r").alias("r"), F.sum("c").alias("c")), "gru-counts")
+    counts = stage(rows.where("not held_out").select("t").mapInArrow(_count, "h long, c long")
+                   .groupBy("h").agg(F.sum("c").alias("c")), "gru-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = _most_frequent(counts)
     top_h, top_c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
     frequent = top_h[:FREQUENT].copy()
     # Mass and number of the words of each rare class: all counted words less the frequent ones.
     mass, kinds = np.zeros(RARE), np.zeros(RARE)
-    for r in counts.groupBy("r").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
+    for r in counts.groupBy(F.col("h").bitwiseAND(RARE - 1).alias("r")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
         mass[r.r], kinds[r.r] = r.c, r.v
-    for r, c in zip(top.column("r").to_numpy()[:FREQUENT], top_c[:FREQUENT]):
+    for r, c in zip((frequent & _U(RARE - 1)).view(np.int64), top_c):
         mass[r] -= c
         kinds[r] -= 1
     weights = train(rows.where("not held_out").select("row", "t", "slot"), frequent, Gru().start_from(top_c[:FREQUENT], mass))
-    order = np.argsort(top_h)
     shared = spark.sparkContext.broadcast({
-        "weights": _pack(weights), "frequent": frequent, "keys": top_h[order], "counts": top_c[order],
-        "total": int(total), "base": np.log10(total + 0.5 * (distinct + 1)), "rare": np.log10(mass + 0.5 * (kinds + 1))})
+        "weights": _pack(weights), "top": top_h, "counts": top_c,
+        "base": np.log10(total + 0.5 * (distinct + 1)), "rare": np.log10(mass + 0.5 * (kinds + 1))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
-        model, code = Gru(), Coder(s["frequent"])
+        model, code = Gru(), Coder(s["top"])
         model.p = _unpack(s["weights"], model.p)
+        log_count = np.append(np.log10(s["counts"] + 0.5), 0)  # the last one is that of rank -1
+        waiting, tokens = [], 0
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for at, end, w in word_slices(batch.column(1), BLANKS, SCORE_BYTES):
+            for at, end, w in word_slices(batch.column(1), BLANKS, WORD_BYTES):
                 hashes, rare, first = _tokens(w)
-                x, head, member, is_frequent = code(hashes, rare)
-                n = np.diff(first)
-                owner = np.repeat(np.arange(w.rows), n)
-                place = lookup(s["keys"], hashes)
-                known = place >= 0
-                count = s["counts"][place[known]] if len(s["keys"]) else np.zeros(0)
-                base = np.bincount(owner[known], np.log10(count + 0.5), w.rows) - n * s["base"]
-                text_score = _log_text(model, x, head, member, first) / np.log(10)
-                text_score -= np.bincount(owner[~is_frequent], s["rare"][rare[~is_frequent]], w.rows)
-                middle = known & ~is_frequent
-                text_score += np.bincount(owner[middle], np.log10(s["counts"][place[middle]] + 0.5) if middle.any() else None, w.rows)
+                x, rank = code.inputs(hashes, rare)
+                logs, known, n = log_count.take(rank), rank >= 0, np.diff(first)
+                waiting.append((x, ids[at:end], n, row_sums(known.astype(np.int64), first), row_sums(logs, first) - n * s["base"],
+                                row_sums(np.where(x >= FREQUENT, logs - s["rare"].take(rare), 0), first)))
+                tokens += len(x)
                 # Words outside the broadcast counts go out once per text, to meet their counts in a join.
                 unknown = np.flatnonzero(~known)
-                pair, index, times = np.unique(mix(hashes[unknown] + _U(0x9E3779B97F4A7C15) * owner[unknown].astype(np.uint64)),
-                                               return_index=True, return_counts=True)
-                who = owner[unknown[index]]
-                texts = w.rows
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([ids[at:end], ids[at + who]])),
-                    _signed(np.concatenate([mix(ids[at:end].astype(np.uint64) + _U(1)), hashes[unknown[index]]])),
-                    pa.array(np.concatenate([np.zeros(texts, np.int64), times])),
-                    pa.array(np.concatenate([n, np.zeros(len(who), np.int64)])),
-                    pa.array(np.concatenate([np.bincount(owner[known], minlength=texts), np.zeros(len(who), np.int64)])),
-                    pa.array(np.concatenate([base, np.zeros(len(who))])),
-                    pa.array(np.concatenate([text_score, np.zeros(len(who))]))],
-                    names=["row", "h", "times", "n", "k", "base", "score"])
-
-    parts = rows.select("row", "t").mapInArrow(run, "row long, h long, times long, n long, k long, base double, score double")
+                owner = np.searchsorted(first, unknown, side="right") - 1
+                _, index, times = np.unique(mix(hashes[unknown] + _U(0x9E3779B97F4A7C15) * owner.astype(np.uint64)),
+                                            return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at + owner[index]]), _signed(hashes[unknown[index]]), pa.array(times),
+                                                  pa.nulls(len(times), _TEXT)], names=_PART)
+                if tokens >= SCORE_TOKENS:
+                    yield _scored(model, waiting)
+                    waiting, tokens = [], 0
+        if waiting:
+            yield _scored(model, waiting)
+
+    parts = rows.select("row", "t").mapInArrow(run, "row long, h long, times long, text struct<n: long, k: long, base: double, score: double>")
     log = F.col("times") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + 0.5)
-    summed = (parts.join(counts.select("h", "c"), "h", "left").groupBy("row").agg(
-        F.sum("n").alias("n_tokens"),
-        (F.sum("k") + F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
-        (F.sum("base") + F.sum(log)).alias("base_score"), (F.sum("score") + F.sum(log)).alias("score")))
+    summed = (parts.join(counts, "h", "left").groupBy("row").agg(
+        F.sum("text.n").alias("n_tokens"),
+        (F.sum("text.k") + F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
+        (F.sum("text.base") + F.sum(log)).alias("base_score"), (F.sum("text.score") + F.sum(log)).alias("score")))
     return (rows.select("row", "id", "held_out").join(summed, "row")
             .select("row", "id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pyarrow as pa
 from brute import blanks, lower_ascii
 
 from salesmart.llm import gru_lm
-from salesmart.llm.common import BLANKS, word_slices
+from salesmart.llm.common import BLANKS, mix, word_slices
 
 
 def fold(i):
@@ -137,3 +138,82 @@ def test_a_replica_steps_through_all_its_windows(monkeypatch):
     texts = ["a b c " * 40 for _ in range(6000)]
     _, tokens = gru_lm._train_replica(gru_lm.Gru().p, np.zeros(0, np.uint64), texts)
     assert sum(live) == tokens == 6000 * 121 and len(live) > 120
+
+
+def peak(run):
+    run()  # what is kept for later calls is made here
+    tracemalloc.start()
+    run()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_a_window_works_in_memory_of_the_one_before():
+    model, rng = gru_lm.Gru(1), np.random.default_rng(2)
+    x = rng.integers(0, gru_lm.FREQUENT + gru_lm.RARE, (gru_lm.WINDOW, 128))
+    head, member = np.where(x < gru_lm.FREQUENT, x % gru_lm.CLASSES, x - gru_lm.FREQUENT + gru_lm.CLASSES), np.where(x < gru_lm.FREQUENT, x // gru_lm.CLASSES, 0)
+    h, live = np.zeros((128, gru_lm.HIDDEN), np.float32), np.ones(x.shape, bool)
+    assert peak(lambda: model.train_window(x, head, member, live, h)) < 3 << 20
+
+
+def test_a_very_frequent_class_does_not_widen_the_others():
+    model, h = gru_lm.Gru(1), np.zeros((4096, gru_lm.HIDDEN), np.float32)
+    head = np.where(np.arange(4096) < 4000, 5, np.arange(4096) % gru_lm.CLASSES)
+    grads = {k: np.zeros_like(v) for k, v in model.p.items()}
+    assert peak(lambda: model.log_probs(h, head, head, grads)) < 4 << 20
+
+
+def test_large_logits_stay_exact():
+    model, rng = gru_lm.Gru(4), np.random.default_rng(3)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    model.p["c"] *= 500
+    model.p["ob"] -= 900
+    h, head, member = rng.uniform(-1, 1, (300, gru_lm.HIDDEN)), rng.integers(0, gru_lm.CLASSES + gru_lm.RARE, 300), rng.integers(0, 32, 300)
+    member[head >= gru_lm.CLASSES] = 0
+
+    def log_softmax(a):
+        a = a - a.max()
+        return a - np.log(np.exp(a).sum())
+
+    want = [log_softmax(s @ model.p["c"] + model.p["cb"])[k] + (log_softmax(s @ model.p["o"][k] + model.p["ob"][k])[m] if k < gru_lm.CLASSES else 0)
+            for s, k, m in zip(h, head, member)]
+    assert np.abs(h @ model.p["c"]).max() > 88
+    assert np.allclose(model.log_probs(h, head, member), want)
+
+
+def test_scores_do_not_depend_on_the_neighbours(monkeypatch):
+    monkeypatch.setattr(gru_lm, "SCORE_LANES", 3)
+    model, rng = gru_lm.Gru(6), np.random.default_rng(4)
+    model.p["u"] *= 20
+    length = np.concatenate([rng.integers(0, 90, 40), [700, 0, 1]])
+    first = np.concatenate([[0], np.cumsum(length)])
+    x = rng.integers(0, gru_lm.FREQUENT + gru_lm.RARE, first[-1])
+    got = gru_lm._log_text(model, x, *gru_lm.outputs(x), first)
+    alone = [gru_lm._log_text(model, x[a:b], *gru_lm.outputs(x[a:b]), np.array([0, b - a]))[0] for a, b in zip(first, first[1:])]
+    h, plain = np.zeros((1, gru_lm.HIDDEN), np.float32), 0.0
+    for t in x[first[40]:first[41]]:
+        plain += model.log_probs(h, *gru_lm.outputs(np.array([t])))[0]
+        h = model.step(np.array([t]), h)[4]
+    assert np.allclose(got, alone, rtol=1e-5) and abs(got[40] / plain - 1) < 1e-5
+
+
+def test_ranks_of_hashes_with_equal_first_bits():
+    ranked = np.array([5, 1 << 63, 6, (1 << 63) + 1, 7, 2 ** 64 - 1, 0], np.uint64)
+    code = gru_lm.Coder(ranked)
+    wanted = np.concatenate([ranked, np.array([8, 4, 1 << 62, (1 << 63) + 2, 2 ** 64 - 2], np.uint64)])
+    assert code.ranks(wanted).tolist() == [*range(7), *[-1] * 5]
+    assert gru_lm.Coder(ranked[:0]).ranks(wanted).tolist() == [-1] * 12
+
+
+def test_a_hash_ends_in_its_rare_class():
+    texts = ["a b\x00 \u00e9t\u00e9 word Word", None, "", " \t", "sword \u0416"]
+    _, _, w = next(word_slices(pa.array(texts), BLANKS))
+    hashes, rare, first = gru_lm._tokens(w)
+    assert first.tolist() == [0, 6, 7, 8, 9, 12]
+    assert (hashes & np.uint64(gru_lm.RARE - 1)).tolist() == rare.tolist()
+    assert hashes[3] == hashes[4] != hashes[9] and rare[3] == rare[9] and hashes[5] == gru_lm.END
+    for i, word in enumerate(["a", "b\x01", "\u00e9t\u00e9", "word"]):
+        b = word.encode()
+        key = np.array([b[-1] * 257 + b[max(0, len(b) - 2)] * 65537 + (max(b) >= 0x80)], np.uint64)
+        assert rare[i] == mix(key)[0] % np.uint64(gru_lm.RARE)
