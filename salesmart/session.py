@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans name the whole path of what they scan; by default long ones are cut.
+    "spark.sql.maxMetadataStringLength": "1000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # No broadcast from a static guess (compressed file size) and no hints: AQE
     # broadcasts at runtime from the measured size of a finished shuffle stage.
