@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import FACT_HEADER_COLUMNS, FACT_KEYS, STATUS_INVOICED, STATUS_OPEN, STATUS_PARTIAL
 from ..functions.conversions import MONEY
+from .versions import sort_keys
 
 FACT_COLUMNS = [
     "cod_empresa", "cod_filial", "cod_pedido", "cod_item", "dat_emissao", "cod_cliente", "cod_loja",
@@ -41,7 +42,7 @@ def order_fact(headers: DataFrame, items: DataFrame, keys: Sequence[str] = FACT_
     fact column comes from the item.  ``loaded_at`` fixes the load timestamp
     (a literal or Column); by default it is the query's current timestamp.
     """
-    keys = list(keys)
+    keys = sort_keys(items, keys)
     heads = live(headers).select(*keys, *header_columns)
     fact = live(items).join(heads, keys, "inner")
     balance = open_quantity()

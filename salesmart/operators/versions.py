@@ -7,11 +7,34 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import SILVER_KEYS, VERSION_ORDER
 from ..session import materialize
 
 
+def sort_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys in an order that sorts fast: numbers before text, and the last text before the first.
+
+    A sort compares eight bytes of its first column before it looks at whole rows.  Keys come as (company, ...) and all
+    rows have the same few companies, so the company goes last.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return sorted(reversed(list(keys)), key=lambda k: isinstance(kinds.get(k), T.StringType))
+
+
+#: Rows of a slice of the keys beyond twice the mean from which it counts as hot, and the number of slices.
+HOT_ROWS, SLICES = 100_000, 1024
+
+
+def version_method(df: DataFrame, keys: Sequence[str] = SILVER_KEYS) -> str:
+    """How to find the latest versions of ``df`` or of a part of it: ``dealt``, or ``window`` where a slice of the keys has far more
+    than its share of the rows (a key with very many versions, or very many NULL keys).  Counting the slices reads the keys only."""
+    slices = df.groupBy(F.pmod(F.hash(*keys), F.lit(SLICES)).alias("_slice")).count()
+    total, heaviest = slices.agg(F.sum("count"), F.max("count")).first()
+    return "window" if (heaviest or 0) > 2 * (total or 0) / SLICES + HOT_ROWS else "dealt"
+
+
 def latest_version(df: DataFrame, keys: Sequence[str] = SILVER_KEYS, order: Sequence[str] = VERSION_ORDER,
                    method: str = "window") -> DataFrame:
     """Keep one row per key: the greatest ``order`` (descending, NULLs last).
@@ -19,16 +42,20 @@ def latest_version(df: DataFrame, keys: Sequence[str] = SILVER_KEYS, order: Sequ
     ``window`` (default) is ``row_number() = 1`` over the keys; Spark plans a
     partial ``WindowGroupLimit`` before the shuffle, so every map task sends at
     most one row per key and a key holding a third of all rows is cut down
-    map-side.  ``aggregate`` is ``max_by(struct(row), struct(order))``, also
+    map-side.  ``dealt`` deals the rows out first: nothing is sorted, or spilled, map-side, but a hot key goes to
+    one task as it is (``version_method`` tells which to take).  ``aggregate`` is ``max_by(struct(row), struct(order))``, also
     combined map-side; struct buffers force a sort-based aggregate, which
     measured slower.  ``struct(order)`` is never NULL, so keys whose stamps are
     all NULL keep a row in both forms.  NULL keys form one group; full ties are
     broken arbitrarily, so callers pass a total order.
     """
     keys, order = list(keys), list(order)
-    if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    if method in ("window", "dealt"):
+        columns = df.columns
+        if method == "dealt":      # by a column of its own: a constant among the keys would be dealt out twice
+            df, keys = df.withColumn("_lane", F.xxhash64(*keys)).repartition("_lane"), ["_lane", *keys]
+        w = Window.partitionBy(*sort_keys(df, keys)).orderBy(*[F.col(c).desc() for c in order])
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select(*[f"`{c}`" for c in columns])
     if method != "aggregate":
         raise ValueError(f"unknown method: {method!r}")
     row = F.struct(*[F.col(c) for c in df.columns])

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FACT_KEYS, SILVER_KEYS
+from ..operators.versions import sort_keys
 from ..sources.files import create_text, names_below, read_text
 from .marts import TOTAL
 
@@ -33,13 +34,16 @@ STATE = ("cod_empresa string, cod_filial string, cod_vendedor string, mes date,
 _COUNTED = ["linhas", *(x for c in SUMS for x in (c, f"n_{c}"))]
 
 
+def _month() -> Column:
+    return F.trunc("dat_emissao", "MM").alias("mes")
+
+
 def partial_sums(fact: DataFrame, sign: int = 1) -> DataFrame:
     """Signed partial sums of fact rows; combined map-side to one row per group and task."""
-    month = F.date_trunc("MONTH", "dat_emissao").cast("date").alias("mes")
     terms = [F.sum(F.lit(sign).cast("long")).alias("linhas")]
     for c in SUMS:
-        terms += [F.coalesce(F.sum(F.col(c) * sign), F.lit(0)).cast(TOTAL).alias(c), (F.count(c) * sign).alias(f"n_{c}")]
-    return fact.groupBy("cod_empresa", "cod_filial", "cod_vendedor", month).agg(*terms)
+        terms += [(F.coalesce(F.sum(c), F.lit(0)).cast(TOTAL) * sign).cast(TOTAL).alias(c), (F.count(c) * sign).alias(f"n_{c}")]
+    return fact.groupBy("cod_empresa", "cod_filial", "cod_vendedor", _month()).agg(*terms)
 
 
 def _summed(parts: DataFrame) -> DataFrame:
@@ -51,21 +55,20 @@ def retractions(old: DataFrame | None, new: DataFrame) -> DataFrame:
     """Sums to add to the state when the rows ``old`` give way to ``new``.
 
     Rows that stay as they are cancel out within their order first, where the facts are joined anyway; only what differs
-    is dealt out by group.
+    is dealt out by group.  They cancel by counting equal rows, so the values themselves are added up once, for the groups.
     """
     if old is None:
         return partial_sums(new)
-    month = F.date_trunc("MONTH", "dat_emissao").cast("date").alias("mes")
-    parts = []
-    for rows, sign in ((new, 1), (old, -1)):
-        parts.append(rows.select("cod_empresa", "cod_pedido", "cod_filial", "cod_vendedor", month, F.lit(sign).cast("long").alias("linhas"),
-                                 *[x for c in SUMS for x in ((F.coalesce(F.col(c), F.lit(0)) * sign).alias(c),
-                                                             F.when(F.col(c).isNotNull(), F.lit(sign)).otherwise(F.lit(0)).cast("long").alias(f"n_{c}"))]))
-    signed = reduce(DataFrame.unionByName, parts)
-    differing = signed.groupBy("cod_empresa", "cod_pedido", *GROUP[1:]).agg(*[F.sum(c).alias(c) for c in _COUNTED])
-    differing = differing.where(reduce(Column.__or__, (F.col(c) != 0 for c in _COUNTED)))
-    sums = differing.groupBy(*GROUP).agg(*[F.sum(c).cast("long" if c not in SUMS else TOTAL).alias(c) for c in _COUNTED])
-    return sums.where(reduce(Column.__or__, (F.col(c) != 0 for c in _COUNTED)))
+    signed = reduce(DataFrame.unionByName, (
+        rows.select("cod_empresa", "cod_pedido", "cod_filial", "cod_vendedor", _month(), *SUMS, F.lit(sign).cast("long").alias("linhas"))
+        for rows, sign in ((new, 1), (old, -1))))
+    differing = signed.groupBy("cod_pedido", *GROUP, *SUMS).agg(F.sum("linhas").alias("linhas")).where("linhas <> 0")
+    times, terms = F.col("linhas"), [F.sum("linhas").alias("linhas")]
+    for c in SUMS:
+        value = F.when(times == 1, F.col(c)).when(times == -1, -F.col(c)).otherwise(F.col(c) * times)
+        terms += [F.coalesce(F.sum(value), F.lit(0)).cast(TOTAL).alias(c),
+                  F.sum(F.when(F.col(c).isNotNull(), times).otherwise(F.lit(0).cast("long"))).alias(f"n_{c}")]
+    return differing.groupBy(*GROUP).agg(*terms).where(reduce(Column.__or__, (F.col(c) != 0 for c in _COUNTED)))
 
 
 def changed_orders(changes: Sequence[DataFrame], before: Sequence[DataFrame | None], keys: Sequence[str] = FACT_KEYS,
@@ -75,13 +78,13 @@ def changed_orders(changes: Sequence[DataFrame], before: Sequence[DataFrame | No
     ``changes`` and ``before`` are the changed rows and the earlier state of each Silver table (items, headers).
     """
     parts = [c.select(*keys) for c in changes]
-    parts += [b.join(c.select(*record).distinct(), list(record), "left_semi").select(*keys)
+    parts += [b.join(c.select(*record), sort_keys(b, record), "left_semi").select(*keys)
               for c, b in zip(changes, before, strict=True) if b is not None]
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def of_orders(rows: DataFrame, orders: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
-    return rows.join(orders.select(*keys), list(keys), "left_semi")
+    return rows.join(orders.select(*keys), sort_keys(rows, keys), "left_semi")
 
 
 class MeasureStore:
@@ -169,12 +172,14 @@ class MeasureStore:
             orders = self.spark.read.parquet(*parts).distinct()
             self.add(load, retractions(of_orders(old, orders, keys), of_orders(new, orders, keys)), silver)
 
+    def _parts(self) -> DataFrame:
+        """The signed sums of all counted loads as they are stored: a group may be in several parts."""
+        parts = [f"{self.path}/{m['part']}" for m in self._live().values()]
+        return self.spark.read.schema(STATE).parquet(*parts) if parts else self.spark.createDataFrame([], STATE)
+
     def state(self) -> DataFrame:
         """Partial sums as of all counted loads."""
-        parts = [f"{self.path}/{m['part']}" for m in self._live().values()]
-        if not parts:
-            return self.spark.createDataFrame([], STATE)
-        return _summed(self.spark.read.schema(STATE).parquet(*parts))
+        return _summed(self._parts())
 
     def compact(self) -> None:
         """One part in place of all (their folders stay until nobody reads them)."""
@@ -184,15 +189,26 @@ class MeasureStore:
             self._write(f"{last}+", self.state(), covers=sorted(live), silver=live[last]["silver"])
 
     def measures(self, units: DataFrame, sellers: DataFrame) -> DataFrame:
-        """V3-V7 as (medida, chave, valor)."""
-        keyed = (self.state().join(units.select("cod_empresa", "cod_filial", "des_unidade"), ["cod_empresa", "cod_filial"])
+        """V3-V7 as (medida, chave, valor).
+
+        The parts are read once, whatever their groups: sums by (month, unit) and by seller, each a few rows that are
+        combined map-side, hold all measures.  What adds up to nothing in them has been retracted.
+        """
+        keyed = (self._parts().join(units.select("cod_empresa", "cod_filial", "des_unidade"), ["cod_filial", "cod_empresa"])
                  .join(sellers.select("cod_empresa", "cod_vendedor", F.col("des_nome").alias("des_vendedor")),
-                       ["cod_empresa", "cod_vendedor"], "left"))
-        total, balance = (F.when(F.sum(f"n_{c}") > 0, F.sum(c)).cast(TOTAL).alias("valor") for c in SUMS)
-        rows = [("valor_vendido", None, total), ("valor_em_carteira", None, balance), ("vendas_por_mes", F.col("mes").cast("string"), total),
-                ("vendas_por_unidade", F.col("des_unidade"), total), ("carteira_por_vendedor", F.col("des_vendedor"), balance)]
-        out = []
-        for name, key, value in rows:
-            sums = keyed.agg(value).withColumn("chave", F.lit(None).cast("string")) if key is None else keyed.groupBy(key.alias("chave")).agg(value)
-            out.append(sums.select(F.lit(name).alias("medida"), "chave", "valor"))
-        return reduce(DataFrame.unionByName, out)
+                       ["cod_vendedor", "cod_empresa"], "left"))
+        by = ["mes", "des_unidade", "des_vendedor"]
+        sums = (keyed.groupingSets([by[:2], by[2:]], *by).agg(F.grouping_id().alias("_set"), *[F.sum(c).alias(c) for c in _COUNTED])
+                .where(reduce(Column.__or__, (F.col(c) != 0 for c in _COUNTED))))
+
+        def row(name: str, key: Column | None, measure: str) -> Column:
+            return F.struct(F.lit(name).alias("medida"), (F.lit(None) if key is None else key).cast("string").alias("chave"),
+                            F.col(measure).cast(TOTAL).alias("soma"), F.col(f"n_{measure}").cast("long").alias("n"))
+
+        totals = [row("valor_vendido", None, SUMS[0]), row("valor_em_carteira", None, SUMS[1])]
+        of_months = F.array(*totals, row("vendas_por_mes", F.col("mes"), SUMS[0]), row("vendas_por_unidade", F.col("des_unidade"), SUMS[0]))
+        of_sellers = F.array(row("carteira_por_vendedor", F.col("des_vendedor"), SUMS[1]))
+        rows = sums.select(F.explode(F.when(F.col("_set") == 1, of_months).otherwise(of_sellers)).alias("r"))
+        none = self.spark.range(1).select(*[F.lit(0).alias(c) for c in _COUNTED]).select(F.explode(F.array(*totals)).alias("r"))
+        return (rows.select("r.*").unionByName(none.select("r.*")).groupBy("medida", "chave")
+                .agg(F.when(F.sum("n") > 0, F.sum("soma")).cast(TOTAL).alias("valor")).select("medida", "chave", "valor"))

@@ -20,7 +20,7 @@ from ..operators import fact as fact_ops
 from ..operators.standardise import standardise
 from ..operators.upsert import (BUCKET, bucket_key_counts, read_bucketed, read_newest_batch, upsert, upsert_touched_buckets,
                                 write_latest)
-from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
+from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch, version_method
 from ..sources import testdata as td
 from ..sources.extract import persist_control, run_extraction
 from ..sources.footers import footer_table
@@ -363,15 +363,16 @@ def q_maintained_measures(spark, d):
     Headers and changes are stored before they are used more than once, with the columns that reach the sums."""
     store = MeasureStore(spark, scratch_path(spark, "measures"))
     std = standardise(td.bronze_lines(spark, d), td.LINE_MAP).drop("num_nota")
+    method = version_method(std)
     stored = materialize(silver_orders(spark, d).select(*td.FACT_KEYS, *td.FACT_HEADER_COLUMNS, "flg_deletado", "num_recno"), "headers")
     changed = [*td.FACT_KEYS, "num_recno"]
     before = (None, None)
     for load, cut in enumerate(MEASURE_CUTS, 1):
         known = std if cut is None else std.filter(F.col("dat_stamp") < F.lit(cut).cast("timestamp"))
-        items, headers = materialize(latest_version(known, order=td.LINE_VERSION_ORDER), "items"), headers_at(stored, load)
+        items, headers = materialize(latest_version(known, order=td.LINE_VERSION_ORDER, method=method), "items"), headers_at(stored, load)
         orders = None
         if load > 1:
-            changes = [latest_version(batches_after(known, newest_batch(before[0])), order=td.LINE_VERSION_ORDER),
+            changes = [latest_version(batches_after(known, newest_batch(before[0])), order=td.LINE_VERSION_ORDER, method=method),
                        headers.exceptAll(before[1])]
             changes = [materialize(c.select(*changed), "changes") for c in changes]
             orders = materialize(changed_orders(changes, before, td.FACT_KEYS), "changed_orders")

@@ -111,3 +111,44 @@ def test_the_maintained_measures_read_the_headers_once(spark, tmp_root, monkeypa
     assert (got[("valor_vendido", None)], got[("valor_em_carteira", None)]) == tuple(whole.agg(F.sum("vlr_total"), F.sum("vlr_saldo")).first())
     assert {k[1]: v for k, v in got.items() if k[0] == "carteira_por_vendedor"} == \
         {r[0]: r[1] for r in whole.groupBy("cod_vendedor").agg(F.sum("vlr_saldo")).collect()}
+
+
+def test_the_measures_read_each_part_once(spark, tmp_root):
+    store = MeasureStore(spark, tmp_root)
+    one, two = fact(spark, ONE), fact(spark, TWO)
+    units = spark.createDataFrame([("01", "a", "A"), ("01", "c", "C"), ("01", "c", "C again")], "cod_empresa string, cod_filial string, des_unidade string")
+    sellers = spark.createDataFrame([("01", "x", "X")], "cod_empresa string, cod_vendedor string, des_nome string")
+    d = Decimal
+
+    def read():
+        return sorted((r.medida, r.chave or "", r.valor) for r in store.measures(units, sellers).collect())
+
+    assert read() == [("valor_em_carteira", "", None), ("valor_vendido", "", None)]         # nothing counted yet
+    store.add("1", retractions(None, one))
+    store.add("2", retractions(one, two))
+    # order 3 moved to unit c, which has two names, and to seller y, who has none; unit b and month 2 are gone
+    assert read() == [
+        ("carteira_por_vendedor", "", d("2.00")), ("carteira_por_vendedor", "X", d("1.00")), ("valor_em_carteira", "", d("3.00")),
+        ("valor_vendido", "", d("6.00")), ("vendas_por_mes", "2026-01-01", d("4.00")), ("vendas_por_mes", "2026-03-01", d("2.00")),
+        ("vendas_por_unidade", "A", d("4.00")), ("vendas_por_unidade", "C", d("1.00")), ("vendas_por_unidade", "C again", d("1.00"))]
+    plan = store.measures(units, sellers)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_equal_rows_cancel_by_number(spark):
+    row = ("a", "1", "x", 1, "5.00", None)
+    got = retractions(fact(spark, [row, row, row]), fact(spark, [row, ("a", "1", "x", 1, "5.00", "2.00")]))
+    assert [tuple(r)[4:] for r in got.select(*got.columns).collect()] == [(-1, Decimal("-5.00"), -1, Decimal("2.00"), 1)]
+    lowest = got._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[-1]
+    assert lowest.startswith("cod_pedido") and "sum(linhas" in lowest and "sum(vlr_" not in lowest      # no value is added up before
+
+
+def test_staged_rows_are_written_without_dictionaries(spark, tmp_root):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from salesmart.session import materialize
+    rows = materialize(spark.range(5000).selectExpr("string(id) as k"), "stage")
+    meta = pq.ParquetFile(glob.glob(rows.inputFiles()[0].removeprefix("file://"))[0]).metadata
+    assert rows.count() == 5000 and not any("DICTIONARY" in e for e in meta.row_group(0).column(0).encodings)
