@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SILVER_KEYS, VERSION_ORDER
-from .versions import latest_version
+from .versions import latest_version, sort_keys
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KEYS,
@@ -39,7 +39,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = SILVER_KE
         raise ValueError(f"source lacks target columns: {missing}")
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in columns], F.lit(True).alias("_s"))
-    on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
+    on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in sort_keys(target, keys)]
     cond = on[0]
     for extra in on[1:]:
         cond = cond & extra

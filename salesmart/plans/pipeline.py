@@ -27,7 +27,7 @@ from ..operators.fact import order_fact
 from ..operators.standardise import conversion_rejects, standardise
 from ..operators.upsert import (BUCKET, Bucketing, bucket_key_counts, committed_versions, prune_bucketed, read_bucketed,
                                 read_newest_batch, upsert, upsert_touched_buckets, write_latest)
-from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch
+from ..operators.versions import batches_after, latest_snapshot, latest_version, newest_batch, version_method
 from ..operators.watermark import FULL
 from ..sources.extract import load_control, run_extraction
 from ..sources.footers import footer_table
@@ -135,10 +135,12 @@ def build_silver(spark: SparkSession, spec: SourceTable, bronze: DataFrame, silv
         target = spark.read.parquet(silver.current_location(spec.name))
         # The newest batch recorded at the last publish (no scan), else computed
         last = silver.newest_batch(spec.name) or newest_batch(target)
-        changes = materialize(latest_version(batches_after(std, last), spec.keys, spec.order), "silver_changes")    # S6
+        fresh = batches_after(std, last)
+        changes = materialize(latest_version(fresh, spec.keys, spec.order, version_method(fresh, spec.keys)), "silver_changes")    # S6
         done = silver.publish(upsert(target, changes, spec.keys), spec.name, clustered=clustered)    # S9
         return {**done, "changes": changes, "before": target}
-    return silver.publish(latest_version(std, spec.keys, spec.order), spec.name, clustered=clustered)    # S10
+    method = version_method(std, spec.keys)
+    return silver.publish(latest_version(std, spec.keys, spec.order, method), spec.name, clustered=clustered)    # S10
 
 
 def daily_load(spark: SparkSession, domain: Domain, bronze: dict[str, DataFrame], lake_root: str,

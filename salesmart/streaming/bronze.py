@@ -17,6 +17,8 @@ schema on the same checkpoint (B5; ``schema_history`` keeps the schemas of all l
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,22 @@ def landing_stream(spark: SparkSession, landing_table_dir: str, schema: T.Struct
     )
 
 
+#: Batches that a task writes side by side; from there on it sorts its rows by batch.  A landing file holds one batch.
+OPEN_BATCHES = 4
+
+
+@contextmanager
+def _open_files(spark: SparkSession, most: int):
+    """Writes that start here keep so many partitions open instead of sorting all rows by partition first."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, checkpoint_dir: str,
               schema: T.StructType | str, company_pattern: str = COMPANY_PATH_PATTERN,
               max_files_per_trigger: int | None = None, index: BatchIndex | None = None) -> int:
@@ -55,14 +73,15 @@ def load_once(spark: SparkSession, landing_table_dir: str, bronze_dir: str, chec
         stream = stream.observe(METRIC, loaded_pairs())
     # The sum below needs the progress of every micro-batch, not of the latest hundred.
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1))
-    query = (stream.writeStream.format("parquet")
-             .option("path", bronze_dir)
-             .option("checkpointLocation", checkpoint_dir)
-             .partitionBy("_lote")                       # S7, S8 and Q8 then read only the batches they ask for
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    with _open_files(spark, OPEN_BATCHES):
+        query = (stream.writeStream.format("parquet")
+                 .option("path", bronze_dir)
+                 .option("checkpointLocation", checkpoint_dir)
+                 .partitionBy("_lote")                   # S7, S8 and Q8 then read only the batches they ask for
+                 .outputMode("append")
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     if index is not None:

@@ -229,3 +229,19 @@ def test_the_next_run_completes_the_manifest_of_a_lost_driver(spark, tmp_root, m
     got = {(r.lote, r.empresa, r.registros) for r in read_manifests(spark, tmp_root).collect()}
     assert got == {("B1", "01", 1), ("B1", "05", 1), ("B2", "01", 0), ("B2", "05", 0)}
     assert extract.complete_manifest(spark, tmp_root) is None
+
+
+def test_a_load_writes_its_batches_without_sorting(spark, tmp_root, monkeypatch):
+    from pyspark.sql.streaming import StreamingQuery
+
+    name, seen, base = "spark.sql.maxConcurrentOutputFileWriters", [], StreamingQuery.awaitTermination
+    monkeypatch.setattr(StreamingQuery, "awaitTermination", lambda q, *a: seen.append(spark.conf.get(name, None)) or base(q, *a))
+    before = spark.conf.get(name, None)
+    land, bronze, t = f"{tmp_root}/landing", f"{tmp_root}/bronze/sc5", dt.datetime(2026, 10, 13, 9)
+    batches = [f"2026101{k}T090000Z" for k in range(7)]                # more than a task keeps open
+    for k, batch in enumerate(batches):
+        _land(spark, land, "01", batch, [(k, t, "000001"), (k + 100, t, "000002")])
+    assert load_once(spark, f"{land}/sc5", bronze, f"{tmp_root}/ckpt", SCHEMA) == 14
+    rows = read_bronze(spark, bronze, SCHEMA).collect()
+    assert sorted((r.r_e_c_n_o_, r._lote) for r in rows) == sorted((k + x, b) for k, b in enumerate(batches) for x in (0, 100))
+    assert seen == ["4"] and spark.conf.get(name, None) == before
